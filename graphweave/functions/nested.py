@@ -27,10 +27,11 @@ def text_from_inverted_index(c) -> Column:
         F.map_entries(m),
         lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
     ordered = F.array_sort(triples)
-    last_per_pos = F.filter(
-        ordered,
-        lambda x, j: (j == F.size(ordered) - 1) | (ordered[j + 1]["pos"] != x["pos"]))
-    return F.when(m.isNotNull(), F.array_join(F.transform(last_per_pos, lambda x: x["word"]), " "))
+    # keep an element when the next one has another position (zip_with pads
+    # the shorter array with nulls); each array is evaluated once per row
+    nxt = F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0)))
+    words = F.zip_with(ordered, nxt, lambda x, y: F.when(y.isNull() | (y["pos"] != x["pos"]), x["word"]))
+    return F.when(m.isNotNull(), F.array_join(F.filter(words, lambda w: w.isNotNull()), " "))
 
 
 def slim_authors(c) -> Column:

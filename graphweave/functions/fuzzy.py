@@ -200,23 +200,38 @@ def token_set_ratio_py(a: str, b: str) -> float:
 
 
 # -------------------------------------------------------------- partial ratio
-def _window_lcs(needle: str, hay: str) -> np.ndarray:
-    """LCS of ``needle`` with every full window ``hay[i:i+m]`` (vectorized)."""
+def _encode(needle: str, hay: str):
+    """Needle alphabet (sorted code points), the needle's codes and the hay's
+    codes as indexes into that alphabet (len(alphabet) for other characters)."""
+    nc = np.frombuffer(needle.encode("utf-32-le"), dtype=np.uint32)
+    hc = np.frombuffer(hay.encode("utf-32-le"), dtype=np.uint32)
+    alpha = np.unique(nc)
+    k = len(alpha)
+    hi = np.searchsorted(alpha, hc)
+    hi_c = np.minimum(hi, k - 1)
+    hcode = np.where(alpha[hi_c] == hc, hi_c, k)
+    return k, np.searchsorted(alpha, nc), hcode
+
+
+def _window_lcs(needle: str, hay: str, starts: np.ndarray | None = None) -> np.ndarray:
+    """LCS of ``needle`` with the full windows ``hay[i:i+m]`` (all, or those
+    starting at ``starts``), vectorized over windows."""
     m, n = len(needle), len(hay)
-    nwin = n - m + 1
+    if starts is None:
+        starts = np.arange(n - m + 1)
+    nwin = len(starts)
     words = (m + 63) // 64
-    alphabet = {ch: k for k, ch in enumerate(dict.fromkeys(needle))}
-    pm = np.zeros((len(alphabet) + 1, words), dtype=np.uint64)
-    for i, ch in enumerate(needle):
-        pm[alphabet[ch], i // 64] |= np.uint64(1) << np.uint64(i % 64)
-    codes = np.fromiter((alphabet.get(ch, len(alphabet)) for ch in hay), dtype=np.int64, count=n)
+    k, ncode, codes = _encode(needle, hay)
+    pm = np.zeros((k + 1, words), dtype=np.uint64)
+    for i, c in enumerate(ncode):
+        pm[c, i // 64] |= np.uint64(1) << np.uint64(i % 64)
     hm = pm[codes]                       # (n, words) match masks per hay position
     last_bits = m - 64 * (words - 1)
     top_mask = np.uint64((1 << last_bits) - 1) if last_bits < 64 else np.uint64(0xFFFFFFFFFFFFFFFF)
     v = np.full((words, nwin), np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
     v[words - 1] &= top_mask
     for k in range(m):
-        u_all = hm[k:k + nwin].T           # (words, nwin)
+        u_all = hm[starts + k].T           # (words, nwin)
         u = v & u_all
         carry = np.zeros(nwin, dtype=np.uint64)
         new = np.empty_like(v)
@@ -250,9 +265,27 @@ def _prefix_lcs(needle: str, hay: str, upto: int) -> list[int]:
     return out
 
 
-def partial_ratio(s1: str, s2: str) -> float:
+def _bag_bound(needle: str, hay: str) -> np.ndarray:
+    """Upper bound of LCS(needle, window) for every full window: the number of
+    characters the two share as multisets (sliding counts)."""
+    m, n = len(needle), len(hay)
+    k, ncode, codes = _encode(needle, hay)
+    need = np.bincount(ncode, minlength=k)
+    onehot = np.zeros((k + 1, n + 1), dtype=np.int32)
+    onehot[codes, np.arange(1, n + 1)] = 1
+    onehot = onehot[:k]
+    cum = np.cumsum(onehot, axis=1)
+    win = cum[:, m:] - cum[:, : n - m + 1]          # (alphabet, windows)
+    return np.minimum(win, need[:, None]).sum(axis=0)
+
+
+def partial_ratio(s1: str, s2: str, cutoff: float = 0.0) -> float:
     """Best Indel ratio of the shorter string against any window of the longer
-    one that is no longer than it (windows cut at either end included)."""
+    one that is no longer than it (windows cut at either end included).
+
+    With ``cutoff`` > 0 the result is exact when it reaches the cutoff and 0
+    otherwise; full windows whose character-count bound cannot reach the
+    cutoff are not scored (lossless pruning)."""
     if len(s1) > len(s2):
         s1, s2 = s2, s1
     m, n = len(s1), len(s2)
@@ -260,18 +293,24 @@ def partial_ratio(s1: str, s2: str) -> float:
         return 100.0 if m == n else 0.0
     if s1 in s2:
         return 100.0
-    best_lcs_full = int(_window_lcs(s1, s2).max())
-    best = 200.0 * best_lcs_full / (2 * m)
+    best = 0.0
     for length, l_ in enumerate(_prefix_lcs(s1, s2, m - 1), start=1):
         best = max(best, 200.0 * l_ / (m + length))
     for length, l_ in enumerate(_prefix_lcs(s1[::-1], s2[::-1], m - 1), start=1):
         best = max(best, 200.0 * l_ / (m + length))
-    return best
+    need_lcs = max(best, cutoff) * m / 100.0       # full window: ratio = 100 * lcs / m
+    bound = _bag_bound(s1, s2)
+    starts = np.nonzero(bound >= need_lcs - 1e-9)[0]
+    if len(starts):
+        best = max(best, 100.0 * int(_window_lcs(s1, s2, starts).max()) / m)
+    return best if best >= cutoff else 0.0
 
 
 @pandas_udf(DoubleType())
-def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else partial_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+def partial_ratio_udf(a: pd.Series, b: pd.Series, cutoff: pd.Series) -> pd.Series:
+    """Partial ratio per row; exact at or above the row's cutoff, else 0."""
+    return pd.Series([None if x is None or y is None else partial_ratio(x, y, float(c))
+                      for x, y, c in zip(a, b, cutoff)], dtype="float64")
 
 
 def pieces(c, threshold: float) -> Column:

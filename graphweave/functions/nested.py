@@ -34,6 +34,21 @@ def text_from_inverted_index(c) -> Column:
     return F.when(m.isNotNull(), F.array_join(F.filter(words, lambda w: w.isNotNull()), " "))
 
 
+def with_text_from_inverted_index(df, c: str, out: str):
+    """DataFrame form of ``text_from_inverted_index`` for large maps: the
+    sorted entry array is its own projection (computed once per row)."""
+    p = f"__{out}_o"
+    m = F.col(c)
+    triples = F.flatten(F.transform(
+        F.map_entries(m),
+        lambda e, i: F.transform(e["value"], lambda q: F.struct(q.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
+    d = df.withColumn(p, F.array_sort(triples))
+    o = F.col(p)
+    nxt = F.slice(o, 2, F.greatest(F.size(o) - 1, F.lit(0)))
+    words = F.zip_with(o, nxt, lambda x, y: F.when(y.isNull() | (y["pos"] != x["pos"]), x["word"]))
+    return d.withColumn(out, F.when(m.isNotNull(), F.array_join(F.filter(words, lambda w: w.isNotNull()), " "))).drop(p)
+
+
 def slim_authors(c) -> Column:
     """Authorships -> (author_position, display_name, orcid)."""
     return F.transform(F.coalesce(col_(c), F.array()), lambda a: F.struct(

@@ -23,16 +23,23 @@ from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
 
-def ngram_terms(text) -> "F.Column":
-    """Lower-cased word tokens of two or more word characters, English stop
-    words removed, then unigrams + bigrams of the remaining tokens (bigrams are
-    formed *after* stop-word removal)."""
-    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), 0)
-    stop = F.array(*[F.lit(w) for w in ENGLISH])
-    kept = F.filter(toks, lambda t: ~F.array_contains(stop, t))
-    n1 = F.greatest(F.size(kept) - 1, F.lit(0))
-    bigrams = F.zip_with(F.slice(kept, 1, n1), F.slice(kept, 2, n1), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(kept, bigrams)
+def with_ngram_terms(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
+    """Add ``out``: lower-cased word tokens of two or more word characters,
+    English stop words removed, then unigrams + bigrams of the remaining
+    tokens (bigrams are formed *after* stop-word removal).
+
+    Token arrays are separate projections referenced twice, so the optimizer
+    keeps each computed once per row instead of inlining it into every use.
+    """
+    p = f"__{out}_"
+    d = df.withColumn(p + "t", F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))),
+                                                     F.lit(TOKEN_PATTERN), 0))
+    d = d.withColumn(p + "k", F.when(F.col(p + "t").isNotNull(),
+                                     F.filter(p + "t", lambda t: ~t.isin(ENGLISH))))
+    k = F.col(p + "k")
+    n1 = F.greatest(F.size(k) - 1, F.lit(0))
+    bigrams = F.zip_with(F.slice(k, 1, n1), F.slice(k, 2, n1), lambda a, b: F.concat_ws(" ", a, b))
+    return d.withColumn(out, F.concat(k, bigrams)).drop(p + "t", p + "k")
 
 
 def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "entity_id",
@@ -50,7 +57,7 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
               .unionByName(techs.select(F.lit(1).alias("side"), F.col(tech_id).cast("long").alias("id"),
                                         F.col(text).alias("text"))))
     n_docs = corpus.count()
-    tf = (corpus.select("side", "id", F.explode(ngram_terms(F.col("text"))).alias("term"))
+    tf = (with_ngram_terms(corpus, "text").select("side", "id", F.explode("terms").alias("term"))
           .groupBy("side", "id", "term").agg(F.count(F.lit(1)).alias("tf")))
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = (stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)

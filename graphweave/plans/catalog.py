@@ -110,8 +110,8 @@ def inverted_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     idx = per_word.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "ps"))).alias("idx"))
     full = d.join(idx, "doc_id", "left").withColumn(
         "idx", F.coalesce("idx", F.create_map().cast("map<string,array<int>>")))
-    return full.select("doc_id", F.size("toks").alias("n_words"),
-                       F.md5(N.text_from_inverted_index("idx")).alias("rebuilt_md5"))
+    rebuilt = N.with_text_from_inverted_index(full, "idx", "rebuilt")
+    return rebuilt.select("doc_id", F.size("toks").alias("n_words"), F.md5("rebuilt").alias("rebuilt_md5"))
 
 
 # ------------------------------------------------------ nested cleaning

@@ -10,6 +10,8 @@ Every proxy is computed by Spark from the whole tables.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,29 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table; see ``balanced``."""
+    return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"), f"{sf_dir}/{name}.parquet")
+
+
+def balanced(df: DataFrame, path: str | None = None, min_bytes: int = 1 << 20) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A large input already arrives in many splits and is returned unchanged
+    (no extra shuffle).  A file that is one indivisible row group would keep
+    all per-row work of the following stages in a single task; it is
+    round-robin repartitioned to the default parallelism.  Tiny files stay as
+    they are.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    if path is not None:
+        try:
+            if os.path.getsize(path) < min_bytes:
+                return df
+        except OSError:
+            pass
+    return df.repartition(par)
 
 
 def bench_techs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,6 +228,14 @@ def _window_lcs(needle: str, hay: str, starts: np.ndarray | None = None) -> np.n
     hm = pm[codes]                       # (n, words) match masks per hay position
     last_bits = m - 64 * (words - 1)
     top_mask = np.uint64((1 << last_bits) - 1) if last_bits < 64 else np.uint64(0xFFFFFFFFFFFFFFFF)
+    if m <= 63:
+        # single machine word: (v + u) cannot overflow 64 bits for m <= 63
+        hm1 = hm[:, 0]
+        v1 = np.full(nwin, top_mask, dtype=np.uint64)
+        for k in range(m):
+            u = v1 & hm1[starts + k]
+            v1 = ((v1 + u) | (v1 & ~u)) & top_mask
+        return m - np.bitwise_count(v1).astype(np.int64)
     v = np.full((words, nwin), np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
     v[words - 1] &= top_mask
     for k in range(m):
@@ -265,41 +273,67 @@ def _prefix_lcs(needle: str, hay: str, upto: int) -> list[int]:
     return out
 
 
+class _Hay:
+    """Per-text index reused for every phrase scored against the same text:
+    code points, the text's alphabet and cumulative counts per character."""
+
+    def __init__(self, hay: str):
+        self.text = hay
+        self.n = len(hay)
+        self.cp = np.frombuffer(hay.encode("utf-32-le"), dtype=np.uint32)
+        self.alpha, self.idx = np.unique(self.cp, return_inverse=True)
+        onehot = np.zeros((len(self.alpha), self.n + 1), dtype=np.int32)
+        onehot[self.idx, np.arange(1, self.n + 1)] = 1
+        self.cum = np.cumsum(onehot, axis=1)
+
+    def bag_bound(self, needle: str) -> np.ndarray:
+        """Upper bound of LCS(needle, window) for every full window: characters
+        shared as multisets (sliding counts)."""
+        m = len(needle)
+        nc = np.frombuffer(needle.encode("utf-32-le"), dtype=np.uint32)
+        chars, need = np.unique(nc, return_counts=True)
+        pos = np.searchsorted(self.alpha, chars)
+        pos_c = np.minimum(pos, len(self.alpha) - 1)
+        present = self.alpha[pos_c] == chars
+        rows = pos_c[present]
+        if len(rows) == 0:
+            return np.zeros(self.n - m + 1, dtype=np.int64)
+        win = self.cum[rows, m:] - self.cum[rows, : self.n - m + 1]
+        return np.minimum(win, need[present][:, None]).sum(axis=0)
+
+
 def _bag_bound(needle: str, hay: str) -> np.ndarray:
-    """Upper bound of LCS(needle, window) for every full window: the number of
-    characters the two share as multisets (sliding counts)."""
-    m, n = len(needle), len(hay)
-    k, ncode, codes = _encode(needle, hay)
-    need = np.bincount(ncode, minlength=k)
-    onehot = np.zeros((k + 1, n + 1), dtype=np.int32)
-    onehot[codes, np.arange(1, n + 1)] = 1
-    onehot = onehot[:k]
-    cum = np.cumsum(onehot, axis=1)
-    win = cum[:, m:] - cum[:, : n - m + 1]          # (alphabet, windows)
-    return np.minimum(win, need[:, None]).sum(axis=0)
+    return _Hay(hay).bag_bound(needle)
 
 
-def partial_ratio(s1: str, s2: str, cutoff: float = 0.0) -> float:
+def partial_ratio(s1: str, s2: str, cutoff: float = 0.0, hay_index: "_Hay | None" = None) -> float:
     """Best Indel ratio of the shorter string against any window of the longer
     one that is no longer than it (windows cut at either end included).
 
     With ``cutoff`` > 0 the result is exact when it reaches the cutoff and 0
     otherwise; full windows whose character-count bound cannot reach the
-    cutoff are not scored (lossless pruning)."""
+    cutoff are not scored (lossless pruning).  ``hay_index`` may carry a
+    prebuilt index of ``s2``."""
     if len(s1) > len(s2):
         s1, s2 = s2, s1
+        hay_index = None
     m, n = len(s1), len(s2)
     if m == 0 or n == 0:
         return 100.0 if m == n else 0.0
     if s1 in s2:
         return 100.0
+    hx = hay_index if hay_index is not None and hay_index.text == s2 else _Hay(s2)
+    bound = hx.bag_bound(s1)
     best = 0.0
-    for length, l_ in enumerate(_prefix_lcs(s1, s2, m - 1), start=1):
-        best = max(best, 200.0 * l_ / (m + length))
-    for length, l_ in enumerate(_prefix_lcs(s1[::-1], s2[::-1], m - 1), start=1):
-        best = max(best, 200.0 * l_ / (m + length))
+    # windows cut at the ends lie inside the first / last full window, so that
+    # window's bound B caps their score at 200 B / (m + B): skip when below cutoff
+    if 200.0 * bound[0] / (m + bound[0]) >= cutoff:
+        for length, l_ in enumerate(_prefix_lcs(s1, s2, m - 1), start=1):
+            best = max(best, 200.0 * l_ / (m + length))
+    if 200.0 * bound[-1] / (m + bound[-1]) >= cutoff:
+        for length, l_ in enumerate(_prefix_lcs(s1[::-1], s2[::-1], m - 1), start=1):
+            best = max(best, 200.0 * l_ / (m + length))
     need_lcs = max(best, cutoff) * m / 100.0       # full window: ratio = 100 * lcs / m
-    bound = _bag_bound(s1, s2)
     starts = np.nonzero(bound >= need_lcs - 1e-9)[0]
     if len(starts):
         best = max(best, 100.0 * int(_window_lcs(s1, s2, starts).max()) / m)
@@ -308,9 +342,19 @@ def partial_ratio(s1: str, s2: str, cutoff: float = 0.0) -> float:
 
 @pandas_udf(DoubleType())
 def partial_ratio_udf(a: pd.Series, b: pd.Series, cutoff: pd.Series) -> pd.Series:
-    """Partial ratio per row; exact at or above the row's cutoff, else 0."""
-    return pd.Series([None if x is None or y is None else partial_ratio(x, y, float(c))
-                      for x, y, c in zip(a, b, cutoff)], dtype="float64")
+    """Partial ratio per row; exact at or above the row's cutoff, else 0.
+    Rows arrive grouped by text (a nested-loop join streams all phrases of one
+    text together), so the text index is built once per run of equal texts."""
+    out = []
+    hx = None
+    for x, y, c in zip(a, b, cutoff):
+        if x is None or y is None:
+            out.append(None)
+            continue
+        if len(y) >= len(x) and (hx is None or hx.text != y):
+            hx = _Hay(y)
+        out.append(partial_ratio(x, y, float(c), hx))
+    return pd.Series(out, dtype="float64")
 
 
 def pieces(c, threshold: float) -> Column:

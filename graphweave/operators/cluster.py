@@ -77,8 +77,23 @@ def _nearest(points: DataFrame, other_group_only: bool) -> DataFrame:
             .select("id", F.col("b.nn_id").alias("nn_id"), F.col("b.dist").alias("dist")))
 
 
-def leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64) -> DataFrame:
-    """(id, cluster_id) with -1 for noise."""
+def leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64,
+                  noise: str = "minus_one") -> DataFrame:
+    """(id, cluster_id) with -1 for noise, or with ``noise="singleton"`` each
+    noise point in its own cluster numbered after the largest label, in id
+    order (numbered by a distributed sort + zipWithIndex, no single task)."""
+    out = _leaf_clusters(df, id_col, vec_col, max_rounds)
+    if noise == "minus_one":
+        return out
+    top = out.agg(F.max("cluster_id")).first()[0]
+    base = (top if top is not None and top >= 0 else -1) + 1
+    noise_rows = out.filter(F.col("cluster_id") == -1).select(id_col).orderBy(id_col)
+    numbered = noise_rows.rdd.zipWithIndex().map(lambda t: (t[0][0], base + t[1])).toDF([id_col, "cluster_id"])
+    return out.filter(F.col("cluster_id") != -1).unionByName(
+        numbered.select(F.col(id_col), F.col("cluster_id").cast("long")))
+
+
+def _leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     pts = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     nn = _nearest(pts.withColumn("grp", F.col("id")), other_group_only=False).checkpoint()

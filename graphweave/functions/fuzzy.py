@@ -151,9 +151,9 @@ def with_token_set_ratio(df: DataFrame, a: str, b: str, out: str = "token_set")
     ta, tb = F.array_distinct(ws_split(a)), F.array_distinct(ws_split(b))
     p = f"__ts_{out}_"
     d = (df.withColumn(p + "ta", ta).withColumn(p + "tb", tb)
-         .withColumn(p + "sect", F.array_join(F.array_sort(F.array_intersect(F.col(p + "ta"), F.col(p + "tb"))), " "))
-         .withColumn(p + "ab", F.array_join(F.array_sort(F.array_except(F.col(p + "ta"), F.col(p + "tb"))), " "))
-         .withColumn(p + "ba", F.array_join(F.array_sort(F.array_except(F.col(p + "tb"), F.col(p + "ta"))), " ")))
+         .withColumn(p + "sect", F.array_join(F.sort_array(F.array_intersect(F.col(p + "ta"), F.col(p + "tb"))), " "))
+         .withColumn(p + "ab", F.array_join(F.sort_array(F.array_except(F.col(p + "ta"), F.col(p + "tb"))), " "))
+         .withColumn(p + "ba", F.array_join(F.sort_array(F.array_except(F.col(p + "tb"), F.col(p + "ta"))), " ")))
     d = with_lcs(d, p + "ab", p + "ba", p + "lcs")
     sl, al, bl = F.length(F.col(p + "sect")), F.length(F.col(p + "ab")), F.length(F.col(p + "ba"))
     has_sect = (sl > 0).cast("int")

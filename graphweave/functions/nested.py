@@ -26,7 +26,7 @@ def text_from_inverted_index(c) -> Column:
     triples = F.flatten(F.transform(
         F.map_entries(m),
         lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
-    ordered = F.array_sort(triples)
+    ordered = F.sort_array(triples)
     # keep an element when the next one has another position (zip_with pads
     # the shorter array with nulls); each array is evaluated once per row
     nxt = F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0)))
@@ -42,7 +42,7 @@ def with_text_from_inverted_index(df, c: str, out: str):
     triples = F.flatten(F.transform(
         F.map_entries(m),
         lambda e, i: F.transform(e["value"], lambda q: F.struct(q.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
-    d = df.withColumn(p, F.array_sort(triples))
+    d = df.withColumn(p, F.sort_array(triples))
     o = F.col(p)
     nxt = F.slice(o, 2, F.greatest(F.size(o) - 1, F.lit(0)))
     words = F.zip_with(o, nxt, lambda x, y: F.when(y.isNull() | (y["pos"] != x["pos"]), x["word"]))

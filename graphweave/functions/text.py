@@ -122,7 +122,7 @@ def flatten_names(c, key: str = "display_name") -> Column:
     Elements whose ``key`` is missing or '' are skipped; a missing array gives ''.
     """
     kept = F.filter(col_(c), lambda x: x[key].isNotNull() & (x[key] != ""))
-    names = F.array_sort(F.array_distinct(F.transform(kept, lambda x: normalize_text(x[key]))))
+    names = F.sort_array(F.array_distinct(F.transform(kept, lambda x: normalize_text(x[key]))))
     return F.coalesce(F.array_join(names, ";"), F.lit(""))
 
 
@@ -134,7 +134,7 @@ def join_display_names(c, key: str = "display_name", sep: str = "; ") -> Column:
 
 def token_sort(c) -> Column:
     """Tokens sorted and joined by one blank (token-sort form of a string)."""
-    return F.array_join(F.array_sort(ws_split(c)), " ")
+    return F.array_join(F.sort_array(ws_split(c)), " ")
 
 
 def first_words(c, n: int) -> Column:

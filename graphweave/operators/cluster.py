@@ -132,5 +132,5 @@ def members_per_cluster(labels: DataFrame, names: DataFrame, id_col: str, name_c
                         cluster_col: str = "cluster_id") -> DataFrame:
     """Names per non-noise cluster, in id order."""
     return (labels.filter(F.col(cluster_col) != -1).join(names, id_col)
-            .groupBy(cluster_col).agg(F.transform(F.array_sort(F.collect_list(F.struct(id_col, name_col))),
+            .groupBy(cluster_col).agg(F.transform(F.sort_array(F.collect_list(F.struct(id_col, name_col))),
                                                   lambda x: x[name_col]).alias("members")))

@@ -13,6 +13,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -42,6 +43,21 @@ def with_ngram_terms(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
     return d.withColumn(out, F.concat(k, bigrams)).drop(p + "t", p + "k")
 
 
+def with_term_counts(df: DataFrame, terms: str, out: str = "tf") -> DataFrame:
+    """Add ``out``: array<struct<term, tf>> counted inside the row (sort +
+    run lengths), so term frequencies need no shuffle."""
+    p = f"__{out}_s"
+    d = df.withColumn(p, F.sort_array(F.col(terms)))
+    srt = F.col(p)
+    n = F.size(srt)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (i <= n) & F.when(i == 1, F.lit(True))
+                      .otherwise(F.element_at(srt, i) != F.element_at(srt, i - 1)))
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n + 1))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.element_at(srt, a).alias("term"), (b - a).alias("tf")))
+    return d.withColumn(out, F.when(n > 0, runs).otherwise(F.array())).drop(p)
+
+
 def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "entity_id",
                      tech_id: str = "tech_id", text: str = "text", max_features: int = 5000) -> DataFrame:
     """Cosine of L2-normalized TF-IDF vectors, fitted on technologies and
@@ -49,26 +65,40 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     the ``max_features`` terms with the largest corpus count (ties: term order).
 
     Returns ``(entity_id, tech_id, tfidf)`` for pairs that share a term.
-    Plan: one explode of terms, a partial aggregate per (doc, term), a global
-    term aggregate, a top-k (bounded, broadcast) vocabulary, and an equi-join
-    on the term with the (size-checked) technology side.
+    Plan: term counts inside each row (no shuffle); one term aggregate with
+    map-side combine; a top-k vocabulary (bounded by ``max_features``,
+    broadcast); one per-document group for the L2 norm; an equi-join on the
+    term with the size-checked technology side and a partial-aggregated sum.
     """
     corpus = (entities.select(F.lit(0).alias("side"), F.col(entity_id).cast("long").alias("id"), F.col(text).alias("text"))
               .unionByName(techs.select(F.lit(1).alias("side"), F.col(tech_id).cast("long").alias("id"),
                                         F.col(text).alias("text"))))
     n_docs = corpus.count()
-    tf = (with_ngram_terms(corpus, "text").select("side", "id", F.explode("terms").alias("term"))
-          .groupBy("side", "id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    # per-document (term, tf) arrays feed both the term statistics and the
+    # weights; persisted (memory, spilling to disk) so the tokenizer runs once
+    counted = (with_term_counts(with_ngram_terms(corpus, "text"), "terms").select("side", "id", "tf")
+               .persist(StorageLevel.MEMORY_AND_DISK))
+    # explode_outer + null filter: a plain explode would make the optimizer push
+    # a size(array) > 0 filter below the projections, re-running the tokenizer
+    tf = (counted.select("side", "id", F.explode_outer("tf").alias("x")).filter(F.col("x").isNotNull())
+          .select("side", "id", "x.term", "x.tf"))
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = (stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
              .select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
-    w = (tf.join(F.broadcast(vocab), "term")
-         .withColumn("w", F.col("tf") * F.col("idf")))
-    norms = w.groupBy("side", "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    wn = (w.join(norms, ["side", "id"]).select("side", "id", "term", (F.col("w") / F.col("norm")).alias("wn")))
+    w = tf.join(F.broadcast(vocab), "term").select("side", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    per_doc = w.groupBy("side", "id").agg(F.collect_list(F.struct("term", "w")).alias("tw"))
+    norm = F.sqrt(F.aggregate("tw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    wn = (per_doc.withColumn("nrm", norm)
+          .select("side", "id", F.explode("tw").alias("x"), "nrm")
+          .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn")))
     ent = wn.filter(F.col("side") == 0).select(F.col("id").alias(entity_id), "term", F.col("wn").alias("we"))
     tec = wn.filter(F.col("side") == 1).select(F.col("id").alias(tech_id), "term", F.col("wn").alias("wt"))
-    return (ent.join(broadcast_if_small(tec, BROADCAST_MAX_ROWS * 5), "term")
+    # the technology side has at most n_techs * max_features rows: check that
+    # bound on the (cheap) input instead of counting the weighted table, which
+    # would run the whole pipeline a second time
+    n_techs = techs.limit(BROADCAST_MAX_ROWS + 1).count()
+    tec_side = F.broadcast(tec) if n_techs * max_features <= BROADCAST_MAX_ROWS * 5 else tec
+    return (ent.join(tec_side, "term")
             .groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf")))
 
 
@@ -77,7 +107,7 @@ def label_centroids(df: DataFrame, label: str, vec: str, out_vec: str = "vec") -
     with partial aggregation; the result holds one bounded row per label."""
     exploded = df.select(F.col(label), F.posexplode(F.col(vec)).alias("dim", "x"))
     means = exploded.groupBy(label, "dim").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    vecs = means.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("dim", "m"))).alias("pairs"))
+    vecs = means.groupBy(label).agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("pairs"))
     v = F.transform(F.col("pairs"), lambda p: p["m"])
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
     return vecs.select(F.col(label), F.transform(v, lambda x: x / norm).alias(out_vec))
@@ -94,9 +124,10 @@ def cosine_scores(entities: DataFrame, techs: DataFrame, entity_id: str, entity_
     before scoring.  Only pairs with ``score >= min_score`` are emitted when
     ``min_score`` is given.  Output ``(entity_id, tech_id, score)``.
     """
-    if not fits_broadcast(techs, max_techs):
+    # size check and collection in one job: at most max_techs + 1 rows come back
+    rows = techs.select(F.col(tech_id).cast("long").alias("t"), F.col(tech_vec).alias("v")).limit(max_techs + 1).collect()
+    if len(rows) > max_techs:
         raise ValueError(f"technology matrix exceeds {max_techs} rows; score in blocks instead")
-    rows = techs.select(F.col(tech_id).cast("long").alias("t"), F.col(tech_vec).alias("v")).collect()
     tids = np.array([r.t for r in rows], dtype=np.int64)
     mat = np.array([np.asarray(r.v, dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
     if len(rows):

@@ -105,8 +105,9 @@ FROM (SELECT doc_id, {S.ws_split('text')} AS toks FROM documents)
 def inverted_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Text -> inverted index (word -> positions) -> text again."""
     d = table(spark, sf, "documents").select("doc_id", T.ws_split("text").alias("toks"))
-    pos = d.select("doc_id", F.posexplode("toks").alias("pos", "word"))
-    per_word = pos.groupBy("doc_id", "word").agg(F.array_sort(F.collect_list("pos")).alias("ps"))
+    pos = (d.select("doc_id", F.posexplode_outer("toks").alias("pos", "word"))   # outer: no pushed-down size filter
+           .filter(F.col("word").isNotNull()))
+    per_word = pos.groupBy("doc_id", "word").agg(F.sort_array(F.collect_list("pos")).alias("ps"))
     idx = per_word.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "ps"))).alias("idx"))
     full = d.join(idx, "doc_id", "left").withColumn(
         "idx", F.coalesce("idx", F.create_map().cast("map<string,array<int>>")))
@@ -154,8 +155,8 @@ def _raw_papers(spark: SparkSession, sf: str) -> DataFrame:
                      F.struct(F.col("p_brand").alias("id"), F.col("p_brand").alias("display_name")).alias("field"),
                      F.lit(None).cast("struct<id:string,display_name:string>").alias("domain"))
     nested = x.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("pos", author.alias("a")))).alias("au"),
-        F.array_sort(F.collect_list(F.struct("pos", topic.alias("t")))).alias("tp"))
+        F.sort_array(F.collect_list(F.struct("pos", author.alias("a")))).alias("au"),
+        F.sort_array(F.collect_list(F.struct("pos", topic.alias("t")))).alias("tp"))
     return (nested.join(o, nested.l_orderkey == o.o_orderkey)
             .select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
                     F.transform("au", lambda e: e["a"]).alias("authorships"),

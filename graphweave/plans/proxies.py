@@ -88,7 +88,7 @@ def supplier_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.explode(F.concat(F.split("p_name", " "), F.array(F.concat(F.lower("p_type"), F.lit("_")))))
                      .alias("cat"))
              .distinct())
-    cats = words.groupBy("company_id").agg(F.array_sort(F.collect_list("cat")).alias("categories"))
+    cats = words.groupBy("company_id").agg(F.sort_array(F.collect_list("cat")).alias("categories"))
     return (s.join(cats, s.s_suppkey == cats.company_id, "left")
             .select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("company_name"),
                     F.coalesce("categories", F.array().cast("array<string>")).alias("categories")))

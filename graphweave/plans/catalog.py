@@ -409,9 +409,14 @@ def partial_ratio_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- TF-IDF
-_TFIDF_SQL = f"""
-WITH corpus AS (SELECT 0 AS side, doc_id AS id, text FROM documents
-                UNION ALL SELECT 1 AS side, item_id AS id, text FROM benchmark),
+_DOC_BENCH_CORPUS = """SELECT 0 AS side, doc_id AS id, text FROM documents
+                UNION ALL SELECT 1 AS side, item_id AS id, text FROM benchmark"""
+
+
+def tfidf_ctes(corpus_sql: str = _DOC_BENCH_CORPUS) -> str:
+    """CTEs ending in ``sim(doc_id, item_id, tfidf)`` for a corpus of (side, id, text)."""
+    return f"""
+WITH corpus AS ({corpus_sql}),
      nd AS (SELECT count(*) AS n FROM corpus),
      toks AS (SELECT side, id, list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}\\p{{M}}_]{{2,}}'),
                                           lambda w: NOT list_contains({S.stop_list()}, w)) AS k FROM corpus),
@@ -428,6 +433,9 @@ WITH corpus AS (SELECT 0 AS side, doc_id AS id, text FROM documents
 """
 
 
+_TFIDF_SQL = tfidf_ctes()
+
+
 @register("tfidf_cosine", _TFIDF_SQL + f"SELECT doc_id, item_id, round(tfidf, {R6}) AS tfidf FROM sim")
 def tfidf_cosine(spark: SparkSession, sf: str) -> DataFrame:
     """Word 1-2-gram TF-IDF cosine, documents x technologies, fitted jointly."""
@@ -631,7 +639,36 @@ def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ company links
-@register("company_links")
+_COMPANY_SQL = "WITH " + _CAT_SQL.strip() + """,
+comps AS (SELECT s.s_suppkey AS company_id, s.s_name AS company_name,
+                 concat_ws(' ', s.s_name, coalesce((SELECT string_agg(c, ' ' ORDER BY c) FROM cats0
+                                                    WHERE cats0.company_id = s.s_suppkey), '')) AS text
+          FROM supplier s),
+techs AS (SELECT min(p_partkey) AS tech_id, p_name AS tech_name,
+                 concat_ws(' ', p_name, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2),
+                           split_part(p_name, ' ', 1) || 's', 'x' || split_part(p_name, ' ', 2)) AS description
+          FROM part GROUP BY p_name),
+emb AS (SELECT c.company_id, t.tech_id, list_cosine_similarity(e.embedding::DOUBLE[], te.embedding::DOUBLE[]) AS cos
+        FROM comps c JOIN embeddings e ON e.vec_id = c.company_id
+        CROSS JOIN techs t JOIN embeddings te ON te.vec_id = t.tech_id),
+""" + tfidf_ctes("""SELECT 0 AS side, company_id AS id, text FROM comps
+                    UNION ALL SELECT 1 AS side, tech_id AS id, description AS text FROM techs""").strip()[5:] + """,
+pr AS (SELECT emb.company_id, emb.tech_id, t.tech_name, t.description, c.text,
+              least(1.0, emb.cos + CASE WHEN c.company_name <> '' AND contains(lower(c.company_name), lower(t.tech_name))
+                                        THEN 0.5 ELSE 0.0 END) AS embb
+       FROM emb JOIN techs t USING (tech_id) JOIN comps c USING (company_id)),
+pg AS (SELECT *, max(CASE WHEN embb >= 0.30 THEN 1 ELSE 0 END) OVER (PARTITION BY company_id) AS any_strong
+       FROM pr WHERE embb >= 0.20),
+lnk AS (SELECT pg.company_id, pg.tech_name AS technology_name FROM pg
+        LEFT JOIN sim ON sim.doc_id = pg.company_id AND sim.item_id = pg.tech_id
+        WHERE pg.embb >= 0.30 OR (pg.any_strong = 0 AND
+              (CASE WHEN coalesce(sim.tfidf, 0) >= 0.28 THEN 1 ELSE 0 END
+               + CASE WHEN (SELECT """ + S.token_set("pg.description", "pg.text") + """) / 100.0 >= 0.45 THEN 1 ELSE 0 END) >= 1))
+SELECT DISTINCT company_id, technology_name FROM (SELECT * FROM lnk UNION ALL SELECT * FROM direct)
+"""
+
+
+@register("company_links", _COMPANY_SQL)
 def company_links(spark: SparkSession, sf: str) -> DataFrame:
     """Supplier -> part-name technology links: category direct links, plus
     embedding (supplier vector vs technology vector of the same id) with the

@@ -103,15 +103,11 @@ SELECT doc_id, len(toks) AS n_words, md5(array_to_string(toks, ' ')) AS rebuilt_
 FROM (SELECT doc_id, {S.ws_split('text')} AS toks FROM documents)
 """)
 def inverted_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Text -> inverted index (word -> positions) -> text again."""
+    """Text -> inverted index (word -> positions) -> text again, per document
+    inside the row (no shuffle)."""
     d = table(spark, sf, "documents").select("doc_id", T.ws_split("text").alias("toks"))
-    pos = (d.select("doc_id", F.posexplode_outer("toks").alias("pos", "word"))   # outer: no pushed-down size filter
-           .filter(F.col("word").isNotNull()))
-    per_word = pos.groupBy("doc_id", "word").agg(F.sort_array(F.collect_list("pos")).alias("ps"))
-    idx = per_word.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "ps"))).alias("idx"))
-    full = d.join(idx, "doc_id", "left").withColumn(
-        "idx", F.coalesce("idx", F.create_map().cast("map<string,array<int>>")))
-    rebuilt = N.with_text_from_inverted_index(full, "idx", "rebuilt")
+    idx = N.with_inverted_index(d, "toks", "idx")
+    rebuilt = N.with_text_from_inverted_index(idx, "idx", "rebuilt")
     return rebuilt.select("doc_id", F.size("toks").alias("n_words"), F.md5("rebuilt").alias("rebuilt_md5"))
 
 

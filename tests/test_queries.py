@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from graphweave.plans.proxies import TABLES
 
 SF = "/root/testdata/sf0.001"
-FAST = ["bridge_join", "topk_per_year", "company_search", "flatten_names", "normalize_text", "date_coerce",
+FAST = ["bridge_join", "topk_per_year", "inverted_index_roundtrip", "company_search", "flatten_names", "normalize_text", "date_coerce",
         "first_location", "keyword_split_overlap", "parse_json_reply", "exact_dedupe", "indel_ratio_pairs",
         "fuzzy_dedupe", "phrase_links", "tfidf_cosine", "embedding_cosine", "token_set_ratio", "category_direct",
         "cascade_label", "leaf_clusters", "nodes_company", "edge_load"]

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType  # noqa: F401
 
 from ..functions.stopwords import ENGLISH
 from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast
@@ -70,8 +70,11 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     broadcast); one per-document group for the L2 norm; an equi-join on the
     term with the size-checked technology side and a partial-aggregated sum.
     """
-    corpus = (entities.select(F.lit(0).alias("side"), F.col(entity_id).cast("long").alias("id"), F.col(text).alias("text"))
-              .unionByName(techs.select(F.lit(1).alias("side"), F.col(tech_id).cast("long").alias("id"),
+    # ids of either side may be strings or numbers: carried as text inside and
+    # cast back to the callers' types at the end (exact for integers)
+    e_type, t_type = dict(entities.dtypes)[entity_id], dict(techs.dtypes)[tech_id]
+    corpus = (entities.select(F.lit(0).alias("side"), F.col(entity_id).cast("string").alias("id"), F.col(text).alias("text"))
+              .unionByName(techs.select(F.lit(1).alias("side"), F.col(tech_id).cast("string").alias("id"),
                                         F.col(text).alias("text"))))
     n_docs = corpus.count()
     # per-document (term, tf) arrays feed both the term statistics and the
@@ -99,7 +102,8 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     n_techs = techs.limit(BROADCAST_MAX_ROWS + 1).count()
     tec_side = F.broadcast(tec) if n_techs * max_features <= BROADCAST_MAX_ROWS * 5 else tec
     return (ent.join(tec_side, "term")
-            .groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf")))
+            .groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
+            .select(F.col(entity_id).cast(e_type).alias(entity_id), F.col(tech_id).cast(t_type).alias(tech_id), "tfidf"))
 
 
 def label_centroids(df: DataFrame, label: str, vec: str, out_vec: str = "vec") -> DataFrame:
@@ -125,17 +129,18 @@ def cosine_scores(entities: DataFrame, techs: DataFrame, entity_id: str, entity_
     ``min_score`` is given.  Output ``(entity_id, tech_id, score)``.
     """
     # size check and collection in one job: at most max_techs + 1 rows come back
-    rows = techs.select(F.col(tech_id).cast("long").alias("t"), F.col(tech_vec).alias("v")).limit(max_techs + 1).collect()
+    rows = techs.select(F.col(tech_id).alias("t"), F.col(tech_vec).alias("v")).limit(max_techs + 1).collect()
     if len(rows) > max_techs:
         raise ValueError(f"technology matrix exceeds {max_techs} rows; score in blocks instead")
-    tids = np.array([r.t for r in rows], dtype=np.int64)
+    tids = np.array([r.t for r in rows])
     mat = np.array([np.asarray(r.v, dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
     if len(rows):
         mat = mat / np.linalg.norm(mat, axis=1, keepdims=True)
     spark = entities.sparkSession
     bc = spark.sparkContext.broadcast((tids, mat))
-    schema = StructType([StructField(entity_id, LongType()), StructField(tech_id, LongType()),
-                         StructField("score", DoubleType())])
+    e_type = dict(entities.dtypes)[entity_id]
+    t_type = dict(techs.dtypes)[tech_id]
+    schema = f"{entity_id} {e_type}, {tech_id} {t_type}, score double"
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t_ids, m = bc.value
@@ -145,13 +150,13 @@ def cosine_scores(entities: DataFrame, techs: DataFrame, entity_id: str, entity_
             e = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
             e = e / np.linalg.norm(e, axis=1, keepdims=True)
             s = e @ m.T
-            ei = np.repeat(pdf["e"].to_numpy(dtype=np.int64), len(t_ids))
+            ei = np.repeat(pdf["e"].to_numpy(), len(t_ids))
             ti = np.tile(t_ids, len(pdf))
             flat = s.reshape(-1)
             keep = flat >= min_score if min_score is not None else np.ones(flat.shape, dtype=bool)
             yield pd.DataFrame({entity_id: ei[keep], tech_id: ti[keep], "score": flat[keep]})
 
-    ents = entities.select(F.col(entity_id).cast("long").alias("e"), F.col(entity_vec).alias("v"))
+    ents = entities.select(F.col(entity_id).alias("e"), F.col(entity_vec).alias("v"))
     return ents.mapInPandas(score, schema)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm import line_dedup, sharding
+from graphweave.llm import line_dedup, near_dedup, sharding
 from graphweave.llm.common import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(slotted, slot_map).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "v_slot", F.col("version").alias("map_version"))
+
+
+@_query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (5-word shingles, Jaccard 0.85)."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))

@@ -43,7 +43,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

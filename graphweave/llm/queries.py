@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm import line_dedup, near_dedup, sharding
+from graphweave.llm import line_dedup, near_dedup, packing, sharding
 from graphweave.llm.common import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, Jaccard 0.85)."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2,048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(BYTE_BPE))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm import line_dedup, near_dedup, packing, sharding
+from graphweave.llm import line_dedup, near_dedup, packing, sentencepiece_codec, sharding, token_counts
 from graphweave.llm.common import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,26 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(BYTE_BPE))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@_query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by overlapping chunks."""
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(BYTE_BPE))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"),
+                      "n_chunks", "n_widened")
+
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+@_query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document (with an end id), their cover of the text, and the text decoded again."""
+    out = sentencepiece_codec.encode_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(PIECE_MODEL),
+        outputs=("ids", "ends", "decoded"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"),
+                      F.element_at("ends", -1).cast("long").alias("covered_bytes"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm import line_dedup, near_dedup, packing, sentencepiece_codec, sharding, token_counts
+from graphweave.llm import line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts
 from graphweave.llm.common import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,60 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"),
                       F.element_at("ends", -1).cast("long").alias("covered_bytes"))
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and adaptive rules per language and source on every document."""
+    out = quality.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", "max_symbols", "max_dup_lines", "max_length", "min_length")
+
+
+ORACLE["op5_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+e AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+p AS (SELECT rid, words, unnest(range(1, len(words) - 6)) AS p FROM e WHERE len(words) >= 8),
+k AS (SELECT rid, p, count(*) OVER (PARTITION BY rid, list_slice(words, p, p + 7)) AS c FROM p),
+g AS (SELECT rid, p, lead(p) OVER (PARTITION BY rid ORDER BY p) AS nx FROM k WHERE c >= 2),
+r AS (SELECT rid, sum(least(8, coalesce(nx - p, 8)))::BIGINT AS n FROM g GROUP BY rid),
+m AS (SELECT e.rid, doc_id, lang, source, len(words)::BIGINT AS n_words,
+             length(array_to_string(words, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+      FROM e LEFT JOIN r ON e.rid = r.rid),
+b AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+             1000 * n_symbols // greatest(n_words, 1) AS v_symbols,
+             1000 * n_dup_lines // greatest(n_lines, 1) AS v_dup_lines,
+             100 * word_chars // greatest(n_words, 1) AS v_length FROM m),
+u AS (SELECT lang, source, 'symbols' AS rule, v_symbols AS v FROM b WHERE NOT base_failed
+      UNION ALL SELECT lang, source, 'dup_lines', v_dup_lines FROM b WHERE NOT base_failed
+      UNION ALL SELECT lang, source, 'length', v_length FROM b WHERE NOT base_failed),
+s AS (SELECT lang, source, rule, CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END
+             AS bucket FROM u),
+x AS (SELECT 'g' AS lvl, lang, source, rule, bucket FROM s UNION ALL SELECT 'l', lang, NULL, rule, bucket FROM s
+      UNION ALL SELECT 'a', NULL, NULL, rule, bucket FROM s),
+c AS (SELECT lvl, lang, source, rule, bucket, count(*) AS c FROM x GROUP BY ALL),
+w AS (SELECT *, sum(c) OVER (PARTITION BY lvl, lang, source, rule) AS n,
+             sum(c) OVER (PARTITION BY lvl, lang, source, rule ORDER BY bucket) AS cum FROM c),
+q AS (SELECT lvl, lang, source, rule, max(n) AS n, min(bucket) FILTER (100 * cum >= 25 * n) AS q1,
+             min(bucket) FILTER (100 * cum >= 50 * n) AS q2, min(bucket) FILTER (100 * cum >= 75 * n) AS q3
+      FROM w GROUP BY lvl, lang, source, rule),
+h AS (SELECT *, 4 * greatest(q3 - q1, CASE rule WHEN 'symbols' THEN 20 WHEN 'dup_lines' THEN 100 ELSE 20 END) AS sp FROM q),
+j AS (SELECT g.lang, g.source, g.rule,
+             least(CASE WHEN g.n >= 200 THEN g.q2 + g.sp WHEN l.n >= 200 THEN l.q2 + l.sp ELSE a.q2 + a.sp END,
+                   2 * (a.q2 + a.sp))::BIGINT AS hi,
+             (CASE WHEN g.n >= 200 THEN greatest(g.q2 - g.sp, 0) WHEN l.n >= 200 THEN greatest(l.q2 - l.sp, 0)
+                   ELSE greatest(a.q2 - a.sp, 0) END)::BIGINT AS lo
+      FROM h g JOIN h l ON g.lvl = 'g' AND l.lvl = 'l' AND g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule
+      JOIN h a ON a.lvl = 'a' AND a.rule = g.rule),
+t AS (SELECT lang, source, max(hi) FILTER (rule = 'symbols') AS max_symbols,
+             max(hi) FILTER (rule = 'dup_lines') AS max_dup_lines, max(hi) FILTER (rule = 'length') AS max_length,
+             max(lo) FILTER (rule = 'length') AS min_length FROM j GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       (NOT base_failed AND coalesce(v_symbols <= max_symbols AND v_dup_lines <= max_dup_lines
+        AND v_length <= max_length AND v_length >= min_length, false)) AS kept,
+       max_symbols, max_dup_lines, max_length, min_length
+FROM b LEFT JOIN t ON b.lang IS NOT DISTINCT FROM t.lang AND b.source IS NOT DISTINCT FROM t.source
+"""

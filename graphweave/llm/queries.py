@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm import line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts
+from graphweave.llm import (
+    line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, topk,
+)
 from graphweave.llm.common import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +163,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        max_symbols, max_dup_lines, max_length, min_length
 FROM b LEFT JOIN t ON b.lang IS NOT DISTINCT FROM t.lang AND b.source IS NOT DISTINCT FROM t.source
 """
+
+
+@_query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector with all others."""
+    return topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLE["op6_topk"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""

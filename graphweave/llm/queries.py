@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave.llm import (
-    line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, topk,
+    license_scan, line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, topk,
 )
 from graphweave.llm.common import materialise, table
 
@@ -180,3 +180,48 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+@_query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and texts in all documents: lines, paragraphs and whole texts with their best template."""
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _license_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in license_scan.TEMPLATES)
+    gap = license_scan.GAP.replace("'", "''")
+    norm = (f"regexp_replace(translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{gap}', ' ', 'g')")
+    return f"""
+WITH tpl(template, spdx, body) AS (VALUES {rows}),
+tw AS (SELECT template, spdx, list_filter(string_split(replace({norm % 'body'}, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM tpl),
+tg AS (SELECT template, spdx, len(w) - 1 AS n_template, unnest(list_zip(w[:-2], w[2:])) AS g FROM tw),
+tn AS (SELECT *, row_number() OVER (PARTITION BY template, g) AS rep FROM tg),
+d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+l0 AS (SELECT doc_id, text, string_split({norm % 'text'}, chr(10)) AS lines FROM d),
+l AS (SELECT doc_id, text, trim(unnest(lines)) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM l0),
+b AS (SELECT *, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, text ORDER BY pos) AS grp FROM l),
+p AS (SELECT doc_id, text, grp, min(pos) AS f, max(pos) AS t, string_agg(line, ' ' ORDER BY pos) AS body
+      FROM b WHERE line <> '' GROUP BY ALL),
+u AS (SELECT doc_id, text, 'line' AS kind, pos AS f, pos AS t, line AS body FROM l
+      UNION ALL SELECT doc_id, text, 'paragraph', f, t, body FROM p WHERE t > f
+      UNION ALL SELECT doc_id, text, 'text', min(f), max(t), string_agg(body, ' ' ORDER BY f) FROM p
+                GROUP BY doc_id, text HAVING count(*) > 1),
+uw AS (SELECT * EXCLUDE (body), list_filter(string_split(body, ' '), lambda x: x <> '') AS w FROM u),
+uf AS (SELECT *, len(w) - 1 AS n_unit FROM uw WHERE len(w) > 1 AND EXISTS (
+       SELECT 1 FROM (SELECT DISTINCT n_template FROM tg) z
+       WHERE 120 * least(n_template, len(w) - 1) >= 80 * greatest(n_template, len(w) - 1))),
+ug AS (SELECT doc_id, text, kind, f, t, n_unit, unnest(list_zip(w[:-2], w[2:])) AS g FROM uf),
+un AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, kind, f, t, g) AS rep FROM ug),
+m AS (SELECT doc_id, text, kind, f, t, n_unit, template, spdx, n_template, count(*) AS shared
+      FROM un JOIN tn USING (g, rep) GROUP BY ALL),
+r AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice, row_number() OVER (PARTITION BY doc_id, text, kind, f, t
+             ORDER BY 2.0::DOUBLE * shared / (n_unit + n_template) DESC, template) AS rn
+      FROM m WHERE 200 * shared >= 80 * (n_unit + n_template))
+SELECT doc_id, kind, f::INTEGER AS first_line, t::INTEGER AS last_line, spdx, template, shared, n_unit, n_template, dice
+FROM r WHERE rn = 1
+"""
+
+
+ORACLE["op1_license_scan"] = _license_sql()

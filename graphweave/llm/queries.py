@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave.llm import (
-    license_scan, line_dedup, near_dedup, packing, quality, sentencepiece_codec, sharding, token_counts, topk,
+    license_scan, line_dedup, near_dedup, packing, quality, secret_scan, sentencepiece_codec, sharding, token_counts, topk,
 )
 from graphweave.llm.common import materialise, table
 
@@ -225,3 +225,11 @@ FROM r WHERE rn = 1
 
 
 ORACLE["op1_license_scan"] = _license_sql()
+
+
+@_query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret candidates of all documents and the forest's verdict on each."""
+    out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select(F.col("id").cast("long").alias("doc_id"), "start", "end", "rule",
+                      F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")

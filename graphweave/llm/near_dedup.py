@@ -164,7 +164,7 @@ def _residual(keys: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
     per = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     mixed = (per.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
                                     F.sum("c").alias("total"), F.max("c").alias("most"), F.count(F.lit(1)).alias("k"))
-             .where("k > 1"))
+             .where("k > 1 and total > 2"))  # the pair of a bucket of two was proposed already
     rows = materialise(held.join(mixed, "key").select(
         "key", "rep", "root", (F.col("root") != F.col("main")).alias("odd"),
         F.ceil((F.col("total") - F.col("most")) / CELL).cast("int").alias("odd_cells"),
@@ -178,25 +178,60 @@ def _residual(keys: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
         "key", F.explode(F.sequence(F.lit(0), F.col("odd_cells") - 1)).alias("i"), cell(F.col("all_cells")).alias("j"),
         F.lit(False).alias("side"), "rep", "root", "n", "regs")
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        a, b = block[block["side"]], block[~block["side"]]
-        out_a, out_b = [], []
-        if len(a) and len(b):
-            ra = np.frombuffer(b"".join(a["regs"]), dtype="<u2").reshape(len(a), -1)
-            rb = np.frombuffer(b"".join(b["regs"]), dtype="<u2").reshape(len(b), -1)
-            root_b, n_b, id_b = b["root"].to_numpy(), b["n"].to_numpy(float), b["rep"].to_numpy()
-            for i, (rep, root, n) in enumerate(zip(a["rep"], a["root"], a["n"], strict=True)):
-                at = np.flatnonzero((root_b != root) & (DEN * np.minimum(n, n_b) >= NUM * np.maximum(n, n_b)))
-                if len(at):
-                    ok = S.plausible(np.broadcast_to(ra[i], (len(at), ra.shape[1])), rb[at],
-                                     np.full(len(at), float(n)), n_b[at], NUM / DEN, SLACK)
-                    out_b.append(id_b[at[ok]])
-                    out_a.append(np.full(int(ok.sum()), rep, dtype=np.int64))
-        x = np.concatenate(out_a) if out_a else np.empty(0, dtype=np.int64)
-        y = np.concatenate(out_b) if out_b else np.empty(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    return (left.unionByName(right).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct())
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows arrive sorted by cell; the last cell of a batch may go on in the next one
+        rest: pd.DataFrame | None = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            if len(b) == 0:
+                continue
+            k = b[["key", "i", "j"]].to_numpy()
+            last = int(np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])[-1])
+            rest = b.iloc[last:].reset_index(drop=True)
+            if last:
+                yield _compared(b.iloc[:last])
+        if rest is not None:
+            yield _compared(rest)
+
+    dealt = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInPandas(run, "a long, b long").distinct()
+
+
+def _compared(rows: pd.DataFrame) -> pd.DataFrame:
+    """Plausible pairs of all complete cells of ``rows`` (sorted by cell)."""
+    k = rows[["key", "i", "j"]].to_numpy()
+    cuts = np.r_[np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]), len(rows)]
+    regs = np.frombuffer(b"".join(rows["regs"]), dtype="<u2").reshape(len(rows), -1)
+    side, root = rows["side"].to_numpy(bool), rows["root"].to_numpy()
+    rep, n = rows["rep"].to_numpy(), rows["n"].to_numpy(np.int64)
+    # below this share of equal registers the likelihood test can't pass (see SLACK)
+    least = int(0.6 * regs.shape[1])
+    out_a, out_b = [], []
+    for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        x, y = s + np.flatnonzero(side[s:e]), s + np.flatnonzero(~side[s:e])
+        step = max(1, (1 << 24) // max(1, len(y) * regs.shape[1]))
+        for at in range(0, len(x) if len(y) else 0, step):
+            u = x[at:at + step]
+            ok = ((root[u][:, None] != root[y][None, :])
+                  & (DEN * np.minimum(n[u][:, None], n[y][None, :]) >= NUM * np.maximum(n[u][:, None], n[y][None, :])))
+            i, j = np.nonzero(ok)
+            if len(i) == 0:
+                continue
+            if 4 * len(i) > ok.size:
+                hit = ((regs[u][:, None, :] == regs[y][None, :, :]).sum(axis=2) >= least)[i, j]
+            else:
+                hit = (regs[u[i]] == regs[y[j]]).sum(axis=1) >= least
+            out_a.append(u[i[hit]])
+            out_b.append(y[j[hit]])
+    a = np.concatenate(out_a) if out_a else np.empty(0, dtype=np.int64)
+    b = np.concatenate(out_b) if out_b else np.empty(0, dtype=np.int64)
+    kept = []
+    for at in range(0, len(a), 20_000):
+        p, q = a[at:at + 20_000], b[at:at + 20_000]
+        kept.append(S.plausible(regs[p], regs[q], n[p].astype(float), n[q].astype(float), NUM / DEN, SLACK))
+    ok = np.concatenate(kept) if kept else np.zeros(0, dtype=bool)
+    x, y = rep[a[ok]], rep[b[ok]]
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,3 +264,19 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+
+
+def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of one document per component, with all their columns.
+
+    Rows without an id stay.  Of rows that repeat an id, one stays.
+    """
+    kept = materialise(near_duplicates(documents, id_col, text_col).where("kept")
+                       .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_c")))
+    same = F.col(id_col).cast("long") == F.col("_id")
+    out = documents.join(kept.select("_id"), same, "left_semi").unionByName(documents.where(F.col(id_col).isNull()))
+    if kept.where("_c > 1").isEmpty():
+        return out
+    many = kept.where("_c > 1").select("_id")
+    return out.join(many, same, "left_anti").unionByName(
+        out.join(many, same, "left_semi").dropDuplicates([id_col]))

@@ -56,3 +56,15 @@ def ascii_lower(c: Column) -> Column:
 def text_key(c: Column) -> list[Column]:
     """Two independent 64-bit hashes: a 128-bit key of a value."""
     return [F.xxhash64(c), F.xxhash64(F.lit(1), c)]
+
+
+def as_row(df: DataFrame, name: str = "_row") -> DataFrame:
+    """All columns as one struct, so that helper columns can't clash with the caller's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
+def from_row(df: DataFrame, columns: list[str], changed: dict[str, Column] | None = None, name: str = "_row",
+             more: list[Column] | None = None) -> DataFrame:
+    """The columns of ``as_row`` again, some replaced."""
+    changed = changed or {}
+    return df.select(*[(changed[c] if c in changed else F.col(name)[c]).alias(c) for c in columns], *(more or []))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphweave.llm.common import WS, ascii_lower, materialise, text_key
+from graphweave.llm.common import WS, as_row, ascii_lower, from_row, materialise, text_key
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -63,25 +63,24 @@ def dropped_positions(keys: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Documents with ``text_col`` replaced by the kept lines, plus ``_n_lines`` and ``_n_dropped``."""
+                min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                counts: tuple[str, str] | None = None) -> DataFrame:
+    """Documents with ``text_col`` replaced by the kept lines; ``counts`` names two more
+    columns: lines before, and lines dropped."""
     keys = line_keys(documents, id_col, text_col, min_chars)
     shared = materialise(shared_keys(keys, min_docs))
-    drops = dropped_positions(keys, shared).withColumnsRenamed(
-        {"id": "_id", "t1": "_t1", "t2": "_t2", "drop": "_drop"})
-    t1, t2 = text_key(documents[text_col])
-    joined = documents.withColumns({"_k1": t1, "_k2": t2}).join(
-        drops, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1"))
-        & (F.col("_k2") == F.col("_t2")), "left")
-    lines = _lines(F.col(text_col))
-    cut = joined.withColumns({
-        "_n_lines": F.size(lines).cast("long"),
-        "_n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long")})
+    drops = dropped_positions(keys, shared)
+    text = F.col("_row")[text_col]
+    k1, k2 = text_key(text)
+    joined = as_row(documents).withColumns({"_k1": k1, "_k2": k2}).join(
+        drops, F.col("_row")[id_col].eqNullSafe(F.col("id")) & (F.col("_k1") == F.col("t1"))
+        & (F.col("_k2") == F.col("t2")), "left")
     # the lines are pinned as a column first (two uses), else each position would split the text again
-    pinned = cut.withColumn("_lines", F.when(F.col("_n_dropped") > 0, lines))
-    kept_at = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    pinned = joined.withColumn("_lines", F.when(F.col("drop").isNotNull(), _lines(text)))
+    kept_at = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("drop"))
     kept = F.array_join(F.transform(kept_at, lambda i: F.get(F.col("_lines"), i)), "\n")
-    out = pinned.withColumn("_kept", F.when(F.col("_n_dropped") > 0, kept).otherwise(
-        F.coalesce(F.col(text_col), F.lit(""))))
-    return out.select(*[F.col("_kept").alias(c) if c == text_col else F.col(c) for c in documents.columns],
-                      "_n_lines", "_n_dropped")
+    new = F.when(F.col("drop").isNotNull(), kept).otherwise(F.coalesce(text, F.lit("")))
+    more = [] if counts is None else [
+        F.size(_lines(text)).cast("long").alias(counts[0]),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias(counts[1])]
+    return from_row(pinned, documents.columns, {text_col: new}, more=more)

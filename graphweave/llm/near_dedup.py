@@ -12,10 +12,12 @@
 4. Proposed pairs pass the joint likelihood test on registers and exact set
    sizes, then are verified on the full sets, in blocks of one document and at most
    ``BLOCK`` partners.  Verified links are contracted to components.
-5. Buckets that still hold several components are finished exactly: rows outside
-   the bucket's main component are compared with every row of another component,
-   block by block; only pairs that pass the likelihood test leave a task.  They are
-   verified in the same way and the components contracted again.
+5. Buckets that still hold several components are finished exactly, in cells: rows
+   outside the bucket's main component meet every row of another component.  A
+   first pass compares registers and names the rows that have a possible partner
+   (less than 60 % equal registers cannot pass the likelihood test); a second one
+   intersects the full sets of these rows and returns, per cell, only links that
+   join two components.  The components are contracted again.
 
 A pair at exactly the threshold misses all bands with probability
 (1 - 0.85^5)^26 < 3e-7.  Nothing is capped: a bucket of any size is handled by
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphweave.llm import shingles as S
-from graphweave.llm.common import materialise, spread
+from graphweave.llm.common import as_row, from_row, materialise, spread
 
 ROWS = 5
 BANDS = 26
@@ -99,7 +101,23 @@ def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def _sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
+    """(doc, elems): the full sets of the given representatives, stored.
+
+    Texts move to the ids whatever their number (at scale they are never few).
+    """
+    texts = documents.join(reps.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.iloc[at:at + 256]
+                yield pd.DataFrame({"doc": part["doc_id"],
+                                    "elems": [x.tobytes() for x in S.shingle_sets(part["text"].tolist())]})
+    return materialise(texts.mapInPandas(run, "doc long, elems binary"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs confirmed on full sets.  ``pairs`` must be a stored table.
 
     The partners of one document are dealt into blocks of about ``BLOCK``; a
@@ -110,17 +128,6 @@ def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
         "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("blk"))
     members = dealt.select("a", "blk", F.col("b").alias("doc")).unionByName(
         dealt.select("a", "blk", F.col("a").alias("doc")).distinct())
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = documents.join(needed, "doc_id", "left_semi")
-
-    def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at:at + 256]
-                yield pd.DataFrame({"doc": part["doc_id"],
-                                    "elems": [x.tobytes() for x in S.shingle_sets(part["text"].tolist())]})
-
-    sets = texts.mapInPandas(to_sets, "doc long, elems binary")
 
     def verify(key, block: pd.DataFrame) -> pd.DataFrame:
         a = key[0]
@@ -157,26 +164,29 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def _residual(keys: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
-    """Plausible pairs between components that still share a bucket."""
-    held = keys.join(comp.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
-        "key", "rep", F.coalesce("root", "rep").alias("root"))
-    per = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = (per.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
+def _in_cells(held: DataFrame, payload: DataFrame, columns: list[str], schema: str, compare) -> DataFrame:
+    """Run ``compare`` over the cells of every bucket of ``held`` (key, rep, root).
+
+    A bucket's main component is its most frequent one.  Its other rows ("odd")
+    and all its rows are cut into cells of about ``CELL`` rows; every odd cell meets
+    every cell.  Buckets of equal content are worked on once.
+    """
+    per = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"))
+    mixed = (per.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("h").alias("h"),
                                     F.sum("c").alias("total"), F.max("c").alias("most"), F.count(F.lit(1)).alias("k"))
-             .where("k > 1 and total > 2"))  # the pair of a bucket of two was proposed already
-    rows = materialise(held.join(mixed, "key").select(
+             .where("k > 1"))
+    once = mixed.groupBy("h", "total", "main", "most").agg(F.min("key").alias("key"))
+    rows = materialise(held.join(once, "key").select(
         "key", "rep", "root", (F.col("root") != F.col("main")).alias("odd"),
         F.ceil((F.col("total") - F.col("most")) / CELL).cast("int").alias("odd_cells"),
-        F.ceil(F.col("total") / CELL).cast("int").alias("all_cells"))
-        .join(reps.select("rep", "n", "regs"), "rep"))
+        F.ceil(F.col("total") / CELL).cast("int").alias("all_cells")))
     cell = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     left = rows.where("odd").select(
         "key", cell(F.col("odd_cells")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_cells") - 1)).alias("j"),
-        F.lit(True).alias("side"), "rep", "root", "n", "regs")
+        F.lit(True).alias("side"), "rep", "root")
     right = rows.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("odd_cells") - 1)).alias("i"), cell(F.col("all_cells")).alias("j"),
-        F.lit(False).alias("side"), "rep", "root", "n", "regs")
+        F.lit(False).alias("side"), "rep", "root")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # rows arrive sorted by cell; the last cell of a batch may go on in the next one
@@ -186,52 +196,95 @@ def _residual(keys: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
             if len(b) == 0:
                 continue
             k = b[["key", "i", "j"]].to_numpy()
-            last = int(np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])[-1])
-            rest = b.iloc[last:].reset_index(drop=True)
-            if last:
-                yield _compared(b.iloc[:last])
+            cuts = np.r_[np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]), len(b)].tolist()
+            rest = b.iloc[cuts[-2]:].reset_index(drop=True)
+            if len(cuts) > 2:
+                yield compare(b.iloc[:cuts[-2]], cuts[:-1])
         if rest is not None:
-            yield _compared(rest)
+            yield compare(rest, [0, len(rest)])
 
-    dealt = left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInPandas(run, "a long, b long").distinct()
+    dealt = (left.unionByName(right).join(payload, "rep").select("key", "i", "j", "side", "rep", "root", *columns)
+             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    return dealt.mapInPandas(run, schema)
 
 
-def _compared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Plausible pairs of all complete cells of ``rows`` (sorted by cell)."""
-    k = rows[["key", "i", "j"]].to_numpy()
-    cuts = np.r_[np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]), len(rows)]
+def _sides(rows: pd.DataFrame, cuts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per cell: positions of the odd rows, of all rows, and which pairs may be linked (other component, sizes)."""
+    side, root, n = rows["side"].to_numpy(bool), rows["root"].to_numpy(), rows["n"].to_numpy(np.int64)
+    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+        x, y = s + np.flatnonzero(side[s:e]), s + np.flatnonzero(~side[s:e])
+        if len(x) and len(y):
+            small, large = np.minimum(n[x][:, None], n[y][None, :]), np.maximum(n[x][:, None], n[y][None, :])
+            may = (root[x][:, None] != root[y][None, :]) & (DEN * small >= NUM * large)
+            if may.any():
+                yield x, y, may
+
+
+def _possible(rows: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+    """(key, rep) of the rows that have a partner whose registers allow the threshold."""
     regs = np.frombuffer(b"".join(rows["regs"]), dtype="<u2").reshape(len(rows), -1)
-    side, root = rows["side"].to_numpy(bool), rows["root"].to_numpy()
-    rep, n = rows["rep"].to_numpy(), rows["n"].to_numpy(np.int64)
     # below this share of equal registers the likelihood test can't pass (see SLACK)
     least = int(0.6 * regs.shape[1])
-    out_a, out_b = [], []
-    for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        x, y = s + np.flatnonzero(side[s:e]), s + np.flatnonzero(~side[s:e])
-        step = max(1, (1 << 24) // max(1, len(y) * regs.shape[1]))
-        for at in range(0, len(x) if len(y) else 0, step):
-            u = x[at:at + step]
-            ok = ((root[u][:, None] != root[y][None, :])
-                  & (DEN * np.minimum(n[u][:, None], n[y][None, :]) >= NUM * np.maximum(n[u][:, None], n[y][None, :])))
-            i, j = np.nonzero(ok)
-            if len(i) == 0:
-                continue
-            if 4 * len(i) > ok.size:
-                hit = ((regs[u][:, None, :] == regs[y][None, :, :]).sum(axis=2) >= least)[i, j]
+    hit = np.zeros(len(rows), dtype=bool)
+    for x, y, may in _sides(rows, cuts):
+        step = max(1, (1 << 24) // (len(y) * regs.shape[1]))
+        for at in range(0, len(x), step):
+            u, m = x[at:at + step], may[at:at + step]
+            if 4 * m.sum() > m.size:
+                ok = m & ((regs[u][:, None, :] == regs[y][None, :, :]).sum(axis=2) >= least)
+                i, j = np.nonzero(ok)
             else:
-                hit = (regs[u[i]] == regs[y[j]]).sum(axis=1) >= least
-            out_a.append(u[i[hit]])
-            out_b.append(y[j[hit]])
-    a = np.concatenate(out_a) if out_a else np.empty(0, dtype=np.int64)
-    b = np.concatenate(out_b) if out_b else np.empty(0, dtype=np.int64)
-    kept = []
-    for at in range(0, len(a), 20_000):
-        p, q = a[at:at + 20_000], b[at:at + 20_000]
-        kept.append(S.plausible(regs[p], regs[q], n[p].astype(float), n[q].astype(float), NUM / DEN, SLACK))
-    ok = np.concatenate(kept) if kept else np.zeros(0, dtype=bool)
-    x, y = rep[a[ok]], rep[b[ok]]
-    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+                i, j = np.nonzero(m)
+                ok = (regs[u[i]] == regs[y[j]]).sum(axis=1) >= least
+                i, j = i[ok], j[ok]
+            hit[u[i]] = True
+            hit[y[j]] = True
+    out = rows.loc[hit, ["key", "rep"]]
+    return out.drop_duplicates()
+
+
+def _joining(rows: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+    """Per cell the verified links that join two components, as pairs of roots."""
+    sets = [np.frombuffer(e, dtype=np.uint64) for e in rows["elems"]]
+    root, n = rows["root"].to_numpy(), rows["n"].to_numpy(np.int64)
+    out: list[tuple[int, int]] = []
+    for x, y, may in _sides(rows, cuts):
+        inter = _intersections([sets[i] for i in x], [sets[i] for i in y])
+        union = n[x][:, None] + n[y][None, :] - inter
+        i, j = np.nonzero(may & (DEN * inter >= NUM * union))
+        up: dict[int, int] = {}
+
+        def find(r: int, up: dict[int, int] = up) -> int:
+            while r in up:
+                r = up[r]
+            return r
+        for a, b in zip(root[x[i]].tolist(), root[y[j]].tolist(), strict=True):
+            p, q = find(a), find(b)
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                out.append((a, b))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray], cells: int = 1 << 24) -> np.ndarray:
+    """Sizes of all pairwise intersections: products of 0/1 columns, a slice of the elements at a time."""
+    every = left + right
+    who = np.repeat(np.arange(len(every)), [len(e) for e in every])
+    elems, at, count = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    keep = count[at] > 1  # an element of one row alone adds nothing
+    who, at = who[keep], at[keep]
+    _, at = np.unique(at, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    who, at = who[order], at[order]
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    width = max(1, cells // len(every))
+    last = int(at[-1]) + 1 if len(at) else 0
+    for lo in range(0, last, width):
+        s, e = np.searchsorted(at, [lo, lo + width])
+        m = np.zeros((len(every), min(width, last - lo)), dtype=np.float32)
+        m[who[s:e], at[s:e] - lo] = 1.0
+        total += np.rint(m[:len(left)] @ m[len(left):].T).astype(np.int64)
+    return total
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,18 +299,22 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     reps = cls.select("rep", "n", "regs")
     keys = materialise(band_keys(reps).join(
         band_keys(reps).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "key", "left_semi"))
+    sets = _sets(docs, keys.select("rep"))
     leaders = keys.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("lead"))
     star = (keys.join(leaders, "key").where("rep <> lead")
             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
-    first = materialise(_verified(materialise(_plausible(star, reps)), docs))
-    comp = materialise(components(first))
-    rest = materialise(_residual(keys, reps, comp))
-    if not rest.isEmpty():
-        more = _verified(rest, docs).join(
-            comp.select(F.col("node").alias("a"), F.col("root").alias("x")), "a", "left").join(
-            comp.select(F.col("node").alias("b"), F.col("root").alias("y")), "b", "left").select(
-            F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
-        comp = materialise(components(first.unionByName(more)))
+    links = materialise(_verified(materialise(_plausible(star, reps)), sets))
+    comp = materialise(components(links))
+    root = lambda k: k.join(comp.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
+        "key", "rep", F.coalesce("root", "rep").alias("root"))
+    # the one pair of a bucket of two was proposed already
+    larger = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2").select("key")
+    rows = materialise(root(keys.join(larger, "key", "left_semi")))
+    some = materialise(_in_cells(rows, reps, ["n", "regs"], "key long, rep long", _possible).distinct())
+    if not some.isEmpty():
+        full = sets.withColumnRenamed("doc", "rep").join(reps.select("rep", "n"), "rep")
+        more = _in_cells(rows.join(some, ["key", "rep"], "left_semi"), full, ["n", "elems"], "a long, b long", _joining)
+        comp = materialise(components(links.unionByName(more)))
     named = cls.select("f1", "f2", "rep").join(comp, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", F.coalesce("root", "rep").alias("component_id"))
     return (sk.join(materialise(named), ["f1", "f2"], "left")
@@ -273,10 +330,11 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     kept = materialise(near_duplicates(documents, id_col, text_col).where("kept")
                        .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_c")))
-    same = F.col(id_col).cast("long") == F.col("_id")
-    out = documents.join(kept.select("_id"), same, "left_semi").unionByName(documents.where(F.col(id_col).isNull()))
-    if kept.where("_c > 1").isEmpty():
-        return out
+    rows = as_row(documents).withColumn("_key", F.col("_row")[id_col].cast("long"))
+    same = F.col("_key") == F.col("_id")
+    out = rows.join(kept.select("_id"), same, "left_semi").unionByName(rows.where(F.col("_key").isNull()))
     many = kept.where("_c > 1").select("_id")
-    return out.join(many, same, "left_anti").unionByName(
-        out.join(many, same, "left_semi").dropDuplicates([id_col]))
+    if not many.isEmpty():
+        out = out.join(many, same, "left_anti").unionByName(
+            out.join(many, same, "left_semi").dropDuplicates(["_key"]))
+    return from_row(out, documents.columns)

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphweave.llm.common import WS, materialise, text_key
+from graphweave.llm.common import WS, as_row, from_row, materialise, text_key
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -183,11 +183,13 @@ def verdicts(documents: DataFrame, text_col: str = "text", lang_col: str = "lang
 def filter_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      source_col: str = "source") -> DataFrame:
     """The rows that pass, with all their columns."""
-    kept = verdicts(documents.select(F.col(id_col).alias("_id"), text_col, lang_col, source_col), text_col, lang_col,
-                    source_col, ("_id",)).where("kept").select(
+    kept = verdicts(documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                                     F.col(source_col).alias("source")), id_cols=("_id",)).where("kept").select(
         "_id", "_t1", "_t2", F.col("lang").alias("_l"), F.col("source").alias("_s"))
-    t1, t2 = text_key(documents[text_col])
-    return documents.withColumns({"_k1": t1, "_k2": t2}).join(
-        kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1"))
-        & (F.col("_k2") == F.col("_t2")) & F.col(lang_col).eqNullSafe(F.col("_l"))
-        & F.col(source_col).eqNullSafe(F.col("_s")), "left_semi").drop("_k1", "_k2")
+    row = F.col("_row")
+    k1, k2 = text_key(row[text_col])
+    out = as_row(documents).withColumns({"_k1": k1, "_k2": k2}).join(
+        kept, row[id_col].eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1"))
+        & (F.col("_k2") == F.col("_t2")) & row[lang_col].eqNullSafe(F.col("_l"))
+        & row[source_col].eqNullSafe(F.col("_s")), "left_semi")
+    return from_row(out, documents.columns)

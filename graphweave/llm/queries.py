@@ -28,9 +28,9 @@ def _query(fn):
 @_query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that five or more documents share go, except from the largest doc_id."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                      F.sha2(F.col("text"), 256).alias("kept_sha256"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
 ORACLE["op3_line_dedup"] = """

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.llm.common import ascii_lower, materialise, spread, text_key
+from graphweave.llm.common import as_row, ascii_lower, from_row, materialise, spread, text_key
 
 DICTIONARY = 4096
 N_LABELLED = 6000
@@ -290,9 +290,10 @@ def redact(documents: DataFrame, labelled: DataFrame | None = None, id_col: str
     hits = (scan(documents, labelled, id_col, text_col, path_col, threshold).where("is_secret")
             .groupBy("id", "t1", "t2").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
             .withColumnsRenamed({"id": "_id", "t1": "_t1", "t2": "_t2"}))
-    t1, t2 = text_key(documents[text_col])
-    joined = documents.withColumns({"_k1": t1, "_k2": t2}).join(
-        hits, F.col(id_col).cast("string").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1"))
+    row = F.col("_row")
+    k1, k2 = text_key(row[text_col])
+    joined = as_row(documents).withColumns({"_k1": k1, "_k2": k2}).join(
+        hits, row[id_col].cast("string").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1"))
         & (F.col("_k2") == F.col("_t2")), "left")
-    new = F.when(F.col("_spans").isNotNull(), redacted(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col))
-    return joined.select(*[new.alias(c) if c == text_col else F.col(c) for c in documents.columns])
+    new = F.when(F.col("_spans").isNotNull(), redacted(row[text_col], F.col("_spans"))).otherwise(row[text_col])
+    return from_row(joined, documents.columns, {text_col: new})

@@ -91,7 +91,7 @@ def _scores(q: pd.DataFrame, c: pd.DataFrame):
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
            scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest scores of every query."""
-    rows = materialise(quantised(vectors.withColumn("_q", is_query), id_col, vec_col, scale))
+    rows = materialise(quantised(vectors, id_col, vec_col, scale))
     ids = vectors.where(is_query).select(F.col(id_col).cast("long").alias("id")).distinct()
     queries = materialise(rows.join(ids, "id", "left_semi"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("m")).first()

@@ -15,8 +15,8 @@ import json
 
 import numpy as np
 
-CACHE_MAX = 300_000
-_WORDS_PER_CALL = 2_000
+CACHE_MAX = 450_000
+_WORDS_PER_CALL = 500
 
 
 def load(path: str):
@@ -44,28 +44,27 @@ class SegmentEncoder:
             and model.get("type") == "BPE" and not model.get("dropout"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.cache: dict[str, bytes] = {}
+        # bytes of the text that each id stands for: a byte-level token has one character per byte
+        self.width = np.zeros(self.tk.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        if self.cuttable:
+            for token, i in self.tk.get_vocab(with_added_tokens=True).items():
+                self.width[i] = len(token)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        calls = [words[i:i + _WORDS_PER_CALL] for i in range(0, len(words), _WORDS_PER_CALL)]
-        for part in calls:
-            enc = self.tk.encode(" " + " ".join(part), add_special_tokens=False)
+        """Encode new words together, each after a space, and cut the ids at the words' bytes."""
+        parts = [words[i:i + _WORDS_PER_CALL] for i in range(0, len(words), _WORDS_PER_CALL)]
+        encs = self.tk.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False) if parts else []
+        for part, enc in zip(parts, encs, strict=True):
             ids = np.array(enc.ids, dtype="<u4")
-            starts = np.array(enc.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-            at = np.concatenate([[0], np.cumsum([len(w) + 1 for w in part])])
-            cut = np.searchsorted(starts, at)
+            ends = np.cumsum(self.width[ids])
+            size = np.cumsum([1 + (len(w) if w.isascii() else len(w.encode())) for w in part])
+            cut = (4 * (np.searchsorted(ends, size) + 1)).tolist()
             raw = ids.tobytes()
-            for w, a, b in zip(part, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                self.cache[w] = raw[4 * a:4 * b]
-
-    @staticmethod
-    def _visible(word: str) -> bool:
-        """The segment starts with a character that no pattern takes for white space."""
-        c = word[:1]
-        return c.isalnum() or "!" <= c <= "~"
+            self.cache.update(zip(part, [raw[i:j] for i, j in zip([0, *cut], cut, strict=False)], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -82,7 +81,8 @@ class SegmentEncoder:
         new = set()
         for _, words in split:
             new.update(words[1:])
-        self._learn([w for w in new if w not in self.cache and self._visible(w)])
+        # a segment must start with a character that no pattern takes for white space
+        self._learn([w for w in new if w not in self.cache and (w[:1].isalnum() or "!" <= w[:1] <= "~")])
         first = self._whole([w[0] for _, w in split]) if split else []
         get = self.cache.__getitem__
         for (i, words), head in zip(split, first, strict=True):

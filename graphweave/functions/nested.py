@@ -132,9 +132,14 @@ def category_permalinks(c) -> Column:
 
 
 def struct_or_text_value(c) -> Column:
-    """A field holding either ``{"value": ...}`` as JSON text or a plain value."""
+    """A field holding either ``{"value": ...}`` as JSON text or a plain value.
+
+    A JSON object without ``value`` gives a blank, never its own text.
+    """
     v = col_(c)
-    return strip(F.coalesce(F.get_json_object(v, "$.value"), v, F.lit("")))
+    is_object = F.get_json_object(v, "$").startswith("{")
+    return strip(F.coalesce(F.when(is_object, F.coalesce(F.get_json_object(v, "$.value"), F.lit(""))).otherwise(v),
+                            F.lit("")))
 
 
 def parse_reply_array(c, sentinel: str = "I don't know") -> Column:

@@ -27,11 +27,11 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..session import checkpoint_dir
+from .common import stored
 
 BLOCK_SIZE = 512
 
@@ -59,16 +59,20 @@ def _nearest(points: DataFrame, other_group_only: bool) -> DataFrame:
                 ri = np.array([x["id"] for x in rst], dtype=np.int64)
                 rg = np.array([x["grp"] for x in rst], dtype=np.int64)
                 rv = np.stack([np.asarray(x["vec"], dtype=np.float64) for x in rst])
-                d = np.sqrt(np.maximum(((lv[:, None, :] - rv[None, :, :]) ** 2).sum(-1), 0.0))
-                d = np.round(d, 9)
-                bad = li[:, None] == ri[None, :]
-                if other_group_only:
-                    bad |= lg[:, None] == rg[None, :]
-                d[bad] = np.inf
-                # smallest distance, then smallest id
-                order = np.lexsort((np.broadcast_to(ri, d.shape), d), axis=1)
-                j = order[:, 0]
-                best = d[np.arange(len(li)), j]
+                # columns in id order: argmin's first hit is the smallest id of a tie
+                by_id = np.argsort(ri, kind="stable")
+                ri, rg, rv = ri[by_id], rg[by_id], rv[by_id]
+                best, j = np.empty(len(li)), np.empty(len(li), dtype=np.int64)
+                step = max(1, (1 << 22) // max(1, rv.size))
+                for at in range(0, len(li), step):
+                    rows = slice(at, at + step)
+                    d = np.round(np.sqrt(((lv[rows, None, :] - rv[None, :, :]) ** 2).sum(-1)), 9)
+                    bad = li[rows, None] == ri[None, :]
+                    if other_group_only:
+                        bad |= lg[rows, None] == rg[None, :]
+                    d[bad] = np.inf
+                    j[rows] = d.argmin(axis=1)
+                    best[rows] = d[np.arange(len(d)), j[rows]]
                 ok = np.isfinite(best)
                 yield pd.DataFrame({"id": li[ok], "nn_id": ri[j][ok], "dist": best[ok]})
 
@@ -81,33 +85,41 @@ def leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64
                   noise: str = "minus_one") -> DataFrame:
     """(id, cluster_id) with -1 for noise, or with ``noise="singleton"`` each
     noise point in its own cluster numbered after the largest label, in id
-    order (numbered by a distributed sort + zipWithIndex, no single task)."""
+    order (ranges of ids are counted, then numbered inside, no single task)."""
     out = _leaf_clusters(df, id_col, vec_col, max_rounds)
     if noise == "minus_one":
         return out
+    out = stored(out)
     top = out.agg(F.max("cluster_id")).first()[0]
     base = (top if top is not None and top >= 0 else -1) + 1
-    noise_rows = out.filter(F.col("cluster_id") == -1).select(id_col).orderBy(id_col)
-    numbered = noise_rows.rdd.zipWithIndex().map(lambda t: (t[0][0], base + t[1])).toDF([id_col, "cluster_id"])
+    # id ranges hold the noise points in order: a count per range, then a rank inside it
+    noise_rows = out.filter(F.col("cluster_id") == -1).select(id_col)
+    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    ranged = stored(noise_rows.repartitionByRange(parts, id_col).withColumn("__r", F.spark_partition_id()))
+    ahead, bases = base, []
+    for r in sorted(ranged.groupBy("__r").count().collect()):  # at most ``parts`` rows
+        bases.append((r["__r"], ahead))
+        ahead += r["count"]
+    numbered = (ranged.join(F.broadcast(df.sparkSession.createDataFrame(bases, "__r int, __b long")), "__r")
+                .withColumn("cluster_id", F.col("__b") - 1 + F.row_number().over(Window.partitionBy("__r").orderBy(id_col))))
     return out.filter(F.col("cluster_id") != -1).unionByName(
         numbered.select(F.col(id_col), F.col("cluster_id").cast("long")))
 
 
 def _leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
     pts = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    nn = _nearest(pts.withColumn("grp", F.col("id")), other_group_only=False).checkpoint()
+    nn = stored(_nearest(pts.withColumn("grp", F.col("id")), other_group_only=False))
     back = nn.select(F.col("id").alias("nn_id"), F.col("nn_id").alias("nn2"))
     parent = (nn.join(back, "nn_id", "left")
               .select("id", F.when((F.col("nn2") == F.col("id")) & (F.col("id") < F.col("nn_id")), F.col("id"))
                       .otherwise(F.col("nn_id")).alias("par")))
-    parent = parent.checkpoint()
+    parent = stored(parent)
     for _ in range(max_rounds):
         step = (parent.join(parent.select(F.col("id").alias("par"), F.col("par").alias("gp")), "par")
                 .select("id", "par", "gp"))
         if step.filter(F.col("par") != F.col("gp")).limit(1).count() == 0:
             break
-        parent = step.select("id", F.col("gp").alias("par")).checkpoint()
+        parent = stored(step.select("id", F.col("gp").alias("par")))
     else:
         raise RuntimeError("pointer jumping did not converge")
     tree = parent.select("id", F.col("par").alias("tree"))

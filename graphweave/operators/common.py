@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # A side is broadcast only when its row count is at most this (checked).
 BROADCAST_MAX_ROWS = 200_000
 
@@ -27,3 +31,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def seq(lo, hi):
     """``sequence(lo, hi)`` that is empty when ``lo > hi`` (Spark's would count down)."""
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder, removed when the
+    application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/gw-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it again.
+
+    Cuts the lineage (a lost executor costs no more than its running tasks) and
+    gives the optimizer the true size of the intermediate table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

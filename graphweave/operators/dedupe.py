@@ -1,34 +1,45 @@
 """Exact and fuzzy de-duplication.
 
 * ``keep_first``          — exact dedupe on a key, first row (by an order column) wins.
-* ``similar_pairs``       — all pairs whose Indel ratio reaches a threshold, found
-                            with a lossless piece-based equi-join (no cross join).
+* ``similar_strings``     — all pairs of distinct strings whose Indel ratio reaches a
+                            threshold, by a rare-gram prefix join with exact filters.
+* ``similar_pairs``       — the same between rows.
 * ``greedy_fuzzy_dedupe`` — the sequential "drop a row similar to an already kept
                             earlier row" scan, computed as rounds over the pair graph.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import ratio_from_lcs, with_lcs
 from ..functions.text import token_sort
-from ..session import checkpoint_dir
-from .common import seq
+from .common import seq, stored
+
+
+def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
+    """Add the position of every row in reading order and store the table, so that
+    the numbers stay the same for all later steps."""
+    return stored(df.withColumn(out, F.monotonically_increasing_id()))
 
 
 def keep_first(df: DataFrame, key, order: str) -> DataFrame:
-    """Rows whose ``order`` value is the smallest among rows with the same key.
+    """One row per key: the one with the smallest ``order`` value.
 
     The key is reduced to a SHA-256 digest before the shuffle and the minimum is
     taken with a partial (map-side) aggregate, so a key that holds a third of
-    all rows costs one row per map task, not one huge group.  ``order`` must be
-    unique (a row position or id).
+    all rows costs one row per map task, not one huge group.  Rows that also tie
+    on ``order`` (repeated ids) give one row, the one with the smallest row hash.
     """
     k = F.sha2(key if not isinstance(key, str) else F.col(key), 256)
-    firsts = df.select(k.alias("__k"), F.col(order)).groupBy("__k").agg(F.min(order).alias(order))
-    return df.join(firsts.select(order), on=order, how="left_semi")
+    rows = df.withColumns({"__k": k, "__h": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])})
+    firsts = rows.groupBy("__k").agg(F.min(F.struct(F.col(order), F.col("__h"))).alias("m")).select(
+        F.col("__k").alias("__k2"), F.col(f"m.{order}").alias("__o"), F.col("m.__h").alias("__h2"))
+    same = (F.col("__k").eqNullSafe(F.col("__k2")) & F.col(order).eqNullSafe(F.col("__o")) & (F.col("__h") == F.col("__h2")))
+    return rows.join(firsts, same, "left_semi").dropDuplicates(["__k"]).drop("__k", "__h")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -44,113 +55,138 @@ def merge_edges(new_edges: DataFrame, existing: DataFrame | None, src: str, dst:
 
 
 # ------------------------------------------------------------------ pair search
-def _pieces_count(length, t: int):
-    """Pieces a string of ``length`` is cut into for threshold ``t`` (percent)."""
-    return F.floor(F.lit(2 * (100 - t)) * length / F.lit(t)).cast("int") + 1
+def _needed(total, t: int, q: int):
+    """Common q-grams that a pair of summed length ``total`` must have at least.
+
+    A deletion destroys at most q grams and an insertion q - 1; with an LCS of
+    length L >= t * total / 200 that leaves (2q - 1) L - (q - 1) (total + 1).
+    """
+    low = F.ceil(F.lit(t) * total / F.lit(200.0)) if isinstance(total, Column) else math.ceil(t * total / 200)
+    return (2 * q - 1) * low - (q - 1) * (total + 1)
+
+
+def _grams(s: Column, q: int) -> Column:
+    """Distinct (gram, occurrence) texts of a string, sorted: a multiset as a set."""
+    raw = F.sort_array(F.transform(seq(F.lit(1), F.length(s) - (q - 1)), lambda i: F.substr(s, i, F.lit(q))))
+    return raw
+
+
+def _numbered(col: str) -> Column:
+    """Sorted grams -> gram plus the number of its repetition."""
+    g = F.col(col)
+    return F.transform(g, lambda x, i: F.concat_ws("\u0001", x, (i + 1 - F.array_position(g, x)).cast("string")))
+
+
+def _route(base: DataFrame, t: int, q: int, admit) -> DataFrame:
+    """(ua, ub) candidates whose summed length ``admit`` takes, by gram prefixes.
+
+    The grams of a string are ordered by how rare they are; two strings with c
+    common grams share one of the first ``size - c + 1`` of each.
+    """
+    g = f"g{q}"
+    each = base.select("u", "l", F.size(g).alias("n"), F.explode(g).alias("gram"))
+    rare = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    least_partner = F.ceil(F.lit(t) * F.col("l") / F.lit(200.0 - t))
+    prefix = F.col("n") - F.greatest(_needed(F.col("l") + least_partner, t, q), F.lit(1)) + 1
+    heads = (each.join(rare, "gram").groupBy("u", "l", "n")
+             .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("x"))
+             .select("u", "l", F.explode(F.slice(F.col("x"), F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("h"))
+             .select("u", "l", F.col("h.gram").alias("gram")))
+    heads = stored(heads)
+    a, b = (heads.select(F.col("u").alias(f"u{x}"), F.col("l").alias(f"l{x}"), "gram") for x in "ab")
+    band = (F.lit(200 - t) * F.least("la", "lb") >= F.lit(t) * F.greatest("la", "lb"))
+    return (a.join(b, "gram").where((F.col("ua") < F.col("ub")) & band & admit(F.col("la") + F.col("lb")))
+            .select("ua", "ub").distinct())
+
+
+def similar_strings(strings: DataFrame, col: str, threshold: int) -> DataFrame:
+    """Pairs ``(sa, sb, ratio)``, ``sa < sb``, of distinct non-empty strings with
+    Indel ratio >= ``threshold`` (any threshold above 0).
+
+    Candidates share a rare gram (``_route``): character pairs where the length
+    guarantees common pairs, single characters for shorter strings and low thresholds.
+    They must pass the length band, the exact count of common grams and of
+    common characters; only then the LCS is computed.  No pair is lost.
+    """
+    t = threshold
+    if not 0 < t <= 100:
+        raise ValueError("threshold must be in (0, 100]")
+    distinct = strings.select(F.col(col).alias("s")).where("s <> ''").distinct()
+    base = distinct.withColumns({"u": F.monotonically_increasing_id(), "l": F.length("s"),
+                                 "r1": _grams(F.col("s"), 1), "r2": _grams(F.col("s"), 2)})
+    base = stored(base.select("u", "s", "l", _numbered("r1").alias("g1"), _numbered("r2").alias("g2")))
+    slope = 3 * t / 200 - 1
+    cut = math.ceil(2 / slope) + 2 if slope > 0.05 else None  # pairs at least this long together share two-grams
+    if cut is None:
+        cand = _route(base, t, 1, lambda n: F.lit(True))
+    else:
+        cand = _route(base.where(F.col("l") < cut), t, 1, lambda n: n < cut).unionByName(
+            _route(base, t, 2, lambda n: n >= cut))
+    side = lambda x: base.select(*[F.col(c).alias(f"{c}{x}") for c in ("u", "s", "l", "g1", "g2")])
+    total = F.col("la") + F.col("lb")
+    shared = lambda q: F.size(F.array_intersect(f"g{q}a", f"g{q}b")) >= _needed(total, t, q)
+    pairs = (cand.join(side("a"), "ua").join(side("b"), "ub").where(shared(2)).where(shared(1))
+             .select(F.least("sa", "sb").alias("sa"), F.greatest("sa", "sb").alias("sb")))
+    return (with_lcs(pairs, "sa", "sb", "lcs")
+            .where(F.lit(200) * F.col("lcs") >= F.lit(t) * (F.length("sa") + F.length("sb")))
+            .select("sa", "sb", ratio_from_lcs(F.col("lcs"), F.length("sa"), F.length("sb")).alias("ratio")))
 
 
 def similar_pairs(df: DataFrame, id_col: str, text_col: str, threshold: int,
                   sort_tokens: bool = True) -> DataFrame:
     """Pairs ``(id_a, id_b, ratio)`` with ``id_a < id_b`` and Indel ratio >= threshold.
 
-    The ratio is taken on the token-sorted strings when ``sort_tokens``.
-    Candidate generation (pigeonhole, lossless): for a pair with lengths
-    ``la <= lb`` the indel distance is at most ``d = floor((100-t)(la+lb)/100)``;
-    the shorter string is cut into ``floor(2(100-t)la/t)+1 > d`` pieces, so one
-    piece survives unchanged.  If piece ``i`` is the first to survive, the edits
-    before it are at least ``i`` and its shift ``s`` in the longer string
-    satisfies ``|s| + |lb-la-s| <= d`` and ``|lb-la-s| <= d-i``.  Each side
-    emits rows keyed by ``(la, i, piece)`` and an equi-join finds the
-    candidates, which are then verified exactly.  Empty strings never match.
+    The ratio is taken on the token-sorted strings when ``sort_tokens``; equal
+    strings are collapsed for the search and paired again at the end.  Empty
+    strings never match.
     """
-    if not 200 / 3 < threshold <= 100:
-        raise ValueError("threshold must be in (66.7, 100]")
-    t = threshold
     s_expr = token_sort(text_col) if sort_tokens else F.col(text_col)
-    base = (df.select(F.col(id_col).alias("id"), s_expr.alias("s"))
-              .withColumn("l", F.length("s")).filter(F.col("l") > 0))
-
-    # shorter side: its pieces
-    k_a = _pieces_count(F.col("l"), t)
-    a_side = (base.withColumn("k", k_a)
-              .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-              .withColumn("st", F.floor(F.col("i") * F.col("l") / F.col("k")).cast("int"))
-              .withColumn("en", F.floor((F.col("i") + 1) * F.col("l") / F.col("k")).cast("int"))
-              .select(F.col("id").alias("id_a"), F.col("l").alias("la"), "i",
-                      F.expr("substr(s, st + 1, en - st)").alias("piece")))
-
-    # longer side: substrings at the positions a surviving piece can move to
-    la_min = F.ceil(F.lit(t) * F.col("lb") / F.lit(200 - t)).cast("int")
-    b = (base.select(F.col("id").alias("id_b"), F.col("s"), F.col("l").alias("lb"))
-         .withColumn("la", F.explode(seq(la_min, F.col("lb"))))
-         .withColumn("k", _pieces_count(F.col("la"), t))
-         .withColumn("d", F.floor(F.lit(100 - t) * (F.col("la") + F.col("lb")) / F.lit(100)).cast("int"))
-         .withColumn("i", F.explode(seq(F.lit(0), F.least(F.col("k") - 1, F.col("d")))))
-         .withColumn("st", F.floor(F.col("i") * F.col("la") / F.col("k")).cast("int"))
-         .withColumn("ln", F.floor((F.col("i") + 1) * F.col("la") / F.col("k")).cast("int") - F.col("st"))
-         .withColumn("dl", F.col("lb") - F.col("la")))
-    lo = F.greatest(F.ceil((F.col("dl") - F.col("d")) / F.lit(2.0)).cast("int"), F.col("dl") - F.col("d") + F.col("i"),
-                    -F.col("st"))
-    hi = F.least(F.floor((F.col("dl") + F.col("d")) / F.lit(2.0)).cast("int"), F.col("dl") + F.col("d") - F.col("i"),
-                 F.col("lb") - F.col("ln") - F.col("st"))
-    b_side = (b.withColumn("sh", F.explode(seq(lo, hi)))
-              .select("id_b", "la", "i", F.expr("substr(s, st + sh + 1, ln)").alias("piece")))
-
-    cand = (a_side.join(b_side, ["la", "i", "piece"])
-            .filter(F.col("id_a") != F.col("id_b"))
-            .select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
-            .distinct())
-    sa = base.select(F.col("id").alias("id_a"), F.col("s").alias("sa"))
-    sb = base.select(F.col("id").alias("id_b"), F.col("s").alias("sb"))
-    pairs = cand.join(sa, "id_a").join(sb, "id_b")
-    pairs = with_lcs(pairs, "sa", "sb", "lcs")
-    ratio = ratio_from_lcs(F.col("lcs"), F.length("sa"), F.length("sb"))
-    return (pairs.withColumn("ratio", ratio)
-            .filter(F.lit(200) * F.col("lcs") >= F.lit(t) * (F.length("sa") + F.length("sb")))
-            .select("id_a", "id_b", "ratio"))
+    base = df.select(F.col(id_col).alias("id"), s_expr.alias("s")).where("s <> ''")
+    found = similar_strings(base, "s", threshold)
+    a, b = (base.select(F.col("id").alias(f"i{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
+    between = found.join(a, "sa").join(b, "sb").select("ia", "ib", "ratio")
+    equal = a.join(b, F.col("sa") == F.col("sb")).where("ia < ib").select("ia", "ib", F.lit(100.0).alias("ratio"))
+    return (between.where("ia <> ib").unionByName(equal)
+            .select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"), "ratio").distinct())
 
 
 # ---------------------------------------------------------------- greedy dedupe
 def greedy_fuzzy_dedupe(df: DataFrame, id_col: str, order_col: str, text_col: str, threshold: int,
-                        sort_tokens: bool = True, max_rounds: int = 1000) -> DataFrame:
+                        sort_tokens: bool = True) -> DataFrame:
     """Rows kept by the sequential scan "drop a row whose ratio to any already
     kept earlier row is >= threshold" (earlier = smaller ``order_col``).
 
     Not connected components: with a~b, b~c and a!~c the scan keeps a and c.
-    Computed in rounds over the similarity edges (earlier -> later): a row is
-    kept once every earlier neighbour is dropped, and dropped once some
-    earlier neighbour is kept.  Rows without earlier neighbours are kept at
-    once; only rows that take part in an edge are iterated.  The status table
-    is checkpointed to the shared checkpoint folder each round.
+    Of rows with equal strings only the first can be kept (whatever drops the
+    first drops the others), so the search runs on distinct strings; rows with
+    an empty string match nothing and stay.  Rounds over the similarity edges
+    (earlier -> later): a string is kept once every earlier neighbour is dropped, and
+    dropped once some earlier neighbour is kept; at least the earliest undecided
+    string is decided in each round.  Every round is stored in the shared folder.
+    ``id_col`` need not be unique.
     """
-    spark: SparkSession = df.sparkSession
-    checkpoint_dir(spark)
-    pos = df.select(F.col(id_col).alias("id"), F.col(order_col).alias("pos"))
-    pairs = similar_pairs(df, id_col, text_col, threshold, sort_tokens)
-    e = (pairs.join(pos.withColumnRenamed("id", "id_a").withColumnRenamed("pos", "pa"), "id_a")
-         .join(pos.withColumnRenamed("id", "id_b").withColumnRenamed("pos", "pb"), "id_b")
-         .select(F.when(F.col("pa") < F.col("pb"), F.col("id_a")).otherwise(F.col("id_b")).alias("src"),
-                 F.when(F.col("pa") < F.col("pb"), F.col("id_b")).otherwise(F.col("id_a")).alias("dst")))
-    e = e.checkpoint()
-    # 0 undecided, 1 kept, 2 dropped; only rows that are an edge target start undecided
-    targets = e.select(F.col("dst").alias("id")).distinct().withColumn("st", F.lit(0))
-    sources = e.select(F.col("src").alias("id")).distinct().join(targets, "id", "left_anti").withColumn("st", F.lit(1))
-    status = targets.unionByName(sources).checkpoint()
-    for _ in range(max_rounds):
-        undecided = status.filter(F.col("st") == 0)
-        if undecided.limit(1).count() == 0:
-            break
-        nb = (e.join(undecided.select(F.col("id").alias("dst")), "dst")
-              .join(status.select(F.col("id").alias("src"), F.col("st").alias("s_src")), "src")
+    s_expr = token_sort(text_col) if sort_tokens else F.col(text_col)
+    rows = df.withColumn("__s", F.coalesce(s_expr, F.lit("")))
+    first = stored(keep_first(rows.where("__s <> ''"), "__s", order_col))
+    pos = first.select(F.col("__s").alias("s"), F.col(order_col).alias("pos"))
+    found = similar_strings(pos, "s", threshold)
+    at = lambda x: pos.select(F.col("s").alias(f"s{x}"), F.struct("pos", "s").alias(f"p{x}"))
+    e = stored(found.join(at("a"), "sa").join(at("b"), "sb").select(
+        F.least("pa", "pb")["s"].alias("src"), F.greatest("pa", "pb")["s"].alias("dst")))
+    # 0 undecided, 1 kept, 2 dropped; only strings that are an edge target start undecided
+    targets = e.select(F.col("dst").alias("s")).distinct().withColumn("st", F.lit(0))
+    sources = e.select(F.col("src").alias("s")).distinct().join(targets, "s", "left_anti").withColumn("st", F.lit(1))
+    status = stored(targets.unionByName(sources))
+    while not status.where("st = 0").isEmpty():
+        nb = (e.join(status.where("st = 0").select(F.col("s").alias("dst")), "dst")
+              .join(status.select(F.col("s").alias("src"), F.col("st").alias("s_src")), "src")
               .groupBy("dst").agg(F.max((F.col("s_src") == 1).cast("int")).alias("any_kept"),
                                   F.min((F.col("s_src") == 2).cast("int")).alias("all_dropped")))
-        new = (status.join(nb.withColumnRenamed("dst", "id"), "id", "left")
-               .select("id", F.when(F.col("st") != 0, F.col("st"))
-                       .when(F.col("any_kept") == 1, F.lit(2))
-                       .when(F.col("all_dropped") == 1, F.lit(1))
-                       .otherwise(F.lit(0)).alias("st")))
-        status = new.checkpoint()
-    else:
-        raise RuntimeError("greedy dedupe did not converge")
-    dropped = status.filter(F.col("st") == 2).select(F.col("id").alias(id_col))
-    return df.join(dropped, id_col, "left_anti")
+        status = stored(status.join(nb.withColumnRenamed("dst", "s"), "s", "left")
+                        .select("s", F.when(F.col("st") != 0, F.col("st"))
+                                .when(F.col("any_kept") == 1, F.lit(2))
+                                .when(F.col("all_dropped") == 1, F.lit(1))
+                                .otherwise(F.lit(0)).alias("st")))
+    dropped = status.where("st = 2").select(F.col("s").alias("__s"))
+    kept = first.join(dropped, "__s", "left_anti").drop("__s").select(*df.columns)
+    return kept.unionByName(rows.where("__s = ''").select(*df.columns))

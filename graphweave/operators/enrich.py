@@ -15,19 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nested import parse_reply_array
-from .common import broadcast_if_small
 
 ENRICHED_SCHEMA = "technology_name string, definition string, synonyms_reply string, keywords_reply string"
 
 
 def enrich(techs: DataFrame, replies: DataFrame) -> DataFrame:
-    """techs(technology_name) left-join replies(technology_name, definition,
-    synonyms_reply, keywords_reply) -> definition ('' when missing), arrays."""
-    r = replies.select("technology_name", "definition", "synonyms_reply", "keywords_reply")
-    return (techs.join(broadcast_if_small(r), "technology_name", "left")
-            .select("technology_name", F.coalesce("definition", F.lit("")).alias("definition"),
-                    parse_reply_array("synonyms_reply").alias("synonyms"),
-                    parse_reply_array("keywords_reply").alias("keywords")))
+    """techs(technology_name, ...) left-join replies(technology_name, definition,
+    synonyms_reply, keywords_reply): all columns of techs but those three, plus
+    definition ('' when missing) and the two arrays."""
+    r = replies.select("technology_name", F.col("definition").alias("__d"), F.col("synonyms_reply").alias("__s"),
+                       F.col("keywords_reply").alias("__k"))
+    own = [c for c in techs.columns if c not in ("definition", "synonyms", "keywords")]
+    return (techs.select(*own).join(r, "technology_name", "left")
+            .select(*own, F.coalesce("__d", F.lit("")).alias("definition"),
+                    parse_reply_array("__s").alias("synonyms"), parse_reply_array("__k").alias("keywords")))
 
 
 def enrich_with(techs: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nested import first_location, struct_or_text_value
+from ..functions.nested import first_location, first_of_type, struct_or_text_value
 from ..functions.text import blank_trim, join_display_names, split_or_empty, strip, to_date_or_null
 from .dedupe import merge_edges
 
@@ -64,3 +64,23 @@ def links_from_labels(df: DataFrame, id_col: str, labels_col: str, out_id: str)
     return df.select(F.col(id_col).alias(out_id),
                      F.explode(F.filter(F.transform(F.split(F.coalesce(F.col(labels_col), F.lit("")), ";"), strip),
                                         lambda x: x != "")).alias("technology_name"))
+
+
+def wide_company_labels(companies: DataFrame, links: DataFrame, id_col: str = "company_id") -> DataFrame:
+    """Every company with its linked technologies as one string, in alphabetical
+    order joined by '; '; '' for a company without a link."""
+    names = links.groupBy(id_col).agg(F.array_join(F.sort_array(F.collect_set("technology_name")), "; ").alias("__l"))
+    return (companies.join(names, id_col, "left")
+            .select(*companies.columns, F.coalesce("__l", F.lit("")).alias("predicted_technology")))
+
+
+def company_summary(companies: DataFrame) -> DataFrame:
+    """One line per nested company record: name | country | founding date | funding."""
+    p = "properties"
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    country = first_of_type(F.col(f"{p}.location_identifiers"), "country")
+    return companies.select(
+        F.col(f"{p}.identifier.permalink").alias("company_id"),
+        F.concat_ws(" | ", blank(F.col(f"{p}.identifier.value")), blank(country),
+                    struct_or_text_value(f"{p}.founded_on"),
+                    blank(F.col(f"{p}.funding_total.value_usd").cast("decimal(18,2)"))).alias("summary"))

@@ -1,25 +1,21 @@
 """Similarity signals between entities and technologies.
 
 * ``tfidf_similarity``   — word 1-2-gram TF-IDF cosine over a joint corpus.
-* ``cosine_scores``      — cosine of embedding vectors against a small,
-                           size-checked technology matrix (Arrow batches + BLAS).
+* ``cosine_scores``      — cosine of all embedding vectors with all technology
+                           vectors, block by block (Arrow + BLAS).
 * ``label_centroids``    — unit-normalized mean vector per label.
 * ``keyword_overlap``    — exact keyword-set intersection as an exploded equi-join.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType  # noqa: F401
 
 from ..functions.stopwords import ENGLISH
-from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast
+from .common import BROADCAST_MAX_ROWS, broadcast_if_small, stored
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -59,12 +55,15 @@ def with_term_counts(df: DataFrame, terms: str, out: str = "tf") -> DataFrame:
 
 
 def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "entity_id",
-                     tech_id: str = "tech_id", text: str = "text", max_features: int = 5000) -> DataFrame:
+                     tech_id: str = "tech_id", text: str = "text", max_features: int = 5000,
+                     pairs: DataFrame | None = None) -> DataFrame:
     """Cosine of L2-normalized TF-IDF vectors, fitted on technologies and
     entities together: tf = raw count, idf = ln((1+n)/(1+df)) + 1, vocabulary =
     the ``max_features`` terms with the largest corpus count (ties: term order).
 
-    Returns ``(entity_id, tech_id, tfidf)`` for pairs that share a term.
+    Returns ``(entity_id, tech_id, tfidf)`` for pairs that share a term; with
+    ``pairs`` (entity_id, tech_id) only for those, joined on (technology, term)
+    so that a frequent term never meets all technologies.
     Plan: term counts inside each row (no shuffle); one term aggregate with
     map-side combine; a top-k vocabulary (bounded by ``max_features``,
     broadcast); one per-document group for the L2 norm; an equi-join on the
@@ -78,9 +77,8 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
                                         F.col(text).alias("text"))))
     n_docs = corpus.count()
     # per-document (term, tf) arrays feed both the term statistics and the
-    # weights; persisted (memory, spilling to disk) so the tokenizer runs once
-    counted = (with_term_counts(with_ngram_terms(corpus, "text"), "terms").select("side", "id", "tf")
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    # weights; stored in the shared folder so the tokenizer runs once
+    counted = stored(with_term_counts(with_ngram_terms(corpus, "text"), "terms").select("side", "id", "tf"))
     # explode_outer + null filter: a plain explode would make the optimizer push
     # a size(array) > 0 filter below the projections, re-running the tokenizer
     tf = (counted.select("side", "id", F.explode_outer("tf").alias("x")).filter(F.col("x").isNotNull())
@@ -96,13 +94,17 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
           .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn")))
     ent = wn.filter(F.col("side") == 0).select(F.col("id").alias(entity_id), "term", F.col("wn").alias("we"))
     tec = wn.filter(F.col("side") == 1).select(F.col("id").alias(tech_id), "term", F.col("wn").alias("wt"))
-    # the technology side has at most n_techs * max_features rows: check that
-    # bound on the (cheap) input instead of counting the weighted table, which
-    # would run the whole pipeline a second time
-    n_techs = techs.limit(BROADCAST_MAX_ROWS + 1).count()
-    tec_side = F.broadcast(tec) if n_techs * max_features <= BROADCAST_MAX_ROWS * 5 else tec
-    return (ent.join(tec_side, "term")
-            .groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
+    if pairs is not None:
+        asked = pairs.select(F.col(entity_id).cast("string").alias(entity_id),
+                             F.col(tech_id).cast("string").alias(tech_id)).distinct()
+        joined = asked.join(ent, entity_id).join(tec, [tech_id, "term"])
+    else:
+        # the technology side has at most n_techs * max_features rows: check that
+        # bound on the (cheap) input instead of counting the weighted table, which
+        # would run the whole pipeline a second time
+        n_techs = techs.limit(BROADCAST_MAX_ROWS + 1).count()
+        joined = ent.join(F.broadcast(tec) if n_techs * max_features <= BROADCAST_MAX_ROWS * 5 else tec, "term")
+    return (joined.groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
             .select(F.col(entity_id).cast(e_type).alias(entity_id), F.col(tech_id).cast(t_type).alias(tech_id), "tfidf"))
 
 
@@ -117,47 +119,84 @@ def label_centroids(df: DataFrame, label: str, vec: str, out_vec: str = "vec") -
     return vecs.select(F.col(label), F.transform(v, lambda x: x / norm).alias(out_vec))
 
 
+# Scores held at once by one task, and vectors per block of either side.
+SCORE_CELLS = 1 << 22
+VECTOR_BLOCK = 4096
+
+
+def _unit_rows(vectors) -> np.ndarray:
+    """Rows scaled to length one; a zero vector stays zero (its cosines are 0)."""
+    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
 def cosine_scores(entities: DataFrame, techs: DataFrame, entity_id: str, entity_vec: str,
                   tech_id: str, tech_vec: str, min_score: float | None = None,
-                  max_techs: int = 100_000) -> DataFrame:
+                  block: int = VECTOR_BLOCK) -> DataFrame:
     """Cosine of every entity vector with every technology vector.
 
-    The technology matrix must pass a size check (``max_techs`` rows); it is
-    shipped once per executor as a broadcast variable and each Arrow batch of
-    entities is scored with one matrix product, so no pair table is built
-    before scoring.  Only pairs with ``score >= min_score`` are emitted when
-    ``min_score`` is given.  Output ``(entity_id, tech_id, score)``.
+    Both sides are cut into blocks by a hash of the id; a block of entities meets
+    every block of technologies in an equi-join of block numbers and is scored with
+    matrix products of at most ``SCORE_CELLS`` cells, so neither side has to fit one
+    task or the driver.  The number of blocks follows from the counts.  Only pairs
+    with ``score >= min_score`` are emitted when ``min_score`` is given.  Null
+    vectors take no part, a zero vector scores 0.  Output ``(entity_id, tech_id, score)``.
     """
-    # size check and collection in one job: at most max_techs + 1 rows come back
-    rows = techs.select(F.col(tech_id).alias("t"), F.col(tech_vec).alias("v")).limit(max_techs + 1).collect()
-    if len(rows) > max_techs:
-        raise ValueError(f"technology matrix exceeds {max_techs} rows; score in blocks instead")
-    tids = np.array([r.t for r in rows])
-    mat = np.array([np.asarray(r.v, dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
-    if len(rows):
-        mat = mat / np.linalg.norm(mat, axis=1, keepdims=True)
-    spark = entities.sparkSession
-    bc = spark.sparkContext.broadcast((tids, mat))
     e_type = dict(entities.dtypes)[entity_id]
     t_type = dict(techs.dtypes)[tech_id]
+    left = entities.select(F.col(entity_id).alias("id"), F.col(entity_vec).alias("v")).where("v is not null")
+    right = techs.select(F.col(tech_id).alias("id"), F.col(tech_vec).alias("v")).where("v is not null")
+    nl, nr = (max(1, -(-x.count() // block)) for x in (left, right))
+    cell = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # a block of one side meets many of the other: entities are spread over all cores all the same
+    fan = max(1, -(-entities.sparkSession.sparkContext.defaultParallelism // (nl * nr)))
+    left = left.withColumns({"i": cell(nl * fan)}).withColumn("j", every(nr))
+    right = right.withColumns({"j": cell(nr)}).withColumn("i", every(nl * fan))
     schema = f"{entity_id} {e_type}, {tech_id} {t_type}, score double"
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t_ids, m = bc.value
-        for pdf in batches:
-            if pdf.empty or len(t_ids) == 0:
-                continue
-            e = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
-            e = e / np.linalg.norm(e, axis=1, keepdims=True)
-            s = e @ m.T
-            ei = np.repeat(pdf["e"].to_numpy(), len(t_ids))
-            ti = np.tile(t_ids, len(pdf))
-            flat = s.reshape(-1)
-            keep = flat >= min_score if min_score is not None else np.ones(flat.shape, dtype=bool)
-            yield pd.DataFrame({entity_id: ei[keep], tech_id: ti[keep], "score": flat[keep]})
-
-    ents = entities.select(F.col(entity_id).alias("e"), F.col(entity_vec).alias("v"))
-    return ents.mapInPandas(score, schema)
+    def score(e: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        rows, cols, vals = [], [], []
+        if len(e) and len(t):
+            m = _unit_rows(t["v"])
+            step = max(1, SCORE_CELLS // len(t))
+            for at in range(0, len(e), step):
+                s = _unit_rows(e["v"].iloc[at:at + step]) @ m.T
+                r, c = np.nonzero(s >= min_score) if min_score is not None else np.nonzero(np.ones(s.shape, dtype=bool))
+                rows.append(r + at)
+                cols.append(c)
+                vals.append(s[r, c])
+        r = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
+        c = np.concatenate(cols) if cols else np.empty(0, dtype=np.int64)
+        return pd.DataFrame({entity_id: e["id"].to_numpy()[r], tech_id: t["id"].to_numpy()[c],
+                             "score": np.concatenate(vals) if vals else np.empty(0)})
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(score, schema)
+
+
+def cosine_pairs(pairs: DataFrame, entities: DataFrame, techs: DataFrame, entity_id: str, entity_vec: str,
+                 tech_id: str, tech_vec: str) -> DataFrame:
+    """Cosine of the given (entity_id, tech_id) pairs only, inside the JVM."""
+    left = entities.select(F.col(entity_id), F.col(entity_vec).alias("__a")).where("__a is not null")
+    right = techs.select(F.col(tech_id), F.col(tech_vec).alias("__b")).where("__b is not null")
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")),
+                                   F.lit(0.0), lambda acc, v: acc + v)
+    a, b = F.col("__a"), F.col("__b")
+    n = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return (pairs.select(entity_id, tech_id).distinct().join(left, entity_id).join(right, tech_id)
+            .select(entity_id, tech_id, F.when(n > 0, dot(a, b) / n).otherwise(F.lit(0.0)).alias("score")))
+
+
+def gated_cosine(entities: DataFrame, techs: DataFrame, boosted: DataFrame, entity_id: str, entity_vec: str,
+                 tech_id: str, tech_vec: str, low: float) -> DataFrame:
+    """Cosines of all pairs that a decision with gate ``low`` can use: those that
+    reach ``low`` themselves, and the ``boosted`` pairs (entity_id, tech_id) whatever
+    their cosine.  Every other pair stays under the gate."""
+    reach = cosine_scores(entities, techs, entity_id, entity_vec, tech_id, tech_vec, min_score=low)
+    return (cosine_pairs(boosted, entities, techs, entity_id, entity_vec, tech_id, tech_vec)
+            .where(F.col("score") < low).unionByName(reach)
+            .groupBy(entity_id, tech_id).agg(F.max("score").alias("score")))
 
 
 def keyword_overlap(entity_kw: DataFrame, tech_kw: DataFrame, entity_id: str, tech_id: str,

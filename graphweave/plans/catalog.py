@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from ..functions import nested as N
 from ..functions import text as T
 from ..functions.fuzzy import with_token_set_ratio
-from ..operators import cluster, dedupe, graph, harvest, linking, similarity
+from ..operators import cluster, dedupe, enrich, graph, harvest, linking, project, similarity
+from ..sources.readers import read_list_text
+from . import graph_build
 from . import sqltext as S
 from .proxies import bench_techs, doc_papers, part_name_techs, supplier_categories, table
 
@@ -115,7 +117,8 @@ def inverted_index_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 _NESTED_SQL = """
 WITH li AS (SELECT l.l_orderkey, l.l_linenumber, s.s_name, s.s_nationkey, p.p_type, p.p_size, p.p_brand,
                    row_number() OVER (PARTITION BY l.l_orderkey
-                                      ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS pos
+                                      ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) AS pos,
+                   p.p_name, p.p_partkey
             FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey),
      au AS (SELECT l_orderkey, string_agg(s_name, '{sep}' ORDER BY pos) AS authors FROM li GROUP BY l_orderkey),
      i1 AS (SELECT l_orderkey, 'I' || s_nationkey AS id, min(pos) AS f, arg_max(s_name, pos) AS nm FROM li GROUP BY ALL),
@@ -123,7 +126,11 @@ WITH li AS (SELECT l.l_orderkey, l.l_linenumber, s.s_name, s.s_nationkey, p.p_ty
      s1 AS (SELECT l_orderkey, p_type AS id, min(pos) AS f, arg_max(p_type || ' ' || p_size, pos) AS nm FROM li GROUP BY ALL),
      s2 AS (SELECT l_orderkey, string_agg(id || ':' || nm, '|' ORDER BY f) AS subfields FROM s1 GROUP BY l_orderkey),
      f1 AS (SELECT l_orderkey, p_brand AS id, min(pos) AS f FROM li GROUP BY ALL),
-     f2 AS (SELECT l_orderkey, string_agg(id || ':' || id, '|' ORDER BY f) AS fields FROM f1 GROUP BY l_orderkey)
+     f2 AS (SELECT l_orderkey, string_agg(id || ':' || id, '|' ORDER BY f) AS fields FROM f1 GROUP BY l_orderkey),
+     d1 AS (SELECT l_orderkey, p_type[1] AS id, min(pos) AS f, arg_max(p_type, pos) AS nm FROM li GROUP BY ALL),
+     d2 AS (SELECT l_orderkey, string_agg(id || ':' || nm, '|' ORDER BY f) AS domains FROM d1 GROUP BY l_orderkey),
+     k2 AS (SELECT l_orderkey, string_agg(p_name, '|' ORDER BY pos) AS topics,
+                   string_agg(p_partkey || ':' || p_name, '|' ORDER BY pos) AS keywords FROM li GROUP BY l_orderkey)
 """
 
 
@@ -149,14 +156,18 @@ def _raw_papers(spark: SparkSession, sf: str) -> DataFrame:
                      F.struct(F.col("p_type").alias("id"),
                               F.concat_ws(" ", "p_type", F.col("p_size").cast("string")).alias("display_name")).alias("subfield"),
                      F.struct(F.col("p_brand").alias("id"), F.col("p_brand").alias("display_name")).alias("field"),
-                     F.lit(None).cast("struct<id:string,display_name:string>").alias("domain"))
+                     F.struct(F.substring("p_type", 1, 1).alias("id"), F.col("p_type").alias("display_name")).alias("domain"))
+    keyword = F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("display_name"),
+                       F.col("l_quantity").cast("double").alias("score"), F.lit("x").alias("url"))
     nested = x.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.struct("pos", author.alias("a")))).alias("au"),
-        F.sort_array(F.collect_list(F.struct("pos", topic.alias("t")))).alias("tp"))
+        F.sort_array(F.collect_list(F.struct("pos", topic.alias("t")))).alias("tp"),
+        F.sort_array(F.collect_list(F.struct("pos", keyword.alias("k")))).alias("kw"))
     return (nested.join(o, nested.l_orderkey == o.o_orderkey)
             .select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
                     F.transform("au", lambda e: e["a"]).alias("authorships"),
-                    F.transform("tp", lambda e: e["t"]).alias("topics")))
+                    F.transform("tp", lambda e: e["t"]).alias("topics"),
+                    F.transform("kw", lambda e: e["k"]).alias("keywords")))
 
 
 def _clean_papers(raw: DataFrame) -> DataFrame:
@@ -165,7 +176,7 @@ def _clean_papers(raw: DataFrame) -> DataFrame:
     c = raw.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
                    N.slim_authors("authorships").alias("authorships_c"),
                    N.paper_institutions("authorships").alias("institutions"),
-                   N.slim_topics("topics").alias("topics_c"),
+                   N.slim_topics("topics").alias("topics_c"), N.slim_keywords("keywords").alias("keywords"),
                    N.topic_level("topics", "subfield").alias("subfields"),
                    N.topic_level("topics", "field").alias("fields"),
                    N.topic_level("topics", "domain").alias("domains"))
@@ -173,8 +184,9 @@ def _clean_papers(raw: DataFrame) -> DataFrame:
 
 
 @register("clean_nested", _NESTED_SQL.format(sep="|", inst="id || ':' || nm") + """
-SELECT au.l_orderkey AS o_orderkey, authors, institutions, subfields, fields
+SELECT au.l_orderkey AS o_orderkey, authors, institutions, subfields, fields, domains, topics, keywords
 FROM au JOIN i2 USING (l_orderkey) JOIN s2 USING (l_orderkey) JOIN f2 USING (l_orderkey)
+JOIN d2 USING (l_orderkey) JOIN k2 USING (l_orderkey)
 """)
 def clean_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Slim authors, institutions unique by id (first position, last value),
@@ -185,7 +197,10 @@ def clean_nested(spark: SparkSession, sf: str) -> DataFrame:
                     j("authorships", lambda a: a["display_name"]).alias("authors"),
                     j("institutions", lambda i: F.concat(i["id"], F.lit(":"), i["display_name"])).alias("institutions"),
                     j("subfields", lambda i: F.concat(i["id"], F.lit(":"), i["display_name"])).alias("subfields"),
-                    j("fields", lambda i: F.concat(i["id"], F.lit(":"), i["display_name"])).alias("fields"))
+                    j("fields", lambda i: F.concat(i["id"], F.lit(":"), i["display_name"])).alias("fields"),
+                    j("domains", lambda i: F.concat(i["id"], F.lit(":"), i["display_name"])).alias("domains"),
+                    j("topics", lambda t: t["display_name"]).alias("topics"),
+                    j("keywords", lambda k: F.concat(k["id"], F.lit(":"), k["display_name"])).alias("keywords"))
 
 
 # -------------------------------------------------------------- flatten names
@@ -494,7 +509,7 @@ cats AS (SELECT DISTINCT company_id, {S.category('c')} AS cat FROM cats0),
 tn AS (SELECT DISTINCT p_name AS technology_name FROM part),
 tname AS (SELECT technology_name, {S.category('technology_name')} AS target FROM tn),
 tkw AS (SELECT DISTINCT technology_name, {S.category('lower(k)')} AS target FROM (
-          SELECT technology_name, unnest([split_part(technology_name, ' ', 1), split_part(technology_name, ' ', 2),
+          SELECT technology_name, unnest([lower(technology_name), split_part(technology_name, ' ', 1), split_part(technology_name, ' ', 2),
                                           split_part(technology_name, ' ', 1) || 's',
                                           'x' || split_part(technology_name, ' ', 2)]) AS k FROM tn)),
 nkw AS (SELECT technology_name, count(*) AS n_kw FROM tkw GROUP BY technology_name),
@@ -621,11 +636,14 @@ def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
     docs = doc_papers(spark, sf)
     techs = bench_techs(spark, sf)
     e = table(spark, sf, "embeddings")
-    cents = similarity.label_centroids(e, "label", "embedding")
-    emb = (similarity.cosine_scores(e, cents, "vec_id", "embedding", "label", "vec", min_score=0.20 - 0.30)
-           .select(F.col("vec_id").alias("entity_id"), F.col("label").cast("long").alias("tech_id"),
-                   F.col("score").alias("emb")))
-    tf = similarity.tfidf_similarity(docs.select("entity_id", "text"), techs.select("tech_id", F.col("description").alias("text")))
+    cents = similarity.label_centroids(e, "label", "embedding").select(F.col("label").cast("long").alias("tech_id"), "vec")
+    boosted = linking.boost_pairs(docs, "entity_id", "title", techs, "tech_id", "tech_name")
+    emb = similarity.gated_cosine(e.select(F.col("vec_id").alias("entity_id"), "embedding"), cents, boosted, "entity_id",
+                                  "embedding", "tech_id", "vec", 0.20).withColumnRenamed("score", "emb")
+
+    def tf(pairs: DataFrame) -> DataFrame:
+        return similarity.tfidf_similarity(docs.select("entity_id", "text"),
+                                           techs.select("tech_id", F.col("description").alias("text")), pairs=pairs)
     first_word = F.coalesce(T.ws_split("text")[0], F.lit(""))
     ent_kw = docs.select("entity_id", T.split_set(F.concat(F.col("lang"), F.lit(","), F.col("source"), F.lit(";"),
                                                            first_word)).alias("keywords"))
@@ -636,10 +654,13 @@ def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ company links
 _COMPANY_SQL = "WITH " + _CAT_SQL.strip() + """,
-comps AS (SELECT s.s_suppkey AS company_id, s.s_name AS company_name,
-                 concat_ws(' ', s.s_name, coalesce((SELECT string_agg(c, ' ' ORDER BY c) FROM cats0
+names AS (SELECT s.s_suppkey, CASE WHEN s.s_suppkey % 3 = 0 AND p.p_name IS NOT NULL THEN s.s_name || ' ' || upper(p.p_name)
+                                  ELSE s.s_name END AS company_name
+          FROM supplier s LEFT JOIN part p ON p.p_partkey = s.s_suppkey),
+comps AS (SELECT s.s_suppkey AS company_id, s.company_name,
+                 concat_ws(' ', s.company_name, coalesce((SELECT string_agg(c, ' ' ORDER BY c) FROM cats0
                                                     WHERE cats0.company_id = s.s_suppkey), '')) AS text
-          FROM supplier s),
+          FROM names s),
 techs AS (SELECT min(p_partkey) AS tech_id, p_name AS tech_name,
                  concat_ws(' ', p_name, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2),
                            split_part(p_name, ' ', 1) || 's', 'x' || split_part(p_name, ' ', 2)) AS description
@@ -674,16 +695,19 @@ def company_links(spark: SparkSession, sf: str) -> DataFrame:
     direct = linking.category_direct(comps, techs, 75, 0.40)
     e = table(spark, sf, "embeddings")
     tvec = techs.join(e, techs.tech_id == e.vec_id).select("tech_id", F.col("embedding").alias("vec"))
-    emb = (similarity.cosine_scores(e.join(comps.select(F.col("company_id").alias("vec_id")), "vec_id", "left_semi"),
-                                    tvec, "vec_id", "embedding", "tech_id", "vec", min_score=0.20 - 0.50)
-           .select(F.col("vec_id").alias("company_id"), "tech_id", F.col("score").alias("emb")))
+    named = linking.boost_pairs(comps, "company_id", "company_name", techs, "tech_id", "technology_name")
+    emb = similarity.gated_cosine(
+        e.select(F.col("vec_id").alias("company_id"), "embedding").join(comps.select("company_id"), "company_id", "left_semi"),
+        tvec, named, "company_id", "embedding", "tech_id", "vec", 0.20).withColumnRenamed("score", "emb")
     ctext = comps.select("company_id", "company_name",
                          F.concat_ws(" ", "company_name", F.array_join("categories", " ")).alias("text"))
     tdesc = techs.select("tech_id", F.col("technology_name").alias("tech_name"),
-                         F.concat_ws(" ", "technology_name", F.array_join("keywords", " ")).alias("description"))
-    tf = (similarity.tfidf_similarity(ctext.select(F.col("company_id").alias("entity_id"), "text"),
-                                      tdesc.select("tech_id", F.col("description").alias("text")))
-          .withColumnRenamed("entity_id", "company_id"))
+                         F.array_join("keywords", " ").alias("description"))
+
+    def tf(pairs: DataFrame) -> DataFrame:
+        return similarity.tfidf_similarity(ctext.select("company_id", "text"),
+                                           tdesc.select("tech_id", F.col("description").alias("text")),
+                                           entity_id="company_id", pairs=pairs)
     return linking.link_companies(emb, ctext, tdesc, tf, direct, high=0.30, low=0.20, th_tfidf=0.28, th_fuzzy=0.45)
 
 
@@ -764,6 +788,10 @@ FROM au JOIN i2 USING (l_orderkey) JOIN orders o ON o.o_orderkey = au.l_orderkey
 """)
 def nodes_paper(spark: SparkSession, sf: str) -> DataFrame:
     """Paper nodes from clean (not deduplicated) nested papers."""
+    return _paper_nodes(spark, sf)
+
+
+def _paper_nodes(spark: SparkSession, sf: str) -> DataFrame:
     c = _clean_papers(_raw_papers(spark, sf))
     papers = c.select(F.concat(F.lit("W"), F.col("o_orderkey").cast("string")).alias("id"),
                       F.when(F.col("o_orderstatus") != "P",
@@ -774,6 +802,11 @@ def nodes_paper(spark: SparkSession, sf: str) -> DataFrame:
     return graph.paper_nodes(papers)
 
 
+_COMPANY_NODES_FROM = """
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+
 @register("nodes_company", """
 SELECT 'c-' || c.c_custkey AS company_id, trim(c.c_name) AS company_name,
        CASE WHEN c.c_acctbal < 0 THEN strftime(DATE '2020-01-01' + c.c_nationkey, '%Y-%m-%d')
@@ -788,6 +821,10 @@ def nodes_company(spark: SparkSession, sf: str) -> DataFrame:
     """Company nodes from nested company records (customers): founded_on is a
     JSON ``{"value": ...}`` text for some and a plain date for others, funding
     0 (machinery) becomes blank."""
+    return graph.company_nodes(_raw_companies(spark, sf))
+
+
+def _raw_companies(spark: SparkSession, sf: str) -> DataFrame:
     x = _locations(table(spark, sf, "customer"), table(spark, sf, "nation"), table(spark, sf, "region"))
     founded = F.when(F.col("c_acctbal") < 0,
                      F.concat(F.lit('{"value": "'),
@@ -801,7 +838,7 @@ def nodes_company(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(0.0)).otherwise(F.col("c_acctbal"))
                  .alias("value_usd")).alias("funding_total"),
         F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("funding_stage"))
-    return graph.company_nodes(x.select(props.alias("properties")))
+    return x.select(props.alias("properties"))
 
 
 @register("edge_load", """
@@ -817,3 +854,219 @@ def edge_load(spark: SparkSession, sf: str) -> DataFrame:
     papers = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
     parts = table(spark, sf, "part")
     return graph.load_edges(li, papers, parts, "paper_id", "tech_id", "o_orderkey", "p_partkey")
+
+
+# ------------------------------------------------------ normalization jobs
+def _greedy_sql(rows: str, threshold: int) -> str:
+    """CTEs ``kept(ts, pos)``: the sequential scan over ``rows`` (pos, name), one string once."""
+    return f"""
+n0 AS ({rows}),
+n1 AS (SELECT {S.token_sort('name')} AS ts, min(pos) AS pos FROM n0 GROUP BY 1),
+n AS (SELECT ts, pos, row_number() OVER (ORDER BY pos) AS rn FROM n1 WHERE ts <> ''),
+scan(rn, kept) AS (
+  SELECT 0, []::VARCHAR[]
+  UNION ALL
+  SELECT n.rn, CASE WHEN len(list_filter(scan.kept, lambda x: 200 * {S.lcs('x', 'n.ts')}
+                                         >= {threshold} * (length(x) + length(n.ts)))) > 0
+                    THEN scan.kept ELSE list_append(scan.kept, n.ts) END
+  FROM scan JOIN n ON n.rn = scan.rn + 1),
+kept AS (SELECT n.ts, n.pos FROM n WHERE list_contains((SELECT kept FROM scan ORDER BY rn DESC LIMIT 1), n.ts))
+"""
+
+
+@register("normalize_papers", f"""
+WITH RECURSIVE p AS (SELECT p_partkey AS pos, 'W' || (p_partkey // 2) AS id, {S.norm("coalesce(' ' || upper(p_name) || '!', '')")} AS title_norm,
+            CASE WHEN p_size % 2 = 0 THEN {S.strip("lower(' HTTPS://doi.org/' || p_brand || '/' || p_size || ' ')")} ELSE '' END AS doi_norm
+            FROM part),
+d AS (SELECT doi_norm, min(pos) AS pos FROM p WHERE doi_norm <> '' GROUP BY doi_norm),
+{_greedy_sql("SELECT pos, title_norm AS name FROM p WHERE doi_norm = ''", 85)}
+SELECT p.id, p.title_norm, p.doi_norm FROM p WHERE p.pos IN (SELECT pos FROM d) OR p.pos IN (SELECT pos FROM kept)
+""")
+def normalize_papers(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as papers in key order (two rows share each id): even sizes have a
+    DOI and are deduplicated on it, the others fuzzily on the title."""
+    p = table(spark, sf, "part")
+    names = F.array().cast("array<struct<display_name:string>>")
+    clean = p.select(
+        F.col("p_partkey").alias("pos"), F.concat(F.lit("W"), F.floor(F.col("p_partkey") / 2).cast("string")).alias("id"),
+        F.when(F.col("p_size") % 2 == 0, F.concat(F.lit(" HTTPS://doi.org/"), F.col("p_brand"), F.lit("/"),
+                                                  F.col("p_size").cast("string"), F.lit(" "))).alias("doi"),
+        F.concat(F.lit(" "), F.upper("p_name"), F.lit("!")).alias("title"), F.lit("2021-01-01").alias("publication_date"),
+        F.lit("").alias("abstract"), *[names.alias(c) for c in ("keywords", "topics", "subfields", "fields")])
+    return graph_build.normalize_papers(clean, position="pos").select("id", "title_norm", "doi_norm")
+
+
+@register("normalize_technologies", f"""
+WITH RECURSIVE {_greedy_sql("SELECT p_partkey AS pos, " + S.norm("p_name || CASE WHEN p_partkey % 7 = 0 THEN 's' ELSE '' END")
+                            + " AS name FROM part", 90)}
+SELECT p_partkey AS first_key, p_name || CASE WHEN p_partkey % 7 = 0 THEN 's' ELSE '' END AS technology_name
+FROM part WHERE p_partkey IN (SELECT pos FROM kept)
+""")
+def normalize_technologies(spark: SparkSession, sf: str) -> DataFrame:
+    """Part names, every seventh in the plural, exact then fuzzy (90) dedupe in key order."""
+    return graph_build.normalize_technologies(_tech_rows(spark, sf), "first_key").select("first_key", "technology_name")
+
+
+def _tech_rows(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    plural = F.when(F.col("p_partkey") % 7 == 0, F.lit("s")).otherwise(F.lit(""))
+    return p.select(F.col("p_partkey").alias("first_key"), F.concat("p_name", plural).alias("technology_name"))
+
+
+@register("cleaning_counts", f"""
+WITH RECURSIVE {_greedy_sql("SELECT p_partkey AS pos, " + S.norm("p_name || CASE WHEN p_partkey % 7 = 0 THEN 's' ELSE '' END")
+                            + " AS name FROM part", 90)}
+SELECT (SELECT count(*) FROM part) AS rows_before, (SELECT count(*) FROM kept) AS rows_after
+""")
+def cleaning_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Technology rows before and after the cleaning step."""
+    t = _tech_rows(spark, sf)
+    return graph_build.cleaning_counts(t, graph_build.normalize_technologies(t, "first_key"))
+
+
+# ------------------------------------------------------------ enrichment
+@register("enriched_technologies", """
+WITH t AS (SELECT p_name AS technology_name, min(p_partkey) AS k FROM part GROUP BY p_name),
+r AS (SELECT t.technology_name, p.p_type AS definition, p.p_brand AS brand, k FROM t JOIN part p ON p.p_partkey = t.k WHERE k % 3 <> 0)
+SELECT t.technology_name, t.k AS tech_pos, coalesce(r.definition, '') AS definition,
+       CASE WHEN r.k % 3 = 1 THEN r.brand || '|' || t.technology_name ELSE '' END AS synonyms,
+       CASE WHEN r.k IS NOT NULL THEN r.brand ELSE '' END AS keywords
+FROM t LEFT JOIN r USING (technology_name)
+""")
+def enriched_technologies(spark: SparkSession, sf: str) -> DataFrame:
+    """Technologies left-joined with stored replies; a third has none, another
+    third answers "I don't know" for the synonyms."""
+    p = table(spark, sf, "part")
+    t = p.groupBy(F.col("p_name").alias("technology_name")).agg(F.min("p_partkey").alias("tech_pos"))
+    js = lambda *c: F.concat(F.lit('["'), F.concat_ws('", "', *c), F.lit('"]'))
+    replies = (t.join(p, F.col("tech_pos") == F.col("p_partkey")).where("tech_pos % 3 <> 0")
+               .select("technology_name", F.col("p_type").alias("definition"),
+                       F.when(F.col("tech_pos") % 3 == 1, js("p_brand", "technology_name"))
+                       .otherwise(F.lit("I don't know")).alias("synonyms_reply"), js("p_brand").alias("keywords_reply")))
+    out = enrich.enrich(t, replies)
+    return out.select("technology_name", "tech_pos", "definition", F.array_join("synonyms", "|").alias("synonyms"),
+                      F.array_join("keywords", "|").alias("keywords"))
+
+
+# ------------------------------------------------- graph-load forms
+@register("typed_nodes_paper", _NESTED_SQL.format(sep="; ", inst="nm") + """
+SELECT 'W' || o.o_orderkey AS paper_id, len(string_split(au.authors, ';')) AS n_authors,
+       array_to_string(list_transform(string_split(au.authors, ';'), lambda x: trim(x)), '|') AS authors,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS pub_date,
+       array_to_string(list_transform(string_split(i2.institutions, ';'), lambda x: trim(x)), '|') AS institutions
+FROM au JOIN i2 USING (l_orderkey) JOIN orders o ON o.o_orderkey = au.l_orderkey
+""")
+def typed_nodes_paper(spark: SparkSession, sf: str) -> DataFrame:
+    """Paper nodes in graph-load form: arrays from ';'-joined text, a typed date."""
+    n = graph.typed_paper_nodes(_paper_nodes(spark, sf))
+    return n.select("paper_id", F.size("authors").alias("n_authors"), F.array_join("authors", "|").alias("authors"),
+                    F.date_format("pub_date", "yyyy-MM-dd").alias("pub_date"),
+                    F.array_join("institutions", "|").alias("institutions"))
+
+
+@register("wide_company_labels", "WITH " + _CAT_SQL + """
+SELECT s.s_suppkey AS company_id,
+       coalesce((SELECT string_agg(technology_name, '; ' ORDER BY technology_name) FROM direct d
+                 WHERE d.company_id = s.s_suppkey), '') AS predicted_technology FROM supplier s
+""")
+def wide_company_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Every supplier with its direct technologies in one alphabetical string."""
+    comps = supplier_categories(spark, sf)
+    links = linking.category_direct(comps, part_name_techs(spark, sf), 75, 0.40)
+    return graph.wide_company_labels(comps.select("company_id"), links)
+
+
+@register("label_rows", """
+SELECT p_partkey AS paper_id, unnest(list_filter([p_brand, trim(p_type), CASE WHEN p_size % 2 = 0 THEN p_name ELSE '' END],
+                                                 lambda x: x <> '')) AS technology_name FROM part
+""")
+def label_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A ';'-joined label string per part as one row per label, blanks dropped."""
+    p = table(spark, sf, "part")
+    labels = F.concat_ws("; ", "p_brand", F.concat(F.lit(" "), F.col("p_type")),
+                         F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(F.lit(" ")), F.lit(""))
+    return graph.links_from_labels(p.select("p_partkey", labels.alias("labels")), "p_partkey", "labels", "paper_id")
+
+
+@register("company_summary", """
+SELECT 'c-' || c.c_custkey AS company_id, c.c_name || ' | ' || n.n_name || ' | ' ||
+       CASE WHEN c.c_acctbal < 0 THEN strftime(DATE '2020-01-01' + c.c_nationkey, '%Y-%m-%d')
+            ELSE '2021-06-' || lpad(CAST(c.c_nationkey + 1 AS VARCHAR), 2, '0') END || ' | ' ||
+       CAST(CAST(CASE WHEN c.c_mktsegment = 'MACHINERY' THEN 0 ELSE c.c_acctbal END AS DECIMAL(18,2)) AS VARCHAR) AS summary
+""" + _COMPANY_NODES_FROM)
+def company_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Name | country | founding date | funding of every company."""
+    return graph.company_summary(_raw_companies(spark, sf))
+
+
+# ----------------------------------------------------------- projections and texts
+@register("paper_projection", """
+SELECT p_partkey AS id, p_name AS title, '' AS abstract, p_brand || ' ' || p_type AS definition_text,
+       'a|' || p_brand AS list_items FROM part
+""")
+def paper_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """Wanted columns that exist are kept, a missing one is added, a list
+    literal becomes an array."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), "p_brand", "p_type",
+                                        F.col("p_size").alias("unused"))
+    lst = F.concat(F.lit("['a', '"), F.col("p_brand"), F.lit("']"))
+    x = p.withColumn("list_items", F.array_join(read_list_text(lst), "|"))
+    x = x.withColumn("definition_text", F.concat_ws(" ", "p_brand", "p_type"))
+    x = project.ensure_column(x, "abstract")
+    return project.select_present(x, ["id", "doi", "title", "abstract", "definition_text", "list_items"])
+
+
+# --------------------------------------------------------- clusters
+@register("cluster_members", _CLUSTER_SQL + """
+SELECT l.cluster_id, string_agg('v' || l.vec_id, '|' ORDER BY l.vec_id) AS members
+FROM labels l WHERE l.cluster_id <> -1 GROUP BY l.cluster_id
+""")
+def cluster_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Member names of every cluster, in id order."""
+    lab = leaf_clusters(spark, sf)
+    names = table(spark, sf, "embeddings").select("vec_id", F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("name"))
+    return cluster.members_per_cluster(lab, names, "vec_id", "name").select(
+        "cluster_id", F.array_join("members", "|").alias("members"))
+
+
+@register("singleton_clusters", _CLUSTER_SQL + """
+SELECT vec_id, CASE WHEN cluster_id <> -1 THEN cluster_id
+       ELSE (SELECT max(cluster_id) FROM labels) + row_number() OVER (PARTITION BY cluster_id ORDER BY vec_id) END AS cluster_id
+FROM labels
+""")
+def singleton_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Noise points numbered after the largest cluster, in id order."""
+    return cluster.leaf_clusters(table(spark, sf, "embeddings"), "vec_id", "embedding", noise="singleton")
+
+
+# --------------------------------------------------- partial ratio on whole names
+_SHORT_TEXT_SQL = """CASE p_size % 3 WHEN 0 THEN 'x' || replace(p_name, 'e', '') WHEN 1 THEN lower(p_brand) || ' ' || p_name
+                     ELSE p_type || ' ' || p_brand END"""
+
+
+@register("partial_ratio_names", f"""
+WITH p AS (SELECT p_partkey AS paper_id, {S.norm(_SHORT_TEXT_SQL)} AS txt, p_brand, p_type FROM part),
+t AS (SELECT DISTINCT p_name AS technology_name, {S.norm('p_name')} AS ph FROM part),
+pr AS (SELECT x.txt, t.technology_name, t.ph, CASE WHEN length(t.ph) <= length(x.txt) THEN t.ph ELSE x.txt END AS needle,
+              CASE WHEN length(t.ph) <= length(x.txt) THEN x.txt ELSE t.ph END AS hay
+       FROM (SELECT DISTINCT txt FROM p) x CROSS JOIN t WHERE t.ph <> '' AND x.txt <> ''),
+w AS (SELECT DISTINCT needle, unnest(list_transform(range(1, length(hay) - length(needle) + 2), lambda i: substr(hay, i::INT, length(needle)::INT))
+             || list_transform(range(1, length(needle)), lambda k: left(hay, k::INT))
+             || list_transform(range(1, length(needle)), lambda k: right(hay, k::INT))) AS win, txt, technology_name FROM pr),
+sc AS (SELECT needle, win, {S.ratio('needle', 'win')} AS r FROM (SELECT DISTINCT needle, win FROM w)),
+hit AS (SELECT DISTINCT w.txt, w.technology_name FROM w JOIN sc USING (needle, win) WHERE sc.r >= 85
+        UNION SELECT txt, technology_name FROM pr WHERE contains(txt, ph)),
+lk AS (SELECT DISTINCT p.paper_id, hit.technology_name FROM p JOIN hit USING (txt))
+SELECT * FROM lk
+UNION SELECT paper_id, unnest([p_brand, p_type]) FROM p WHERE paper_id NOT IN (SELECT paper_id FROM lk)
+""")
+def partial_ratio_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts with a damaged name, a whole name or no name against all part names:
+    phrase or partial ratio >= 85, else the brand and type labels."""
+    p = table(spark, sf, "part")
+    third = F.col("p_size") % 3
+    txt = (F.when(third == 0, F.concat(F.lit("x"), F.replace(F.col("p_name"), F.lit("e"), F.lit(""))))
+           .when(third == 1, F.concat_ws(" ", F.lower("p_brand"), "p_name")).otherwise(F.concat_ws(" ", "p_type", "p_brand")))
+    papers = p.select(F.col("p_partkey").alias("paper_id"), txt.alias("combined"),
+                      F.concat_ws("; ", "p_brand", "p_type").alias("predicted_technology"))
+    return linking.link_papers(papers, p.select(F.col("p_name").alias("technology_name")).distinct(), threshold=85)

@@ -68,18 +68,22 @@ def doc_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_name_techs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct part names as technologies, in order of their first part key.
 
-    keywords: adjective, noun, adjective + 's', 'x' + noun.
+    keywords: the name itself, adjective, noun, adjective + 's', 'x' + noun.
     """
     p = table(spark, sf_dir, "part")
     names = p.groupBy("p_name").agg(F.min("p_partkey").alias("tech_pos"))
     w = F.split(F.col("p_name"), " ")
     return names.select(F.col("tech_pos").alias("tech_id"), "tech_pos", F.col("p_name").alias("technology_name"),
-                        F.array(w[0], w[1], F.concat(w[0], F.lit("s")), F.concat(F.lit("x"), w[1])).alias("keywords"))
+                        F.array(F.lower("p_name"), w[0], w[1], F.concat(w[0], F.lit("s")), F.concat(F.lit("x"), w[1])).alias("keywords"))
 
 
 def supplier_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """company_id (supplier), company_name, categories: the words of the names
-    of the parts it supplies plus their type with a trailing '_'."""
+    of the parts it supplies plus their type with a trailing '_'.
+
+    Every third supplier's name also holds the (upper-cased) name of the part
+    with its key, so the name boost of the company links has cases to fire on.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct()
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -89,6 +93,9 @@ def supplier_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("cat"))
              .distinct())
     cats = words.groupBy("company_id").agg(F.sort_array(F.collect_list("cat")).alias("categories"))
-    return (s.join(cats, s.s_suppkey == cats.company_id, "left")
-            .select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("company_name"),
+    named = s.join(p.select(F.col("p_partkey").alias("s_suppkey"), "p_name"), "s_suppkey", "left")
+    name = F.when((F.col("s_suppkey") % 3 == 0) & F.col("p_name").isNotNull(),
+                  F.concat_ws(" ", "s_name", F.upper("p_name"))).otherwise(F.col("s_name"))
+    return (named.join(cats, F.col("s_suppkey") == cats.company_id, "left")
+            .select(F.col("s_suppkey").alias("company_id"), name.alias("company_name"),
                     F.coalesce("categories", F.array().cast("array<string>")).alias("categories")))

@@ -16,15 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from graphweave.plans.catalog import QUERIES  # noqa: E402
 from graphweave.session import build_session  # noqa: E402
 
-# Headline queries, in the order of the linking job.
-HEADLINE = [
-    "bridge_join", "topk_per_year", "company_search", "inverted_index_roundtrip", "clean_nested",
-    "flatten_names", "normalize_text", "normalize_category", "date_coerce", "first_location",
-    "keyword_split_overlap", "parse_json_reply", "exact_dedupe", "indel_ratio_pairs", "fuzzy_dedupe",
-    "phrase_links", "partial_ratio_links", "tfidf_cosine", "embedding_cosine", "token_set_ratio",
-    "category_direct", "cascade_label", "multi_signal_labels", "company_links", "leaf_clusters",
-    "final_tech_list", "nodes_technology", "nodes_paper", "nodes_company", "edge_load",
-]
+# All registered queries of the linking library, in the order of its job.
+HEADLINE = list(QUERIES)
 
 
 def main() -> None:

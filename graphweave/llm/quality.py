@@ -2,8 +2,9 @@
 
 Two base rules are fixed: a minimum of words and a maximum share of words in
 repeated 8-word windows.  The other rules compare a document with what is usual
-for its language and source: symbols per word, repeated lines per line, and
-the mean word length (both ends).
+for its language and source: symbols and exclamation marks per word, words that
+repeat the word before them, repeated lines per line, and the mean word length
+(both ends).
 
 Thresholds come from mergeable quantile sketches: counts of values in
 log-linear integer buckets (exact below 64, then 32 buckets per power of two, so
@@ -38,7 +39,7 @@ MIN_GROUP = 200
 SPREAD = 4
 CEILING = 2
 # Least spread of each rule, in the rule's own unit (see ``rules``).
-LEAST_SPREAD = {"symbols": 20, "dup_lines": 100, "length": 20}
+LEAST_SPREAD = {"symbols": 20, "dup_lines": 100, "length": 50, "bangs": 20, "stutter": 25}
 
 
 def _flat(text: Column) -> Column:
@@ -69,7 +70,8 @@ def document_numbers(documents: DataFrame, text_col: str = "text") -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(WS)) != "")
     first = documents.withColumns({
         "_flat": _flat(text), "_lines": lines,
-        "n_symbols": _symbols(text).cast("long")})
+        "n_symbols": _symbols(text).cast("long"),
+        "n_bangs": (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("!"), F.lit("")))).cast("long")})
     second = first.withColumns({
         "_words": F.transform(F.array_remove(F.split("_flat", " ", -1), ""), lambda w: F.xxhash64(w)),
         "word_chars": F.char_length(F.replace(F.col("_flat"), F.lit(" "), F.lit(""))).cast("long"),
@@ -79,6 +81,8 @@ def document_numbers(documents: DataFrame, text_col: str = "text") -> DataFrame:
         F.array().cast("array<int>"))
     third = second.withColumns({
         "n_words": F.size("_words").cast("long"),
+        "n_stutter": F.size(F.filter(F.col("_words"), lambda w, i: F.when(i > 0, _at("_words", i - 1) == w).otherwise(
+            F.lit(False)))).cast("long"),
         "_win": F.transform(starts, lambda i: F.xxhash64(*[_at("_words", i + k) for k in range(WINDOW)]))})
     fourth = third.withColumn("_sorted", F.when(
         F.size(F.array_distinct("_win")) < F.size("_win"),
@@ -101,11 +105,13 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Value of each adaptive rule: symbols per 1,000 words, repeated lines per
-    1,000 lines, characters per 100 words."""
+    """Value of each adaptive rule: symbols, exclamation marks and words equal to the
+    word before per 1,000 words, repeated lines per 1,000 lines, characters per 100 words."""
     return {"symbols": F.expr("1000 * n_symbols div greatest(n_words, 1L)"),
             "dup_lines": F.expr("1000 * n_dup_lines div greatest(n_lines, 1L)"),
-            "length": F.expr("100 * word_chars div greatest(n_words, 1L)")}
+            "length": F.expr("100 * word_chars div greatest(n_words, 1L)"),
+            "bangs": F.expr("1000 * n_bangs div greatest(n_words, 1L)"),
+            "stutter": F.expr("1000 * n_stutter div greatest(n_words, 1L)")}
 
 
 # Lower end of the bucket of a value v (v >= 0): v itself below 64, else its six leading bits.
@@ -131,7 +137,7 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """(lang, source, max_symbols, max_dup_lines, max_length, min_length) of every group."""
+    """(lang, source, max_symbols, max_dup_lines, max_length, min_length, max_bangs, max_stutter) of every group."""
     least = F.create_map(*[F.lit(x) for kv in LEAST_SPREAD.items() for x in kv])[F.col("rule")]
     spread = SPREAD * F.greatest(F.col("q3") - F.col("q1"), least)
 
@@ -154,7 +160,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     of = lambda r, e: F.max(F.when(F.col("rule") == r, F.col(e)))
     return chosen.groupBy("lang", "source").agg(
         of("symbols", "hi").alias("max_symbols"), of("dup_lines", "hi").alias("max_dup_lines"),
-        of("length", "hi").alias("max_length"), of("length", "lo").alias("min_length"))
+        of("length", "hi").alias("max_length"), of("length", "lo").alias("min_length"),
+        of("bangs", "hi").alias("max_bangs"), of("stutter", "hi").alias("max_stutter"))
 
 
 def judge(numbers: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -162,7 +169,8 @@ def judge(numbers: DataFrame, limits: DataFrame, lang_col: str = "lang", source_
     t = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     v = rules()
     good = ((v["symbols"] <= F.col("max_symbols")) & (v["dup_lines"] <= F.col("max_dup_lines"))
-            & (v["length"] <= F.col("max_length")) & (v["length"] >= F.col("min_length")))
+            & (v["length"] <= F.col("max_length")) & (v["length"] >= F.col("min_length"))
+            & (v["bangs"] <= F.col("max_bangs")) & (v["stutter"] <= F.col("max_stutter")))
     return (numbers.join(t, F.col(lang_col).eqNullSafe(F.col("_lang")) & F.col(source_col).eqNullSafe(F.col("_source")),
                          "left")
             .withColumn("base_failed", base_failed())

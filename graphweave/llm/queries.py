@@ -113,7 +113,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and adaptive rules per language and source on every document."""
     out = quality.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", "max_symbols", "max_dup_lines", "max_length", "min_length")
+                      "kept", "max_symbols", "max_dup_lines", "max_length", "min_length", "max_bangs", "max_stutter")
 
 
 ORACLE["op5_quality_rules"] = r"""
@@ -126,16 +126,22 @@ g AS (SELECT rid, p, lead(p) OVER (PARTITION BY rid ORDER BY p) AS nx FROM k WHE
 r AS (SELECT rid, sum(least(8, coalesce(nx - p, 8)))::BIGINT AS n FROM g GROUP BY rid),
 m AS (SELECT e.rid, doc_id, lang, source, len(words)::BIGINT AS n_words,
              length(array_to_string(words, ''))::BIGINT AS word_chars,
-             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_bangs,
+             len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1]))::BIGINT AS n_stutter, len(lines)::BIGINT AS n_lines,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
       FROM e LEFT JOIN r ON e.rid = r.rid),
 b AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
              1000 * n_symbols // greatest(n_words, 1) AS v_symbols,
              1000 * n_dup_lines // greatest(n_lines, 1) AS v_dup_lines,
-             100 * word_chars // greatest(n_words, 1) AS v_length FROM m),
+             100 * word_chars // greatest(n_words, 1) AS v_length,
+             1000 * n_bangs // greatest(n_words, 1) AS v_bangs,
+             1000 * n_stutter // greatest(n_words, 1) AS v_stutter FROM m),
 u AS (SELECT lang, source, 'symbols' AS rule, v_symbols AS v FROM b WHERE NOT base_failed
       UNION ALL SELECT lang, source, 'dup_lines', v_dup_lines FROM b WHERE NOT base_failed
-      UNION ALL SELECT lang, source, 'length', v_length FROM b WHERE NOT base_failed),
+      UNION ALL SELECT lang, source, 'length', v_length FROM b WHERE NOT base_failed
+      UNION ALL SELECT lang, source, 'bangs', v_bangs FROM b WHERE NOT base_failed
+      UNION ALL SELECT lang, source, 'stutter', v_stutter FROM b WHERE NOT base_failed),
 s AS (SELECT lang, source, rule, CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END
              AS bucket FROM u),
 x AS (SELECT 'g' AS lvl, lang, source, rule, bucket FROM s UNION ALL SELECT 'l', lang, NULL, rule, bucket FROM s
@@ -146,7 +152,8 @@ w AS (SELECT *, sum(c) OVER (PARTITION BY lvl, lang, source, rule) AS n,
 q AS (SELECT lvl, lang, source, rule, max(n) AS n, min(bucket) FILTER (100 * cum >= 25 * n) AS q1,
              min(bucket) FILTER (100 * cum >= 50 * n) AS q2, min(bucket) FILTER (100 * cum >= 75 * n) AS q3
       FROM w GROUP BY lvl, lang, source, rule),
-h AS (SELECT *, 4 * greatest(q3 - q1, CASE rule WHEN 'symbols' THEN 20 WHEN 'dup_lines' THEN 100 ELSE 20 END) AS sp FROM q),
+h AS (SELECT *, 4 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 100 WHEN 'length' THEN 50
+                             WHEN 'stutter' THEN 25 ELSE 20 END) AS sp FROM q),
 j AS (SELECT g.lang, g.source, g.rule,
              least(CASE WHEN g.n >= 200 THEN g.q2 + g.sp WHEN l.n >= 200 THEN l.q2 + l.sp ELSE a.q2 + a.sp END,
                    2 * (a.q2 + a.sp))::BIGINT AS hi,
@@ -156,11 +163,13 @@ j AS (SELECT g.lang, g.source, g.rule,
       JOIN h a ON a.lvl = 'a' AND a.rule = g.rule),
 t AS (SELECT lang, source, max(hi) FILTER (rule = 'symbols') AS max_symbols,
              max(hi) FILTER (rule = 'dup_lines') AS max_dup_lines, max(hi) FILTER (rule = 'length') AS max_length,
-             max(lo) FILTER (rule = 'length') AS min_length FROM j GROUP BY lang, source)
+             max(lo) FILTER (rule = 'length') AS min_length, max(hi) FILTER (rule = 'bangs') AS max_bangs,
+             max(hi) FILTER (rule = 'stutter') AS max_stutter FROM j GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        (NOT base_failed AND coalesce(v_symbols <= max_symbols AND v_dup_lines <= max_dup_lines
-        AND v_length <= max_length AND v_length >= min_length, false)) AS kept,
-       max_symbols, max_dup_lines, max_length, min_length
+        AND v_length <= max_length AND v_length >= min_length
+        AND v_bangs <= max_bangs AND v_stutter <= max_stutter, false)) AS kept,
+       max_symbols, max_dup_lines, max_length, min_length, max_bangs, max_stutter
 FROM b LEFT JOIN t ON b.lang IS NOT DISTINCT FROM t.lang AND b.source IS NOT DISTINCT FROM t.source
 """
 

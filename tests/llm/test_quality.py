@@ -35,10 +35,12 @@ def test_adaptive_thresholds_follow_language_and_source(make_docs):
     rows = [(i, prose(60, 5), "en", "news") for i in range(300)]
     rows += [(1000 + i, prose(60, 5).replace(" ", " | ", 20), "en", "tables") for i in range(300)]
     rows += [(5000, prose(60, 5).replace(" ", " ### "), "en", "news"), (5001, prose(60, 14), "en", "news"),
-             (5002, prose(60, 5), None, None), (5003, prose(30, 6) + "\nsame\nsame\nsame\nsame\nsame\nsame", "en", "news")]
+             (5002, prose(60, 5), None, None), (5004, prose(60, 5).replace(" ", "!! "), "en", "news"),
+             (5005, " ".join(w for w in prose(12, 5).split() for _ in range(6)), "en", "news"), (5003, prose(30, 6) + "\nsame\nsame\nsame\nsame\nsame\nsame", "en", "news")]
     out = {r["doc_id"]: r for r in quality.verdicts(make_docs(rows)).collect()}
     assert all(out[i]["kept"] for i in range(300))
     assert not out[5000]["kept"] and not out[5001]["kept"] and out[5002]["kept"] and not out[5003]["kept"]
+    assert not out[5004]["kept"] and not out[5005]["kept"] and not out[5005]["base_failed"]
     assert out[1000]["max_symbols"] != out[0]["max_symbols"]
 
 

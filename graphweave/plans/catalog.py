@@ -21,7 +21,7 @@ from ..operators import cluster, dedupe, enrich, graph, harvest, linking, projec
 from ..sources.readers import read_list_text
 from . import graph_build
 from . import sqltext as S
-from .proxies import bench_techs, doc_papers, part_name_techs, supplier_categories, table
+from .proxies import part_name_techs, supplier_categories, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +38,6 @@ def register(name: str, sql: str | None = None):
 
 
 R6 = 6
-FIRST8_SQL = S.first_words("text", 8)
 
 
 # --------------------------------------------------------------- bridge join
@@ -394,28 +393,29 @@ def fuzzy_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 # -------------------------------------------------------------- phrase links
 @register("phrase_links", f"""
-WITH t AS (SELECT item_id, {S.norm_safe(FIRST8_SQL)} AS tn FROM benchmark),
+WITH t AS (SELECT item_id, {S.norm_safe('text')} AS tn FROM benchmark),
      d AS (SELECT doc_id, {S.norm_safe('text')} AS dn FROM documents)
 SELECT DISTINCT d.doc_id, t.item_id FROM d JOIN t ON t.tn <> '' AND contains(d.dn, t.tn)
 """)
 def phrase_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents whose normalized text contains a technology's normalized name."""
+    """Documents whose whole normalized text contains a whole normalized passage."""
     d = table(spark, sf, "documents").select("doc_id", T.normalize_text_safe("text").alias("dn"))
-    t = bench_techs(spark, sf).select(F.col("tech_id").alias("item_id"), T.normalize_text_safe("tech_name").alias("tn"))
+    t = table(spark, sf, "benchmark").select("item_id", T.normalize_text_safe("text").alias("tn"))
     return linking.phrase_matches(d, "doc_id", "dn", t, "item_id", "tn").distinct()
 
 
 @register("partial_ratio_links")
 def partial_ratio_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Phrase or partial-ratio (>= 85) links; documents without any take their
-    labels (quality / toxic flags) as fallback technologies."""
+    """Whole passages linked to whole documents by phrase or partial ratio
+    (>= 85); documents without any take their labels (quality / toxic flags) as
+    fallback technologies."""
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels")
     pred = F.concat_ws("; ", F.when(F.col("quality") == 1, F.lit("quality")), F.when(F.col("toxic") == 1, F.lit("toxic")))
     papers = (d.join(lab, "doc_id", "left")
               .select(F.col("doc_id").alias("paper_id"), F.col("text").alias("combined"),
                       pred.alias("predicted_technology")))
-    techs = bench_techs(spark, sf).select(F.col("tech_name").alias("technology_name"))
+    techs = table(spark, sf, "benchmark").select(F.col("text").alias("technology_name"))
     return linking.link_papers(papers, techs, threshold=85)
 
 
@@ -539,12 +539,14 @@ def category_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ cascade label
+# A part as a paper: its name, the name's first word with the brand, the name without vowels, or its type.
+_CASCADE_FIELD_SQL = """CASE p_size % 4 WHEN 0 THEN p_name || ' ' || p_brand WHEN 1 THEN p_brand || ' ' || split_part(p_name, ' ', 1)
+                        WHEN 2 THEN replace(replace(p_name, 'e', ''), 'o', '') ELSE p_type END"""
 _CASCADE_SQL = f"""
-WITH t AS (SELECT item_id AS tech_id, item_id AS tech_pos, {FIRST8_SQL} AS technology_name,
-                  {S.norm(FIRST8_SQL)} AS tech_norm FROM benchmark),
-     p AS (SELECT doc_id AS paper_id, [{S.norm_safe('lang')}, {S.norm_safe('source')}, {S.norm_safe('text')}] AS nf,
-                  {S.token_sort(S.norm("concat_ws(' ', coalesce(lang, ''), coalesce(source, ''), coalesce(text, ''))"))}
-                  AS ptext FROM documents),
+WITH t AS (SELECT min(p_partkey) AS tech_id, min(p_partkey) AS tech_pos, p_name AS technology_name,
+                  {S.norm('p_name')} AS tech_norm FROM part GROUP BY p_name),
+     p0 AS (SELECT p_partkey AS paper_id, {_CASCADE_FIELD_SQL} AS f1 FROM part),
+     p AS (SELECT paper_id, [{S.norm_safe('f1')}, ''] AS nf, {S.token_sort(S.norm("concat_ws(' ', f1, '')"))} AS ptext FROM p0),
      s1 AS (SELECT paper_id, arg_min(technology_name, tech_pos) AS technology_name FROM p JOIN t
             ON t.tech_norm <> '' AND len(list_filter(nf, lambda f: contains(f, t.tech_norm))) > 0 GROUP BY paper_id),
      r1 AS (SELECT * FROM p WHERE paper_id NOT IN (SELECT paper_id FROM s1)),
@@ -579,12 +581,18 @@ FROM p LEFT JOIN lab USING (paper_id)
 
 @register("cascade_label", _CASCADE_SQL)
 def cascade_label(spark: SparkSession, sf: str) -> DataFrame:
-    """Single-label cascade on documents (fields: lang, source, text) against the
-    technologies; embedding stage uses the embedding of the same id against
-    the label centroids (technology = label)."""
-    d = table(spark, sf, "documents")
-    papers = d.select(F.col("doc_id").alias("paper_id"), F.array("lang", "source", "text").alias("fields"))
-    techs = bench_techs(spark, sf).select("tech_id", "tech_pos", F.col("tech_name").alias("technology_name"))
+    """Single-label cascade of parts (a name field that is whole, cut, damaged or
+    without a name, and an empty one) against all part names; the embedding stage
+    uses the embedding of the same id against the label centroids (technology = label)."""
+    p = table(spark, sf, "part")
+    kind = F.col("p_size") % 4
+    blank = F.lit("")
+    field = (F.when(kind == 0, F.concat_ws(" ", "p_name", "p_brand"))
+             .when(kind == 1, F.concat_ws(" ", F.col("p_brand"), F.split("p_name", " ")[0]))
+             .when(kind == 2, F.replace(F.replace(F.col("p_name"), F.lit("e"), blank), F.lit("o"), blank))
+             .otherwise(F.col("p_type")))
+    papers = p.select(F.col("p_partkey").alias("paper_id"), F.array(field, blank).alias("fields"))
+    techs = _name_techs(p).select("tech_id", "tech_pos", F.col("tech_name").alias("technology_name"))
     e = table(spark, sf, "embeddings")
     cents = similarity.label_centroids(e, "label", "embedding")
     emb = (similarity.cosine_scores(e, cents, "vec_id", "embedding", "label", "vec")
@@ -594,16 +602,28 @@ def cascade_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # -------------------------------------------------------- multi-signal labels
+def _name_techs(p: DataFrame) -> DataFrame:
+    """Part names as technologies: id and position are the first key, the
+    description adds that part's type and brand, the keywords are its words."""
+    first = p.groupBy("p_name").agg(F.min_by(F.struct("p_type", "p_brand"), "p_partkey").alias("x"), F.min("p_partkey").alias("k"))
+    return first.select(F.col("k").alias("tech_id"), F.col("k").alias("tech_pos"), F.col("p_name").alias("tech_name"),
+                        F.concat_ws(" ", "p_name", "x.p_type", "x.p_brand").alias("description"),
+                        F.array_distinct(F.concat(F.split("p_name", " "), F.array(F.lower("x.p_brand")))).alias("keywords"))
+
+
+_MULTI_CORPUS = """SELECT 0 AS side, p_partkey AS id, concat_ws(' ', p_brand, p_name, p_type) AS text FROM part
+                   UNION ALL SELECT 1 AS side, min(p_partkey) AS id,
+                   concat_ws(' ', p_name, arg_min(p_type, p_partkey), arg_min(p_brand, p_partkey)) AS text FROM part GROUP BY p_name"""
 _MULTI_SQL = f"""
-WITH t AS (SELECT item_id AS tech_id, item_id AS tech_pos, {FIRST8_SQL} AS tech_name, text AS description,
-                  list_distinct(list_transform({S.ws_split(FIRST8_SQL)}, lambda x: lower(x))) AS keywords FROM benchmark),
-     d AS (SELECT doc_id AS entity_id, {S.norm(FIRST8_SQL)} AS title,
-                  concat_ws(' ', {FIRST8_SQL}, lang, source) AS combined,
-                  list_distinct(list_filter(list_transform(string_split_regex(lower(coalesce(
-                      lang || ',' || source || ';' || coalesce({S.ws_split('text')}[1], ''), '')), '[,;]'),
-                      lambda x: {S.strip('x')}), lambda x: x <> '')) AS kws FROM documents),
+WITH t AS (SELECT min(p_partkey) AS tech_id, min(p_partkey) AS tech_pos, p_name AS tech_name,
+                  concat_ws(' ', p_name, arg_min(p_type, p_partkey), arg_min(p_brand, p_partkey)) AS description,
+                  list_distinct(string_split(p_name, ' ') || [lower(arg_min(p_brand, p_partkey))]) AS keywords FROM part GROUP BY p_name),
+     d AS (SELECT p_partkey AS entity_id, {S.norm("p_name || ', ' || p_brand")} AS title,
+                  concat_ws(' ', p_brand, p_name, p_type) AS combined,
+                  list_distinct(list_filter(list_transform(string_split_regex(lower(p_brand || ',' || replace(p_name, ' ', ';')), '[,;]'),
+                      lambda x: {S.strip('x')}), lambda x: x <> '')) AS kws FROM part),
      {_CENTROID_SQL.strip()[:-1].replace('emb AS (', 'emb0 AS (')}),
-     {_TFIDF_SQL.strip()[5:]},
+     {tfidf_ctes(_MULTI_CORPUS).strip()[5:]},
      kw AS (SELECT DISTINCT d.entity_id, t.tech_id FROM d JOIN t ON len(list_intersect(d.kws, t.keywords)) > 0),
      pr AS (SELECT d.entity_id, t.tech_id, t.tech_pos, t.tech_name, t.description, d.combined,
                    least(1.0, emb0.cos + CASE WHEN d.title <> '' AND contains(lower(d.title), lower(t.tech_name))
@@ -629,12 +649,14 @@ FROM d LEFT JOIN agg USING (entity_id)
 
 @register("multi_signal_labels", _MULTI_SQL)
 def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Multi-label decision on documents with strong=0.30 / weak=0.20 gates:
-    embedding of the same id vs label centroids (boosted by the title),
-    TF-IDF on the full text, token-set on the short combined text, keyword
-    overlap of the document keyword set with the technology keywords."""
-    docs = doc_papers(spark, sf)
-    techs = bench_techs(spark, sf)
+    """Multi-label decision on parts with strong=0.30 / weak=0.20 gates: embedding
+    of the same id vs label centroids (boosted by the title), TF-IDF, token-set
+    and keyword overlap on the whole texts and keyword sets."""
+    p = table(spark, sf, "part")
+    docs = p.select(F.col("p_partkey").alias("entity_id"), T.normalize_text(F.concat_ws(", ", "p_name", "p_brand")).alias("title"),
+                    F.concat_ws(" ", "p_brand", "p_name", "p_type").alias("text"),
+                    T.split_set(F.concat(F.col("p_brand"), F.lit(","), F.replace(F.col("p_name"), F.lit(" "), F.lit(";")))).alias("keywords"))
+    techs = _name_techs(p)
     e = table(spark, sf, "embeddings")
     cents = similarity.label_centroids(e, "label", "embedding").select(F.col("label").cast("long").alias("tech_id"), "vec")
     boosted = linking.boost_pairs(docs, "entity_id", "title", techs, "tech_id", "tech_name")
@@ -644,11 +666,8 @@ def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
     def tf(pairs: DataFrame) -> DataFrame:
         return similarity.tfidf_similarity(docs.select("entity_id", "text"),
                                            techs.select("tech_id", F.col("description").alias("text")), pairs=pairs)
-    first_word = F.coalesce(T.ws_split("text")[0], F.lit(""))
-    ent_kw = docs.select("entity_id", T.split_set(F.concat(F.col("lang"), F.lit(","), F.col("source"), F.lit(";"),
-                                                           first_word)).alias("keywords"))
-    kw = similarity.keyword_overlap(ent_kw, techs.select("tech_id", "keywords"), "entity_id", "tech_id")
-    ents = docs.select("entity_id", F.col("combined").alias("text"), "title")
+    kw = similarity.keyword_overlap(docs.select("entity_id", "keywords"), techs.select("tech_id", "keywords"), "entity_id", "tech_id")
+    ents = docs.select("entity_id", "text", "title")
     return linking.classify_multi(emb, ents, techs, tf, kw, high=0.30, low=0.20, th_tfidf=0.35, th_fuzzy=0.60)
 
 
@@ -763,19 +782,21 @@ def final_tech_list(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------- nodes
 @register("nodes_technology", f"""
-SELECT CASE WHEN tn = '' THEN ' ' || array_to_string(parts, ' ') ELSE array_to_string(parts, ' ') END AS description,
-       tn AS tech_name
-FROM (SELECT tn, list_filter([tn, {S.strip('text')}] ||
-                             list_transform(list_slice({S.ws_split('text')}, 9, 12), lambda k: {S.strip('k')}),
-                             lambda x: x <> '') AS parts
-      FROM (SELECT {S.strip("'  ' || " + FIRST8_SQL + " || ' '")} AS tn, text FROM benchmark))
+SELECT trim(p_name) AS tech_name,
+       array_to_string(list_filter([trim(p_name), trim(arg_min(p_type, p_partkey)), trim(arg_min(p_brand, p_partkey)),
+                                    CASE WHEN min(p_partkey) % 2 = 0 THEN split_part(p_name, ' ', 1) ELSE '' END],
+                                   lambda x: x <> ''), ' ') AS description
+FROM part GROUP BY p_name
 """)
 def nodes_technology(spark: SparkSession, sf: str) -> DataFrame:
-    """Technology nodes: name + definition + keywords (words 9-12 of the text)."""
-    b = table(spark, sf, "benchmark")
-    defs = b.select(F.concat(F.lit("  "), T.first_words("text", 8), F.lit(" ")).alias("technology_name"),
-                    F.col("text").alias("definition"), F.array().cast("array<string>").alias("synonyms"),
-                    F.slice(T.ws_split("text"), 9, 4).alias("keywords"))
+    """Technology nodes: name, definition (type), synonym (brand, in blanks) and
+    keywords (the first word or a blank) of every part name."""
+    p = table(spark, sf, "part")
+    first = p.groupBy("p_name").agg(F.min_by(F.struct("p_type", "p_brand"), "p_partkey").alias("x"), F.min("p_partkey").alias("k"))
+    word = F.when(F.col("k") % 2 == 0, F.split("p_name", " ")[0]).otherwise(F.lit("  "))
+    defs = first.select(F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")).alias("technology_name"),
+                        F.col("x.p_type").alias("definition"),
+                        F.array(F.concat(F.lit(" "), F.col("x.p_brand"), F.lit(" "))).alias("synonyms"), F.array(word).alias("keywords"))
     return graph.technology_nodes(defs).select("description", "tech_name")
 
 

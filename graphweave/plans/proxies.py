@@ -1,8 +1,7 @@
 """Inputs of the linking jobs derived from the driver tables.
 
-The driver tables stand in for the real inputs: ``documents`` for papers,
-``benchmark`` for technologies (name = first eight words, description = full
-text), ``embeddings`` for encoded entities, ``supplier``/``part`` for
+The driver tables stand in for the real inputs: ``documents`` and ``part`` for
+papers, part names and ``benchmark`` passages for technologies, ``embeddings`` for encoded entities, ``supplier``/``part`` for
 companies and their categories, ``orders``/``lineitem`` for nested paper
 records and ``customer``/``nation``/``region`` for nested company records.
 Every proxy is computed by Spark from the whole tables.
@@ -15,8 +14,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import first_words, normalize_text, ws_split
-
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -47,24 +44,6 @@ def balanced(df: DataFrame, path: str | None = None, min_bytes: int = 1 << 20) -
     return df.repartition(par)
 
 
-def bench_techs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """tech_id, tech_pos, tech_name, description, keywords (lower name words)."""
-    b = table(spark, sf_dir, "benchmark")
-    name = first_words(F.col("text"), 8)
-    return b.select(F.col("item_id").alias("tech_id"), F.col("item_id").alias("tech_pos"),
-                    name.alias("tech_name"), F.col("text").alias("description"),
-                    F.array_distinct(F.transform(ws_split(name), F.lower)).alias("keywords"))
-
-
-def doc_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """paper_id, text, title (first eight words, normalized), short combined text, keyword set."""
-    d = table(spark, sf_dir, "documents")
-    title = normalize_text(first_words(F.col("text"), 8))
-    return d.select(F.col("doc_id").alias("entity_id"), F.col("text"), title.alias("title"),
-                    F.concat_ws(" ", first_words(F.col("text"), 8), F.col("lang"), F.col("source")).alias("combined"),
-                    F.col("lang"), F.col("source"))
-
-
 def part_name_techs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct part names as technologies, in order of their first part key.
 

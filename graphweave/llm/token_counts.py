@@ -11,7 +11,8 @@ independently of each other.  If the overlap holds no such place (a word or a
 run of white space longer than the overlap), the overlap is widened, at last
 to the union of both chunks.
 
-Texts of at most one chunk are encoded whole.  Tokenizers other than
+Texts of at most one chunk need no splice; their distinct segments are encoded
+once per batch (``bpe.SegmentEncoder``).  Tokenizers other than
 byte-level BPE with the standard pattern are always given whole texts.
 
 Defined results: null and empty texts have no tokens; repeated rows and ids are
@@ -39,7 +40,7 @@ class Counter:
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         from graphweave.llm.bpe import SegmentEncoder
         enc = SegmentEncoder(path)
-        self.tk, self.cuttable = enc.tk, enc.cuttable
+        self.whole, self.tk, self.cuttable = enc, enc.tk, enc.cuttable
         self.margin = 3 + max([1, *(len(s) for s in enc.special)])
         self.chunk, self.overlap = chunk, max(overlap, 2 * self.margin)
 
@@ -92,9 +93,8 @@ class Counter:
     def count(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
         out: list[tuple[int, int, int]] = [(0, 0, 0)] * len(texts)
         short = [i for i, t in enumerate(texts) if t and (len(t) <= self.chunk or not self.cuttable)]
-        encs = self.tk.encode_batch_fast([texts[i] for i in short], add_special_tokens=False) if short else []
-        for i, e in zip(short, encs, strict=True):
-            out[i] = (len(e), 1, 0)
+        for i, ids in zip(short, self.whole.encode([texts[i] for i in short]), strict=True):
+            out[i] = (len(ids) // 4, 1, 0)
         for i, t in enumerate(texts):
             if t and len(t) > self.chunk and self.cuttable:
                 out[i] = self.spliced(t)
@@ -109,8 +109,8 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = Counter(tokenizer_path, chunk, overlap)
         for b in batches:
-            for at in range(0, len(b), 64):
-                part = b.iloc[at:at + 64]
+            for at in range(0, len(b), 256):
+                part = b.iloc[at:at + 256]
                 n = counter.count(part["text"].tolist())
                 yield pd.DataFrame({"id": part["id"], "n_bytes": part["n_bytes"], "n_tokens": [x[0] for x in n],
                                     "n_chunks": [x[1] for x in n], "n_widened": [x[2] for x in n]})

@@ -35,7 +35,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(line_dedup.dedup_lines(docs).drop("_n_lines", "_n_dropped"))
+    return _recounted(line_dedup.dedup_lines(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

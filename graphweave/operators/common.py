@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# A side is broadcast only when its row count is at most this (checked).
+# A side is broadcast only when its rows and bytes are at most these (checked).
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (as JSON).
 
-    Counts with a ``limit(max_rows + 1)`` so a huge side stops early instead of
+    Looks at ``limit(max_rows + 1)`` only, so a huge side stops early instead of
     being counted in full.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +24,13 @@ def read_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -
     return read_jsonl(spark, path, schema) if lines else read_json_array(spark, path, schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header; quoted fields may hold quotes and newlines."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """CSV with a header; quoted fields may hold quotes and newlines.
+
+    A file whose fields can hold newlines is one task (no reader can split it); for large
+    data write Parquet between steps, or pass ``multi_line=False`` if no field holds one.
+    """
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
             .option("escape", '"').option("quote", '"').option("encoding", encoding).csv(path))
 
 
@@ -49,7 +51,9 @@ def read_papers(spark: SparkSession, path: str, lines: bool = True) -> DataFrame
 
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
     """Company snapshot (one JSON array); a missing snapshot is an error."""
-    if "://" not in path and not os.path.exists(path):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(f"company snapshot not found: {path}")
     return read_json_array(spark, path, schemas.RAW_COMPANY)
 
@@ -69,13 +73,26 @@ def read_list_text(c) -> "F.Column":
     return F.from_json(c, "array<string>", {"allowSingleQuotes": "true"})
 
 
-def load_linking_inputs(spark: SparkSession, papers_csv: str, techs_csv: str, defs_json: str | None):
+def load_linking_inputs(spark: SparkSession, papers_csv: str, techs_csv: str, definitions: str | None):
     """Normalized papers, technologies and (optional) definitions, joined
-    technologies <- definitions (left, missing definition -> '')."""
+    technologies <- definitions (left, missing definition -> '').  Definitions come
+    from a JSON array or from a CSV (technology_name, definition, synonyms, keywords;
+    lists as Python literals), told apart by the file name."""
     papers = read_csv(spark, papers_csv, schemas.NORMALIZED_PAPER)
     techs = read_technology_list(spark, techs_csv)
-    if defs_json is not None:
-        defs = read_technology_definitions(spark, defs_json)
+    if definitions is not None:
+        if definitions.endswith(".csv"):
+            raw = read_csv(spark, definitions, "technology_name string, definition string, synonyms string, keywords string")
+            defs = raw.withColumns({c: F.coalesce(read_list_text(F.col(c)), F.array().cast("array<string>"))
+                                    for c in ("synonyms", "keywords")})
+        else:
+            defs = read_technology_definitions(spark, definitions)
         techs = (techs.join(defs, "technology_name", "left")
                  .withColumn("definition", F.coalesce("definition", F.lit(""))))
     return papers, techs
+
+
+def read_graph_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A written node or edge CSV again, every column as text, missing cells as ''."""
+    df = read_csv(spark, path, ", ".join(f"`{c}` string" for c in columns))
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])

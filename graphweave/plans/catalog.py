@@ -18,6 +18,8 @@ from ..functions import nested as N
 from ..functions import text as T
 from ..functions.fuzzy import with_token_set_ratio
 from ..operators import cluster, dedupe, enrich, graph, harvest, linking, project, similarity
+from ..operators.common import scratch_path
+from ..sources import readers, sinks
 from ..sources.readers import read_list_text
 from . import graph_build
 from . import sqltext as S
@@ -1091,3 +1093,74 @@ def partial_ratio_names(spark: SparkSession, sf: str) -> DataFrame:
     papers = p.select(F.col("p_partkey").alias("paper_id"), txt.alias("combined"),
                       F.concat_ws("; ", "p_brand", "p_type").alias("predicted_technology"))
     return linking.link_papers(papers, p.select(F.col("p_name").alias("technology_name")).distinct(), threshold=85)
+
+
+# ------------------------------------------------------ sinks read again
+@register("csv_roundtrip", """
+SELECT 'P' || p_partkey AS part_id, p_name || ', "' || p_brand || '"' || chr(10) || p_type AS title, p_brand || '; ' || p_type AS labels,
+       CASE WHEN p_size % 10 = 0 THEN '' ELSE p_size::VARCHAR END AS size_text FROM part
+""")
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes with quotes, commas, newlines, an array and blank zeros, written as
+    CSV with chosen columns and read again as text."""
+    p = table(spark, sf, "part")
+    nodes = p.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("part_id"),
+                     F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"\n'), "p_type").alias("title"),
+                     F.array("p_brand", "p_type").alias("labels"),
+                     F.when(F.col("p_size") % 10 == 0, F.lit(0)).otherwise(F.col("p_size")).alias("size_text"), "p_retailprice")
+    path = scratch_path(spark)
+    columns = ["part_id", "title", "labels", "size_text"]
+    sinks.write_csv(nodes, path, columns=columns, blank_zero=["size_text"])
+    return readers.read_graph_table(spark, path, columns)
+
+
+@register("jsonl_roundtrip", """
+SELECT 'c-' || c.c_custkey AS company_id, c.c_name AS company_name, n.n_name AS country,
+       CASE WHEN c.c_mktsegment = 'MACHINERY' THEN 0.0 ELSE c.c_acctbal END AS funding
+""" + _COMPANY_NODES_FROM)
+def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested company records written as JSON Lines and read with a declared schema."""
+    raw = _raw_companies(spark, sf)
+    path = scratch_path(spark)
+    sinks.write_jsonl(raw, path)
+    back = readers.read_jsonl(spark, path, raw.schema)
+    q = "properties"
+    country = F.filter(f"{q}.location_identifiers", lambda x: x["location_type"] == "country")[0]["value"]
+    return back.select(F.col(f"{q}.identifier.permalink").alias("company_id"), F.col(f"{q}.identifier.value").alias("company_name"),
+                       country.alias("country"), F.col(f"{q}.funding_total.value_usd").alias("funding"))
+
+
+@register("company_csv", """
+SELECT c.c_name AS name, 'c-' || c.c_custkey AS permalink, '' AS description
+""" + _COMPANY_NODES_FROM)
+def company_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The three-column company table; companies have no description here."""
+    raw = _raw_companies(spark, sf).select(F.col("properties").withField("description", F.lit(None).cast("string")).alias("properties"))
+    return sinks.company_csv(raw).toDF("name", "permalink", "description")
+
+
+@register("combined_texts", """
+SELECT p_partkey, concat_ws(' ', p_name, CASE WHEN p_size % 2 = 0 THEN p_brand END, p_type) AS skipping,
+       concat_ws(' ', p_name, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END, p_type) AS keeping,
+       p_name || '. ' || CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END AS described FROM part
+""")
+def combined_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Joined texts with a missing column skipped, kept as a blank, and as "name. definition"."""
+    p = table(spark, sf, "part").withColumn("b", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")))
+    return p.select("p_partkey", T.join_skip_nulls("p_name", "b", "p_type").alias("skipping"),
+                    T.join_nulls_as_empty("p_name", "b", "p_type").alias("keeping"),
+                    T.name_dot_definition("p_name", "b").alias("described"))
+
+
+@register("category_permalinks", """
+SELECT s.s_suppkey AS company_id, coalesce((SELECT string_agg(p_type, '|' ORDER BY l_orderkey, l_linenumber, l_partkey) FROM lineitem l
+       JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_suppkey = s.s_suppkey AND p_size % 2 = 0), '') AS categories FROM supplier s
+""")
+def category_permalinks(spark: SparkSession, sf: str) -> DataFrame:
+    """Permalinks of a company's categories in order, blank and missing ones dropped."""
+    link = F.when(F.col("p_size") % 2 == 0, F.col("p_type")).when(F.col("p_size") % 3 == 0, F.lit(""))
+    items = (table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+             .groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sort_array(F.collect_list(F.struct(
+                 "l_orderkey", "l_linenumber", "l_partkey", link.alias("permalink")))).alias("c")))
+    out = table(spark, sf, "supplier").select("s_suppkey").join(items, "s_suppkey", "left")
+    return out.select(F.col("s_suppkey").alias("company_id"), F.array_join(N.category_permalinks("c"), "|").alias("categories"))

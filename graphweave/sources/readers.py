@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions.nested import parse_reply_array
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """JSON Lines with a declared schema; blank lines are skipped by the reader."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 

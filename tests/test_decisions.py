@@ -160,3 +160,13 @@ def test_graph_tables_and_definitions_from_csv(spark, tmp_path):
     assert rows["Quantum"]["synonyms"] == ["qc", "q"] and rows["Robotics"]["definition"] == ""
     with pytest.raises(FileNotFoundError):
         readers.read_companies(spark, str(tmp_path / "none.json"))
+
+
+def test_embedding_hook(spark):
+    from graphweave.operators import embed
+    df = spark.createDataFrame([(1, "solar panel"), (2, "panel solar"), (3, None), (4, "graph")], "id long, t string")
+    v = {r["id"]: list(r["embedding"]) for r in embed.embed(df, "id", "t").collect()}
+    assert v[1] == v[2] != v[4] and not any(v[3]) and abs(sum(x * x for x in v[1]) - 1) < 1e-6
+    own = {r["id"]: list(r["embedding"]) for r in embed.embed(df, "id", "t", lambda ts: __import__("numpy").array(
+        [[len(t), 0.0] for t in ts])).collect()}
+    assert own[4] == [1.0, 0.0]

@@ -18,7 +18,8 @@ contexts made of the corpus' own words.  A caller's table of labelled findings
 Only the transition table, the dictionary and the forest reach every task; all are
 of fixed size.
 
-Defined results: null and empty texts have no candidates; repeated rows give
+Defined results: null and empty texts have no candidates; a table without the path
+column has empty paths; repeated rows give
 their findings each; an empty table gives an empty result; other columns pass
 through ``redact`` untouched.
 """
@@ -185,7 +186,7 @@ def candidates(documents: DataFrame, features: Features, id_col: str = "doc_id",
     t1, t2 = text_key(F.col(text_col))
     rows = documents.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), t1.alias("t1"), t2.alias("t2"), F.col(text_col).alias("text"),
-        F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"))
+        (F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in documents.columns else F.lit("")).alias("path"))
     return spread(rows).mapInPandas(run, FINDING)
 
 

@@ -408,8 +408,7 @@ def phrase_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("partial_ratio_links")
 def partial_ratio_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole passages linked to whole documents by phrase or partial ratio
-    (>= 85); documents without any take their labels (quality / toxic flags) as
+    """Part names linked to whole documents by phrase or partial ratio (>= 85); documents without any take their labels (quality / toxic flags) as
     fallback technologies."""
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels")
@@ -417,7 +416,7 @@ def partial_ratio_links(spark: SparkSession, sf: str) -> DataFrame:
     papers = (d.join(lab, "doc_id", "left")
               .select(F.col("doc_id").alias("paper_id"), F.col("text").alias("combined"),
                       pred.alias("predicted_technology")))
-    techs = table(spark, sf, "benchmark").select(F.col("text").alias("technology_name"))
+    techs = table(spark, sf, "part").select(F.col("p_name").alias("technology_name")).distinct()
     return linking.link_papers(papers, techs, threshold=85)
 
 

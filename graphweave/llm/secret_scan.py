@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave.llm.common import as_row, ascii_lower, from_row, materialise, spread, text_key
+from graphweave.llm.quality import BUCKET
 
 DICTIONARY = 4096
 N_LABELLED = 6000
@@ -99,11 +100,22 @@ def transition_counts(documents: DataFrame, text_col: str = "text") -> np.ndarra
 
 
 def frequent_words(documents: DataFrame, text_col: str = "text", n: int = DICTIONARY) -> list[str]:
-    """The ``n`` most frequent words of 3 to 12 letters a-z, counted over all texts; ties by word."""
+    """The ``n`` most frequent words of 3 to 12 letters a-z, counted over all texts; ties by word.
+
+    Counts of counts in log-linear buckets (at most 2,048 rows) give a floor that
+    at least ``n`` words reach, so that the final sort sees hardly more than ``n``
+    words, whatever the number of partitions.
+    """
     words = F.explode(F.split(F.regexp_replace(ascii_lower(F.col(text_col)), "[^a-z]+", " "), " "))
-    counted = (documents.where(F.col(text_col).isNotNull()).select(words.alias("w"))
-               .where(F.char_length("w").between(3, 12)).groupBy("w").agg(F.count(F.lit(1)).alias("c")))
-    return [r["w"] for r in counted.orderBy(F.col("c").desc(), "w").limit(n).collect()]
+    counted = materialise(documents.where(F.col(text_col).isNotNull()).select(words.alias("w"))
+                          .where(F.char_length("w").between(3, 12)).groupBy("w").agg(F.count(F.lit(1)).alias("v")))
+    floor, reached = 0, 0
+    for r in sorted(counted.groupBy(F.expr(BUCKET).alias("b")).count().collect(), reverse=True):
+        floor, reached = r["b"], reached + r["count"]
+        if reached >= n:
+            break
+    top = counted.where(F.col("v") >= floor).orderBy(F.col("v").desc(), "w").limit(n)
+    return [r["w"] for r in top.collect()]
 
 
 class Features:

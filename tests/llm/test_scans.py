@@ -112,3 +112,10 @@ def test_redact(spark, make_docs):
 def test_redacted_expression(spark):
     df = spark.createDataFrame([("0123456789", [(2, 4), (6, 10)]), ("ab", [])], "t string, s array<struct<start:int,end:int>>")
     assert [r[0] for r in df.select(secret_scan.redacted(F.col("t"), F.col("s"))).collect()] == ["01<SECRET>45<SECRET>", "ab"]
+
+
+def test_frequent_words(spark):
+    docs = spark.createDataFrame([("aaa bbb aaa ccc, ddd! Aaa bbb xx",), ("eee ccc " + "abcdefghijklm " * 5,), (None,), ("",)], "text string")
+    assert secret_scan.frequent_words(docs, n=3) == ["aaa", "bbb", "ccc"]
+    assert secret_scan.frequent_words(docs, n=100) == ["aaa", "bbb", "ccc", "ddd", "eee"]
+    assert secret_scan.frequent_words(docs.limit(0), n=5) == []

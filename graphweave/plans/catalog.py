@@ -672,6 +672,101 @@ def multi_signal_labels(spark: SparkSession, sf: str) -> DataFrame:
     return linking.classify_multi(emb, ents, techs, tf, kw, high=0.30, low=0.20, th_tfidf=0.35, th_fuzzy=0.60)
 
 
+# ------------------------------------------- the same decisions on documents
+# The CTEs from the first stage on are those of the part queries; common subsequences have no length bound here.
+_CASCADE_DOCS_SQL = f"""
+WITH t AS (SELECT item_id AS tech_id, item_id AS tech_pos, text AS technology_name, {S.norm_safe('text')} AS tech_norm
+           FROM benchmark),
+     p AS (SELECT doc_id AS paper_id, [{S.norm_safe('lang')}, {S.norm_safe('source')}, {S.norm_safe('text')}] AS nf,
+                  {S.token_sort(S.norm("concat_ws(' ', coalesce(lang, ''), coalesce(source, ''), coalesce(text, ''))"))}
+                  AS ptext FROM documents),
+     """ + (_CASCADE_SQL[_CASCADE_SQL.index("s1 AS ("):_CASCADE_SQL.index("c4 AS (")] + f"""
+     c3 AS MATERIALIZED (SELECT r3.paper_id, r3.ptext, t4.technology_name, t4.tech_pos, t4.ttext FROM r3 JOIN t4
+            ON 70 * greatest(length(r3.ptext), length(t4.ttext)) <= 130 * least(length(r3.ptext), length(t4.ttext))),
+     c4 AS MATERIALIZED (SELECT paper_id, technology_name, tech_pos, CASE WHEN length(ptext) + length(ttext) = 0 THEN 100.0
+                   ELSE 200.0 * {S.lcs_long('ptext', 'ttext')} / (length(ptext) + length(ttext)) END AS ratio FROM c3),
+     """ + _CASCADE_SQL[_CASCADE_SQL.index("s4 AS ("):])
+
+
+@register("cascade_label_documents", _CASCADE_DOCS_SQL)
+def cascade_label_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Single-label cascade of documents (fields: lang, source, whole text) against
+    all benchmark passages as names; embedding stage as in ``cascade_label``."""
+    papers = table(spark, sf, "documents").select(F.col("doc_id").alias("paper_id"), F.array("lang", "source", "text").alias("fields"))
+    techs = _passage_techs(spark, sf).select("tech_id", "tech_pos", F.col("tech_name").alias("technology_name"))
+    e = table(spark, sf, "embeddings")
+    cents = similarity.label_centroids(e, "label", "embedding")
+    emb = (similarity.cosine_scores(e, cents, "vec_id", "embedding", "label", "vec")
+           .select(F.col("vec_id").alias("paper_id"), F.col("label").cast("long").alias("tech_id"),
+                   F.col("score").alias("emb")))
+    return linking.cascade_label(papers, techs, emb, 0.3, 70)
+
+
+def _passage_techs(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole benchmark passages as names and descriptions; the keywords are all their words longer than four characters."""
+    return table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("tech_id"), F.col("item_id").alias("tech_pos"), F.col("text").alias("tech_name"),
+        F.col("text").alias("description"), F.array_distinct(T.long_tokens(T.normalize_text_safe("text"))).alias("keywords"))
+
+
+# The token-set ratio of the weak pairs in stored steps (the strings must not be formed anew for every character).
+# Lengths alone keep most pairs of a passage and a whole document under the gate of 60; the others get their exact score.
+_LONG_TOKEN_SET = f"""
+     w1 AS MATERIALIZED (SELECT entity_id, tech_id, list_distinct({S.ws_split('description')}) AS ta,
+                                list_distinct({S.ws_split('combined')}) AS tb FROM pg WHERE any_strong = 0),
+     w2 AS MATERIALIZED (SELECT entity_id, tech_id, ta, tb, array_to_string(list_sort(list_intersect(ta, tb)), ' ') AS sect,
+                   array_to_string(list_sort(list_filter(ta, lambda x: NOT list_contains(tb, x))), ' ') AS ab,
+                   array_to_string(list_sort(list_filter(tb, lambda x: NOT list_contains(ta, x))), ' ') AS ba FROM w1),
+     w3 AS MATERIALIZED (SELECT entity_id, tech_id, ab, ba FROM w2 WHERE 100.0 * (1 - abs(length(ab) - length(ba))
+                                / (2 * length(sect) + 2 + length(ab) + length(ba))) >= 60),
+     w4 AS MATERIALIZED (SELECT entity_id, tech_id, {S.lcs_long('ab', 'ba')} AS l FROM w3),
+     tset AS (SELECT entity_id, tech_id, {S.token_set('x', 'y').replace(S.lcs('ab', 'ba'), 'coalesce(l, 0)').split('FROM (SELECT ta')[0].strip()[len('(SELECT'):]} AS score
+              FROM w2 LEFT JOIN w4 USING (entity_id, tech_id)),"""
+_MULTI_DOCS_SQL = f"""
+WITH t AS (SELECT item_id AS tech_id, item_id AS tech_pos, text AS tech_name, text AS description,
+                  list_distinct(list_filter({S.ws_split(S.norm_safe('text'))}, lambda k: length(k) > 4)) AS keywords FROM benchmark),
+     d AS (SELECT doc_id AS entity_id, text AS title, text AS combined,
+                  list_distinct(list_filter(list_transform(
+                      string_split_regex(lower(concat_ws(',', lang, source)), '[,;]') || {S.ws_split(S.norm_safe('text'))},
+                      lambda x: {S.strip('x')}), lambda x: x <> '')) AS kws FROM documents),
+     {_CENTROID_SQL.strip()[:-1].replace('emb AS (', 'emb0 AS (')}),
+     {tfidf_ctes().strip()[5:]},
+     """ + (_MULTI_SQL[_MULTI_SQL.index("kw AS ("):]
+            .replace("weak AS (", _LONG_TOKEN_SET.strip() + "\n     weak AS (")
+            .replace("WHERE pg.any_strong = 0", "LEFT JOIN tset ON tset.entity_id = pg.entity_id AND tset.tech_id = pg.tech_id\n"
+                                                "              WHERE pg.any_strong = 0")
+            .replace(f"(SELECT {S.token_set('pg.description', 'pg.combined')})", "tset.score"))
+
+
+@register("multi_signal_labels_documents", _MULTI_DOCS_SQL)
+def multi_signal_labels_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-label decision on documents against all benchmark passages, gates as in
+    ``multi_signal_labels``: the title boost, TF-IDF and token-set ratio read the whole
+    text, the keyword set holds lang, source and every word of the text."""
+    d = table(spark, sf, "documents")
+    words = F.array_join(T.ws_split(T.normalize_text_safe("text")), ";")
+    docs = d.select(F.col("doc_id").alias("entity_id"), F.col("text").alias("title"), "text",
+                    T.split_set(F.concat_ws(",", "lang", "source", words)).alias("keywords"))
+    techs = _passage_techs(spark, sf)
+    e = table(spark, sf, "embeddings")
+    cents = similarity.label_centroids(e, "label", "embedding").select(F.col("label").cast("long").alias("tech_id"), "vec")
+    boosted = linking.boost_pairs(docs, "entity_id", "title", techs, "tech_id", "tech_name")
+    emb = similarity.gated_cosine(e.select(F.col("vec_id").alias("entity_id"), "embedding"), cents, boosted, "entity_id",
+                                  "embedding", "tech_id", "vec", 0.20).withColumnRenamed("score", "emb")
+
+    def tf(pairs: DataFrame) -> DataFrame:
+        return similarity.tfidf_similarity(docs.select("entity_id", "text"),
+                                           techs.select("tech_id", F.col("description").alias("text")), pairs=pairs)
+
+    def kw(pairs: DataFrame) -> DataFrame:
+        return similarity.keyword_overlap(
+            docs.join(pairs.select("entity_id").distinct(), "entity_id", "left_semi").select("entity_id", "keywords"),
+            techs.join(pairs.select("tech_id").distinct(), "tech_id", "left_semi").select("tech_id", "keywords"),
+            "entity_id", "tech_id")
+    ents = docs.select("entity_id", "text", "title")
+    return linking.classify_multi(emb, ents, techs, tf, kw, high=0.30, low=0.20, th_tfidf=0.35, th_fuzzy=0.60)
+
+
 # ------------------------------------------------------------ company links
 _COMPANY_SQL = "WITH " + _CAT_SQL.strip() + """,
 names AS (SELECT s.s_suppkey, CASE WHEN s.s_suppkey % 3 = 0 AND p.p_name IS NOT NULL THEN s.s_name || ' ' || upper(p.p_name)

@@ -93,3 +93,17 @@ def token_set(a: str, b: str) -> str:
                    array_to_string(list_sort(list_filter(ta, lambda x: NOT list_contains(tb, x))), ' ') AS ab,
                    array_to_string(list_sort(list_filter(tb, lambda x: NOT list_contains(ta, x))), ' ') AS ba
             FROM (SELECT {ta} AS ta, {tb} AS tb)))"""
+
+
+def lcs_long(a: str, b: str) -> str:
+    """LCS length without a bound on the lengths: element l + 1 of the list is the shortest
+    prefix of the shorter side that holds a common subsequence of length l."""
+    p = f"(CASE WHEN length({a}) <= length({b}) THEN {a} ELSE {b} END)"
+    t = f"(CASE WHEN length({a}) <= length({b}) THEN {b} ELSE {a} END)"
+    after = (f"list_transform(range(length({p}) + 2), lambda j: CASE WHEN instr(substr({p}, j + 1), c) > 0 "
+             f"THEN j + instr(substr({p}, j + 1), c) ELSE length({p}) + 1 END)")
+    last = (f"list_reduce(list_transform(string_split({t}, ''), lambda c: {after}), "
+            f"lambda k, n: list_transform(range(1, len(k) + 1), lambda l: CASE WHEN l = 1 THEN 0 "
+            f"ELSE least(k[l], n[k[l - 1] + 1]) END), "
+            f"list_transform(range(length({p}) + 1), lambda i: CASE WHEN i = 0 THEN 0 ELSE length({p}) + 1 END))")
+    return f"(CASE WHEN length({p}) = 0 THEN 0 ELSE len(list_filter({last}, lambda x: x <= length({p}))) - 1 END)"

@@ -3,7 +3,9 @@
 1. Corpus statistics over all documents: counts of character transitions (a fixed
    38 x 38 table) and the ``DICTIONARY`` most frequent words, both summed by Spark.
 2. Candidates: assignments to a credential-like name, well-known key formats, and long
-   mixed tokens.  Deliberately broad.
+   mixed tokens.  Deliberately broad.  A value has no greatest length: it is the whole
+   run of its characters; a private key goes from its BEGIN line to its END line or, if there
+   is none, over all following lines of key characters.
 3. Features of a candidate: its length and character classes, its transitions
    (changes of class, mean log-probability under the corpus table), how much of it
    dictionary words cover, its path (or source) and its neighbouring words.
@@ -47,16 +49,18 @@ PLACEHOLDER = "<SECRET>"
 # Public formats and names.
 NAMES = r"token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credentials?|private[_-]?key|client[_-]?key"
 RULES: list[tuple[str, str]] = [
-    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?s:(?:(?!-----BEGIN ).)*?)-----END [A-Z ]{0,30}PRIVATE KEY-----"
+                    r"|(?:[ \t]*[A-Za-z0-9+/=]{20,})?(?:(?:\r?\n|\\r|\\n)[ \t]*(?:(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n]*"
+                    r"|[A-Za-z0-9+/=]*)[ \t]*(?=[\r\n\"']|\\r|\\n|\Z))*)"),
     ("aws", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
-    ("github", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,255}"),
-    ("slack", r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,255}"),
-    ("stripe", r"(?<![A-Za-z0-9])[sr]k_(?:live|test)_[0-9a-zA-Z]{16,255}"),
-    ("google", r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35}"),
+    ("github", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}"),
+    ("slack", r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}"),
+    ("stripe", r"(?<![A-Za-z0-9])[sr]k_(?:live|test)_[0-9a-zA-Z]{16,}"),
+    ("google", r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35,}"),
     ("jwt", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
     ("assigned", r"(?i:(?<![A-Za-z0-9])[A-Za-z0-9_.-]{0,40}(?:" + NAMES + r")[A-Za-z0-9_.-]{0,40}[\"']?[ \t]{0,4}[:=]{1,2}>?"
-                 r"[ \t]{0,4}[\"']?)(?P<v>[^\s\"'`,;<>]{8,512})"),
-    ("token", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]{0,511}[0-9])[A-Za-z0-9+/_-]{20,512}={0,2}(?![A-Za-z0-9+/=_-])"),
+                 r"[ \t]{0,4}[\"']?)(?P<v>[^\s\"'`,;<>]{8,})"),
+    ("token", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/=_-])"),
 ]
 CREDENTIAL = re.compile(NAMES + r"|bearer|apikey|key", re.I)
 HARMLESS = re.compile(r"sha\d*|md5|hash|checksum|digest|commit|revision|uuid|guid|etag|version|build|example|sample|dummy"
@@ -148,7 +152,7 @@ class Features:
         freq = np.bincount(buf)
         freq = freq[freq > 0] / len(buf)
         c = _CLASS[buf]
-        covered, words = self.coverage(value[:256])
+        covered, words = self.coverage(value)
         return [float(len(data)), math.log(n), float(share[0]), float(share[1]), float(share[2]), float(share[3]),
                 float(re.fullmatch(r"[0-9a-fA-F]+", value) is not None), len(set(data)) / n,
                 float(-(freq * np.log2(freq)).sum()), float((kind[1:] != kind[:-1]).sum() / n),
@@ -218,7 +222,23 @@ def generated(seed: int, n: int, words: list[str]) -> list[tuple[str, str, str,
     for i in range(n):
         before, after, path = prose(4), prose(4), paths[int(rng.integers(0, len(paths)))]
         kind = int(rng.integers(0, 6))
-        if i % 2:
+        if i % 20 == 9:  # long secrets: one unbroken value, or a key block
+            body = pick(alnum + "+/", int(rng.integers(200, 3000)))
+            if kind < 3:
+                block = "\n".join(body[k:k + 64] for k in range(0, len(body), 64))
+                name = ["", "RSA ", "EC ", "OPENSSH "][int(rng.integers(0, 4))]
+                out.append((f"-----BEGIN {name}PRIVATE KEY-----\n{block}\n-----END {name}PRIVATE KEY-----",
+                            before + "\n", "\n" + after, path, 1))
+            else:
+                body = body if kind < 5 else pick("0123456789abcdef", len(body))
+                out.append((body, before + " " + names[int(rng.integers(0, len(names)))] + ' = "', '" ' + after, path, 1))
+        elif i % 20 == 8:  # long look-alikes: embedded data, joined words, digits
+            size = int(rng.integers(200, 3000))
+            value = (pick(alnum + "+/", size) if kind < 3 else pick(digits, size) if kind == 3
+                     else joined(size // 6, "_") + pick(digits, 1))
+            left = before + (" data:image/png;base64," if kind < 3 else " " + safe[int(rng.integers(0, len(safe)))] + " ")
+            out.append((value, left, " " + after, path, 0))
+        elif i % 2:
             value = [lambda: pick("0123456789abcdef", int(rng.choice([32, 40, 64]))),
                      lambda: "AKIA" + pick(lower.upper() + digits, 16), lambda: "ghp_" + pick(alnum, 36),
                      lambda: pick(alnum, int(rng.integers(16, 48))), lambda: pick(alnum + "+/", 40),

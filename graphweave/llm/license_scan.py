@@ -3,7 +3,9 @@
 Texts are normalised (A-Z lower-cased; ASCII punctuation, control characters and
 typographic quotes and dashes become spaces).  The units that are compared are
 every line, every paragraph of two or more lines (between blank lines), and the
-whole text if it has two or more paragraphs.  A unit of ``w`` words has ``w - 1``
+whole text if it has two or more paragraphs.  Notices that no such unit shows (several
+paragraphs inside a longer text, part of a line or paragraph) are found as windows of
+words (see ``windows``).  A unit of ``w`` words has ``w - 1``
 bigrams (with repetitions); Dice is ``2 * shared / (unit + template)``.
 
 A Dice of at least t needs sizes within t / (2 - t) of each other, so units that
@@ -24,10 +26,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphweave.llm.common import ascii_lower, text_key
+from graphweave.llm.common import ascii_lower, materialise, text_key
 from graphweave.llm.licence_texts import TEMPLATES
 
 MIN_PERCENT = 80
@@ -123,8 +125,90 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the smallest (-dice, template id): the smaller id wins a tie
     top = pairs.withColumn("dice", dice).groupBy(*keys).agg(F.min(F.struct((-F.col("dice")).alias("d"), "template", "spdx", "shared",
                                                    "n_template")).alias("b"))
-    return top.select("doc_id", "kind", "first_line", "last_line", "b.spdx", "b.template", "b.shared", "n_unit",
-                      "b.n_template", (-F.col("b.d")).alias("dice"))
+    found = materialise(top.select("doc_id", "t1", "t2", "kind", "first_line", "last_line", "b.spdx", "b.template", "b.shared",
+                                   "n_unit", "b.n_template", (-F.col("b.d")).alias("dice")))
+    w = windows(documents, held, min_percent, text_col)
+    k1, k2 = text_key(F.col(text_col))
+    ids = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), k1.alias("t1"), k2.alias("t2"))
+    w = w.join(ids.distinct(), ["t1", "t2"])
+    f = found.select(F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("first_line").alias("fa"), F.col("last_line").alias("fb"))
+    w = w.join(f, (F.col("t1") == F.col("f1")) & (F.col("t2") == F.col("f2")) & (F.col("fa") <= F.col("first_line"))
+               & (F.col("fb") >= F.col("last_line")), "left_anti")
+    return found.drop("t1", "t2").unionByName(w.select(*[c for c in found.columns if c not in ("t1", "t2")]))
+
+
+def _anchors(held: Sequence, min_percent: int) -> list[str]:
+    """Words of which every window that reaches the threshold holds at least one.
+
+    The bigrams of a template without any of its chosen (longest) words are fewer than
+    the smallest window must share.
+    """
+    out: set[str] = set()
+    for r in held:
+        w = r["text"].split(" ")
+        m = len(w) - 1
+        smallest = -(-min_percent * m // (200 - min_percent))
+        left = {(w[i], w[i + 1], i) for i in range(m)}
+        for word in sorted(set(w), key=lambda x: (-len(x), x)):
+            if 200 * len(left) < min_percent * (smallest + m):
+                break
+            out.add(word)
+            left = {g for g in left if word not in g[:2]}
+    return sorted(out)
+
+
+def windows(documents: DataFrame, held: DataFrame, min_percent: int, text_col: str = "text") -> DataFrame:
+    """(t1, t2, kind, first_line, last_line, spdx, template, shared, n_unit, n_template, dice) of the runs of words, whatever
+    lines and paragraphs they cross, that reach the threshold and overlap no better run.
+
+    Texts without an anchor word can't hold one.  In the others only bigrams of a template
+    are kept, with their positions; a window starts and ends at such bigrams.  A bigram that a
+    template has k times counts unless its k-th last occurrence lies inside the window too,
+    which gives the multiset intersection.  Runs inside a line that was itself of the
+    template's size are left out: the line has been compared as it is.
+    """
+    t, whole = min_percent, 200 - min_percent
+    templates = held.collect()
+    t1, t2 = text_key(F.col(text_col))
+    rows = documents.where(F.col(text_col).isNotNull()).select(t1.alias("t1"), t2.alias("t2"),
+                                                               normalised_lines(F.col(text_col)).alias("lines"))
+    rows = (rows.where(F.arrays_overlap(F.split(F.array_join("lines", " "), " "), F.array(*[F.lit(x) for x in _anchors(templates, t)])))
+            .dropDuplicates(["t1", "t2"]))
+    rows = rows.select("t1", "t2", F.flatten(F.transform("lines", lambda x, i: F.transform(
+        F.filter(F.split(x, " "), lambda v: v != ""), lambda v: F.struct(v.alias("w"), i.alias("line"), _n_words(x).alias("c"))))).alias("ws"))
+    grams = rows.where(F.size("ws") > 1).select("t1", "t2", F.posexplode(F.arrays_zip(
+        F.slice("ws", F.lit(1), F.size("ws") - 1).alias("a"), F.slice("ws", F.lit(2), F.size("ws") - 1).alias("b"))).alias("pos", "g"))
+    theirs = (_numbered(held, ["template", "spdx", "n_template"]).groupBy("gram", "template", "spdx", "n_template")
+              .agg(F.count(F.lit(1)).cast("int").alias("k")))
+    keys = ["t1", "t2", "template"]
+    hits = (grams.select("t1", "t2", "pos", F.xxhash64("g.a.w", "g.b.w").alias("gram"), F.col("g.a.line").alias("la"),
+                         F.col("g.b.line").alias("lb"), (F.col("g.a.c") - 1).alias("n_line"))
+            .join(F.broadcast(theirs), "gram")
+            .withColumn("occ", F.row_number().over(Window.partitionBy(*keys, "gram").orderBy("pos"))))
+    hits = materialise(hits)
+    back = hits.select(*keys, "gram", (F.col("occ") + F.col("k")).alias("occ"), F.col("pos").alias("before"))
+    longest = F.floor(F.col("n_template") * whole / t)
+    least = F.ceil(t * (F.ceil(F.col("n_template") * t / whole) + F.col("n_template")) / 200)
+    ahead = F.count(F.lit(1)).over(Window.partitionBy(*keys).orderBy(F.col("pos") / longest).rangeBetween(0, 1))
+    starts = hits.withColumn("ahead", ahead).where(F.col("ahead") >= least).select(
+        *keys, F.col("pos").alias("s"), F.col("la").alias("first_line"), "n_line")
+    inside = (hits.join(back, [*keys, "gram", "occ"], "left").select(*keys, "spdx", "n_template", "pos", "lb", "before")
+              .join(starts, keys).where((F.col("pos") >= F.col("s")) & (F.col("pos") < F.col("s") + longest)
+                                        & (F.col("before").isNull() | (F.col("before") < F.col("s")))))
+    n = (F.col("pos") - F.col("s") + 1).cast("long")
+    ends = (inside.withColumn("shared", F.row_number().over(Window.partitionBy(*keys, "s").orderBy("pos")).cast("long"))
+            .withColumn("n_unit", n)
+            .where((200 * F.col("shared") >= t * (F.col("n_unit") + F.col("n_template")))
+                   & ~((F.col("first_line") == F.col("lb")) & (whole * F.least("n_line", "n_template") >= t * F.greatest("n_line", "n_template"))))
+            .withColumn("dice", 2.0 * F.col("shared") / (F.col("n_unit") + F.col("n_template"))))
+    order = F.struct((-F.col("dice")).alias("d"), (-F.col("n_unit")).alias("n"), F.col("template").alias("x"), F.col("s").alias("s"))
+    best = materialise(ends.groupBy("t1", "t2", "template", "s").agg(F.min_by(F.struct(
+        "first_line", F.col("lb").alias("last_line"), "spdx", "shared", "n_unit", "n_template", "dice", "pos"), order).alias("b"))
+        .select("t1", "t2", "template", "s", "b.*").withColumn("o", order))
+    other = best.select(F.col("t1").alias("o1"), F.col("t2").alias("o2"), F.col("s").alias("os"), F.col("pos").alias("op"), F.col("o").alias("oo"))
+    return (best.join(other, (F.col("t1") == F.col("o1")) & (F.col("t2") == F.col("o2")) & (F.col("os") <= F.col("pos"))
+                      & (F.col("op") >= F.col("s")) & (F.col("oo") < F.col("o")), "left_anti")
+            .withColumn("kind", F.lit("window")))
 
 
 def _ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

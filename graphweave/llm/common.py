@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphweave.session import checkpoint_dir
+from graphweave.operators.common import scratch_path, stored as materialise
+
+__all__ = ["as_row", "ascii_lower", "from_row", "materialise", "scratch_path", "spread", "table", "text_key"]
 
 # The white space of the text contracts, [\x20\x09-\x0D].
 WS = " \t\n\x0b\x0c\r"
@@ -25,28 +25,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder, removed when the
-    application ends."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gw-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again.
-
-    Cuts the lineage (a lost executor costs no more than its running tasks) and
-    gives the optimizer the true size of the intermediate table.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else.  ``lower`` does just that on pure ASCII."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphweave.llm import (
-    license_scan, line_dedup, near_dedup, packing, quality, secret_scan, sentencepiece_codec, sharding, token_counts, topk,
+    conversation_repair, importance, license_scan, line_dedup, near_dedup, packing, quality, secret_scan,
+    sentencepiece_codec, sharding, token_counts, topk, url_filter,
 )
 from graphweave.llm.common import materialise, table
 
@@ -242,3 +243,124 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select(F.col("id").cast("long").alias("doc_id"), "start", "end", "rule",
                       F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
+@_query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by importance towards the distribution of the benchmark texts."""
+    return importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "benchmark").select("text"))
+
+
+# crc32 of the UTF-8 bytes of a word, from the eight-step rule for a byte
+_CRC_SQL = """
+crc_table AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN (c & 1) = 1
+              THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i))"""
+
+
+def _crc_of(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, octet_length(encode({text})) + 1),
+        lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
+ORACLE["op11_importance_resampling"] = r"""
+WITH """ + _CRC_SQL.strip() + r""",
+d0 AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+d1 AS (SELECT rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d0),
+b1 AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+dw AS (SELECT rid, unnest(words) AS w FROM d1),
+bw AS (SELECT unnest(words) AS w FROM b1),
+v AS (SELECT w, """ + _crc_of("w") + r""" % 10000 AS bucket
+      FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc_table),
+db AS (SELECT rid, bucket FROM dw JOIN v USING (w)),
+s AS (SELECT bucket, count(*) AS s FROM db GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN v USING (w) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM db) AS s_all, (SELECT count(*) FROM bw) AS t_all),
+g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS gain
+      FROM s LEFT JOIN t USING (bucket), n),
+w AS (SELECT rid, count(*) AS n_features, sum(gain)::BIGINT AS total FROM db JOIN g USING (bucket) GROUP BY rid),
+x AS (SELECT rid, doc_id, coalesce(n_features, 0)::BIGINT AS n_features,
+             coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+             ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+      FROM d1 LEFT JOIN w USING (rid)),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM x),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, rid) AS rn, count(*) OVER () AS n
+      FROM y WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rn <= 10 * n // 100 THEN rn END AS rank FROM y LEFT JOIN r USING (rid)
+"""
+
+
+# The rules of the query, as (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+ORACLE["op12_url_filters"] = """
+WITH rules(r_host, r_path, r_verdict) AS (VALUES """ + ", ".join(map(str, URL_RULES)) + """),
+p AS (SELECT row_number() OVER () AS rid, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+u AS (SELECT rid, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+m AS (SELECT rid, r_host || r_path AS rule, r_verdict, row_number() OVER (PARTITION BY rid ORDER BY length(r_host || r_path) DESC) AS rn
+      FROM u JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(r_verdict, 'allow') AS verdict
+FROM u LEFT JOIN m ON u.rid = m.rid AND rn = 1
+"""
+
+
+@_query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_conversation_repair"] = r"""
+WITH RECURSIVE """ + _CRC_SQL.strip() + r""",
+c0 AS (SELECT conv_id, turn, coalesce('v' || conv_id::VARCHAR, 'n') AS ck, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+              coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+c1 AS (SELECT c0.*, """ + _crc_of("k") + r""" % 20 AS d FROM c0, crc_table),
+c2 AS (SELECT ck, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+              CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+              unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM c1 WHERE d <> 0),
+c3 AS (SELECT ck, turn, role, text, substr(role, 1, 1) AS x, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare,
+              row_number() OVER (PARTITION BY ck ORDER BY turn NULLS FIRST, role, text) AS i FROM c2),
+c4 AS (SELECT *, bare = '' AS blank, row_number() OVER (PARTITION BY ck, role, text ORDER BY i) > 1 AS again,
+              lead(x) OVER (PARTITION BY ck ORDER BY i) AS y FROM c3),
+c AS (SELECT *, NOT blank AND again AS dup, NOT blank AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM c4),
+facts AS (SELECT ck, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank)::BIGINT AS blank,
+                 count(*) FILTER (dup)::BIGINT AS duplicate, count(*) FILTER (cut)::BIGINT AS truncated,
+                 count(*) FILTER (y IS NOT NULL AND x || y NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal, max(i) AS n FROM c GROUP BY ck),
+nx(q, role, q2) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+ins AS (SELECT q, 0 AS cost, '' AS letters, [] :: VARCHAR[] AS lines, q AS q2 FROM nx
+        UNION ALL SELECT q, 3, 'I', [role || ':'], q2 FROM nx
+        UNION ALL SELECT a.q, 6, 'II', [a.role || ':', b.role || ':'], b.q2 FROM nx a JOIN nx b ON a.q2 = b.q),
+walk AS (
+  SELECT ck, 0::BIGINT AS i, 0 AS q, 0::BIGINT AS cost, '' AS audit, [] :: VARCHAR[] AS lines FROM facts
+  UNION ALL
+  SELECT ck, i, q, best.cost, best.audit, best.lines FROM (
+    SELECT ck, i, q, min({'cost': cost, 'audit': audit, 'lines': lines}) AS best FROM (
+      SELECT w.ck, c.i, e.q2 AS q, w.cost + n.cost + e.cost AS cost, w.audit || n.letters || e.letter AS audit,
+             list_concat(list_concat(w.lines, n.lines), e.lines) AS lines
+      FROM walk w JOIN c ON c.ck = w.ck AND c.i = w.i + 1 JOIN ins n ON n.q = w.q JOIN nx ON nx.q = n.q2,
+      LATERAL (SELECT 'D' AS letter, 4 AS cost, [] :: VARCHAR[] AS lines, nx.q AS q2
+               UNION ALL SELECT 'R', 3 + 3 * c.cut::INT, [nx.role || ':' || c.text], nx.q2 WHERE NOT c.blank AND NOT c.dup
+               UNION ALL SELECT 'K', 3 * c.cut::INT, [c.role || ':' || c.text],
+                                CASE c.x WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+                         WHERE NOT c.blank AND NOT c.dup AND (c.x = substr(nx.role, 1, 1) OR (c.x = 's' AND nx.q = 0))) e)
+    GROUP BY ck, i, q)),
+fin AS (SELECT ck, min({'cost': w.cost + n.cost, 'audit': w.audit || n.letters, 'lines': list_concat(w.lines, n.lines)}) AS best
+        FROM walk w JOIN facts f USING (ck) JOIN ins n ON n.q = w.q WHERE w.i = f.n AND n.q2 IN (0, 3) GROUP BY ck)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(fin.best.cost, 0)::BIGINT AS cost,
+       coalesce(fin.best.audit, '') AS audit, sha256(coalesce(array_to_string(fin.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, ck FROM c0) o LEFT JOIN facts USING (ck) LEFT JOIN fin USING (ck)
+"""

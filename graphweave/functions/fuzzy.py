@@ -61,6 +61,37 @@ def lcs_len_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else lcs_len(x, y) for x, y in zip(a, b)], dtype="Int64")
 
 
+def _bag(s: str) -> dict[str, int]:
+    out: dict[str, int] = {}
+    for ch in s:
+        out[ch] = out.get(ch, 0) + 1
+    return out
+
+
+def lcs_at_least_udf(threshold: int):
+    """UDF: LCS length of two strings, or -1 where it stays below ``threshold`` per cent of the Indel ratio.
+
+    The common characters, counted with repetitions, bound the LCS; it is only computed where they suffice.  Counts of a
+    string are kept while it repeats.
+    """
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        bags: dict[str, dict[str, int]] = {}
+        out = []
+        for x, y in zip(a, b, strict=True):
+            for s in (x, y):
+                if s not in bags:
+                    if len(bags) > 5000:
+                        bags.clear()
+                    bags[s] = _bag(s)
+            small, large = bags.get(x) or _bag(x), bags.get(y) or _bag(y)
+            common = sum(min(n, large.get(ch, 0)) for ch, n in small.items())
+            total = threshold * (len(x) + len(y))
+            got = lcs_len(x, y) if 200 * common >= total else -1
+            out.append(got if 200 * got >= total else -1)
+        return pd.Series(out, dtype="int32")
+    return pandas_udf(run, IntegerType())
+
+
 # ------------------------------------------------------------------- SQL side
 def _chars(s: Column) -> Column:
     """Characters of ``s`` as an array (code points; '' -> [])."""
@@ -340,21 +371,92 @@ def partial_ratio(s1: str, s2: str, cutoff: float = 0.0, hay_index: "_Hay | None
     return best if best >= cutoff else 0.0
 
 
-@pandas_udf(DoubleType())
-def partial_ratio_udf(a: pd.Series, b: pd.Series, cutoff: pd.Series) -> pd.Series:
-    """Partial ratio per row; exact at or above the row's cutoff, else 0.
-    Rows arrive grouped by text (a nested-loop join streams all phrases of one
-    text together), so the text index is built once per run of equal texts."""
-    out = []
-    hx = None
-    for x, y, c in zip(a, b, cutoff):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        if len(y) >= len(x) and (hx is None or hx.text != y):
-            hx = _Hay(y)
-        out.append(partial_ratio(x, y, float(c), hx))
-    return pd.Series(out, dtype="float64")
+def shared_trigrams(m: int, cutoff: float) -> int:
+    """Three-grams of a needle of ``m`` characters that occur in every window of ratio >= ``cutoff``.
+
+    A window of m characters misses at most (1 - t) m of the needle's characters, each of which spoils three of its
+    three-grams, and puts in as many, each of which spoils two.  A window cut at an end has at least m t / (2 - t)
+    characters, then all the needle's; between the two the loss is linear.
+    """
+    t = cutoff / 100.0
+    lost = max(5 * (1 - t) * m, 3 * m * (2 - 2 * t) / (2 - t))
+    return max(0, int(np.ceil(m - 2 - lost - 1e-9)))
+
+
+def _trigrams(s: str) -> np.ndarray:
+    """One number per run of three characters (21 bits each)."""
+    c = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:] if len(c) > 2 else np.zeros(0, dtype=np.int64)
+
+
+def partial_ratio_at(needle: str, hay: str, starts: np.ndarray, cutoff: float) -> float:
+    """Best ratio of ``needle`` against the windows of its length at ``starts`` (rising) and those cut at the ends of ``hay``
+    that lie in the first or last of them; 0 below ``cutoff``."""
+    m, n = len(needle), len(hay)
+    best = 100.0 * int(_window_lcs(needle, hay, starts).max()) / m
+    if starts[0] == 0:
+        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle, hay, m - 1), start=1)), 0.0)
+    if starts[-1] == n - m:
+        tail = hay[n - m:][::-1]
+        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle[::-1], tail, m - 1), start=1)), 0.0)
+    return best if best >= cutoff else 0.0
+
+
+class PartialScan:
+    """All phrases of a list that reach a partial ratio with a text without occurring in it.
+
+    The three-grams of all phrases are numbered; one look-up per place of the text and running sums give, for every
+    phrase and window, how many of the window's three-grams the phrase has.  Windows with fewer than
+    ``shared_trigrams`` can't reach the cutoff; the others are scored exactly.
+    """
+
+    def __init__(self, phrases: list[str], cutoff: float):
+        self.phrases, self.cutoff = phrases, cutoff
+        grams = [_trigrams(p) for p in phrases]
+        self.known = np.unique(np.concatenate([*grams, np.zeros(0, dtype=np.int64)]))
+        self.need = [shared_trigrams(len(p), cutoff) for p in phrases]
+        self.has = []                     # one flag per numbered three-gram, and a last one for all others
+        for g in grams:
+            flags = np.zeros(len(self.known) + 1, dtype=bool)
+            flags[np.searchsorted(self.known, g)] = True
+            self.has.append(flags)
+
+    def score(self, text: str) -> list[tuple[int, float]]:
+        n = len(text)
+        grams = _trigrams(text)
+        at = np.searchsorted(self.known, grams)
+        at[at == len(self.known)] = 0
+        if len(self.known):
+            at = np.where(self.known[at] == grams, at, len(self.known))
+        out = []
+        for k, p in enumerate(self.phrases):
+            m = len(p)
+            short = n < m
+            need = shared_trigrams(n, self.cutoff) if short else self.need[k]
+            if n == 0 or (need > 0 and len(at) < need):
+                continue
+            hit = self.has[k][at]
+            if short:
+                # the text is the needle: its three-grams must occur in the phrase
+                if np.count_nonzero(hit) >= need and text not in p:
+                    score = partial_ratio(text, p, self.cutoff)
+                else:
+                    score = 100.0 if text in p else 0.0
+                if score >= self.cutoff:
+                    out.append((k, score))
+                continue
+            if need > 0:
+                if np.count_nonzero(hit) < need:
+                    continue
+                sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int32)])
+                starts = np.flatnonzero(sums[m - 2:] - sums[:n - m + 1] >= need)
+            else:
+                starts = np.arange(n - m + 1)
+            if len(starts) and p not in text:
+                score = partial_ratio_at(p, text, starts, self.cutoff)
+                if score >= self.cutoff:
+                    out.append((k, score))
+        return out
 
 
 def pieces(c, threshold: float) -> Column:

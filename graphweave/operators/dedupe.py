@@ -3,6 +3,7 @@
 * ``keep_first``          — exact dedupe on a key, first row (by an order column) wins.
 * ``similar_strings``     — all pairs of distinct strings whose Indel ratio reaches a
                             threshold, by a rare-gram prefix join with exact filters.
+* ``similar_between``     — the same between the strings of two tables.
 * ``similar_pairs``       — the same between rows.
 * ``greedy_fuzzy_dedupe`` — the sequential "drop a row similar to an already kept
                             earlier row" scan, computed as rounds over the pair graph.
@@ -15,9 +16,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import ratio_from_lcs, with_lcs
+from ..functions.fuzzy import lcs_at_least_udf, ratio_from_lcs, with_lcs
 from ..functions.text import token_sort
-from .common import seq, stored
+from .common import fits_broadcast, seq, stored
 
 
 def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
@@ -132,6 +133,47 @@ def similar_strings(strings: DataFrame, col: str, threshold: int) -> DataFrame:
             .select("sa", "sb", ratio_from_lcs(F.col("lcs"), F.length("sa"), F.length("sb")).alias("ratio")))
 
 
+SALT = 32
+
+
+def similar_between(left: DataFrame, left_col: str, right: DataFrame, right_col: str, threshold: int) -> DataFrame:
+    """Pairs ``(sa, sb, ratio)`` of a distinct string of ``left`` and one of ``right`` (equal ones too) with Indel ratio >=
+    ``threshold``; two empty strings have ratio 100.
+
+    Strings whose lengths admit the ratio lie in the same or neighbouring classes of a geometric series, which
+    is the join key.  The right side is broadcast when its size check passes; beyond it both
+    sides meet by shuffle and each class is dealt over salts.  What meets must pass the length band and the exact count of common
+    characters; only then the LCS is computed.
+    """
+    t = threshold
+    if not 0 < t < 100:
+        raise ValueError("threshold must be between 0 and 100")
+
+    def base(df: DataFrame, col: str, x: str) -> DataFrame:
+        s = df.select(F.col(col).alias("s")).where("s is not null").distinct().withColumn("l", F.length("s"))
+        band = F.when(F.col("l") == 0, -2).otherwise(F.floor(F.log("l") / math.log((200 - t) / t) + 1e-9)).cast("int")
+        return s.select(F.col("s").alias(f"s{x}"), F.col("l").alias(f"l{x}"), band.alias(f"k{x}"))
+
+    b = base(right, right_col, "b")
+    b = stored(b.withColumn("kb", F.explode(F.when(F.col("kb") == -2, F.array("kb")).otherwise(
+        F.array(F.col("kb") - 1, F.col("kb"), F.col("kb") + 1)))))
+    a = base(left, left_col, "a")
+    # strings without a partner of a fitting length go before anything is computed for them
+    a = a.join(F.broadcast(b.select(F.col("kb").alias("ka")).distinct()), "ka", "left_semi")
+    key = F.col("ka") == F.col("kb")
+    if fits_broadcast(b):
+        b = F.broadcast(b)
+    else:
+        a = a.withColumn("xa", F.pmod(F.xxhash64("sa"), F.lit(SALT)).cast("int"))
+        b = b.withColumn("xb", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        key = key & (F.col("xa") == F.col("xb"))
+    band = F.lit(200 - t) * F.least("la", "lb") >= F.lit(t) * F.greatest("la", "lb")
+    pairs = a.join(b, key & band).select("sa", "sb")
+    scored = pairs.withColumn("lcs", lcs_at_least_udf(t)(F.col("sa"), F.col("sb")))
+    return (scored.where("lcs >= 0")
+            .select("sa", "sb", ratio_from_lcs(F.col("lcs"), F.length("sa"), F.length("sb")).alias("ratio")))
+
+
 def similar_pairs(df: DataFrame, id_col: str, text_col: str, threshold: int,
                   sort_tokens: bool = True) -> DataFrame:
     """Pairs ``(id_a, id_b, ratio)`` with ``id_a < id_b`` and Indel ratio >= threshold.

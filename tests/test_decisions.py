@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from graphweave.functions import fuzzy as fz
 from graphweave.operators import cluster, dedupe, linking, similarity
+from graphweave.operators import phrases as phrases_
 from graphweave.plans import graph_build
 from graphweave.sources import readers
 
@@ -86,7 +87,8 @@ def test_phrase_and_partial_paths_agree(spark, monkeypatch, rows):
     texts = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12))).replace("e", rnd.choice("ee3"))) for i in range(60)]
     phrases = [(100 + i, " ".join(rnd.sample(words, rnd.randint(1, 3)))) for i in range(25)] + [(999, "")]
     e, p = spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame(phrases, "pid long, p string")
-    monkeypatch.setattr(linking, "PHRASES_NESTED_LOOP_MAX", rows)
+    monkeypatch.setattr(phrases_, "BLOCK_MAX_ROWS", rows)
+    monkeypatch.setattr(phrases_, "CELL_BYTES", 500)
     hits = {(r[0], r[1]) for r in linking.phrase_matches(e, "id", "t", p, "pid", "p").distinct().collect()}
     assert hits == {(i, j) for i, t in texts for j, q in phrases if q and q in t}
     part = {(r[0], r[1]) for r in linking.partial_matches(e, "id", "t", p, "pid", "p", 70).collect()}

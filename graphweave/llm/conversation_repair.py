@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -72,15 +72,15 @@ def _row_edits(state: int, initial: str, must_go: bool, truncated: bool) -> Iter
         cost, inserted, state = cost + INSERT, inserted + NEXT[state], STATE[NEXT[state]]
 
 
-def segment_paths(rows: list[tuple[str, bool, bool]]) -> list[tuple[int, int, int, str]]:
+def segment_paths(rows: list[tuple[str, bool, bool]], starts: Iterable[int] = range(4)) -> list[tuple[int, int, int, str]]:
     """(from state, to state, cost, operations) of the least weight for all pairs of states that a path joins.
 
-    ``rows`` are (initial, must go, truncated).
+    ``rows`` are (initial, must go, truncated); ``starts`` are the states they may be reached in.
     """
     width = 3 * len(rows)                      # letters at most: two insertions and an edit per row
     cost_at = BITS * width
     out = []
-    for first in range(4):
+    for first in starts:
         best: dict[int, tuple[int, str]] = {first: (0, "")}
         for row in rows:
             found: dict[int, tuple[int, str]] = {}
@@ -180,7 +180,7 @@ _SEGMENT = ("ck string, block long, n long, blank long, duplicate long, truncate
 LEGAL = {"su", "ua", "au"}
 
 
-def _segment(rows: list) -> dict:
+def _segment(rows: list, starts: Iterable[int]) -> dict:
     """One segment: counts, what its neighbours need to know, and its paths."""
     facts, blank, duplicate, truncated, illegal = [], 0, 0, 0, 0
     for r in rows:
@@ -190,7 +190,7 @@ def _segment(rows: list) -> dict:
     for x, y in zip(facts, facts[1:], strict=False):
         illegal += x[0] + y[0] not in LEGAL
     turns = sorted({int(r.turn) for r in rows if r.turn is not None})
-    paths = segment_paths(facts)
+    paths = segment_paths(facts, starts)
     ranks = {a: i for i, a in enumerate(sorted({p[3].translate(AUDIT) for p in paths}), start=1)}
     return {"ck": rows[0].ck, "block": rows[0].block, "n": len(rows), "blank": blank, "duplicate": duplicate,
             "truncated": truncated, "illegal": illegal, "initials": (rows[0].initial or " ") + (rows[-1].initial or " "),
@@ -216,17 +216,23 @@ def _runs(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[list]:
 
 
 def segments(rows: DataFrame) -> DataFrame:
-    """Segments of conversations (at most ``BLOCK`` rows each) with their paths, stored."""
+    """Segments of conversations (at most ``BLOCK`` rows each) with their paths, stored.
+
+    Only the first segment of a block can continue a conversation of the block before; the others start one.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = []
+        out, block = [], None
         for held in _runs(batches, ["ck", "block"]):
-            out.append(_segment(held))
+            out.append(_segment(held, range(4) if held[0].block != block else [START]))
+            block = held[0].block
             if len(out) >= 1000:
                 yield _frame(out)
                 out = []
         if out:
             yield _frame(out)
-    return materialise(rows.repartition("block").sortWithinPartitions("m").mapInPandas(run, _SEGMENT))
+    # a number of its own: few bytes, but work for every core
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(rows.repartition(n, "block").sortWithinPartitions("m").mapInPandas(run, _SEGMENT))
 
 
 def _frame(out: list[dict]) -> pd.DataFrame:

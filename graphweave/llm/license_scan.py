@@ -5,12 +5,13 @@ typographic quotes and dashes become spaces).  The units that are compared are
 every line, every paragraph of two or more lines (between blank lines), and the
 whole text if it has two or more paragraphs.  Notices that no such unit shows (several
 paragraphs inside a longer text, part of a line or paragraph) are found as windows of
-words (see ``windows``).  A unit of ``w`` words has ``w - 1``
-bigrams (with repetitions); Dice is ``2 * shared / (unit + template)``.
+words (see ``windows``), of which the best that don't overlap are kept (``choose_windows``).  A unit of ``w``
+words has ``w - 1`` bigrams (with repetitions); Dice is ``2 * shared / (unit + template)``.
 
-A Dice of at least t needs sizes within t / (2 - t) of each other, so units that
-no template's size admits are dropped before any bigram is formed, and a pair is
-joined only if its sizes admit it.  Repetitions are numbered, which makes the
+A Dice of at least t needs sizes within t / (2 - t) of each other.  So a text must share a least number of different bigrams with
+a template for any of its units or windows to reach the threshold (``candidates``); only those texts are taken apart, once
+per different text.  Among their units those that no template's size admits are dropped before any bigram is formed, and a
+pair is joined only if its sizes admit it.  Repetitions are numbered, which makes the
 multiset intersection an equi-join of (bigram, number).
 
 Only the templates (a fixed list or the caller's, checked against
@@ -18,8 +19,8 @@ Only the templates (a fixed list or the caller's, checked against
 
 Defined results: null and empty texts have no units; repeated rows are scanned
 together with their id's other rows only if id and text are equal (one result);
-ties between templates go to the smaller template id; an empty table gives an
-empty result; other columns are ignored.
+ties between templates go to the smaller template id, between windows to the longer one, then the smaller template
+id, then the earlier one; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphweave.functions.stopwords import ENGLISH
 from graphweave.llm.common import ascii_lower, materialise, text_key
 from graphweave.llm.licence_texts import TEMPLATES
+from graphweave.operators.common import broadcast_if_small
 
 MIN_PERCENT = 80
 MAX_TEMPLATE_BIGRAMS = 1_000_000
@@ -97,23 +100,88 @@ def _numbered(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: Sequence[tuple[str, str, str]] = TEMPLATES, min_percent: int = MIN_PERCENT) -> DataFrame:
     """(doc_id, kind, first_line, last_line, spdx, template, shared, n_unit, n_template, dice) of every unit that
-    reaches the threshold, with its best template."""
+    reaches the threshold, with its best template, and of the windows of words chosen outside of them."""
     spark = documents.sparkSession
     raw = spark.createDataFrame(list(templates), "template string, spdx string, body string")
     held = (raw.select("template", "spdx", F.array_join(F.filter(
         normalised_lines(F.col("body")), lambda x: x != ""), " ").alias("text"))
         .withColumn("n_template", (_n_words(F.col("text")) - 1).cast("long")).where("n_template > 0"))
-    sizes = [r["n_template"] for r in held.select("n_template").collect()]
-    if sum(sizes) > MAX_TEMPLATE_BIGRAMS:
-        raise ValueError(f"templates have {sum(sizes)} bigrams; at most {MAX_TEMPLATE_BIGRAMS} are broadcast")
+    rows = held.collect()
+    total = sum(r["n_template"] for r in rows)
+    if total > MAX_TEMPLATE_BIGRAMS:
+        raise ValueError(f"templates have {total} bigrams; at most {MAX_TEMPLATE_BIGRAMS} are broadcast")
+    t1, t2 = text_key(F.col(text_col))
+    keyed = documents.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), t1.alias("t1"), t2.alias("t2"))
+    possible = materialise(candidates(keyed, held, rows, min_percent))
+    some = broadcast_if_small(possible.select("t1", "t2").distinct())
+    mine = materialise(keyed.join(some, ["t1", "t2"], "left_semi"))
+    texts = materialise(mine.groupBy("t1", "t2").agg(F.first("text").alias("text")))
+    found = materialise(unit_matches(texts, held, [r["n_template"] for r in rows], min_percent))
+    w = choose_windows(windows(texts, held, possible, min_percent))
+    # windows inside a unit that was found are told by it
+    by_line = found.where("kind <> 'text'").select(F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("last_line").alias("fb"),
+                                                   F.explode(F.sequence("first_line", "last_line")).alias("fl"))
+    by_text = found.where("kind = 'text'").select(F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("first_line").alias("fa"),
+                                                  F.col("last_line").alias("fb"))
+    same = (F.col("t1") == F.col("f1")) & (F.col("t2") == F.col("f2")) & (F.col("last_line") <= F.col("fb"))
+    w = (w.join(by_line, same & (F.col("first_line") == F.col("fl")), "left_anti")
+         .join(by_text, same & (F.col("first_line") >= F.col("fa")), "left_anti"))
+    ids = mine.select("doc_id", "t1", "t2").distinct()
+    out = found.unionByName(w.select(*found.columns)).join(ids, ["t1", "t2"])
+    return out.select("doc_id", *[c for c in found.columns if c not in ("t1", "t2")])
+
+
+def _least(n_template: Column | int, min_percent: int) -> Column:
+    """Bigrams that the smallest unit of the threshold must share with a template."""
+    t, whole = min_percent, 200 - min_percent
+    return F.ceil(t * (F.ceil(n_template * t / whole) + n_template) / 200)
+
+
+def _template_grams(held: DataFrame) -> DataFrame:
+    """(gram, template, spdx, n_template, k): every bigram of every template and how often it has it."""
+    return (_numbered(held, ["template", "spdx", "n_template"]).groupBy("gram", "template", "spdx", "n_template")
+            .agg(F.count(F.lit(1)).cast("int").alias("k")))
+
+
+def _gram_places(words: Column, keep: Sequence[str], df: DataFrame) -> DataFrame:
+    """(keep, pos, gram): every word bigram with its place."""
+    return (df.withColumn("ws", words).where(F.size("ws") > 1)
+            .select(*keep, F.posexplode(F.arrays_zip(F.slice("ws", F.lit(1), F.size("ws") - 1).alias("a"),
+                                                     F.slice("ws", F.lit(2), F.size("ws") - 1).alias("b"))).alias("pos", "g"))
+            .select(*keep, "pos", F.xxhash64("g.a", "g.b").alias("gram")))
+
+
+def _flat(text: Column) -> Column:
+    """All words of a text, in order."""
+    return F.array_remove(F.split(F.regexp_replace(ascii_lower(text), GAP, " "), "[ \n]+", -1), "")
+
+
+def candidates(keyed: DataFrame, held: DataFrame, templates: Sequence, min_percent: int) -> DataFrame:
+    """(t1, t2, template) of the texts that hold enough different bigrams of a template for any unit or window."""
+    anchors = F.array(*[F.lit(x) for x in _anchors(templates, min_percent)])
+    words = keyed.select("t1", "t2", _flat(F.col("text")).alias("w")).where(F.arrays_overlap("w", anchors))
+    grams = _template_grams(held)
+    # a template of n bigrams, d of them different: n - d of those shared may be repetitions
+    need = grams.groupBy("template", "n_template").agg(F.count(F.lit(1)).alias("d")).select(
+        "template", F.greatest(F.lit(1), _least(F.col("n_template"), min_percent) - F.col("n_template") + F.col("d")).alias("need"))
+    hits = (_gram_places(F.col("w"), ["t1", "t2"], words).drop("pos")
+            .join(F.broadcast(grams.select("gram", "template")), "gram"))
+    return (hits.groupBy("t1", "t2", "template").agg(F.count_distinct("gram").alias("n"))
+            .join(F.broadcast(need), "template").where("n >= need").select("t1", "t2", "template"))
+
+
+def unit_matches(texts: DataFrame, held: DataFrame, sizes: Sequence[int], min_percent: int) -> DataFrame:
+    """(t1, t2, kind, first_line, last_line, spdx, template, shared, n_unit, n_template, dice) of the lines, paragraphs and
+    whole texts that reach the threshold, with their best template."""
     t, whole = min_percent, 200 - min_percent
     fits = lambda a, b: (whole * F.least(a, b) >= t * F.greatest(a, b))
     n = F.col("n_unit")
     admitted = F.lit(False)
     for lo, hi in _ranges([(-(-t * s // whole), s * whole // t) for s in sizes]):
         admitted = admitted | n.between(lo, hi)
-    cand = units(documents, id_col, text_col).withColumn("n_unit", (F.col("words") - 1).cast("long")).where(admitted)
-    keys = ["doc_id", "t1", "t2", "kind", "first_line", "last_line", "n_unit"]
+    cand = units(texts, "t1").withColumn("n_unit", (F.col("words") - 1).cast("long")).where(admitted)
+    keys = ["t1", "t2", "kind", "first_line", "last_line", "n_unit"]
     mine = _numbered(cand, keys)
     theirs = F.broadcast(_numbered(held, ["template", "spdx", "n_template"]).withColumnsRenamed(
         {"gram": "t_gram", "rep": "t_rep"}))
@@ -124,32 +192,25 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dice = 2.0 * F.col("shared") / (F.col("n_unit") + F.col("n_template"))
     # the smallest (-dice, template id): the smaller id wins a tie
     top = pairs.withColumn("dice", dice).groupBy(*keys).agg(F.min(F.struct((-F.col("dice")).alias("d"), "template", "spdx", "shared",
-                                                   "n_template")).alias("b"))
-    found = materialise(top.select("doc_id", "t1", "t2", "kind", "first_line", "last_line", "b.spdx", "b.template", "b.shared",
-                                   "n_unit", "b.n_template", (-F.col("b.d")).alias("dice")))
-    w = windows(documents, held, min_percent, text_col)
-    k1, k2 = text_key(F.col(text_col))
-    ids = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), k1.alias("t1"), k2.alias("t2"))
-    w = w.join(ids.distinct(), ["t1", "t2"])
-    f = found.select(F.col("t1").alias("f1"), F.col("t2").alias("f2"), F.col("first_line").alias("fa"), F.col("last_line").alias("fb"))
-    w = w.join(f, (F.col("t1") == F.col("f1")) & (F.col("t2") == F.col("f2")) & (F.col("fa") <= F.col("first_line"))
-               & (F.col("fb") >= F.col("last_line")), "left_anti")
-    return found.drop("t1", "t2").unionByName(w.select(*[c for c in found.columns if c not in ("t1", "t2")]))
+                                                                           "n_template")).alias("b"))
+    return top.select("t1", "t2", "kind", "first_line", "last_line", "b.spdx", "b.template", "b.shared",
+                      "n_unit", "b.n_template", (-F.col("b.d")).alias("dice"))
 
 
 def _anchors(held: Sequence, min_percent: int) -> list[str]:
     """Words of which every window that reaches the threshold holds at least one.
 
-    The bigrams of a template without any of its chosen (longest) words are fewer than
+    The bigrams of a template without any of its chosen words (long ones first, stop words last) are fewer than
     the smallest window must share.
     """
     out: set[str] = set()
+    stopped = set(ENGLISH)
     for r in held:
         w = r["text"].split(" ")
         m = len(w) - 1
         smallest = -(-min_percent * m // (200 - min_percent))
         left = {(w[i], w[i + 1], i) for i in range(m)}
-        for word in sorted(set(w), key=lambda x: (-len(x), x)):
+        for word in sorted(set(w), key=lambda x: (x in stopped, -len(x), x)):
             if 200 * len(left) < min_percent * (smallest + m):
                 break
             out.add(word)
@@ -157,58 +218,84 @@ def _anchors(held: Sequence, min_percent: int) -> list[str]:
     return sorted(out)
 
 
-def windows(documents: DataFrame, held: DataFrame, min_percent: int, text_col: str = "text") -> DataFrame:
-    """(t1, t2, kind, first_line, last_line, spdx, template, shared, n_unit, n_template, dice) of the runs of words, whatever
-    lines and paragraphs they cross, that reach the threshold and overlap no better run.
+def _worded(texts: DataFrame) -> DataFrame:
+    """(t1, t2, pos, gram, la, lb): the word bigrams of every text with their place and the lines of their two words."""
+    lines = texts.select("t1", "t2", F.posexplode(normalised_lines(F.col("text"))).alias("line", "x")).where("x <> ''")
+    before = Window.partitionBy("t1", "t2").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    lines = (lines.withColumn("ws", F.array_remove(F.split("x", " ", -1), "")).drop("x")
+             .withColumn("at", F.coalesce(F.sum(F.size("ws")).over(before), F.lit(0))))
+    words = (lines.select("t1", "t2", "line", "at", F.posexplode("ws").alias("i", "w"))
+             .select("t1", "t2", "line", (F.col("at") + F.col("i")).cast("int").alias("pos"), "w"))
+    order = Window.partitionBy("t1", "t2").orderBy("pos")
+    return (words.select("t1", "t2", "pos", F.col("line").alias("la"), F.lead("line").over(order).alias("lb"), "w",
+                         F.lead("w").over(order).alias("v"))
+            .where("v is not null").select("t1", "t2", "pos", "la", "lb", F.xxhash64("w", "v").alias("gram")))
+
 
-    Texts without an anchor word can't hold one.  In the others only bigrams of a template
-    are kept, with their positions; a window starts and ends at such bigrams.  A bigram that a
-    template has k times counts unless its k-th last occurrence lies inside the window too,
-    which gives the multiset intersection.  Runs inside a line that was itself of the
-    template's size are left out: the line has been compared as it is.
+def windows(texts: DataFrame, held: DataFrame, possible: DataFrame, min_percent: int) -> DataFrame:
+    """(t1, t2, s, e, first_line, last_line, spdx, template, shared, n_unit, n_template, dice) of the best run of words from every
+    start, whatever lines and paragraphs it crosses, that reaches the threshold.
+
+    ``possible`` are the (t1, t2, template) worth looking at.  Only bigrams of the template are kept, with
+    their places; a window starts and ends at such bigrams.  A bigram that a template has k times counts unless its k-th
+    last occurrence lies inside the window too, which gives the multiset intersection.  Starts and bigrams meet in
+    cells as long as the longest window, so a text costs in proportion to its length.
     """
     t, whole = min_percent, 200 - min_percent
-    templates = held.collect()
-    t1, t2 = text_key(F.col(text_col))
-    rows = documents.where(F.col(text_col).isNotNull()).select(t1.alias("t1"), t2.alias("t2"),
-                                                               normalised_lines(F.col(text_col)).alias("lines"))
-    rows = (rows.where(F.arrays_overlap(F.split(F.array_join("lines", " "), " "), F.array(*[F.lit(x) for x in _anchors(templates, t)])))
-            .dropDuplicates(["t1", "t2"]))
-    rows = rows.select("t1", "t2", F.flatten(F.transform("lines", lambda x, i: F.transform(
-        F.filter(F.split(x, " "), lambda v: v != ""), lambda v: F.struct(v.alias("w"), i.alias("line"), _n_words(x).alias("c"))))).alias("ws"))
-    grams = rows.where(F.size("ws") > 1).select("t1", "t2", F.posexplode(F.arrays_zip(
-        F.slice("ws", F.lit(1), F.size("ws") - 1).alias("a"), F.slice("ws", F.lit(2), F.size("ws") - 1).alias("b"))).alias("pos", "g"))
-    theirs = (_numbered(held, ["template", "spdx", "n_template"]).groupBy("gram", "template", "spdx", "n_template")
-              .agg(F.count(F.lit(1)).cast("int").alias("k")))
+    theirs = materialise(_template_grams(held))
+    most = theirs.agg(F.max("k")).first()[0] or 1
     keys = ["t1", "t2", "template"]
-    hits = (grams.select("t1", "t2", "pos", F.xxhash64("g.a.w", "g.b.w").alias("gram"), F.col("g.a.line").alias("la"),
-                         F.col("g.b.line").alias("lb"), (F.col("g.a.c") - 1).alias("n_line"))
-            .join(F.broadcast(theirs), "gram")
-            .withColumn("occ", F.row_number().over(Window.partitionBy(*keys, "gram").orderBy("pos"))))
-    hits = materialise(hits)
-    back = hits.select(*keys, "gram", (F.col("occ") + F.col("k")).alias("occ"), F.col("pos").alias("before"))
-    longest = F.floor(F.col("n_template") * whole / t)
-    least = F.ceil(t * (F.ceil(F.col("n_template") * t / whole) + F.col("n_template")) / 200)
-    ahead = F.count(F.lit(1)).over(Window.partitionBy(*keys).orderBy(F.col("pos") / longest).rangeBetween(0, 1))
-    starts = hits.withColumn("ahead", ahead).where(F.col("ahead") >= least).select(
-        *keys, F.col("pos").alias("s"), F.col("la").alias("first_line"), "n_line")
-    inside = (hits.join(back, [*keys, "gram", "occ"], "left").select(*keys, "spdx", "n_template", "pos", "lb", "before")
-              .join(starts, keys).where((F.col("pos") >= F.col("s")) & (F.col("pos") < F.col("s") + longest)
-                                        & (F.col("before").isNull() | (F.col("before") < F.col("s")))))
-    n = (F.col("pos") - F.col("s") + 1).cast("long")
+    hits = _worded(texts).join(F.broadcast(theirs), "gram").join(possible, keys, "left_semi")
+    last = F.collect_list("pos").over(Window.partitionBy(*keys, "gram").orderBy("pos").rowsBetween(-most, 0))
+    longest = F.floor(F.col("n_template") * whole / t).cast("int")
+    hits = hits.withColumn("last", last).select(
+        *keys, "spdx", "n_template", "pos", "la", "lb", longest.alias("longest"),
+        F.get(F.col("last"), F.size("last") - 1 - F.col("k")).alias("before"))
+    ahead = F.count(F.lit(1)).over(Window.partitionBy(*keys).orderBy(F.col("pos") / F.col("longest")).rangeBetween(0, 1))
+    hits = materialise(hits.withColumn("ahead", ahead))
+    cell = F.floor(F.col("pos") / F.col("longest"))
+    starts = hits.where(F.col("ahead") >= _least(F.col("n_template"), min_percent)).select(
+        *keys, F.col("pos").alias("s"), F.col("la").alias("first_line"), F.explode(F.array(cell, cell + 1)).alias("cell"))
+    inside = (hits.withColumn("cell", cell).join(starts, [*keys, "cell"])
+              .where((F.col("pos") >= F.col("s")) & (F.col("pos") < F.col("s") + F.col("longest"))
+                     & (F.col("before").isNull() | (F.col("before") < F.col("s")))))
     ends = (inside.withColumn("shared", F.row_number().over(Window.partitionBy(*keys, "s").orderBy("pos")).cast("long"))
-            .withColumn("n_unit", n)
-            .where((200 * F.col("shared") >= t * (F.col("n_unit") + F.col("n_template")))
-                   & ~((F.col("first_line") == F.col("lb")) & (whole * F.least("n_line", "n_template") >= t * F.greatest("n_line", "n_template"))))
+            .withColumn("n_unit", (F.col("pos") - F.col("s") + 1).cast("long"))
+            .where(200 * F.col("shared") >= t * (F.col("n_unit") + F.col("n_template")))
             .withColumn("dice", 2.0 * F.col("shared") / (F.col("n_unit") + F.col("n_template"))))
-    order = F.struct((-F.col("dice")).alias("d"), (-F.col("n_unit")).alias("n"), F.col("template").alias("x"), F.col("s").alias("s"))
-    best = materialise(ends.groupBy("t1", "t2", "template", "s").agg(F.min_by(F.struct(
-        "first_line", F.col("lb").alias("last_line"), "spdx", "shared", "n_unit", "n_template", "dice", "pos"), order).alias("b"))
-        .select("t1", "t2", "template", "s", "b.*").withColumn("o", order))
-    other = best.select(F.col("t1").alias("o1"), F.col("t2").alias("o2"), F.col("s").alias("os"), F.col("pos").alias("op"), F.col("o").alias("oo"))
-    return (best.join(other, (F.col("t1") == F.col("o1")) & (F.col("t2") == F.col("o2")) & (F.col("os") <= F.col("pos"))
-                      & (F.col("op") >= F.col("s")) & (F.col("oo") < F.col("o")), "left_anti")
-            .withColumn("kind", F.lit("window")))
+    best = F.max_by(F.struct("first_line", F.col("lb").alias("last_line"), "spdx", "shared", "n_unit", "n_template", "dice",
+                             F.col("pos").alias("e")), F.struct("dice", "n_unit"))
+    return ends.groupBy(*keys, "s").agg(best.alias("b")).select(*keys, "s", "b.*").withColumn("kind", F.lit("window"))
+
+
+def choose_windows(found: DataFrame) -> DataFrame:
+    """The windows that stay when better ones (Dice, then length, template id and place) go first and those that overlap
+    them go.
+
+    In rounds: a window that no undecided better one overlaps stays, what overlaps one that stays goes, until
+    none is undecided.  Windows that overlap start within one longest window of each other, hence in the same or
+    neighbouring cells.
+    """
+    left = materialise(found.withColumn("o", F.struct((-F.col("dice")).alias("d"), (-F.col("n_unit")).alias("n"), "template", "s")))
+    span = left.agg(F.max(F.col("e") - F.col("s") + 1)).first()[0]
+    if span is None:
+        return found
+    left = left.withColumn("cell", F.floor(F.col("s") / span))
+
+    def near(rows: DataFrame) -> DataFrame:
+        c = F.col("cell")
+        return rows.select(F.col("t1").alias("o1"), F.col("t2").alias("o2"), F.col("s").alias("os"), F.col("e").alias("oe"),
+                           F.col("o").alias("oo"), F.explode(F.array(c - 1, c, c + 1)).alias("oc"))
+
+    touch = ((F.col("t1") == F.col("o1")) & (F.col("t2") == F.col("o2")) & (F.col("cell") == F.col("oc"))
+             & (F.col("os") <= F.col("e")) & (F.col("oe") >= F.col("s")))
+    kept = None
+    while True:
+        top = materialise(left.join(near(left), touch & (F.col("oo") < F.col("o")), "left_anti"))
+        kept = top if kept is None else kept.unionByName(top)
+        left = materialise(left.join(near(top), touch, "left_anti"))
+        if left.isEmpty():
+            return kept.drop("o", "cell")
 
 
 def _ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

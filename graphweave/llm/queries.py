@@ -204,33 +204,59 @@ def _license_sql() -> str:
     gap = license_scan.GAP.replace("'", "''")
     norm = (f"regexp_replace(translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{gap}', ' ', 'g')")
     return f"""
-WITH tpl(template, spdx, body) AS (VALUES {rows}),
+WITH RECURSIVE tpl(template, spdx, body) AS (VALUES {rows}),
 tw AS (SELECT template, spdx, list_filter(string_split(replace({norm % 'body'}, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM tpl),
 tg AS (SELECT template, spdx, len(w) - 1 AS n_template, unnest(list_zip(w[:-2], w[2:])) AS g FROM tw),
 tn AS (SELECT *, row_number() OVER (PARTITION BY template, g) AS rep FROM tg),
-d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
-l0 AS (SELECT doc_id, text, string_split({norm % 'text'}, chr(10)) AS lines FROM d),
-l AS (SELECT doc_id, text, trim(unnest(lines)) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM l0),
-b AS (SELECT *, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, text ORDER BY pos) AS grp FROM l),
-p AS (SELECT doc_id, text, grp, min(pos) AS f, max(pos) AS t, string_agg(line, ' ' ORDER BY pos) AS body
+tk AS (SELECT template, spdx, n_template, g, count(*) AS k, 120 * n_template // 80 AS longest,
+              ceil(80 * (ceil(80 * n_template / 120) + n_template) / 200) AS least FROM tg GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS tid, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+l0 AS (SELECT tid, string_split({norm % 'text'}, chr(10)) AS lines FROM d),
+l AS (SELECT tid, trim(unnest(lines)) AS line, generate_subscripts(lines, 1) - 1 AS pos FROM l0),
+b AS (SELECT *, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY tid ORDER BY pos) AS grp FROM l),
+p AS (SELECT tid, grp, min(pos) AS f, max(pos) AS t, string_agg(line, ' ' ORDER BY pos) AS body
       FROM b WHERE line <> '' GROUP BY ALL),
-u AS (SELECT doc_id, text, 'line' AS kind, pos AS f, pos AS t, line AS body FROM l
-      UNION ALL SELECT doc_id, text, 'paragraph', f, t, body FROM p WHERE t > f
-      UNION ALL SELECT doc_id, text, 'text', min(f), max(t), string_agg(body, ' ' ORDER BY f) FROM p
-                GROUP BY doc_id, text HAVING count(*) > 1),
+u AS (SELECT tid, 'line' AS kind, pos AS f, pos AS t, line AS body FROM l
+      UNION ALL SELECT tid, 'paragraph', f, t, body FROM p WHERE t > f
+      UNION ALL SELECT tid, 'text', min(f), max(t), string_agg(body, ' ' ORDER BY f) FROM p
+                GROUP BY tid HAVING count(*) > 1),
 uw AS (SELECT * EXCLUDE (body), list_filter(string_split(body, ' '), lambda x: x <> '') AS w FROM u),
 uf AS (SELECT *, len(w) - 1 AS n_unit FROM uw WHERE len(w) > 1 AND EXISTS (
        SELECT 1 FROM (SELECT DISTINCT n_template FROM tg) z
        WHERE 120 * least(n_template, len(w) - 1) >= 80 * greatest(n_template, len(w) - 1))),
-ug AS (SELECT doc_id, text, kind, f, t, n_unit, unnest(list_zip(w[:-2], w[2:])) AS g FROM uf),
-un AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text, kind, f, t, g) AS rep FROM ug),
-m AS (SELECT doc_id, text, kind, f, t, n_unit, template, spdx, n_template, count(*) AS shared
+ug AS (SELECT tid, kind, f, t, n_unit, unnest(list_zip(w[:-2], w[2:])) AS g FROM uf),
+un AS (SELECT *, row_number() OVER (PARTITION BY tid, kind, f, t, g) AS rep FROM ug),
+m AS (SELECT tid, kind, f, t, n_unit, template, spdx, n_template, count(*) AS shared
       FROM un JOIN tn USING (g, rep) GROUP BY ALL),
-r AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice, row_number() OVER (PARTITION BY doc_id, text, kind, f, t
+r AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice, row_number() OVER (PARTITION BY tid, kind, f, t
              ORDER BY 2.0::DOUBLE * shared / (n_unit + n_template) DESC, template) AS rn
-      FROM m WHERE 200 * shared >= 80 * (n_unit + n_template))
+      FROM m WHERE 200 * shared >= 80 * (n_unit + n_template)),
+w1 AS (SELECT tid, pos AS line, list_filter(string_split(line, ' '), lambda x: x <> '') AS ws FROM l WHERE line <> ''),
+w2 AS (SELECT tid, line, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w1),
+w3 AS (SELECT tid, line AS la, lead(line) OVER o AS lb, w, lead(w) OVER o AS v, row_number() OVER o AS pos
+       FROM w2 WINDOW o AS (PARTITION BY tid ORDER BY line, i)),
+h0 AS (SELECT w3.tid, la, lb, pos, tk.*, row_number() OVER (PARTITION BY tid, template, tk.g ORDER BY pos) AS occ
+       FROM w3 JOIN tk ON tk.g = (w3.w, w3.v) WHERE w3.v IS NOT NULL),
+h1 AS (SELECT x.*, y.pos AS before FROM (SELECT * FROM h0 QUALIFY count(*) OVER (PARTITION BY tid, template) >= least) x
+       LEFT JOIN h0 y ON x.tid = y.tid AND x.template = y.template AND x.g = y.g AND y.occ = x.occ - x.k),
+e AS (SELECT s.tid, s.template, s.spdx, s.n_template, s.pos AS s, z.pos AS e, s.la AS f, z.lb AS t, z.pos - s.pos + 1 AS n_unit,
+             row_number() OVER (PARTITION BY s.tid, s.template, s.pos ORDER BY z.pos) AS shared
+      FROM h1 s JOIN h1 z ON s.tid = z.tid AND s.template = z.template AND z.pos >= s.pos AND z.pos < s.pos + s.longest
+                         AND (z.before IS NULL OR z.before < s.pos)),
+c AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice FROM e WHERE 200 * shared >= 80 * (n_unit + n_template)
+      QUALIFY row_number() OVER (PARTITION BY tid, template, s ORDER BY 2.0::DOUBLE * shared / (n_unit + n_template) DESC, n_unit DESC) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY dice DESC, n_unit DESC, template, s) AS rk FROM c),
+pick AS (SELECT DISTINCT tid, 0::BIGINT AS rk, [] :: STRUCT(a BIGINT, b BIGINT)[] AS kept, false AS taken FROM o
+         UNION ALL
+         SELECT q.tid, q.rk, CASE WHEN q.free THEN list_append(q.kept, {{'a': q.s, 'b': q.e}}) ELSE q.kept END, q.free FROM (
+             SELECT o.tid, o.rk, o.s, o.e, kept, len(list_filter(kept, lambda x: x.a <= o.e AND x.b >= o.s)) = 0 AS free
+             FROM pick JOIN o ON o.tid = pick.tid AND o.rk = pick.rk + 1) q),
+win AS (SELECT o.* FROM o JOIN pick USING (tid, rk) WHERE taken AND NOT EXISTS (
+            SELECT 1 FROM r WHERE rn = 1 AND r.tid = o.tid AND r.f <= o.f AND r.t >= o.t)),
+res AS (SELECT tid, kind, f, t, spdx, template, shared, n_unit, n_template, dice FROM r WHERE rn = 1
+        UNION ALL SELECT tid, 'window', f, t, spdx, template, shared, n_unit, n_template, dice FROM win)
 SELECT doc_id, kind, f::INTEGER AS first_line, t::INTEGER AS last_line, spdx, template, shared, n_unit, n_template, dice
-FROM r WHERE rn = 1
+FROM res JOIN d USING (tid)
 """
 
 

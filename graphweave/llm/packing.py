@@ -2,8 +2,8 @@
 
 1. Texts are tokenized once; ids are stored compressed in the shared folder.
 2. A document is cut into full windows and one remainder.  Remainders are
-   counted in length bins of ``WINDOW / N_BINS`` tokens: a histogram of
-   ``N_BINS`` numbers, all that the driver sees.
+   counted in length bins of ``WINDOW / N_BINS`` tokens and ``N_BUCKETS`` buckets: the driver sees
+   (``N_BINS`` + 1) x ``N_BUCKETS`` counts at most, whatever the corpus, and adds them up to the histogram.
 3. All combinations of at most ``DEPTH`` bins that fill a window are enumerated;
    non-negative least squares gives their repeat counts against the
    histogram; the counts are rounded down to what the histogram holds, then
@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from graphweave.llm import bpe
 from graphweave.llm.common import materialise, spread
 
 WINDOW = 2048
@@ -122,16 +123,18 @@ def plan_counts(hist: np.ndarray, depth: int = DEPTH) -> list[tuple[tuple[int, .
 def tokenize(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
              end_id: int = END_ID) -> DataFrame:
     """(uid, doc_id, n, width, ids): compressed ids of every document row, stored."""
+    # the vocabulary, whatever the number of documents
+    held = documents.sparkSession.sparkContext.broadcast(bpe.rank_table(tokenizer_path))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
-        from graphweave.llm.bpe import SegmentEncoder
-        enc = SegmentEncoder(tokenizer_path)
+        enc = bpe.shared_encoder(tokenizer_path, held.value)
         width = 2 if max(enc.tk.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at:at + 256]
+            for lo, hi in bpe.sized_batches(b["text"].tolist()):
+                part = b.iloc[lo:hi]
                 ids = [np.append(np.frombuffer(x, dtype="<u4"), np.uint32(end_id)).astype(f"<u{width}")
                        for x in enc.encode(part["text"].tolist())]
                 yield pd.DataFrame({"uid": part["uid"], "doc_id": part["doc_id"], "n": [len(x) for x in ids],

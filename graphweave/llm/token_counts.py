@@ -11,8 +11,7 @@ independently of each other.  If the overlap holds no such place (a word or a
 run of white space longer than the overlap), the overlap is widened, at last
 to the union of both chunks.
 
-Texts of at most one chunk need no splice; their distinct segments are encoded
-once per batch (``bpe.SegmentEncoder``).  Tokenizers other than
+Texts of at most one chunk need no splice; they are encoded whole (``bpe.Encoder``).  Tokenizers other than
 byte-level BPE with the standard pattern are always given whole texts.
 
 Defined results: null and empty texts have no tokens; repeated rows and ids are
@@ -28,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphweave.llm import bpe
 from graphweave.llm.common import spread
 
 CHUNK = 16_384
@@ -37,9 +37,8 @@ OVERLAP = 512
 class Counter:
     """Counts tokens of texts with one tokenizer file."""
 
-    def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
-        from graphweave.llm.bpe import SegmentEncoder
-        enc = SegmentEncoder(path)
+    def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, ranks: dict | None = None):
+        enc = bpe.shared_encoder(path, ranks)
         self.whole, self.tk, self.cuttable = enc, enc.tk, enc.cuttable
         self.margin = 3 + max([1, *(len(s) for s in enc.special)])
         self.chunk, self.overlap = chunk, max(overlap, 2 * self.margin)
@@ -104,13 +103,14 @@ class Counter:
 def count_tokens(documents: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                  chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(id, n_bytes, n_tokens, n_chunks, n_widened) of every row."""
+    held = documents.sparkSession.sparkContext.broadcast(bpe.rank_table(tokenizer_path))
     id_type = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter(tokenizer_path, chunk, overlap)
+        counter = Counter(tokenizer_path, chunk, overlap, held.value)
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at:at + 256]
+            for lo, hi in bpe.sized_batches(b["text"].tolist()):
+                part = b.iloc[lo:hi]
                 n = counter.count(part["text"].tolist())
                 yield pd.DataFrame({"id": part["id"], "n_bytes": part["n_bytes"], "n_tokens": [x[0] for x in n],
                                     "n_chunks": [x[1] for x in n], "n_widened": [x[2] for x in n]})

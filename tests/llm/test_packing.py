@@ -1,3 +1,6 @@
+import json
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,11 +14,43 @@ TRICKY = ["", " ", "  a", "a  b", " a", "a\n b", "a \n b", "x" * 3000, " " * 500
           "a <|endoftext|>b", "é　c a b", "日本語 テスト🙂 x", "a\tb \t c\r\n  d"]
 
 
-def test_segments_equal_the_library():
-    enc, tk = bpe.SegmentEncoder(PATH), bpe.load(PATH)
-    for _ in range(2):  # the second time from the cache
-        for t, b in zip(TRICKY, enc.encode(TRICKY), strict=True):
-            assert np.frombuffer(b, "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids
+def random_texts():
+    rnd = random.Random(11)
+    parts = [*"abcdeABCé日🙂 \n\t!'1", "  ", "'re", "the ", "ing", "\u0085", "\u2028", "\u00a0", "x" * 300, "  \n  ", "<|endoftext|>"]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randrange(300))) for _ in range(400)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_equal_the_library(name):
+    """By ranks where they are proven to give the file's ids, else by the library."""
+    path = public_tokenizers.path(name)
+    ranks, tk = bpe.rank_table(path), bpe.load(path)
+    assert (ranks is not None) == (name == "byte_bpe_50k.json")
+    enc = bpe.Encoder(path, ranks)
+    texts = [*TRICKY, *random_texts(), "a" * 50_000, " " * 50_000 + "x", "ab!" * 20_000]
+    for t, b in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(b, "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids
+
+
+def test_ranks_are_refused_where_they_differ(tmp_path):
+    """A token that joins with smaller ids would form by other parts than those of its merge."""
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    single = {c: i for c, i in vocab.items() if len(c) == 1}
+    for pairs, proven in (([["a", "b"], ["ab", "c"]], True), ([["b", "c"], ["a", "b"], ["ab", "c"]], False), ([["ab", "c"], ["a", "b"]], False)):
+        spec["model"]["vocab"] = single | {a + b: 256 + i for i, (a, b) in enumerate(pairs)}
+        spec["model"]["merges"], spec["added_tokens"] = pairs, []
+        path = tmp_path / f"{len(pairs)}{proven}.json"
+        path.write_text(json.dumps(spec))
+        assert (bpe.rank_table(str(path)) is not None) == proven
+    assert len(single) == 256 and len(merges) + 256 == len(vocab)
+
+
+def test_batches_hold_every_text_once():
+    texts = ["a" * 5, None, "", "b" * 50, "c", "d" * 9, "e"]
+    parts = list(bpe.sized_batches(texts, 10))
+    assert [i for lo, hi in parts for i in range(lo, hi)] == list(range(len(texts)))
+    assert all(hi - lo == 1 or sum(len(t or "") for t in texts[lo:hi]) <= 10 for lo, hi in parts)
 
 
 def check(rows, pieces, window):

@@ -23,7 +23,7 @@ def odd_texts():
 @pytest.mark.parametrize("chunk,overlap", [(200, 40), (64, 33), (5000, 100)])
 def test_spliced_counts_equal_whole_texts(chunk, overlap):
     texts, tk = odd_texts(), bpe.load(PATH)
-    counter = token_counts.Counter(PATH, chunk, overlap)
+    counter = token_counts.Counter(PATH, chunk, overlap, bpe.rank_table(PATH))
     got = counter.count(texts)
     assert [n for n, _, _ in got] == [len(tk.encode(t, add_special_tokens=False).ids) for t in texts]
     if chunk < 1000:

@@ -219,17 +219,18 @@ def _anchors(held: Sequence, min_percent: int) -> list[str]:
 
 
 def _worded(texts: DataFrame) -> DataFrame:
-    """(t1, t2, pos, gram, la, lb): the word bigrams of every text with their place and the lines of their two words."""
+    """(t1, t2, pos, gram, la, lb, n_line): the word bigrams of every text with their place, the lines of their two words
+    and the bigrams that the first of these lines has."""
     lines = texts.select("t1", "t2", F.posexplode(normalised_lines(F.col("text"))).alias("line", "x")).where("x <> ''")
     before = Window.partitionBy("t1", "t2").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     lines = (lines.withColumn("ws", F.array_remove(F.split("x", " ", -1), "")).drop("x")
              .withColumn("at", F.coalesce(F.sum(F.size("ws")).over(before), F.lit(0))))
-    words = (lines.select("t1", "t2", "line", "at", F.posexplode("ws").alias("i", "w"))
-             .select("t1", "t2", "line", (F.col("at") + F.col("i")).cast("int").alias("pos"), "w"))
+    words = (lines.select("t1", "t2", "line", "at", (F.size("ws") - 1).alias("n_line"), F.posexplode("ws").alias("i", "w"))
+             .select("t1", "t2", "line", "n_line", (F.col("at") + F.col("i")).cast("int").alias("pos"), "w"))
     order = Window.partitionBy("t1", "t2").orderBy("pos")
-    return (words.select("t1", "t2", "pos", F.col("line").alias("la"), F.lead("line").over(order).alias("lb"), "w",
+    return (words.select("t1", "t2", "pos", F.col("line").alias("la"), F.lead("line").over(order).alias("lb"), "n_line", "w",
                          F.lead("w").over(order).alias("v"))
-            .where("v is not null").select("t1", "t2", "pos", "la", "lb", F.xxhash64("w", "v").alias("gram")))
+            .where("v is not null").select("t1", "t2", "pos", "la", "lb", "n_line", F.xxhash64("w", "v").alias("gram")))
 
 
 def windows(texts: DataFrame, held: DataFrame, possible: DataFrame, min_percent: int) -> DataFrame:
@@ -238,7 +239,9 @@ def windows(texts: DataFrame, held: DataFrame, possible: DataFrame, min_percent:
 
     ``possible`` are the (t1, t2, template) worth looking at.  Only bigrams of the template are kept, with
     their places; a window starts and ends at such bigrams.  A bigram that a template has k times counts unless its k-th
-    last occurrence lies inside the window too, which gives the multiset intersection.  Starts and bigrams meet in
+    last occurrence lies inside the window too, which gives the multiset intersection.  Runs inside a line of the template's
+    size or a little less are left out: such a line has been compared as it is, and cutting off its changed ends would only
+    make it look better.  Starts and bigrams meet in
     cells as long as the longest window, so a text costs in proportion to its length.
     """
     t, whole = min_percent, 200 - min_percent
@@ -249,19 +252,21 @@ def windows(texts: DataFrame, held: DataFrame, possible: DataFrame, min_percent:
     last = F.collect_list("pos").over(Window.partitionBy(*keys, "gram").orderBy("pos").rowsBetween(-most, 0))
     longest = F.floor(F.col("n_template") * whole / t).cast("int")
     hits = hits.withColumn("last", last).select(
-        *keys, "spdx", "n_template", "pos", "la", "lb", longest.alias("longest"),
+        *keys, "spdx", "n_template", "pos", "la", "lb", "n_line", longest.alias("longest"),
         F.get(F.col("last"), F.size("last") - 1 - F.col("k")).alias("before"))
     ahead = F.count(F.lit(1)).over(Window.partitionBy(*keys).orderBy(F.col("pos") / F.col("longest")).rangeBetween(0, 1))
     hits = materialise(hits.withColumn("ahead", ahead))
     cell = F.floor(F.col("pos") / F.col("longest"))
     starts = hits.where(F.col("ahead") >= _least(F.col("n_template"), min_percent)).select(
-        *keys, F.col("pos").alias("s"), F.col("la").alias("first_line"), F.explode(F.array(cell, cell + 1)).alias("cell"))
+        *keys, F.col("pos").alias("s"), F.col("la").alias("first_line"), F.col("n_line").alias("n_first"), F.explode(F.array(cell, cell + 1)).alias("cell"))
     inside = (hits.withColumn("cell", cell).join(starts, [*keys, "cell"])
               .where((F.col("pos") >= F.col("s")) & (F.col("pos") < F.col("s") + F.col("longest"))
                      & (F.col("before").isNull() | (F.col("before") < F.col("s")))))
     ends = (inside.withColumn("shared", F.row_number().over(Window.partitionBy(*keys, "s").orderBy("pos")).cast("long"))
             .withColumn("n_unit", (F.col("pos") - F.col("s") + 1).cast("long"))
-            .where(200 * F.col("shared") >= t * (F.col("n_unit") + F.col("n_template")))
+            .where((200 * F.col("shared") >= t * (F.col("n_unit") + F.col("n_template"))) & ~(
+                (F.col("first_line") == F.col("lb")) & (F.col("n_first") <= F.col("n_template"))
+                & (whole * F.col("n_first") >= t * F.col("n_template"))))
             .withColumn("dice", 2.0 * F.col("shared") / (F.col("n_unit") + F.col("n_template"))))
     best = F.max_by(F.struct("first_line", F.col("lb").alias("last_line"), "spdx", "shared", "n_unit", "n_template", "dice",
                              F.col("pos").alias("e")), F.struct("dice", "n_unit"))

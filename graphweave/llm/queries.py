@@ -232,18 +232,19 @@ r AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice, row_number
              ORDER BY 2.0::DOUBLE * shared / (n_unit + n_template) DESC, template) AS rn
       FROM m WHERE 200 * shared >= 80 * (n_unit + n_template)),
 w1 AS (SELECT tid, pos AS line, list_filter(string_split(line, ' '), lambda x: x <> '') AS ws FROM l WHERE line <> ''),
-w2 AS (SELECT tid, line, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w1),
-w3 AS (SELECT tid, line AS la, lead(line) OVER o AS lb, w, lead(w) OVER o AS v, row_number() OVER o AS pos
+w2 AS (SELECT tid, line, len(ws) - 1 AS n_line, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w1),
+w3 AS (SELECT tid, line AS la, n_line, lead(line) OVER o AS lb, w, lead(w) OVER o AS v, row_number() OVER o AS pos
        FROM w2 WINDOW o AS (PARTITION BY tid ORDER BY line, i)),
-h0 AS (SELECT w3.tid, la, lb, pos, tk.*, row_number() OVER (PARTITION BY tid, template, tk.g ORDER BY pos) AS occ
+h0 AS (SELECT w3.tid, la, lb, n_line, pos, tk.*, row_number() OVER (PARTITION BY tid, template, tk.g ORDER BY pos) AS occ
        FROM w3 JOIN tk ON tk.g = (w3.w, w3.v) WHERE w3.v IS NOT NULL),
 h1 AS (SELECT x.*, y.pos AS before FROM (SELECT * FROM h0 QUALIFY count(*) OVER (PARTITION BY tid, template) >= least) x
        LEFT JOIN h0 y ON x.tid = y.tid AND x.template = y.template AND x.g = y.g AND y.occ = x.occ - x.k),
-e AS (SELECT s.tid, s.template, s.spdx, s.n_template, s.pos AS s, z.pos AS e, s.la AS f, z.lb AS t, z.pos - s.pos + 1 AS n_unit,
+e AS (SELECT s.tid, s.template, s.spdx, s.n_template, s.n_line, s.pos AS s, z.pos AS e, s.la AS f, z.lb AS t, z.pos - s.pos + 1 AS n_unit,
              row_number() OVER (PARTITION BY s.tid, s.template, s.pos ORDER BY z.pos) AS shared
       FROM h1 s JOIN h1 z ON s.tid = z.tid AND s.template = z.template AND z.pos >= s.pos AND z.pos < s.pos + s.longest
                          AND (z.before IS NULL OR z.before < s.pos)),
-c AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice FROM e WHERE 200 * shared >= 80 * (n_unit + n_template)
+c AS (SELECT *, 2.0::DOUBLE * shared / (n_unit + n_template) AS dice FROM e
+      WHERE 200 * shared >= 80 * (n_unit + n_template) AND NOT (f = t AND n_line <= n_template AND 120 * n_line >= 80 * n_template)
       QUALIFY row_number() OVER (PARTITION BY tid, template, s ORDER BY 2.0::DOUBLE * shared / (n_unit + n_template) DESC, n_unit DESC) = 1),
 o AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY dice DESC, n_unit DESC, template, s) AS rk FROM c),
 pick AS (SELECT DISTINCT tid, 0::BIGINT AS rk, [] :: STRUCT(a BIGINT, b BIGINT)[] AS kept, false AS taken FROM o

@@ -73,8 +73,13 @@ def _brute(text, templates):
             for j in places:
                 n = j - i + 1
                 if i <= j and n <= 120 * m // 80:
-                    x = _shared([w for w, _ in words[i:j + 2]], body)
-                    if 200 * x >= 80 * (n + m):
+                    run = [w for w, _ in words[i:j + 2]]
+                    x = _shared(run, body)
+                    if x == _shared(run[:-1], body):
+                        continue                    # a window ends at a bigram that counts
+                    line = sum(k == words[i][1] for _, k in words) - 1
+                    own = words[i][1] == words[j + 1][1] and line <= m and 120 * line >= 80 * m
+                    if 200 * x >= 80 * (n + m) and not own:
                         best = min(best or (1,), (-2 * x / (n + m), -n, t, i, j, s, x, m))
             if best and best != (1,):
                 found.append(best)
@@ -82,9 +87,10 @@ def _brute(text, templates):
     for w in sorted(found):
         if all(w[4] < k[3] or w[3] > k[4] for k in kept):
             kept.append(w)
-    for d, n, t, i, j, s, x, m in kept:
+    by_unit = [u[1:3] for u in out]
+    for _, n, t, i, j, s, x, m in kept:
         a, b = words[i][1], words[j + 1][1]
-        if not any(u[1] <= a and u[2] >= b for u in out):
+        if not any(lo <= a and hi >= b for lo, hi in by_unit):
             out.append(("window", a, b, s, t, x, -n, m))
     return sorted(out)
 
@@ -116,6 +122,7 @@ def test_neighbouring_notices_in_one_line(make_docs):
     changed = mit.split()
     for i in range(5, 165, 20):
         changed[i] = f"changed{i}"
-    rows = [(1, mit + " " + " ".join(changed), "en", "s"), (2, " ".join([mit] * 40), "en", "s")]
+    rows = [(1, mit + " " + " ".join(changed), "en", "s"), (2, " ".join([mit] * 40), "en", "s"),
+            (3, words(40) + " " + " ".join(changed) + " " + words(40, 1), "en", "s")]
     got = Counter((r["doc_id"], r["kind"], r["shared"]) for r in license_scan.scan(make_docs(rows)).collect())
-    assert got == {(1, "window", 162): 1, (1, "window", 146): 1, (2, "window", 162): 40}
+    assert got == {(1, "window", 162): 1, (1, "window", 146): 1, (2, "window", 162): 40, (3, "window", 146): 1}

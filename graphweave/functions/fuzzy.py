@@ -389,27 +389,193 @@ def _trigrams(s: str) -> np.ndarray:
     return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:] if len(c) > 2 else np.zeros(0, dtype=np.int64)
 
 
-def partial_ratio_at(needle: str, hay: str, starts: np.ndarray, cutoff: float) -> float:
-    """Best ratio of ``needle`` against the windows of its length at ``starts`` (rising) and those cut at the ends of ``hay``
-    that lie in the first or last of them; 0 below ``cutoff``."""
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+
+
+WORD = 64
+LANES = 16_384
+
+
+def _cut(s: str) -> list[str]:
+    """``s`` in the fewest pieces of nearly equal length that fit a machine word."""
+    k = -(-len(s) // WORD)
+    at = [len(s) * i // k for i in range(k + 1)]
+    return [s[x:y] for x, y in zip(at, at[1:], strict=False)]
+
+
+def near_pairs(needles: list[str], hays: list[str], pairs: np.ndarray, rate: float) -> np.ndarray:
+    """For every row (needle, hay) of ``pairs``: may some part of the hay be within Indel distance ``rate * len(needle)``?
+
+    If one is, then some piece of the needle is within ``rate`` times its own length of a part of the hay.  All
+    pieces of all pairs are lanes of one bit-parallel scan: a step reads one character of every hay and moves each lane's
+    column of vertical differences (bit i: does the distance rise, VP, or fall, VN, from row i - 1 to row i), with row 0 all zero, so a part may start
+    anywhere.  The rows of a piece are the top bits of its word; the bits under them match every character and stay zero.  Lanes are sorted
+    by length, so those at their end leave the scan.
+    """
+    if not len(pairs):
+        return np.zeros(0, dtype=bool)
+    cut = {k: _cut(needles[k]) for k in np.unique(pairs[:, 0]).tolist()}
+    first, pieces_ = {}, []
+    for k, ps in cut.items():
+        first[k] = len(pieces_)
+        pieces_ += ps
+    n_pieces = len(pieces_)
+    alphabet = np.unique(np.concatenate([_codes(x) for x in pieces_]))
+    masks = np.zeros((len(alphabet) + 1, n_pieces), dtype=np.uint64)
+    one = np.uint64(1)
+    limit = np.empty(n_pieces, dtype=np.int64)
+    start_vp = np.empty(n_pieces, dtype=np.uint64)
+    for q, x in enumerate(pieces_):
+        pad = WORD - len(x)
+        low = np.uint64((1 << pad) - 1)
+        masks[:, q] = low
+        start_vp[q] = ~low
+        limit[q] = int(rate * len(x) + 1e-9)
+        for i, c in enumerate(np.searchsorted(alphabet, _codes(x)).tolist()):
+            masks[c, q] |= one << np.uint64(pad + i)
+    masks = masks.ravel()
+    length = np.array([len(x) for x in pieces_], dtype=np.int64)
+    # hay characters as rows of ``masks``
+    used = np.unique(pairs[:, 1])
+    hay_at = np.zeros(len(hays), dtype=np.int64)
+    size = np.array([len(h) for h in hays], dtype=np.int64)
+    hay_at[used] = np.cumsum(size[used]) - size[used]
+    text = np.concatenate([_codes(hays[h]) for h in used.tolist()])
+    row = np.minimum(np.searchsorted(alphabet, text), len(alphabet) - 1)
+    row = np.where(alphabet[row] == text, row, len(alphabet)).astype(np.int64) * n_pieces
+    # lanes
+    count = np.array([len(cut[k]) for k in pairs[:, 0].tolist()], dtype=np.int64)
+    pair = np.repeat(np.arange(len(pairs)), count)
+    piece = np.repeat([first[k] for k in pairs[:, 0].tolist()], count) + (np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count))
+    n = size[pairs[pair, 1]]
+    order = np.argsort(-n, kind="stable")
+    near = np.zeros(len(pairs), dtype=bool)
+    for lo in range(0, len(order), LANES):
+        lane = order[lo:lo + LANES]
+        lane = lane[~near[pair[lane]]]                  # a piece found earlier settles its pair
+        if not len(lane):
+            continue
+        hit = _scan_lanes(masks, row, hay_at[pairs[pair[lane], 1]], n[lane], piece[lane], start_vp, length, limit)
+        near[pair[lane[hit]]] = True
+    return near
+
+
+def _scan_lanes(masks, row, at, n, piece, start_vp, length, limit) -> np.ndarray:
+    """Which lanes (longest first) come within their limit."""
+    one, top = np.uint64(1), np.uint64(WORD - 1)
+    vp, vn = start_vp[piece], np.zeros(len(piece), dtype=np.uint64)
+    d = length[piece].copy()
+    best = d.copy()
+    active = np.searchsorted(-n, -np.arange(int(n[0])), side="left")      # lanes longer than j
+    m, z, nz, p, g, c, hn = (np.empty(len(piece), dtype=np.uint64) for _ in range(7))
+    key = np.empty(len(piece), dtype=np.int64)
+    up, down = np.empty(len(piece), dtype=np.uint64), np.empty(len(piece), dtype=np.uint64)
+    last = -1
+    for j in range(int(n[0])):
+        k = int(active[j])
+        if k != last:
+            views = [x[:k] for x in (vp, vn, d, best, m, z, nz, p, g, c, hn, key, up, down, piece, at)]
+            last = k
+        VP, VN, D, B, M, Z, NZ, P, G, C, HN, K, U, W, Q, A = views
+        np.add(A, j, out=K)
+        np.take(row, K, out=K, mode="clip")
+        np.add(K, Q, out=K)
+        np.take(masks, K, out=M, mode="clip")
+        # Z: the distance stays the same along the diagonal
+        np.bitwise_and(M, VP, out=Z)
+        np.add(Z, VP, out=Z)
+        np.bitwise_xor(Z, VP, out=Z)
+        np.bitwise_or(Z, M, out=Z)
+        np.bitwise_or(Z, VN, out=Z)
+        np.bitwise_and(VP, Z, out=HN)
+        np.invert(Z, out=NZ)
+        np.bitwise_and(NZ, VP, out=P)
+        np.bitwise_xor(NZ, P, out=G)
+        np.bitwise_or(G, VN, out=G)
+        # rises to the right spread upwards through P
+        np.left_shift(G, one, out=C)
+        np.bitwise_and(C, P, out=C)
+        np.add(C, P, out=C)
+        np.bitwise_xor(C, P, out=C)
+        np.bitwise_and(C, P, out=C)
+        np.bitwise_or(G, C, out=G)
+        np.right_shift(G, top, out=U)
+        np.right_shift(HN, top, out=W)
+        np.left_shift(G, one, out=G)
+        np.left_shift(HN, one, out=HN)
+        np.bitwise_and(Z, G, out=VN)
+        np.invert(G, out=G)
+        np.bitwise_and(NZ, G, out=NZ)
+        np.bitwise_or(NZ, P, out=NZ)
+        np.bitwise_or(NZ, HN, out=VP)
+        np.add(D, U.view(np.int64), out=D)
+        np.subtract(D, W.view(np.int64), out=D)
+        np.minimum(B, D, out=B)
+    return best <= limit[piece]
+
+
+def near_ends(needle: str, hay: str, limit: int) -> list[int]:
+    """Places j where some part of ``hay[:j]`` that ends at j is within Indel distance ``limit`` of ``needle``."""
+    m = len(needle)
+    pm: dict[str, int] = {}
+    for i, ch in enumerate(needle):
+        pm[ch] = pm.get(ch, 0) | (1 << i)
+    full, top = (1 << m) - 1, m - 1
+    vp, vn, d, out = full, 0, m, []
+    get = pm.get
+    for j, ch in enumerate(hay, start=1):
+        eq = get(ch, 0)
+        z = ((((eq & vp) + vp) ^ vp) | eq | vn) & full
+        hn, nz = vp & z, full ^ z
+        p = nz & vp
+        g = (nz ^ p) | vn
+        s = (g << 1) & p
+        hp = g | (((s + p) ^ p) & p)
+        d += (hp >> top & 1) - (hn >> top & 1)
+        hp = (hp << 1) & full
+        vn = z & hp
+        vp = ((nz & ~hp) | p | (hn << 1)) & full
+        if d <= limit:
+            out.append(j)
+    return out
+
+
+def partial_ratio_near(needle: str, hay: str, cutoff: float) -> float:
+    """``partial_ratio`` of a needle no longer than the hay: exact at or above ``cutoff``, else 0.
+
+    Only windows that end where some part of the hay is near enough are scored.
+    """
     m, n = len(needle), len(hay)
-    best = 100.0 * int(_window_lcs(needle, hay, starts).max()) / m
-    if starts[0] == 0:
-        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle, hay, m - 1), start=1)), 0.0)
-    if starts[-1] == n - m:
+    ends = np.array(near_ends(needle, hay, int(2 * (1 - cutoff / 100.0) * m + 1e-9)), dtype=np.int64)
+    if not len(ends):
+        return 0.0
+    best = 0.0
+    starts = ends[ends >= m] - m
+    if len(starts):
+        best = 100.0 * int(_window_lcs(needle, hay, starts).max()) / m
+    if m > 1:
+        # windows cut at the ends of the hay
+        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle, hay, m - 1), start=1)))
         tail = hay[n - m:][::-1]
-        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle[::-1], tail, m - 1), start=1)), 0.0)
+        best = max(best, *(200.0 * x / (m + k) for k, x in enumerate(_prefix_lcs(needle[::-1], tail, m - 1), start=1)))
     return best if best >= cutoff else 0.0
 
 
 class PartialScan:
-    """All phrases of a list that reach a partial ratio with a text without occurring in it.
+    """All phrases of a list that reach a partial ratio with texts without occurring in them.
 
-    The three-grams of all phrases are numbered; one look-up per place of the text and running sums give, for every
-    phrase and window, how many of the window's three-grams the phrase has.  Windows with fewer than
-    ``shared_trigrams`` can't reach the cutoff; the others are scored exactly.
+    1. The three-grams of all phrases are numbered; one look-up per place of the text and running sums give, for every
+       phrase and window, how many of the window's three-grams the phrase has.  Pairs without a window of
+       ``shared_trigrams`` can't reach the cutoff.
+    2. ``near_pairs`` drops the pairs without a part of the text that is near enough to a piece of the phrase.
+    3. The few pairs left are scored exactly (``partial_ratio_near``).
+
+    A text shorter than a phrase is the needle, and the phrase its hay.
     """
 
+    TEXTS = 256
+
     def __init__(self, phrases: list[str], cutoff: float):
         self.phrases, self.cutoff = phrases, cutoff
         grams = [_trigrams(p) for p in phrases]
@@ -421,41 +587,47 @@ class PartialScan:
             flags[np.searchsorted(self.known, g)] = True
             self.has.append(flags)
 
-    def score(self, text: str) -> list[tuple[int, float]]:
+    def _possible(self, text: str) -> list[int]:
+        """Phrases that share enough three-grams with a window of the text."""
         n = len(text)
         grams = _trigrams(text)
         at = np.searchsorted(self.known, grams)
-        at[at == len(self.known)] = 0
         if len(self.known):
+            at[at == len(self.known)] = 0
             at = np.where(self.known[at] == grams, at, len(self.known))
         out = []
         for k, p in enumerate(self.phrases):
             m = len(p)
-            short = n < m
-            need = shared_trigrams(n, self.cutoff) if short else self.need[k]
-            if n == 0 or (need > 0 and len(at) < need):
-                continue
-            hit = self.has[k][at]
-            if short:
-                # the text is the needle: its three-grams must occur in the phrase
-                if np.count_nonzero(hit) >= need and text not in p:
-                    score = partial_ratio(text, p, self.cutoff)
-                else:
-                    score = 100.0 if text in p else 0.0
-                if score >= self.cutoff:
-                    out.append((k, score))
-                continue
+            need = shared_trigrams(n, self.cutoff) if n < m else self.need[k]
             if need > 0:
+                if len(at) < need:
+                    continue
+                hit = self.has[k][at]
                 if np.count_nonzero(hit) < need:
                     continue
-                sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int32)])
-                starts = np.flatnonzero(sums[m - 2:] - sums[:n - m + 1] >= need)
-            else:
-                starts = np.arange(n - m + 1)
-            if len(starts) and p not in text:
-                score = partial_ratio_at(p, text, starts, self.cutoff)
-                if score >= self.cutoff:
-                    out.append((k, score))
+                if n > m:
+                    sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int32)])
+                    if (sums[m - 2:] - sums[:n - m + 1]).max() < need:
+                        continue
+            if p not in text:
+                out.append(k)
+        return out
+
+    def score(self, texts: list[str]) -> list[tuple[int, int, float]]:
+        """(text, phrase, score) by their numbers."""
+        out = []
+        for lo in range(0, len(texts), self.TEXTS):
+            part = texts[lo:lo + self.TEXTS]
+            pairs = [(i, k) for i, t in enumerate(part) if t for k in self._possible(t)]
+            long = [x for x in pairs if len(part[x[0]]) >= len(self.phrases[x[1]])]
+            short = [x for x in pairs if len(part[x[0]]) < len(self.phrases[x[1]])]
+            rate = 2 * (1 - self.cutoff / 100.0)
+            for chosen, needles, hays, swap in ((long, self.phrases, part, True), (short, part, self.phrases, False)):
+                rows = np.array([(k, i) if swap else (i, k) for i, k in chosen], dtype=np.int64).reshape(-1, 2)
+                for a, b in rows[near_pairs(needles, hays, rows, rate)].tolist():
+                    found = partial_ratio_near(needles[a], hays[b], self.cutoff)
+                    if found >= self.cutoff:
+                        out.append((lo + (b if swap else a), a if swap else b, found))
         return out
 
 

@@ -1,14 +1,14 @@
 """Many phrases against many texts: exact occurrence and partial ratio.
 
-Both walk each text once for all phrases of a block: occurrences with an Aho-Corasick automaton, partial ratios with a
-scan of shared three-grams (``functions.fuzzy.PartialScan``) that leaves few windows to score.  A dictionary that
+Both walk each text once for all phrases of a block: occurrences with an Aho-Corasick automaton, partial ratios with shared three-grams
+and a bit-parallel scan that leave few windows to score (``functions.fuzzy.PartialScan``).  A dictionary that
 passes the check of rows and bytes is one block and is broadcast; texts don't move.  A larger one is dealt into blocks by
 hash, texts into cells, and every (block, cell) is one group of bounded size, so neither side has to fit a task or the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,7 +21,7 @@ BLOCK_MAX_ROWS = 2_000
 BLOCK_MAX_BYTES = 4 << 20
 CELL_BYTES = 32 << 20
 
-Matcher = Callable[[str], list[tuple]]
+Matcher = Callable[[list[str]], Iterable[tuple]]
 Builder = Callable[[list[str]], Matcher]
 
 _built: dict = {}
@@ -35,15 +35,16 @@ def _matcher(key, rows: list[tuple], build: Builder) -> tuple[list, Matcher]:
     return _built[key]
 
 
-def _found(ids: list, match: Matcher, entities, texts) -> list[tuple]:
-    return [(e, ids[k], *more) for e, t in zip(entities, texts, strict=True) if t is not None for k, *more in match(t)]
+def _found(ids: list, match: Matcher, entities: list, texts: list[str]) -> list[tuple]:
+    return [(entities[i], ids[k], *more) for i, k, *more in match(texts)]
 
 
 def match_all(entities: DataFrame, entity_id: str, text: str, phrases: DataFrame, phrase_id: str, phrase: str,
               build: Builder, more: str = "") -> DataFrame:
     """(entity_id, phrase_id, more...) for every text and match that ``build(phrases)`` gives for it.
 
-    ``build`` makes, from a list of phrases, a function from a text to rows (index of the phrase, more...).
+    ``build`` makes, from a list of phrases, a function from a list of texts to rows (number of the text, number of the
+    phrase, more...).
     """
     types, ptypes = dict(entities.dtypes), dict(phrases.dtypes)
     schema = f"`{entity_id}` {types[entity_id]}, `{phrase_id}` {ptypes[phrase_id]}" + (f", {more}" if more else "")
@@ -61,7 +62,7 @@ def match_all(entities: DataFrame, entity_id: str, text: str, phrases: DataFrame
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ids, match = _matcher(key, held.value, build)
             for b in batches:
-                rows = _found(ids, match, b["e"], b["t"])
+                rows = _found(ids, match, b["e"].tolist(), b["t"].tolist())
                 if rows:
                     yield frame(rows)
         return ent.mapInPandas(scan, schema)
@@ -79,7 +80,7 @@ def match_all(entities: DataFrame, entity_id: str, text: str, phrases: DataFrame
         if not len(texts) or not len(mine):
             return frame([])
         match = build(mine["s"].tolist())
-        return frame(_found(mine["p"].tolist(), match, texts["e"], texts["t"]))
+        return frame(_found(mine["p"].tolist(), match, texts["e"].tolist(), texts["t"].tolist()))
 
     return left.groupBy("block", "cell").cogroup(right.groupBy("block", "cell")).applyInPandas(pair, schema)
 
@@ -91,14 +92,16 @@ def _automaton(phrases: list[str]) -> Matcher:
     for k, s in enumerate(phrases):
         at.setdefault(s, []).append(k)
     if not at:
-        return lambda text: []
+        return lambda texts: []
     machine = ahocorasick.Automaton()
     for s, ks in at.items():
         machine.add_word(s, ks)
     machine.make_automaton()
 
-    def match(text: str) -> list[tuple]:
-        return [(k,) for k in sorted({k for _, ks in machine.iter(text) for k in ks})]
+    def match(texts: list[str]) -> Iterator[tuple]:
+        for i, t in enumerate(texts):
+            for k in {k for _, ks in machine.iter(t) for k in ks}:
+                yield i, k
     return match
 
 

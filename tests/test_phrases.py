@@ -32,7 +32,7 @@ def test_partial_scan_equals_brute_force(cutoff):
         near = spoiled(rnd, p, rnd.randint(0, 1 + len(p) // 6))
         text = rnd.choice([near, say(rnd.randint(0, 3)) + near + say(rnd.randint(0, 4)), near[rnd.randint(0, 3):] + say(2), say(2) + near[:-2], ""])
         want = {k: s for k, q in enumerate(needles) if q not in text and (s := brute_partial(q, text)) >= cutoff}
-        got = dict(fz.PartialScan(needles, cutoff).score(text))
+        got = {k: x for _, k, x in fz.PartialScan(needles, cutoff).score([text])}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want), (text, got, want)
         hits += len(want)
     assert hits > 0
@@ -48,13 +48,43 @@ def test_partial_scan_on_long_passages():
     for share in (0.02, 0.1, 0.14, 0.2, 0.4):
         for k, p in enumerate(passages):
             text = say(80) + " " + spoiled(rnd, p, int(share * len(p))) + " " + say(80)
-            got = dict(scan.score(text))
+            got = {k: x for _, k, x in scan.score([text])}
             for j, q in enumerate(passages):
                 exact = fz.partial_ratio(q, text, 85.0) if q not in text else 0.0
                 assert abs(got.get(j, 0.0) - exact) < 1e-9
             assert share > 0.02 or k in got or p in text
 
 
+def test_near_ends_equal_the_distance_table():
+    """Least Indel distance of a needle and a part that ends at each place, row by row; and the lanes of ``near_pairs``."""
+    rnd = random.Random(8)
+    needles, hays, least = [], [], []
+    for _ in range(150):
+        a = "".join(rnd.choice("abcé") for _ in range(rnd.choice([1, 2, 5, 63, 64, 65, 70, 130])))
+        b = "".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 60))) + spoiled(rnd, a, rnd.randint(0, 9)) * rnd.randint(0, 2)
+        row = list(range(len(a) + 1))
+        ends = [len(a)]
+        for y in b:
+            new = [0]
+            for i, x in enumerate(a, start=1):
+                new.append(min(row[i], new[i - 1]) + 1 if x != y else row[i - 1])
+            row = new
+            ends.append(row[-1])
+        for limit in (0, len(a) // 4, len(a) - 1):
+            assert fz.near_ends(a, b, limit) == [j for j, d in enumerate(ends) if j and d <= limit]
+        needles.append(a)
+        hays.append(b)
+        least.append(min(ends))
+    import numpy as np
+    for rate in (0.1, 0.3, 0.5):
+        pairs = np.array([(i, i) for i in range(len(needles))])
+        near = fz.near_pairs(needles, hays, pairs, rate)
+        for a, d, found in zip(needles, least, near, strict=True):
+            assert found or d > rate * len(a)                # no near pair is lost
+            if len(a) <= 64:
+                assert found == (d <= int(rate * len(a) + 1e-9))
+
+
 def test_shared_trigrams_is_a_lower_bound():
     rnd = random.Random(3)
     for _ in range(2000):

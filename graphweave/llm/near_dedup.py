@@ -3,8 +3,8 @@
 1. Every text becomes its set of 5-word shingles; per document only the set
    size, a 128-bit fingerprint of the set and ``BANDS * ROWS`` SetSketch
    registers are stored.
-2. Documents with equal sets are one class; all later work is on one
-   representative (the smallest id) per class.
+2. Rows with equal sets are one class, whatever their ids; all later work is on classes, each with a number of
+   its own, and on the text of one row (the smallest id, then text key) per class.
 3. Registers are cut into bands; representatives that agree on a band share a
    bucket.  Each bucket names one leader (by a hash, so different bands have
    different leaders) and proposes only (leader, member) pairs: linear in the
@@ -24,8 +24,10 @@ A pair at exactly the threshold misses all bands with probability
 3 and 5, and no key, group or component is collected into one task.
 
 Defined results: texts without words (or null) have an empty set, are linked with
-nothing and stay; a null id is linked with nothing and stays; rows that repeat an
-id are one node; an empty table gives an empty result; other columns are ignored.
+nothing and stay; a null id is linked with nothing and stays; rows that repeat an id are judged by their own texts each
+(rows of one id whose texts aren't linked can be in two components); ``keep_one`` keeps of every component the text with the
+smallest id, then fingerprint, and of rows equal in id and text the one first in the order of its JSON; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphweave.llm import shingles as S
-from graphweave.llm.common import as_row, from_row, materialise, spread
+from graphweave.llm.common import as_row, from_row, materialise, spread, text_key
 
 ROWS = 5
 BANDS = 26
@@ -50,7 +52,7 @@ NUM, DEN = 85, 100
 
 
 def sketch(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, f1, f2, regs): set size, 128-bit set fingerprint, register bytes."""
+    """(doc_id, t1, t2, n, f1, f2, regs): text key, set size, 128-bit set fingerprint, register bytes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         mul, add = S.seeds(ROWS * BANDS)
@@ -60,19 +62,22 @@ def sketch(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 sets = S.shingle_sets(part["text"].tolist())
                 fp = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"], "n": [len(x) for x in sets],
+                    "doc_id": part["doc_id"], "t1": part["t1"], "t2": part["t2"], "n": [len(x) for x in sets],
                     "f1": [int.from_bytes(x[:8], "little", signed=True) for x in fp],
                     "f2": [int.from_bytes(x[8:], "little", signed=True) for x in fp],
                     "regs": [S.registers(x, mul, add).tobytes() if len(x) else None for x in sets]})
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")))
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), t1.alias("t1"), t2.alias("t2"))
     rows = rows.where(F.col("doc_id").isNotNull())
-    return spread(rows).mapInPandas(run, "doc_id long, n long, f1 long, f2 long, regs binary")
+    return spread(rows).mapInPandas(run, "doc_id long, t1 long, t2 long, n long, f1 long, f2 long, regs binary")
 
 
 def classes(sketches: DataFrame) -> DataFrame:
-    """One row per distinct set: (f1, f2, rep, n, regs)."""
-    return (sketches.where("n > 0").groupBy("f1", "f2")
-            .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("regs").alias("regs")))
+    """One row per distinct set, stored: (rep, f1, f2, n, regs, of), where ``rep`` is the class' number and ``of`` the
+    (doc_id, t1, t2) of the row whose text stands for it."""
+    found = (sketches.where("n > 0").groupBy("f1", "f2")
+             .agg(F.max("n").alias("n"), F.first("regs").alias("regs"), F.min(F.struct("doc_id", "t1", "t2")).alias("of")))
+    return materialise(found.withColumn("rep", F.monotonically_increasing_id()))
 
 
 def band_keys(reps: DataFrame) -> DataFrame:
@@ -102,17 +107,20 @@ def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """(doc, elems): the full sets of the given representatives, stored.
+    """(doc, elems): the full sets of the given classes (rep, of), stored.
 
     Texts move to the ids whatever their number (at scale they are never few).
     """
-    texts = documents.join(reps.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+    t1, t2 = text_key(F.coalesce(F.col("text"), F.lit("")))
+    mine = reps.select("rep", F.col("of.doc_id").alias("doc_id"), F.col("of.t1").alias("t1"), F.col("of.t2").alias("t2")).distinct()
+    texts = (documents.withColumns({"t1": t1, "t2": t2}).join(mine.hint("merge"), ["doc_id", "t1", "t2"])
+             .groupBy("rep").agg(F.first("text").alias("text")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.iloc[at:at + 256]
-                yield pd.DataFrame({"doc": part["doc_id"],
+                yield pd.DataFrame({"doc": part["rep"],
                                     "elems": [x.tobytes() for x in S.shingle_sets(part["text"].tolist())]})
     return materialise(texts.mapInPandas(run, "doc long, elems binary"))
 
@@ -288,18 +296,18 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray], cells: int =
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document row with an id.
+    """(doc_id, n_shingles, component_id, kept, first, t1, t2) of every document row with an id.
 
-    ``component_id`` is the smallest id reachable by links of Jaccard >= 0.85;
-    ``kept`` holds for that one document of each component.
+    ``component_id`` is the smallest id reachable by links of Jaccard >= 0.85; ``kept`` holds for that one document of
+    each component.  ``first`` holds for the one text that stands for the component; t1, t2 are the text's key.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sk = materialise(sketch(docs))
-    cls = materialise(classes(sk))
+    cls = classes(sk)
     reps = cls.select("rep", "n", "regs")
     keys = materialise(band_keys(reps).join(
         band_keys(reps).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "key", "left_semi"))
-    sets = _sets(docs, keys.select("rep"))
+    sets = _sets(docs, cls.join(keys.select("rep").distinct(), "rep", "left_semi").select("rep", "of"))
     leaders = keys.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", "key")).alias("lead"))
     star = (keys.join(leaders, "key").where("rep <> lead")
             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
@@ -315,26 +323,35 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         full = sets.withColumnRenamed("doc", "rep").join(reps.select("rep", "n"), "rep")
         more = _in_cells(rows.join(some, ["key", "rep"], "left_semi"), full, ["n", "elems"], "a long, b long", _joining)
         comp = materialise(components(links.unionByName(more)))
-    named = cls.select("f1", "f2", "rep").join(comp, F.col("rep") == F.col("node"), "left").select(
-        "f1", "f2", F.coalesce("root", "rep").alias("component_id"))
-    return (sk.join(materialise(named), ["f1", "f2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    named = cls.join(comp, F.col("rep") == F.col("node"), "left").select(
+        "f1", "f2", "of", F.coalesce("root", "rep").alias("root"))
+    least = F.struct(F.col("of.doc_id").alias("doc_id"), "f1", "f2")
+    low = named.groupBy("root").agg(F.min(least).alias("low"))
+    named = materialise(named.join(low, "root").select(
+        "f1", "f2", F.col("low.doc_id").alias("component_id"), (F.col("low") == least).alias("first")))
+    linked = F.col("n") > 0
+    out = sk.join(named, ["f1", "f2"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked, F.col("first")).otherwise(F.lit(True)).alias("first"), "t1", "t2")
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).select(
+        "doc_id", "n_shingles", "component_id", "kept", "first", "t1", "t2")
 
 
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of one document per component, with all their columns.
+    """The rows of one text per component, with all their columns.
 
-    Rows without an id stay.  Of rows that repeat an id, one stays.
+    Rows without an id stay.  Of rows that repeat an id and its text, one stays.
     """
-    kept = materialise(near_duplicates(documents, id_col, text_col).where("kept")
-                       .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_c")))
-    rows = as_row(documents).withColumn("_key", F.col("_row")[id_col].cast("long"))
-    same = F.col("_key") == F.col("_id")
-    out = rows.join(kept.select("_id"), same, "left_semi").unionByName(rows.where(F.col("_key").isNull()))
-    many = kept.where("_c > 1").select("_id")
+    kept = materialise(near_duplicates(documents, id_col, text_col).where("kept and first")
+                       .groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("c")))
+    row = F.col("_row")
+    k1, k2 = text_key(F.coalesce(row[text_col], F.lit("")))
+    rows = as_row(documents).withColumns({"_key": row[id_col].cast("long"), "_k1": k1, "_k2": k2})
+    same = lambda k: (F.col("_key") == k["doc_id"]) & (F.col("_k1") == k["t1"]) & (F.col("_k2") == k["t2"])
+    once, many = kept.where("c = 1"), kept.where("c > 1")
+    out = rows.join(once, same(once), "left_semi").unionByName(rows.where(F.col("_key").isNull()))
     if not many.isEmpty():
-        out = out.join(many, same, "left_anti").unionByName(
-            out.join(many, same, "left_semi").dropDuplicates(["_key"]))
+        twice = rows.join(many, same(many), "left_semi")
+        out = out.unionByName(twice.groupBy("_key", "_k1", "_k2").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+                              .select(*out.columns))
     return from_row(out, documents.columns)

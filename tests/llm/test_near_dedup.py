@@ -69,6 +69,27 @@ def test_keep_one_and_empty(make_docs):
     assert near_dedup.near_duplicates(make_docs([])).count() == 0
 
 
+def test_one_id_with_different_texts(make_docs):
+    """Each text of a repeated id keeps its own links; nothing is lost and the kept rows don't depend on chance."""
+    a, b = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (2, a + " more", "en", "s"), (3, b + " more", "en", "s"), (4, a, "en", "s"),
+            (4, a + " even more", "en", "s"), (5, "c d e f g h", "en", "s"), (5, "c d e f g h", "de", "s"), (5, "c d e f g h", "en", "s")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(make_docs(rows)).collect())
+    assert got == [(1, 96, 1, True), (1, 96, 1, True), (2, 97, 1, False), (3, 97, 1, False), (4, 96, 1, False), (4, 98, 1, False),
+                   (5, 2, 5, True), (5, 2, 5, True), (5, 2, 5, True)]
+    for parts in (1, 3, 7):
+        kept = sorted((r["doc_id"], r["text"], r["lang"]) for r in near_dedup.keep_one(make_docs(rows).repartition(parts)).collect())
+        assert kept == [(1, a, "en"), (1, b, "en"), (5, "c d e f g h", "de")]
+
+
+def test_components_of_the_driver_table(spark):
+    """All documents at sf0.01 against all pairs, exactly."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("j", [0.5, 0.85, 0.95])
 def test_registers_estimate_and_merge(j):
     rng = np.random.default_rng(4)

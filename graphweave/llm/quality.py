@@ -9,11 +9,12 @@ repeat the word before them, repeated lines per line, and the mean word length
 Thresholds come from mergeable quantile sketches: counts of values in
 log-linear integer buckets (exact below 64, then 32 buckets per power of two, so
 a relative error under 1/32).  Sketches are summed per (language, source),
-merged per language and over all; a group of fewer than ``MIN_GROUP`` documents
-uses the merged sketch of its language, else that of all.  A threshold is
-``median + SPREAD * max(interquartile range, least spread)``, at most
-``CEILING`` times the one of all documents, so that a group made of junk
-cannot excuse itself.
+merged per language and over all.  The fence of a sketch is
+``median + SPREAD * max(interquartile range, least spread)``.  A group of n documents weighs its own fence by n and that
+of its language by ``WEIGHT``, and the language the one of all in the same way, so few documents lean on the wider
+sketch and no verdict turns on one more document.  A threshold, and the wider fence it leans on, is at most
+``CEILING`` times the median of the groups' own fences, each group having one vote, so that a source made of junk
+cannot excuse itself however many rows it has (unless half of all groups are junk).
 
 Everything is DataFrame expressions; the per-document numbers are computed once
 and stored, the sketches have a bounded number of rows per group, and the thresholds
@@ -35,7 +36,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MIN_GROUP = 200
+WEIGHT = 200
 SPREAD = 4
 CEILING = 2
 # Least spread of each rule, in the rule's own unit (see ``rules``).
@@ -150,13 +151,22 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     g = limits(_quartiles(sketch, ["lang", "source"]), "g")
     by_lang = limits(_quartiles(sketch, ["lang"]), "l")
     over_all = limits(_quartiles(sketch, []), "a")
+    votes = g.groupBy("g_rule").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY g_hi)").cast("long").alias("median")).select(
+        F.col("g_rule").alias("m_rule"), "median")
     joined = (g.join(by_lang, F.col("g_lang").eqNullSafe(F.col("l_lang")) & (F.col("g_rule") == F.col("l_rule")))
-              .join(F.broadcast(over_all), F.col("g_rule") == F.col("a_rule")))  # one row per rule
-    pick = lambda e: F.when(F.col("g_n") >= MIN_GROUP, F.col(f"g_{e}")).when(
-        F.col("l_n") >= MIN_GROUP, F.col(f"l_{e}")).otherwise(F.col(f"a_{e}"))
+              .join(F.broadcast(over_all), F.col("g_rule") == F.col("a_rule"))  # one row per rule
+              .join(F.broadcast(votes), F.col("g_rule") == F.col("m_rule")))
+
+    def blended(e: str, cap: Column | None = None) -> Column:
+        mix = lambda n, own, wider: F.floor((n * own + WEIGHT * wider) / (n + WEIGHT))
+        wider = mix(F.col("l_n"), F.col(f"l_{e}"), F.col(f"a_{e}"))
+        if cap is None:
+            return mix(F.col("g_n"), F.col(f"g_{e}"), wider)
+        return F.least(mix(F.col("g_n"), F.col(f"g_{e}"), F.least(wider, cap)), cap)
+
     chosen = joined.select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"),
                            F.col("g_rule").alias("rule"),
-                           F.least(pick("hi"), CEILING * F.col("a_hi")).alias("hi"), pick("lo").alias("lo"))
+                           blended("hi", CEILING * F.col("median")).alias("hi"), blended("lo").alias("lo"))
     of = lambda r, e: F.max(F.when(F.col("rule") == r, F.col(e)))
     return chosen.groupBy("lang", "source").agg(
         of("symbols", "hi").alias("max_symbols"), of("dup_lines", "hi").alias("max_dup_lines"),

@@ -67,7 +67,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, Jaccard 0.85)."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -155,13 +156,13 @@ q AS (SELECT lvl, lang, source, rule, max(n) AS n, min(bucket) FILTER (100 * cum
       FROM w GROUP BY lvl, lang, source, rule),
 h AS (SELECT *, 4 * greatest(q3 - q1, CASE rule WHEN 'dup_lines' THEN 100 WHEN 'length' THEN 50
                              WHEN 'stutter' THEN 25 ELSE 20 END) AS sp FROM q),
+f AS (SELECT lvl, lang, source, rule, n, (q2 + sp)::BIGINT AS hi, greatest(q2 - sp, 0)::BIGINT AS lo FROM h),
+md AS (SELECT rule, quantile_disc(hi, 0.5)::BIGINT AS median FROM f WHERE lvl = 'g' GROUP BY rule),
 j AS (SELECT g.lang, g.source, g.rule,
-             least(CASE WHEN g.n >= 200 THEN g.q2 + g.sp WHEN l.n >= 200 THEN l.q2 + l.sp ELSE a.q2 + a.sp END,
-                   2 * (a.q2 + a.sp))::BIGINT AS hi,
-             (CASE WHEN g.n >= 200 THEN greatest(g.q2 - g.sp, 0) WHEN l.n >= 200 THEN greatest(l.q2 - l.sp, 0)
-                   ELSE greatest(a.q2 - a.sp, 0) END)::BIGINT AS lo
-      FROM h g JOIN h l ON g.lvl = 'g' AND l.lvl = 'l' AND g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule
-      JOIN h a ON a.lvl = 'a' AND a.rule = g.rule),
+             least((g.n * g.hi + 200 * least((l.n * l.hi + 200 * a.hi) // (l.n + 200), 2 * median)) // (g.n + 200), 2 * median)::BIGINT AS hi,
+             ((g.n * g.lo + 200 * ((l.n * l.lo + 200 * a.lo) // (l.n + 200))) // (g.n + 200))::BIGINT AS lo
+      FROM f g JOIN f l ON g.lvl = 'g' AND l.lvl = 'l' AND g.lang IS NOT DISTINCT FROM l.lang AND g.rule = l.rule
+      JOIN f a ON a.lvl = 'a' AND a.rule = g.rule JOIN md ON md.rule = g.rule),
 t AS (SELECT lang, source, max(hi) FILTER (rule = 'symbols') AS max_symbols,
              max(hi) FILTER (rule = 'dup_lines') AS max_dup_lines, max(hi) FILTER (rule = 'length') AS max_length,
              max(lo) FILTER (rule = 'length') AS min_length, max(hi) FILTER (rule = 'bangs') AS max_bangs,

@@ -51,3 +51,23 @@ def test_filter_keeps_columns_and_rows(make_docs):
     assert out.columns == df.columns
     assert [r["doc_id"] for r in out.collect()] == [50, 50]
     assert quality.filter_documents(make_docs([])).count() == 0
+
+
+def test_a_junk_source_with_a_third_of_all_rows_is_rejected(make_docs):
+    rnd = random.Random(8)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    rows = [(i, prose(60), "en", f"clean{i % 3}") for i in range(600)]
+    rows += [(1000 + i, prose(60).replace(" ", " | ", 18), "en", "junk") for i in range(300)]
+    kept = {r["doc_id"] for r in quality.verdicts(make_docs(rows)).where("kept").collect()}
+    assert kept == set(range(600))
+
+
+def test_thresholds_move_smoothly_with_the_size_of_a_group(make_docs):
+    rnd = random.Random(9)
+    prose = lambda n, k: " ".join("".join(rnd.choice("abcdefgh") for _ in range(k)) for _ in range(n))
+    wide = [(i, prose(60, 4 + i % 5), "de", "other") for i in range(400)]
+    limit = []
+    for size in (199, 200, 201):
+        rows = wide + [(1000 + i, prose(60, 9), "en", "small") for i in range(size)]
+        limit.append(next(r["max_length"] for r in quality.verdicts(make_docs(rows)).collect() if r["doc_id"] == 1000))
+    assert max(limit) - min(limit) <= 4

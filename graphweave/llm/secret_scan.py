@@ -3,9 +3,9 @@
 1. Corpus statistics over all documents: counts of character transitions (a fixed
    38 x 38 table) and the ``DICTIONARY`` most frequent words, both summed by Spark.
 2. Candidates: assignments to a credential-like name, well-known key formats, and long
-   mixed tokens.  Deliberately broad.  A value has no greatest length: it is the whole
-   run of its characters; a private key goes from its BEGIN line to its END line or, if there
-   is none, over all following lines of key characters.
+   mixed tokens.  Deliberately broad.  A value has no greatest length: a quoted one goes to its closing quote, another is the
+   whole run of its characters; a private key goes from its BEGIN line to its END line if only key lines lie between them, else
+   over all following lines of key characters.  Candidates that overlap are one, from the first start to the last end.
 3. Features of a candidate: its length and character classes, its transitions
    (changes of class, mean log-probability under the corpus table), how much of it
    dictionary words cover, its path (or source) and its neighbouring words.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,20 +49,28 @@ PLACEHOLDER = "<SECRET>"
 
 # Public formats and names.
 NAMES = r"token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credentials?|private[_-]?key|client[_-]?key"
-RULES: list[tuple[str, str]] = [
-    ("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?s:(?:(?!-----BEGIN ).)*?)-----END [A-Z ]{0,30}PRIVATE KEY-----"
-                    r"|(?:[ \t]*[A-Za-z0-9+/=]{20,})?(?:(?:\r?\n|\\r|\\n)[ \t]*(?:(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n]*"
-                    r"|[A-Za-z0-9+/=]*)[ \t]*(?=[\r\n\"']|\\r|\\n|\Z))*)"),
-    ("aws", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
-    ("github", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}"),
-    ("slack", r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}"),
-    ("stripe", r"(?<![A-Za-z0-9])[sr]k_(?:live|test)_[0-9a-zA-Z]{16,}"),
-    ("google", r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35,}"),
-    ("jwt", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
-    ("assigned", r"(?i:(?<![A-Za-z0-9])[A-Za-z0-9_.-]{0,40}(?:" + NAMES + r")[A-Za-z0-9_.-]{0,40}[\"']?[ \t]{0,4}[:=]{1,2}>?"
-                 r"[ \t]{0,4}[\"']?)(?P<v>[^\s\"'`,;<>]{8,})"),
-    ("token", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/=_-])"),
+_LINE = r"(?:\r?\n|\\r\\n|\\n|\\r)"
+_KEY_LINE = r"[ \t]*+(?:(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n]*+|[A-Za-z0-9+/=]*+)[ \t\"',+]*+"
+# A key goes to its END line only over lines that keys are made of; without one, over all such lines that follow.
+_KEY = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+        r"(?:[ \t]*+(?:[A-Za-z0-9+/=]{20,}+[ \t]*+)*+(?:[A-Za-z0-9+/=]++[ \t]*+)?(?:" + _LINE + _KEY_LINE + r")*?-----END [A-Z ]{0,30}PRIVATE KEY-----"
+        r"|(?:[ \t]*[A-Za-z0-9+/=]{20,})?(?:" + _LINE + r"[ \t]*(?:(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n]*"
+        r"|[A-Za-z0-9+/=]*)[ \t]*(?=[\r\n\"']|\\r|\\n|\Z))*)")
+# (rule, what every match holds as it stands, pattern)
+RULES: list[tuple[str, tuple[str, ...], str]] = [
+    ("private_key", ("-----BEGIN ",), _KEY),
+    ("aws", ("AKIA", "ASIA"), r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    ("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}"),
+    ("slack", ("xox",), r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}"),
+    ("stripe", ("k_live_", "k_test_"), r"(?<![A-Za-z0-9])[sr]k_(?:live|test)_[0-9a-zA-Z]{16,}"),
+    ("google", ("AIza",), r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35,}"),
+    ("jwt", ("eyJ",), r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}"),
+    # a name and what is assigned to it: a quoted value goes to its closing quote on the line
+    ("assigned", (":", "="), r"(?<![A-Za-z0-9_.-])(?P<n>[A-Za-z0-9_.-]++)[\"']?+[ \t]*+[:=]{1,2}>?[ \t]*+"
+     r"(?:(?P<q>[\"'`])(?P<v>(?:\\.|(?!(?P=q))[^\\\r\n])*+)(?P=q)|[\"'`]?(?P<w>[^\s\"'`,;<>]{8,}+))"),
+    ("token", (), r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+"),
 ]
+MIN_VALUE = 8
 CREDENTIAL = re.compile(NAMES + r"|bearer|apikey|key", re.I)
 HARMLESS = re.compile(r"sha\d*|md5|hash|checksum|digest|commit|revision|uuid|guid|etag|version|build|example|sample|dummy"
                       r"|placeholder|your|test|xxxx|changeme|isbn|phone|doi|http|www", re.I)
@@ -163,26 +172,62 @@ class Features:
                 float(rule not in ("assigned", "token"))]
 
 
-def find_candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, rule) in code points; the first rule of an overlapping set wins."""
-    out: list[tuple[int, int, str]] = []
-    for rule, pattern in _compiled():
+def _spans(rule: str, pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    """Places of one rule's values."""
+    if rule != "assigned":
         for m in pattern.finditer(text):
-            a, b = m.span("v") if "v" in pattern.groupindex else m.span()
-            if not any(a < y and x < b for x, y, _ in out):
-                out.append((a, b, rule))
-    return sorted(out)
+            if rule != "token" or _DIGIT.search(text, *m.span()):
+                yield m.span()
+        return
+    at = 0
+    while m := pattern.search(text, at):
+        # only credential-like names count; another name's value may hold an assignment itself
+        at = m.end("n")
+        if _NAME.search(m["n"]):
+            span = m.span("v") if m["v"] is not None else m.span("w")
+            if span[1] - span[0] >= MIN_VALUE:
+                yield span
+                at = m.end()
+
 
+def find_candidates(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, rule) in code points.  Overlapping findings are one, from the first start to the last end, named by the
+    first of their rules."""
+    found = []
+    for order, (rule, held, pattern) in enumerate(_compiled()):
+        if not held or any(x in text for x in held):
+            found += [(a, b, order) for a, b in _spans(rule, pattern, text)]
+    out: list[tuple[int, int, int]] = []
+    for a, b, order in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), min(order, out[-1][2]))
+        else:
+            out.append((a, b, order))
+    return [(a, b, RULES[order][0]) for a, b, order in out]
 
-_COMPILED: list[tuple[str, re.Pattern]] = []
 
+_NAME, _DIGIT, _SPACE = re.compile(NAMES, re.I), re.compile("[0-9]"), re.compile(r"\s+")
+_COMPILED: list[tuple[str, tuple[str, ...], re.Pattern]] = []
 
-def _compiled() -> list[tuple[str, re.Pattern]]:
+
+def _compiled() -> list[tuple[str, tuple[str, ...], re.Pattern]]:
     if not _COMPILED:
-        _COMPILED.extend((k, re.compile(p)) for k, p in RULES)
+        _COMPILED.extend((k, held, re.compile(p)) for k, held, p in RULES)
     return _COMPILED
 
 
+def neighbours(text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[str, str]]:
+    """Left and right context of every span: ``CONTEXT`` characters, and the rest of the words that they cut."""
+    gaps = [m.span() for m in _SPACE.finditer(text)]
+    first, last = [a for a, _ in gaps], [b for _, b in gaps]
+    for s, e in spans:
+        a, b = max(0, s - CONTEXT), min(len(text), e + CONTEXT)
+        i = bisect_right(last, a)
+        a = min(a, last[i - 1] if i else 0)
+        j = bisect_left(first, b)
+        yield text[a:s], text[e:first[j] if j < len(first) else len(text)]
+
+
 FINDING = ("id string, t1 long, t2 long, start int, end int, rule string, value string, "
            + ", ".join(f"{c} double" for c in FEATURES))
 
@@ -195,9 +240,9 @@ def candidates(documents: DataFrame, features: Features, id_col: str = "doc_id",
         for b in batches:
             rows = []
             for id_, t1, t2, text, path in b.itertuples(index=False):
-                for s, e, rule in find_candidates(text):
-                    rows.append((id_, t1, t2, s, e, rule, text[s:e], *features.vector(
-                        text[s:e], text[max(0, s - CONTEXT):s], text[e:e + CONTEXT], path or "", rule)))
+                found = find_candidates(text)
+                for (s, e, rule), (left, right) in zip(found, neighbours(text, [x[:2] for x in found]) if found else (), strict=True):
+                    rows.append((id_, t1, t2, s, e, rule, text[s:e], *features.vector(text[s:e], left, right, path or "", rule)))
             yield pd.DataFrame(rows, columns=cols)
     t1, t2 = text_key(F.col(text_col))
     rows = documents.where(F.col(text_col).isNotNull()).select(
@@ -238,6 +283,12 @@ def generated(seed: int, n: int, words: list[str]) -> list[tuple[str, str, str,
                      else joined(size // 6, "_") + pick(digits, 1))
             left = before + (" data:image/png;base64," if kind < 3 else " " + safe[int(rng.integers(0, len(safe)))] + " ")
             out.append((value, left, " " + after, path, 0))
+        elif i % 20 == 7:  # pass phrases in quotes
+            value = joined(int(rng.integers(3, 6)), " ") + " " + pick(digits, int(rng.integers(1, 4)))
+            out.append((value, before + " " + ["password", "passwd", "secret", "pwd"][kind % 4] + ' = "', '" ' + after, path, 1))
+        elif i % 20 == 6:  # sentences in quotes
+            value = joined(int(rng.integers(6, 14)), " ")
+            out.append((value, before + " " + names[int(rng.integers(0, len(names)))] + ': "', '" ' + after, path, 0))
         elif i % 2:
             value = [lambda: pick("0123456789abcdef", int(rng.choice([32, 40, 64]))),
                      lambda: "AKIA" + pick(lower.upper() + digits, 16), lambda: "ghp_" + pick(alnum, 36),
@@ -267,8 +318,8 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = N_LABELLED
 
 def _rule_of(value: str) -> str:
     """The rule that a bare value would be found by (assignment needs its name, so not that one)."""
-    for rule, pattern in _compiled():
-        if rule != "assigned" and pattern.fullmatch(value):
+    for rule, _, pattern in _compiled():
+        if rule != "assigned" and pattern.fullmatch(value) and (rule != "token" or _DIGIT.search(value)):
             return rule
     return "assigned"
 

@@ -124,6 +124,31 @@ def load_map(spark: SparkSession, path: str, version: int) -> dict[int, int]:
     return {r["v_slot"]: r["shard"] for r in rows}
 
 
+def rebalanced(spark: SparkSession, path: str, sums: Sequence[SlotRow], n_shards: int, tolerance: float = 0.0) -> DataFrame:
+    """The table of the version in use: the next one of the map stored under ``path``.
+
+    Without a stored version the first one is built and stored.  The last stored version is then read, edited for the present
+    sums and stored as the next one, and that one is read again.
+    """
+    last = last_version(spark, path)
+    if last == 0:
+        last = 1
+        save_map(map_table(spark, build_map(sums, n_shards), sums, last), path)
+    edited = edit_map(load_map(spark, path, last), sums, n_shards, tolerance)
+    save_map(map_table(spark, edited, sums, last + 1), path)
+    return map_table(spark, load_map(spark, path, last + 1), sums, last + 1)
+
+
+def last_version(spark: SparkSession, path: str) -> int:
+    """The highest stored version under ``path``, 0 if there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return max([0, *(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())])
+
+
 def assign(slotted: DataFrame, table: DataFrame) -> DataFrame:
     """Shard and gapless row number (``slot``, from 0 in its shard) of every record.
 

@@ -1,3 +1,5 @@
+import random
+
 import zlib
 
 from graphweave.llm import sharding
@@ -49,3 +51,19 @@ def test_edited_map_moves_few_slots(spark, tmp_path):
         sharding.save_map(sharding.map_table(spark, m, sums, v), f"{tmp_path}/maps")
     assert sharding.load_map(spark, f"{tmp_path}/maps", 1) == first
     assert sharding.load_map(spark, f"{tmp_path}/maps", 2) == grown
+
+
+def test_stored_versions_are_edited_and_read_again(spark, tmp_path):
+    rnd = random.Random(4)
+    sums = [(s, rnd.randrange(9), rnd.randrange(2000)) for s in range(400)]
+    path = str(tmp_path / "map")
+    first = sharding.rebalanced(spark, path, sums, 6)
+    assert {r["version"] for r in first.select("version").distinct().collect()} == {2}
+    assert sharding.last_version(spark, path) == 2
+    grown = sharding.rebalanced(spark, path, sums, 7)
+    old, new = sharding.load_map(spark, path, 2), sharding.load_map(spark, path, 3)
+    assert {r["v_slot"]: r["shard"] for r in grown.collect()} == new
+    assert sum(new[s] != old[s] for s in old) < 2 * 400 / 7    # most slots stay
+    size = {s: b for s, _, b in sums}
+    load = [sum(size[s] for s, x in new.items() if x == k) for k in range(7)]
+    assert max(load) - min(load) <= 0.02 * sum(load) / 7

@@ -19,8 +19,9 @@ from ..functions import text as T
 from ..functions.fuzzy import with_token_set_ratio
 from ..operators import cluster, dedupe, enrich, graph, harvest, linking, project, similarity
 from ..operators.common import scratch_path
-from ..sources import readers, sinks
+from ..sources import embedding_store, readers, sinks
 from ..sources.readers import read_list_text
+from ..sources.versioned import PartitionStore
 from . import graph_build
 from . import sqltext as S
 from .proxies import part_name_techs, supplier_categories, table
@@ -1259,3 +1260,107 @@ def category_permalinks(spark: SparkSession, sf: str) -> DataFrame:
                  "l_orderkey", "l_linenumber", "l_partkey", link.alias("permalink")))).alias("c")))
     out = table(spark, sf, "supplier").select("s_suppkey").join(items, "s_suppkey", "left")
     return out.select(F.col("s_suppkey").alias("company_id"), F.array_join(N.category_permalinks("c"), "|").alias("categories"))
+
+
+# ------------------------------------------------------------- stored tables
+@register("accumulated_years", """
+SELECT o_orderkey AS paper_id, o_custkey AS author_id, year(o_orderdate)::INTEGER AS year FROM orders
+WHERE year(o_orderdate) < (SELECT max(year(o_orderdate)) FROM orders) OR o_orderkey % 2 = 0
+""")
+def accumulated_years(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers added in three runs of several years each; a fourth run brings the last year again with
+    half of its rows, which replaces it.  Read by the last committed manifest."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("paper_id"), F.col("o_custkey").alias("author_id"),
+                                          F.year("o_orderdate").alias("year"))
+    store = PartitionStore(spark, scratch_path(spark), "year")
+    for k in range(3):
+        store.put(o.where(F.col("year") % 3 == k))
+    last = o.agg(F.max("year")).first()[0]
+    store.put(o.where((F.col("year") == last) & (F.col("paper_id") % 2 == 0)))
+    return store.read()
+
+
+@register("enriched_memo", """
+SELECT c_custkey AS tech_id, c_name AS technology_name, 'about ' || c_name AS definition, lower(c_name) AS synonyms, '' AS keywords
+FROM customer
+""")
+def enriched_memo(spark: SparkSession, sf: str) -> DataFrame:
+    """Technologies enriched through the hook with a memo: a first run for half of the names, a second one for all."""
+    def fetch(names):
+        n = names["technology_name"]
+        return names.assign(definition="about " + n, synonyms_reply='["' + n.str.lower() + '"]', keywords_reply="I don't know")
+    techs = table(spark, sf, "customer").select(F.col("c_custkey").alias("tech_id"), F.col("c_name").alias("technology_name"))
+    memo = scratch_path(spark)
+    enrich.enrich_memo(techs.where("tech_id % 2 = 0"), memo, fetch)
+    out = enrich.enrich_memo(techs, memo, fetch)
+    return out.select("tech_id", "technology_name", "definition", F.array_join("synonyms", "|").alias("synonyms"),
+                      F.array_join("keywords", "|").alias("keywords"))
+
+
+@register("stored_embeddings", """
+SELECT a.vec_id AS vec_id, b.vec_id AS next_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1
+""")
+def stored_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings written as binary vectors, read again, and each scored against the next one."""
+    e = table(spark, sf, "embeddings")
+    path = scratch_path(spark)
+    embedding_store.write_embeddings(e, path, "vec_id", "embedding", "given")
+    held = embedding_store.read_embeddings(spark, path, "given")
+    pairs = held.select(F.col("id").alias("vec_id"), (F.col("id") + 1).alias("next_id"))
+    return embedding_store.cosines(pairs, held, held, "vec_id", "next_id").withColumn("score", F.round("score", 6))
+
+
+@register("json_array_records", ORACLE["jsonl_roundtrip"])
+def json_array_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested company records written as JSON arrays and read with a declared schema."""
+    raw = _raw_companies(spark, sf)
+    path = scratch_path(spark)
+    sinks.write_json_array(raw, path)
+    back = readers.read_json(spark, path, raw.schema, lines=False)
+    q = "properties"
+    country = F.filter(f"{q}.location_identifiers", lambda x: x["location_type"] == "country")[0]["value"]
+    return back.select(F.col(f"{q}.identifier.permalink").alias("company_id"), F.col(f"{q}.identifier.value").alias("company_name"),
+                       country.alias("country"), F.col(f"{q}.funding_total.value_usd").alias("funding"))
+
+
+@register("company_snapshot", """
+SELECT c.c_name AS company_name, lower(c.c_mktsegment) AS description
+""" + _COMPANY_NODES_FROM)
+def company_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored company snapshot and its projection to name and description."""
+    raw = _raw_companies(spark, sf)
+    path = scratch_path(spark)
+    sinks.write_json_array(raw.select(F.col("properties").withField(
+        "short_description", F.trim("properties.funding_stage")).alias("properties")), path)
+    return project.rename_company_columns(readers.read_companies(spark, path))
+
+
+@register("linking_inputs", """
+SELECT 'paper' AS kind, 'P' || p_partkey AS name, p_name || ', "' || p_brand || '"' AS detail FROM part
+UNION ALL
+SELECT 'technology', c_name, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'about ' || c_name END || '/' || lower(c_name)
+       || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '|' || lower(c_mktsegment) END FROM customer
+""")
+def linking_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The joint loader on written inputs: papers as CSV, technologies as a one-column CSV, definitions as JSON records (a
+    third of the names has none, another third no synonyms); each technology with its keyword set."""
+    base = scratch_path(spark)
+    p = table(spark, sf, "part")
+    blank = [c.split()[0] for c in readers.schemas.NORMALIZED_PAPER.replace("\n", " ").split(",")]
+    values = {"id": F.concat(F.lit("P"), F.col("p_partkey").cast("string")),
+              "title": F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"'))}
+    sinks.write_csv(p.select(*[values.get(c, F.lit("x")).alias(c) for c in blank]), f"{base}/papers")
+    c = table(spark, sf, "customer")
+    sinks.write_csv(c.select(F.col("c_name").alias("anything")), f"{base}/techs")
+    js = lambda *x: F.concat(F.lit('["'), F.concat_ws('", "', *x), F.lit('"]'))
+    sinks.write_json_array(c.where("c_custkey % 3 <> 0").select(
+        F.col("c_name").alias("Technology Name"), F.concat(F.lit("about "), "c_name").alias("Definition"),
+        F.when(F.col("c_custkey") % 3 == 1, js("c_mktsegment", "c_name")).otherwise(F.lit("I don't know")).alias("Synonyms"),
+        js("c_mktsegment").alias("Top Domain Keywords")), f"{base}/definitions")
+    papers, techs = readers.load_linking_inputs(spark, f"{base}/papers", f"{base}/techs", f"{base}/definitions")
+    none = F.array().cast("array<string>")
+    words = graph_build.keyword_set(F.col("technology_name"), F.coalesce("synonyms", none), F.coalesce("keywords", none))
+    return papers.select(F.lit("paper").alias("kind"), F.col("id").alias("name"), F.col("title").alias("detail")).unionByName(
+        techs.select(F.lit("technology").alias("kind"), F.col("technology_name").alias("name"),
+                     F.concat_ws("/", "definition", F.array_join(words, "|")).alias("detail")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -12,6 +15,22 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON records: every part file is one JSON array, a record per line, so that no task holds more than a line.  (A table
+    without partitions gives one empty file, which the readers take as no records.)"""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for b in batches:
+            lines = b["value"].tolist()
+            if lines:
+                out = [] if last is None else [last + ","]
+                yield pd.DataFrame({"value": (["["] if last is None else []) + out + [x + "," for x in lines[:-1]]})
+                last = lines[-1]
+        yield pd.DataFrame({"value": ["[]"] if last is None else [last, "]"]})
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    rows.mapInPandas(run, "value string").write.mode(mode).text(path)
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "overwrite",
               blank_zero: list[str] | None = None) -> None:
     """CSV with header.  Arrays are joined by '; '; the columns in

@@ -114,7 +114,7 @@ def _sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
     t1, t2 = text_key(F.coalesce(F.col("text"), F.lit("")))
     mine = reps.select("rep", F.col("of.doc_id").alias("doc_id"), F.col("of.t1").alias("t1"), F.col("of.t2").alias("t2")).distinct()
     texts = (documents.withColumns({"t1": t1, "t2": t2}).join(mine.hint("merge"), ["doc_id", "t1", "t2"])
-             .groupBy("rep").agg(F.first("text").alias("text")))
+             .groupBy("doc_id", "t1", "t2", "rep").agg(F.first("text").alias("text")))  # placed by the join already
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -135,8 +135,3 @@ def join_display_names(c, key: str = "display_name", sep: str = "; ") -> Column:
 def token_sort(c) -> Column:
     """Tokens sorted and joined by one blank (token-sort form of a string)."""
     return F.array_join(F.sort_array(ws_split(c)), " ")
-
-
-def first_words(c, n: int) -> Column:
-    """The first ``n`` white-space tokens of a text, joined by one blank."""
-    return F.array_join(F.slice(ws_split(c), 1, n), " ")

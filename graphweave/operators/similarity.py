@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
-from .common import BROADCAST_MAX_ROWS, broadcast_if_small, stored
+from .common import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast, stored
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -56,14 +56,17 @@ def with_term_counts(df: DataFrame, terms: str, out: str = "tf") -> DataFrame:
 
 def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "entity_id",
                      tech_id: str = "tech_id", text: str = "text", max_features: int = 5000,
-                     pairs: DataFrame | None = None) -> DataFrame:
+                     pairs: DataFrame | None = None, threshold: float | None = None) -> DataFrame:
     """Cosine of L2-normalized TF-IDF vectors, fitted on technologies and
     entities together: tf = raw count, idf = ln((1+n)/(1+df)) + 1, vocabulary =
     the ``max_features`` terms with the largest corpus count (ties: term order).
 
     Returns ``(entity_id, tech_id, tfidf)`` for pairs that share a term; with
     ``pairs`` (entity_id, tech_id) only for those, joined on (technology, term)
-    so that a frequent term never meets all technologies.
+    so that a frequent term never meets all technologies; with ``threshold`` (above 0) only for pairs that reach it.  Then
+    the candidates are the pairs that share a term of both prefixes: a document's terms stand from rare to frequent, and
+    its prefix ends where the norm of what is left falls under the threshold.  A pair that shares only terms after the prefix of
+    one side can't reach it, as its cosine is at most the norm of that rest; frequent terms are seldom in a prefix.
     Plan: term counts inside each row (no shuffle); one term aggregate with
     map-side combine; a top-k vocabulary (bounded by ``max_features``,
     broadcast); one per-document group for the L2 norm; an equi-join on the
@@ -85,13 +88,16 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
           .select("side", "id", "x.term", "x.tf"))
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = (stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
-             .select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
-    w = tf.join(F.broadcast(vocab), "term").select("side", "id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    per_doc = w.groupBy("side", "id").agg(F.collect_list(F.struct("term", "w")).alias("tw"))
+             .select("term", "df", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
+    w = tf.join(F.broadcast(vocab), "term").select("side", "id", "term", (F.col("tf") * F.col("idf")).alias("w"), "df")
+    per_doc = w.groupBy("side", "id").agg(F.collect_list(F.struct("term", "w", "df")).alias("tw"))
     norm = F.sqrt(F.aggregate("tw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
     wn = (per_doc.withColumn("nrm", norm)
           .select("side", "id", F.explode("tw").alias("x"), "nrm")
-          .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn")))
+          .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn"), F.col("x.df").alias("df")))
+    if threshold is not None:
+        wn = stored(wn)
+        pairs = _prefix_pairs(wn, threshold, entity_id, tech_id)
     ent = wn.filter(F.col("side") == 0).select(F.col("id").alias(entity_id), "term", F.col("wn").alias("we"))
     tec = wn.filter(F.col("side") == 1).select(F.col("id").alias(tech_id), "term", F.col("wn").alias("wt"))
     if pairs is not None:
@@ -99,13 +105,25 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
                              F.col(tech_id).cast("string").alias(tech_id)).distinct()
         joined = asked.join(ent, entity_id).join(tec, [tech_id, "term"])
     else:
-        # the technology side has at most n_techs * max_features rows: check that
-        # bound on the (cheap) input instead of counting the weighted table, which
-        # would run the whole pipeline a second time
-        n_techs = techs.limit(BROADCAST_MAX_ROWS + 1).count()
-        joined = ent.join(F.broadcast(tec) if n_techs * max_features <= BROADCAST_MAX_ROWS * 5 else tec, "term")
-    return (joined.groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
-            .select(F.col(entity_id).cast(e_type).alias(entity_id), F.col(tech_id).cast(t_type).alias(tech_id), "tfidf"))
+        # the weighted technologies are stored first, so the check of their rows and bytes doesn't run the job twice
+        tec = stored(tec)
+        joined = ent.join(F.broadcast(tec) if fits_broadcast(tec, BROADCAST_MAX_ROWS * 5) else tec, "term")
+    out = (joined.groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
+           .select(F.col(entity_id).cast(e_type).alias(entity_id), F.col(tech_id).cast(t_type).alias(tech_id), "tfidf"))
+    return out if threshold is None else out.where(F.col("tfidf") >= threshold)
+
+
+def _prefix_pairs(weights: DataFrame, threshold: float, entity_id: str, tech_id: str) -> DataFrame:
+    """(entity_id, tech_id) that share a term of both prefixes, from (side, id, term, wn, df)."""
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0")
+    before = Window.partitionBy("side", "id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.lit(1.0) - F.coalesce(F.sum(F.col("wn") * F.col("wn")).over(before), F.lit(0.0))
+    # the rest's squared norm, with room for rounding
+    heads = stored(weights.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("side", "id", "term"))
+    e = heads.where("side = 0").select(F.col("id").alias(entity_id), "term")
+    t = heads.where("side = 1").select(F.col("id").alias(tech_id), "term")
+    return e.join(t, "term").select(entity_id, tech_id).distinct()
 
 
 def label_centroids(df: DataFrame, label: str, vec: str, out_vec: str = "vec") -> DataFrame:

@@ -460,6 +460,15 @@ def tfidf_cosine(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("tfidf", R6).alias("tfidf"))
 
 
+@register("tfidf_links", _TFIDF_SQL + f"SELECT doc_id, item_id, round(tfidf, {R6}) AS tfidf FROM sim WHERE tfidf >= 0.35")
+def tfidf_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and technologies whose TF-IDF cosine reaches the gate, by a prefix-filtered term join."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("entity_id"), "text")
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("tech_id"), "text")
+    s = similarity.tfidf_similarity(d, b, threshold=0.35)
+    return s.select(F.col("entity_id").alias("doc_id"), F.col("tech_id").alias("item_id"), F.round("tfidf", R6).alias("tfidf"))
+
+
 # --------------------------------------------------------- embedding cosine
 _CENTROID_SQL = """
 cent_raw AS (SELECT label, list(m ORDER BY dim) AS raw FROM (

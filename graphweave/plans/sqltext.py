@@ -38,10 +38,6 @@ def token_sort(x: str) -> str:
     return f"array_to_string(list_sort({ws_split(x)}), ' ')"
 
 
-def first_words(x: str, n: int) -> str:
-    return f"array_to_string(list_slice({ws_split(x)}, 1, {n}), ' ')"
-
-
 def category(x: str) -> str:
     return strip(f"regexp_replace(lower({x}), '[-_]+', ' ', 'g')")
 

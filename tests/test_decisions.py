@@ -172,3 +172,16 @@ def test_embedding_hook(spark):
     own = {r["id"]: list(r["embedding"]) for r in embed.embed(df, "id", "t", lambda ts: __import__("numpy").array(
         [[len(t), 0.0] for t in ts])).collect()}
     assert own[4] == [1.0, 0.0]
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.35, 0.7, 0.999])
+def test_tfidf_above_a_threshold_equals_all_pairs_filtered(spark, threshold):
+    rnd = random.Random(3)
+    words = [f"w{min(int(rnd.expovariate(0.15)), 60)}" for _ in range(3000)]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    ents = [(f"e{i}", say(rnd.randint(0, 40))) for i in range(60)] + [("null", None), ("none", "a b c")]
+    techs = [(i, say(rnd.randint(1, 12))) for i in range(25)] + [(99, ents[0][1]), (98, ents[1][1] + " w1")]
+    e, t = spark.createDataFrame(ents, "entity_id string, text string"), spark.createDataFrame(techs, "tech_id long, text string")
+    every = {(r[0], r[1]): round(r[2], 9) for r in similarity.tfidf_similarity(e, t, max_features=300).collect()}
+    some = {(r[0], r[1]): round(r[2], 9) for r in similarity.tfidf_similarity(e, t, max_features=300, threshold=threshold).collect()}
+    assert some == {k: v for k, v in every.items() if v >= threshold} and (some or threshold > 0.9)

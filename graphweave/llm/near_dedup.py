@@ -156,14 +156,14 @@ def components(edges: DataFrame) -> DataFrame:
     cur = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .distinct())
     seen = None
+    two_ways = lambda a, b, c, d: F.explode(F.array(
+        F.struct(F.col(a).alias("u"), F.col(b).alias("v")), F.struct(F.col(c).alias("u"), F.col(d).alias("v")))).alias("e")
     while True:
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = cur.select(two_ways("u", "v", "v", "u")).select("e.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low2.select("u", F.col("m").alias("v")))).where("u <> v").distinct()
+        small = large.join(low2, "u").select(two_ways("u", "m", "v", "m")).select("e.*").where("u <> v").distinct()
         cur = materialise(small)
         now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
@@ -319,12 +319,17 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     larger = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2").select("key")
     rows = materialise(root(keys.join(larger, "key", "left_semi")))
     some = materialise(_in_cells(rows, reps, ["n", "regs"], "key long, rep long", _possible).distinct())
+    second = None
     if not some.isEmpty():
         full = sets.withColumnRenamed("doc", "rep").join(reps.select("rep", "n"), "rep")
         more = _in_cells(rows.join(some, ["key", "rep"], "left_semi"), full, ["n", "elems"], "a long, b long", _joining)
-        comp = materialise(components(links.unionByName(more)))
+        # these links are between roots: only the components that they join are contracted again
+        second = materialise(components(more)).withColumnsRenamed({"node": "node2", "root": "root2"})
     named = cls.join(comp, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", "of", F.coalesce("root", "rep").alias("root"))
+    if second is not None:
+        named = named.join(second, F.col("root") == F.col("node2"), "left").select(
+            "f1", "f2", "of", F.coalesce("root2", "root").alias("root"))
     least = F.struct(F.col("of.doc_id").alias("doc_id"), "f1", "f2")
     low = named.groupBy("root").agg(F.min(least).alias("low"))
     named = materialise(named.join(low, "root").select(

@@ -51,6 +51,9 @@ def brute_quality(rows):
             n, (q1, q2, q3) = quartiles([x[k] for x in v])
             spread = 4 * max(q3 - q1, quality.LEAST_SPREAD[rule])
             fence[key, rule] = (n, q2 + spread, max(q2 - spread, 0))
+    votes = {rule: sorted(f[1] for (key, x), f in fence.items() if key[0] == "g" and x == rule) for rule in RULES}
+    cap = {rule: quality.CEILING * v[(len(v) - 1) // 2] for rule, v in votes.items() if v}
+    mix = lambda n, own, wider: (n * own + quality.WEIGHT * wider) // (n + quality.WEIGHT)
     out = []
     for r in rows:
         if base(r[1]):
@@ -58,8 +61,9 @@ def brute_quality(rows):
         ok = True
         for rule, v in zip(RULES, rule_values(r[1]), strict=True):
             g, lang, every = fence[("g", *r[2:4]), rule], fence[("l", r[2]), rule], fence[("a",), rule]
-            pick = g if g[0] >= quality.MIN_GROUP else lang if lang[0] >= quality.MIN_GROUP else every
-            ok &= v <= min(pick[1], 2 * every[1]) and (rule != "length" or v >= pick[2])
+            high = min(mix(g[0], g[1], min(mix(lang[0], lang[1], every[1]), cap[rule])), cap[rule])
+            low = mix(g[0], g[2], mix(lang[0], lang[2], every[2]))
+            ok &= v <= high and (rule != "length" or v >= low)
         if ok:
             out.append(r)
     return out

@@ -15,69 +15,146 @@ nearest-neighbour pair:
 
 Cluster ids are the smallest member id.  Distances are rounded to 9 digits
 and ties go to the smaller id.  Nearest-neighbour search is an exact blocked
-all-pairs scan: points are hashed into blocks of bounded size, block pairs are
-formed by an equi-join, and each block pair is scored in one Arrow batch
+all-pairs scan: distinct vectors are hashed into blocks of bounded size, block
+pairs are formed by a cogroup, and each pair of blocks is scored by matrix
+products, whose few cells near a row's least are scored again in full precision,
 without materializing point pairs.  Other clustering parameters are not
 offered.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import stored
 
-BLOCK_SIZE = 512
-
-
-def _nearest(points: DataFrame, other_group_only: bool) -> DataFrame:
-    """(id, nn_id, dist): nearest other point (of another group if asked)."""
-    n = points.count()
-    nb = max(1, -(-n // BLOCK_SIZE))
-    pts = points.select("id", "grp", F.col("vec").cast("array<double>").alias("vec"),
-                        F.pmod(F.xxhash64("id"), F.lit(nb)).alias("blk"))
-    blocks = pts.groupBy("blk").agg(F.collect_list(F.struct("id", "grp", "vec")).alias("items"))
-    left = (blocks.select(F.col("blk").alias("bl"), F.col("items").alias("L"),
-                          F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("br")))
-    right = blocks.select(F.col("blk").alias("br"), F.col("items").alias("R"))
-    pairs = left.join(right, "br").select("L", "R")
-    schema = StructType([StructField("id", LongType()), StructField("nn_id", LongType()),
-                         StructField("dist", DoubleType())])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for lst, rst in zip(pdf["L"], pdf["R"]):
-                li = np.array([x["id"] for x in lst], dtype=np.int64)
-                lg = np.array([x["grp"] for x in lst], dtype=np.int64)
-                lv = np.stack([np.asarray(x["vec"], dtype=np.float64) for x in lst])
-                ri = np.array([x["id"] for x in rst], dtype=np.int64)
-                rg = np.array([x["grp"] for x in rst], dtype=np.int64)
-                rv = np.stack([np.asarray(x["vec"], dtype=np.float64) for x in rst])
-                # columns in id order: argmin's first hit is the smallest id of a tie
-                by_id = np.argsort(ri, kind="stable")
-                ri, rg, rv = ri[by_id], rg[by_id], rv[by_id]
-                best, j = np.empty(len(li)), np.empty(len(li), dtype=np.int64)
-                step = max(1, (1 << 22) // max(1, rv.size))
-                for at in range(0, len(li), step):
-                    rows = slice(at, at + step)
-                    d = np.round(np.sqrt(((lv[rows, None, :] - rv[None, :, :]) ** 2).sum(-1)), 9)
-                    bad = li[rows, None] == ri[None, :]
-                    if other_group_only:
-                        bad |= lg[rows, None] == rg[None, :]
-                    d[bad] = np.inf
-                    j[rows] = d.argmin(axis=1)
-                    best[rows] = d[np.arange(len(d)), j[rows]]
-                ok = np.isfinite(best)
-                yield pd.DataFrame({"id": li[ok], "nn_id": ri[j][ok], "dist": best[ok]})
-
-    cand = pairs.mapInPandas(score, schema)
-    return (cand.groupBy("id").agg(F.min(F.struct("dist", "nn_id")).alias("b"))
+# Distinct vectors of a block, and the cells of one product inside a task.
+BLOCK_SIZE = 32_768
+CELLS = (256, 1024)
+
+
+def _classes(points: DataFrame) -> DataFrame:
+    """(c, vec, lo, lo2): the distinct vectors with their two smallest labels (``lo2 = lo`` where there is one)."""
+    ends = points.groupBy("vec").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    second = (points.join(ends.where("hi > lo"), "vec").where("id > lo")
+              .groupBy("vec").agg(F.min("id").alias("lo2")))
+    return (ends.join(second, "vec", "left")
+            .select(F.monotonically_increasing_id().alias("c"), "vec", "lo", F.coalesce("lo2", "lo").alias("lo2")))
+
+
+def _near_cells(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray, many: np.ndarray) -> Iterator[tuple]:
+    """(rows of ``a``, rows of ``b``) that hold every least distance of a row of ``a`` to the rows of ``b`` outside
+    ``lo:hi``, with all ties; where ``many``, the cells at distance 0.
+
+    Squared distances come from products in single precision and are taken with their error bound, so the true least
+    cells are always among those given; the caller scores these alone.
+    """
+    mid = b.mean(axis=0)
+    a, b = a - mid, b - mid
+    scale = max(np.abs(a).max(), np.abs(b).max()) or 1.0
+    a, b = a / scale, b / scale
+    na, nb = (a * a).sum(1), (b * b).sum(1)
+    one = lambda x: np.ones((len(x), 1))
+    left = np.hstack([-2 * a, na[:, None], one(a)]).astype(np.float32)
+    right = np.ascontiguousarray(np.hstack([b, one(b), nb[:, None]]).astype(np.float32).T)
+    # most that a distance can be; error of a product; what rounding to 9 digits can join
+    most = np.sqrt(na) + np.sqrt(nb.max())
+    err = (a.shape[1] + 8) * float(np.finfo(np.float32).eps) * most ** 2
+    tie = 1e-9 / scale
+    room = 2 * err + 2 * most * tie + tie * tie + 1e-30
+    best = np.where(many, 0.0, np.inf)
+    height, width = CELLS
+    for at in range(0, len(a), height):
+        rows = slice(at, at + height)
+        top, kept = best[rows], []
+        for col in range(0, len(b), width):
+            g = left[rows] @ right[:, col:col + width]
+            x, y = np.clip(lo[rows] - col, 0, width), np.clip(hi[rows] - col, 0, width)
+            for r in np.flatnonzero(x < y).tolist():
+                g[r, x[r]:y[r]] = np.inf
+            least = g.min(axis=1)
+            sel = np.flatnonzero((least <= top + room[rows]) & np.isfinite(least))
+            np.minimum(top, np.where(many[rows], top, least), out=top)
+            if len(sel):
+                r, c = np.nonzero(g[sel] <= (top + room[rows])[sel, None])
+                kept.append((sel[r], c + col, g[sel[r], c]))
+        if kept:
+            r, c, v = (np.concatenate(k) for k in zip(*kept, strict=True))
+            ok = np.isfinite(v) & (v <= (top + room[rows])[r])
+            yield r[ok] + at, c[ok]
+
+
+def _stack(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+
+
+def _score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """(c, nn_id, dist): nearest label other than its own of every vector of ``left`` among ``right``; of a vector with
+    several labels the two nearest labels at all."""
+    out = [pd.DataFrame({"c": np.empty(0, np.int64), "nn_id": np.empty(0, np.int64), "dist": np.empty(0)})]
+    if not len(left) or not len(right):
+        return out[0]
+    a, b = _stack(left["vec"]), _stack(right["vec"])
+    fine = np.isfinite(a).all(axis=1)
+    left, a = left[fine], a[fine]
+    # vectors of one label first, in the order of their labels: a row's own label is one range of them
+    single = (right["lo"] == right["lo2"]).to_numpy()
+    order = np.lexsort((right["lo"].to_numpy(), ~single))
+    order = order[np.isfinite(b).all(axis=1)[order]]
+    b, b1, b2 = b[order], right["lo"].to_numpy()[order], right["lo2"].to_numpy()[order]
+    if not len(a) or not len(b):
+        return out[0]
+    own = b1[:int(single[order].sum())]
+    c, a1 = left["c"].to_numpy(), left["lo"].to_numpy()
+    many = (left["lo"] != left["lo2"]).to_numpy()
+    lo, hi = (np.where(many, 0, np.searchsorted(own, a1, side)) for side in ("left", "right"))
+    step = max(1, (1 << 21) // a.shape[1])
+    for r, k in _near_cells(a, b, lo, hi, many):
+        dist = np.concatenate([np.round(np.sqrt(((a[r[i:i + step]] - b[k[i:i + step]]) ** 2).sum(-1)), 9)
+                               for i in range(0, len(r), step)] or [np.empty(0)])
+        r, label, dist = np.concatenate([r, r]), np.concatenate([b1[k], b2[k]]), np.concatenate([dist, dist])
+        for rank in (0, 1):
+            ok = (many[r] | (label != a1[r])) & np.isfinite(dist)
+            r, label, dist = r[ok], label[ok], dist[ok]
+            at = np.lexsort((label, dist, r))
+            first = at[np.flatnonzero(np.diff(r[at], prepend=-1))]
+            out.append(pd.DataFrame({"c": c[r[first]], "nn_id": label[first], "dist": dist[first]}))
+            # the second label of the rows with several
+            taken = np.zeros(len(a), dtype=np.int64)
+            taken[r[first]] = label[first]
+            ok = many[r] & (label != taken[r])
+            r, label, dist = r[ok], label[ok], dist[ok]
+            if not len(r):
+                break
+    return pd.concat(out)
+
+
+def _nearest(points: DataFrame) -> DataFrame:
+    """(id, nn_id, dist): per label ``id`` the nearest vector of another label, from (id, vec); ties to the smaller label.
+
+    Copies of a vector are compared once, under their two smallest labels: whatever the row's own label, the nearest
+    other one of the copies is one of these.  Null and non-finite vectors take no part.
+    """
+    points = points.where("id is not null and vec is not null")
+    classes = stored(_classes(points))
+    n, cores = classes.count(), points.sparkSession.sparkContext.defaultParallelism
+    # few large blocks, as each vector goes to every one; no fewer pairs of blocks than keep the cores busy
+    nb = max(1, -(-n // BLOCK_SIZE), min(math.ceil(math.sqrt(6 * cores)), -(-n // 256)))
+    mine, every = F.pmod(F.xxhash64("c"), F.lit(nb)), F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    left = classes.withColumn("i", mine.cast("int")).withColumn("j", every).repartition(nb * nb, "i", "j")
+    right = classes.withColumn("j", mine.cast("int")).withColumn("i", every).repartition(nb * nb, "i", "j")
+    cand = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
+        lambda x, y: _score(x, y), "c long, nn_id long, dist double")
+    owners = (classes.where("lo = lo2").select(F.col("lo").alias("id"), "c").unionByName(
+        points.join(classes.where("lo < lo2").select("vec", "c"), "vec").select("id", "c").distinct()))
+    return (cand.join(owners, "c").where("id <> nn_id")
+            .groupBy("id").agg(F.min(F.struct("dist", "nn_id")).alias("b"))
             .select("id", F.col("b.nn_id").alias("nn_id"), F.col("b.dist").alias("dist")))
 
 
@@ -108,7 +185,7 @@ def leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64
 
 def _leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 64) -> DataFrame:
     pts = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    nn = stored(_nearest(pts.withColumn("grp", F.col("id")), other_group_only=False))
+    nn = stored(_nearest(pts))
     back = nn.select(F.col("id").alias("nn_id"), F.col("nn_id").alias("nn2"))
     parent = (nn.join(back, "nn_id", "left")
               .select("id", F.when((F.col("nn2") == F.col("id")) & (F.col("id") < F.col("nn_id")), F.col("id"))
@@ -123,10 +200,11 @@ def _leaf_clusters(df: DataFrame, id_col: str, vec_col: str, max_rounds: int = 6
     else:
         raise RuntimeError("pointer jumping did not converge")
     tree = parent.select("id", F.col("par").alias("tree"))
-    out = _nearest(pts.join(tree, "id").withColumnRenamed("tree", "grp"), other_group_only=True)
-    m = out.join(tree, "id").groupBy("tree").agg(F.min("dist").alias("m"))
-    lab = (nn.join(tree, "id").join(m, "tree", "left")
-           .withColumn("member", F.col("m").isNotNull() & (F.col("dist") < F.col("m"))))
+    out = _nearest(pts.join(tree, "id").select(F.col("tree").alias("id"), "vec"))
+    m = out.select(F.col("id").alias("tree"), F.col("dist").alias("m"))
+    # read twice below: the scan of all pairs runs once
+    lab = stored(nn.join(tree, "id").join(m, "tree", "left")
+                 .withColumn("member", F.col("m").isNotNull() & (F.col("dist") < F.col("m"))))
     cid = lab.filter("member").groupBy("tree").agg(F.min("id").alias("cluster_id"))
     return (pts.select("id").join(lab.select("id", "tree", "member"), "id", "left").join(cid, "tree", "left")
             .select(F.col("id").alias(id_col),

@@ -70,7 +70,8 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     Plan: term counts inside each row (no shuffle); one term aggregate with
     map-side combine; a top-k vocabulary (bounded by ``max_features``,
     broadcast); one per-document group for the L2 norm; an equi-join on the
-    term with the size-checked technology side and a partial-aggregated sum.
+    term.  Technologies that pass the size check are broadcast and a document's pairs
+    are summed up beside its terms; else the joined rows are shuffled by pair.
     """
     # ids of either side may be strings or numbers: carried as text inside and
     # cast back to the callers' types at the end (exact for integers)
@@ -95,6 +96,12 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     wn = (per_doc.withColumn("nrm", norm)
           .select("side", "id", F.explode("tw").alias("x"), "nrm")
           .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn"), F.col("x.df").alias("df")))
+    if pairs is None:
+        # the weighted technologies are stored first, so the check of their rows and bytes doesn't run the job twice
+        small = stored(wn.where("side = 1"))
+        if fits_broadcast(small, BROADCAST_MAX_ROWS * 5):
+            return _beside_documents(wn.where("side = 0"), small, threshold).select(
+                F.col("id").cast(e_type).alias(entity_id), F.col("tech").cast(t_type).alias(tech_id), "tfidf")
     if threshold is not None:
         wn = stored(wn)
         pairs = _prefix_pairs(wn, threshold, entity_id, tech_id)
@@ -105,22 +112,39 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
                              F.col(tech_id).cast("string").alias(tech_id)).distinct()
         joined = asked.join(ent, entity_id).join(tec, [tech_id, "term"])
     else:
-        # the weighted technologies are stored first, so the check of their rows and bytes doesn't run the job twice
-        tec = stored(tec)
-        joined = ent.join(F.broadcast(tec) if fits_broadcast(tec, BROADCAST_MAX_ROWS * 5) else tec, "term")
+        joined = ent.join(tec, "term")
     out = (joined.groupBy(entity_id, tech_id).agg(F.sum(F.col("we") * F.col("wt")).alias("tfidf"))
            .select(F.col(entity_id).cast(e_type).alias(entity_id), F.col(tech_id).cast(t_type).alias(tech_id), "tfidf"))
     return out if threshold is None else out.where(F.col("tfidf") >= threshold)
 
 
-def _prefix_pairs(weights: DataFrame, threshold: float, entity_id: str, tech_id: str) -> DataFrame:
-    """(entity_id, tech_id) that share a term of both prefixes, from (side, id, term, wn, df)."""
+def _beside_documents(documents: DataFrame, techs: DataFrame, threshold: float | None) -> DataFrame:
+    """(id, tech, tfidf) with few enough technologies for a broadcast: the pairs of a document arise and are summed up
+    where its terms are, so no pair is shuffled; with ``threshold`` those that share a term of both prefixes and reach it."""
+    keep = []
+    if threshold is not None:
+        documents, techs = (_with_heads(x, threshold) for x in (documents, techs))
+        keep = [F.max(F.col("head") & F.col("thead")).alias("head")]
+    t = techs.select(F.col("id").alias("tech"), "term", F.col("wn").alias("wt"), *([F.col("head").alias("thead")] if keep else []))
+    # ``side`` stays a key: rows are dealt by (side, id) already
+    out = (documents.join(F.broadcast(t), "term").groupBy("side", "id", "tech")
+           .agg(F.sum(F.col("wn") * F.col("wt")).alias("tfidf"), *keep))
+    return out if threshold is None else out.where(F.col("head") & (F.col("tfidf") >= threshold))
+
+
+def _with_heads(weights: DataFrame, threshold: float) -> DataFrame:
+    """Add ``head``: the term is in its document's prefix, after which the squared norm of the rest is under the threshold's."""
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
     before = Window.partitionBy("side", "id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     rest = F.lit(1.0) - F.coalesce(F.sum(F.col("wn") * F.col("wn")).over(before), F.lit(0.0))
-    # the rest's squared norm, with room for rounding
-    heads = stored(weights.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("side", "id", "term"))
+    # with room for rounding
+    return weights.withColumn("head", rest >= threshold * threshold - 1e-9)
+
+
+def _prefix_pairs(weights: DataFrame, threshold: float, entity_id: str, tech_id: str) -> DataFrame:
+    """(entity_id, tech_id) that share a term of both prefixes, from (side, id, term, wn, df)."""
+    heads = stored(_with_heads(weights, threshold).where("head").select("side", "id", "term"))
     e = heads.where("side = 0").select(F.col("id").alias(entity_id), "term")
     t = heads.where("side = 1").select(F.col("id").alias(tech_id), "term")
     return e.join(t, "term").select(entity_id, tech_id).distinct()

@@ -562,22 +562,130 @@ def partial_ratio_near(needle: str, hay: str, cutoff: float) -> float:
     return best if best >= cutoff else 0.0
 
 
+class PieceSieve:
+    """All phrases of a list against many texts: pairs that may have a part of the text within ``rate * len(phrase)``.
+
+    The alphabet of the phrases is dealt into groups of nearly equal counts.  An edit spoils the characters of one group only, so the
+    distances within the groups add up to at most the whole one, and so do those of the pieces of a group's
+    characters: some piece is near a part of the text's characters of its group (of short phrases: of all groups).  Parts may start at even places only
+    (a part that starts at an odd one gains one insertion), so that neighbouring distances always differ by one and
+    L = (row + place - distance) / 2 obeys the recurrence of the LCS, with a first row that rises by one every second place:
+    that is the carry into the sum.  Zeros of a lane's word are rises of L from row to row, so the distance of the whole piece at an
+    even place is its length less twice the zeros.  Looked at every fourth place, it is at most two more than at its least: pairs
+    within three more than the limit pass, and none is lost.  Characters that no phrase has are left out, which brings nothing farther
+    away.  A step reads one character of every text of the block; the masks of all pieces for it are one row.
+    """
+
+    PIECES = 1_024
+    EVERY = 4
+    GROUPS = 2
+    # a text is read in spans that overlap by the longest part that can be near a piece
+    SPAN = 2_048
+
+    def __init__(self, phrases: list[str], rate: float):
+        self.overlap = int(WORD * (1 + rate)) + 1
+        everything = np.concatenate([*(_codes(p) for p in phrases), np.zeros(0, dtype=np.uint32)])
+        self.alphabet, count = np.unique(everything, return_counts=True)
+        group, load = np.zeros(len(count), dtype=np.int64), [0] * self.GROUPS
+        for c in np.argsort(-count, kind="stable").tolist():
+            group[c] = load.index(min(load))
+            load[group[c]] += int(count[c])
+        units: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for k, p in enumerate(phrases):
+            codes = np.searchsorted(self.alphabet, _codes(p))
+            split = range(self.GROUPS) if len(p) >= WORD * self.GROUPS else (-1,)
+            for g in split:
+                mine = codes if g < 0 else codes[group[codes] == g]
+                if len(mine):
+                    units.setdefault(g, []).extend((k, x) for x in np.array_split(mine, -(-len(mine) // WORD)))
+        self.blocks = []
+        for g, parts in units.items():
+            # the place of a character in the masks; the last row is that of all others
+            used = np.ones(len(self.alphabet), dtype=bool) if g < 0 else group == g
+            for lo in range(0, len(parts), self.PIECES):
+                part = parts[lo:lo + self.PIECES]
+                # bits above a piece never match and stay one
+                masks = np.zeros((len(self.alphabet) + 1, len(part)), dtype=np.uint64)
+                most = np.empty(len(part), dtype=np.uint8)
+                for q, (_, x) in enumerate(part):
+                    for i, c in enumerate(x.tolist()):
+                        masks[c, q] |= np.uint64(1 << i)
+                    zeros = -(-(len(x) - int(rate * len(x) + 1e-9) - 3) // 2)
+                    most[q] = WORD - max(0, zeros)
+                self.blocks.append((used, masks, most, np.array([k for k, _ in part], dtype=np.int64)))
+
+    def near(self, texts: list[str]) -> set[tuple[int, int]]:
+        """(text, phrase) by their numbers."""
+        codes = []
+        for t in texts:
+            c = _codes(t)
+            k = np.minimum(np.searchsorted(self.alphabet, c), max(0, len(self.alphabet) - 1))
+            codes.append(k[self.alphabet[k] == c] if len(self.alphabet) else k[:0])
+        out: set[tuple[int, int]] = set()
+        kept, last = [], None
+        for used, masks, most, phrase in self.blocks:
+            if used is not last:
+                cut = [(i, c[lo:lo + self.SPAN + self.overlap]) for i, c in enumerate(x[used[x]] for x in codes)
+                       for lo in range(0, max(1, len(c) - self.overlap), self.SPAN)]
+                kept, last = sorted(cut, key=lambda x: -len(x[1])), used
+            rows = max(1, LANES // len(phrase))
+            for lo in range(0, len(kept), rows):
+                mine = kept[lo:lo + rows]
+                at, piece = np.nonzero(self._fewest(masks, [c for _, c in mine]) <= most)
+                out.update(zip([mine[x][0] for x in at.tolist()], phrase[piece].tolist(), strict=True))
+        return out
+
+    def _fewest(self, masks: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
+        """Fewest ones in the word of every text (longest first) and piece."""
+        every = self.EVERY
+        steps = [-(-len(t) // every) * every for t in texts]
+        codes = np.full((steps[0], len(texts)), len(masks) - 1, dtype=np.int64)
+        for r, t in enumerate(texts):
+            codes[:len(t), r] = t
+        shape, one = (len(texts), masks.shape[1]), np.uint64(1)
+        v = np.full(shape, np.uint64(0xFFFFFFFFFFFFFFFF))
+        m, u = np.empty(shape, dtype=np.uint64), np.empty(shape, dtype=np.uint64)
+        ones, best = np.empty(shape, dtype=np.uint8), np.full(shape, WORD, dtype=np.uint8)
+        live = len(texts)
+        for start in range(0, steps[0], every):
+            while steps[live - 1] <= start:
+                live -= 1
+            V, M, U, N, B = v[:live], m[:live], u[:live], ones[:live], best[:live]
+            for j in range(start, start + every):
+                np.take(masks, codes[j, :live], axis=0, out=M, mode="clip")
+                np.bitwise_and(V, M, out=U)
+                np.bitwise_xor(V, U, out=M)
+                np.add(V, U, out=V)
+                if j & 1:
+                    np.add(V, one, out=V)
+                np.bitwise_or(V, M, out=V)
+            np.bitwise_count(V, out=N)
+            np.minimum(B, N, out=B)
+        return best
+
+
 class PartialScan:
     """All phrases of a list that reach a partial ratio with texts without occurring in them.
 
-    1. The three-grams of all phrases are numbered; one look-up per place of the text and running sums give, for every
+    1. ``PieceSieve`` drops the pairs of a text and a phrase no longer than it without a part of the text that is near enough to a
+       piece of the phrase.
+    2. The three-grams of all phrases are numbered; one look-up per place of the text and running sums give, for a
        phrase and window, how many of the window's three-grams the phrase has.  Pairs without a window of
        ``shared_trigrams`` can't reach the cutoff.
-    2. ``near_pairs`` drops the pairs without a part of the text that is near enough to a piece of the phrase.
-    3. The few pairs left are scored exactly (``partial_ratio_near``).
+    3. ``near_pairs`` looks at every place of the pairs left, if they are many, and those that pass are scored exactly
+       (``partial_ratio_near``).
 
     A text shorter than a phrase is the needle, and the phrase its hay.
     """
 
     TEXTS = 256
+    FEW = 20
 
     def __init__(self, phrases: list[str], cutoff: float):
         self.phrases, self.cutoff = phrases, cutoff
+        self.rate = 2 * (1 - cutoff / 100.0)
+        self.longest = max(map(len, phrases), default=0)
+        self.sieve = PieceSieve(phrases, self.rate)
         grams = [_trigrams(p) for p in phrases]
         self.known = np.unique(np.concatenate([*grams, np.zeros(0, dtype=np.int64)]))
         self.need = [shared_trigrams(len(p), cutoff) for p in phrases]
@@ -587,8 +695,8 @@ class PartialScan:
             flags[np.searchsorted(self.known, g)] = True
             self.has.append(flags)
 
-    def _possible(self, text: str) -> list[int]:
-        """Phrases that share enough three-grams with a window of the text."""
+    def _possible(self, text: str, chosen: list[int]) -> list[int]:
+        """Those of the ``chosen`` phrases that share enough three-grams with a window of the text."""
         n = len(text)
         grams = _trigrams(text)
         at = np.searchsorted(self.known, grams)
@@ -596,7 +704,8 @@ class PartialScan:
             at[at == len(self.known)] = 0
             at = np.where(self.known[at] == grams, at, len(self.known))
         out = []
-        for k, p in enumerate(self.phrases):
+        for k in chosen:
+            p = self.phrases[k]
             m = len(p)
             need = shared_trigrams(n, self.cutoff) if n < m else self.need[k]
             if need > 0:
@@ -613,18 +722,31 @@ class PartialScan:
                 out.append(k)
         return out
 
+    def _candidates(self, texts: list[str]) -> list[tuple[int, int]]:
+        """(text, phrase) that pass the sieve, if the phrase is no longer, and the three-grams."""
+        chosen: list[list[int]] = [[] for _ in texts]
+        for i, k in sorted(self.sieve.near(texts)):
+            if len(texts[i]) >= len(self.phrases[k]):
+                chosen[i].append(k)
+        for i, t in enumerate(texts):
+            if t and len(t) < self.longest:
+                chosen[i] += [k for k, p in enumerate(self.phrases) if len(p) > len(t)]
+        return [(i, k) for i, ks in enumerate(chosen) if ks for k in self._possible(texts[i], ks)]
+
     def score(self, texts: list[str]) -> list[tuple[int, int, float]]:
         """(text, phrase, score) by their numbers."""
         out = []
         for lo in range(0, len(texts), self.TEXTS):
             part = texts[lo:lo + self.TEXTS]
-            pairs = [(i, k) for i, t in enumerate(part) if t for k in self._possible(t)]
+            pairs = self._candidates(part)
             long = [x for x in pairs if len(part[x[0]]) >= len(self.phrases[x[1]])]
             short = [x for x in pairs if len(part[x[0]]) < len(self.phrases[x[1]])]
-            rate = 2 * (1 - self.cutoff / 100.0)
             for chosen, needles, hays, swap in ((long, self.phrases, part, True), (short, part, self.phrases, False)):
                 rows = np.array([(k, i) if swap else (i, k) for i, k in chosen], dtype=np.int64).reshape(-1, 2)
-                for a, b in rows[near_pairs(needles, hays, rows, rate)].tolist():
+                sizes = [len(hays[b]) for b in rows[:, 1].tolist()]
+                if sum(sizes) > self.FEW * max(sizes, default=0):      # a step of few lanes costs more than it spares
+                    rows = rows[near_pairs(needles, hays, rows, self.rate)]
+                for a, b in rows.tolist():
                     found = partial_ratio_near(needles[a], hays[b], self.cutoff)
                     if found >= self.cutoff:
                         out.append((lo + (b if swap else a), a if swap else b, found))

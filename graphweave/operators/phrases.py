@@ -1,7 +1,7 @@
 """Many phrases against many texts: exact occurrence and partial ratio.
 
-Both walk each text once for all phrases of a block: occurrences with an Aho-Corasick automaton, partial ratios with shared three-grams
-and a bit-parallel scan that leave few windows to score (``functions.fuzzy.PartialScan``).  A dictionary that
+Both walk each text once for all phrases of a block: occurrences with an Aho-Corasick automaton, partial ratios with a bit-parallel
+sieve and shared three-grams that leave few windows to score (``functions.fuzzy.PartialScan``).  A dictionary that
 passes the check of rows and bytes is one block and is broadcast; texts don't move.  A larger one is dealt into blocks by
 hash, texts into cells, and every (block, cell) is one group of bounded size, so neither side has to fit a task or the driver.
 """

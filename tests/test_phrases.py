@@ -123,3 +123,29 @@ def test_similar_between_equals_brute_force(spark, monkeypatch, small, t):
     want = {(a, b): fz.indel_ratio(a, b) for a in left for b in right if a is not None and b is not None
             and 200 * fz.lcs_len(a, b) >= t * (len(a) + len(b))}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("groups", [1, 2, 3])
+@pytest.mark.parametrize("cutoff", [70, 85])
+def test_sieve_keeps_every_near_pair(monkeypatch, groups, cutoff):
+    """Passages damaged up to the cutoff, anywhere in texts of several spans, pass; most other pairs don't."""
+    rnd = random.Random(groups * cutoff)
+    words = ["".join(rnd.choice("aeioustrnlmpdcgb") for _ in range(rnd.randint(3, 9))) for _ in range(400)]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    passages = [say(rnd.randint(3, 45)) for _ in range(9)] + [""]
+    monkeypatch.setattr(fz.PieceSieve, "GROUPS", groups)
+    monkeypatch.setattr(fz.PieceSieve, "SPAN", 300)
+    monkeypatch.setattr(fz.PieceSieve, "PIECES", 16)
+    texts = ["", "a", "日本"]
+    for p in passages[:-1]:
+        near = spoiled(rnd, p, int(rnd.choice([0.02, 0.1, 0.15, 0.25]) * len(p)))
+        texts.append(rnd.choice([say(50) + " " + near + say(20), near + say(60), say(61) + near]))
+    near = fz.PieceSieve(passages, 2 * (1 - cutoff / 100)).near(texts)
+    want = {(i, k) for i, t in enumerate(texts) for k, p in enumerate(passages)
+            if p and len(t) >= len(p) and fz.partial_ratio(p, t, cutoff) >= cutoff}
+    assert want and want <= near
+    long = [k for k, p in enumerate(passages) if len(p) > 150]
+    if cutoff == 85:
+        assert sum(k in long for _, k in near) < len(long) * len(texts) / 4
+    got = {(i, k) for i, k, _ in fz.PartialScan(passages[:-1], cutoff).score(texts)}
+    assert {x for x in want if passages[x[1]] not in texts[x[0]]} == {x for x in got if len(texts[x[0]]) >= len(passages[x[1]])}

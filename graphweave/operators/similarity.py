@@ -9,8 +9,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,19 +43,58 @@ def with_ngram_terms(df: DataFrame, text: str, out: str = "terms") -> DataFrame:
     return d.withColumn(out, F.concat(k, bigrams)).drop(p + "t", p + "k")
 
 
-def with_term_counts(df: DataFrame, terms: str, out: str = "tf") -> DataFrame:
-    """Add ``out``: array<struct<term, tf>> counted inside the row (sort +
-    run lengths), so term frequencies need no shuffle."""
-    p = f"__{out}_s"
-    d = df.withColumn(p, F.sort_array(F.col(terms)))
-    srt = F.col(p)
-    n = F.size(srt)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (i <= n) & F.when(i == 1, F.lit(True))
-                      .otherwise(F.element_at(srt, i) != F.element_at(srt, i - 1)))
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n + 1))
-    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.element_at(srt, a).alias("term"), (b - a).alias("tf")))
-    return d.withColumn(out, F.when(n > 0, runs).otherwise(F.array())).drop(p)
+COUNT_ROWS = 512
+
+
+def term_counts(df: DataFrame, text: str) -> DataFrame:
+    """Rows of ``df`` with ``tf`` (term, tf; in term order) in place of ``text``: the terms of ``with_ngram_terms`` and their counts.
+
+    Words come from Spark's expression; stop words, bigrams and counts are taken on their numbers, batch by batch in Arrow, and a
+    string is formed once per different term of a batch.
+    """
+    rest = [c for c in df.columns if c != text]
+    words = df.select(*rest, F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN_PATTERN), 0).alias("__w"))
+    schema = df.select(*rest).withColumn("tf", F.lit(None).cast("array<struct<term:string,tf:int>>")).schema
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, COUNT_ROWS):
+                part = batch.slice(lo, COUNT_ROWS)
+                held = part.column("__w")
+                held = held.cast(pa.list_(pa.string()))
+                tf = _count_lists(held.flatten(), pc.fill_null(pc.list_value_length(held), 0).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), tf], names=[*rest, "tf"])
+    return words.mapInArrow(count, schema)
+
+
+def _count_lists(words: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Per list of words (all lists flattened, and their sizes): its uni- and bigrams without stop words, and their counts."""
+    coded = words.dictionary_encode()
+    known, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    stop = pc.is_in(known, value_set=pa.array(ENGLISH, pa.string())).to_numpy(zero_copy_only=False)
+    keep = ~stop[code] if len(code) else np.zeros(0, dtype=bool)
+    code, row = code[keep], row[keep]
+    near = row[1:] == row[:-1]
+    pair, at = np.unique(code[:-1][near] * max(1, len(known)) + code[1:][near], return_inverse=True)
+    first, second = (known.take(pa.array(x)) for x in np.divmod(pair, max(1, len(known))))
+    terms = pa.concat_arrays([known, pc.binary_join_element_wise(first, second, " ")])
+    # places of the terms in their order; the same term never comes twice, as a word has no blank
+    order = pc.sort_indices(terms).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    width = max(1, len(terms))
+    key = np.concatenate([row * width + rank[code], row[1:][near] * width + rank[at.reshape(-1) + len(known)]])
+    found, n = np.unique(key, return_counts=True)
+    of, place = np.divmod(found, width)
+    offsets = np.searchsorted(of, np.arange(len(sizes) + 1)).astype(np.int32)
+    values = pa.StructArray.from_arrays([terms.take(pa.array(order[place])), pa.array(n.astype(np.int32))], names=["term", "tf"])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _exploded(counted: DataFrame) -> DataFrame:
+    """(side, id, term, tf): one row per document and term."""
+    return counted.select("side", "id", F.explode("tf").alias("x")).select("side", "id", "x.term", "x.tf")
 
 
 def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "entity_id",
@@ -69,7 +112,7 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     one side can't reach it, as its cosine is at most the norm of that rest; frequent terms are seldom in a prefix.
     Plan: term counts inside each row (no shuffle); one term aggregate with
     map-side combine; a top-k vocabulary (bounded by ``max_features``,
-    broadcast); one per-document group for the L2 norm; an equi-join on the
+    broadcast); one per-document group of term numbers and counts for the L2 norm; an equi-join on the
     term.  Technologies that pass the size check are broadcast and a document's pairs
     are summed up beside its terms; else the joined rows are shuffled by pair.
     """
@@ -82,20 +125,25 @@ def tfidf_similarity(entities: DataFrame, techs: DataFrame, entity_id: str = "en
     n_docs = corpus.count()
     # per-document (term, tf) arrays feed both the term statistics and the
     # weights; stored in the shared folder so the tokenizer runs once
-    counted = stored(with_term_counts(with_ngram_terms(corpus, "text"), "terms").select("side", "id", "tf"))
-    # explode_outer + null filter: a plain explode would make the optimizer push
-    # a size(array) > 0 filter below the projections, re-running the tokenizer
-    tf = (counted.select("side", "id", F.explode_outer("tf").alias("x")).filter(F.col("x").isNotNull())
-          .select("side", "id", "x.term", "x.tf"))
+    counted = stored(term_counts(corpus, "text"))
+    tf = _exploded(counted)
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    vocab = (stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
-             .select("term", "df", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
-    w = tf.join(F.broadcast(vocab), "term").select("side", "id", "term", (F.col("tf") * F.col("idf")).alias("w"), "df")
-    per_doc = w.groupBy("side", "id").agg(F.collect_list(F.struct("term", "w", "df")).alias("tw"))
-    norm = F.sqrt(F.aggregate("tw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    wn = (per_doc.withColumn("nrm", norm)
-          .select("side", "id", F.explode("tw").alias("x"), "nrm")
-          .select("side", "id", F.col("x.term").alias("term"), (F.col("x.w") / F.col("nrm")).alias("wn"), F.col("x.df").alias("df")))
+    top = stored(stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features))
+    vocab = (top.withColumn("no", F.row_number().over(Window.orderBy(F.desc("total"), F.asc("term"))))
+             .select("term", "df", "no", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
+    vocab = stored(vocab)
+    if pairs is not None:
+        # only the documents that are asked for get weights
+        ids = pairs.select(F.col(entity_id).cast("string").alias("id")).distinct()
+        tf = _exploded(counted.where("side = 1").unionByName(counted.where("side = 0").join(ids, "id", "left_semi").select(*counted.columns)))
+    # a term travels as one number: its place in the vocabulary above its count
+    square = F.pow(F.col("tf") * F.col("idf"), F.lit(2.0))
+    packed = F.shiftleft(F.col("no").cast("long"), 32) + F.col("tf").cast("long")
+    per_doc = (tf.join(F.broadcast(vocab.select("term", "no", "idf")), "term").select("side", "id", packed.alias("x"), square.alias("s"))
+               .groupBy("side", "id").agg(F.collect_list("x").alias("tw"), F.sqrt(F.sum("s")).alias("nrm")))
+    wn = (per_doc.select("side", "id", F.explode("tw").alias("x"), "nrm")
+          .select("side", "id", F.shiftright("x", 32).cast("int").alias("no"), F.col("x").bitwiseAND(F.lit((1 << 32) - 1)).alias("tf"), "nrm")
+          .join(F.broadcast(vocab), "no").select("side", "id", "term", (F.col("tf") * F.col("idf") / F.col("nrm")).alias("wn"), "df"))
     if pairs is None:
         # the weighted technologies are stored first, so the check of their rows and bytes doesn't run the job twice
         small = stored(wn.where("side = 1"))

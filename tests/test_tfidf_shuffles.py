@@ -35,3 +35,24 @@ def test_pairs_are_not_shuffled(spark, threshold):
     assert "Exchange hashpartitioning" not in above
     # the documents' terms; with a threshold also the few weighted technologies, for their prefixes
     assert plan.count("Exchange hashpartitioning(side") == (1 if threshold is None else 2)
+
+
+def test_counts_equal_the_ngram_terms(spark, monkeypatch):
+    """Terms counted in Arrow batches of a few rows are those of the expression; repeated, empty and missing texts too."""
+    from collections import Counter
+    monkeypatch.setattr(similarity, "COUNT_ROWS", 3)
+    r = random.Random(6)
+    words = ["solar", "the", "of", "Éa", "x", "日本語", "a_b", "cell-cell", "grid\n"]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 12))) for _ in range(20)] + [None, "", "the", "solar solar solar"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    want = {x["id"]: Counter(x["terms"]) for x in similarity.with_ngram_terms(df, "text").collect()}
+    got = {x["id"]: [(y["term"], y["tf"]) for y in x["tf"]] for x in similarity.term_counts(df, "text").collect()}
+    assert {k: dict(v) for k, v in got.items()} == want
+    assert all(v == sorted(v, key=lambda y: y[0].encode()) for v in got.values())
+
+
+def test_a_term_travels_as_one_number(spark):
+    d, t = tables(spark)
+    plan = similarity.tfidf_similarity(d, t)._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[plan.index("Exchange hashpartitioning(side"):]
+    assert "collect_list(x" in dealt.split("Exchange", 2)[1]

@@ -293,6 +293,7 @@ def keyword_overlap(entity_kw: DataFrame, tech_kw: DataFrame, entity_id: str, te
                     kw: str = "keywords") -> DataFrame:
     """(entity, tech) pairs whose keyword arrays share an element, as an
     exploded equi-join (the technology side is size-checked for broadcast)."""
-    e = entity_kw.select(F.col(entity_id), F.explode(F.array_distinct(F.col(kw))).alias("kw"))
-    t = tech_kw.select(F.col(tech_id), F.explode(F.array_distinct(F.col(kw))).alias("kw"))
+    # a plain explode would make the optimizer filter on the array's size, which forms the keywords twice
+    e, t = (x.select(F.col(i), F.explode_outer(F.array_distinct(F.col(kw))).alias("kw")).where("kw is not null")
+            for x, i in ((entity_kw, entity_id), (tech_kw, tech_id)))
     return e.join(broadcast_if_small(t), "kw").select(entity_id, tech_id).distinct()

@@ -56,3 +56,12 @@ def test_a_term_travels_as_one_number(spark):
     plan = similarity.tfidf_similarity(d, t)._jdf.queryExecution().executedPlan().toString()
     dealt = plan[plan.index("Exchange hashpartitioning(side"):]
     assert "collect_list(x" in dealt.split("Exchange", 2)[1]
+
+
+def test_keywords_are_formed_once(spark):
+    """No filter on the exploded array's size under the explode; empty and missing arrays give no pair."""
+    e = spark.createDataFrame([(1, "a;b;a"), (2, ""), (3, None), (4, "c")], "entity_id long, k string").selectExpr("entity_id", "split(k, ';') AS keywords")
+    t = spark.createDataFrame([(7, ["b", "a"]), (8, []), (9, None)], "tech_id long, keywords array<string>")
+    out = similarity.keyword_overlap(e, t, "entity_id", "tech_id")
+    assert {tuple(r) for r in out.collect()} == {(1, 7)}
+    assert "size(" not in out._jdf.queryExecution().optimizedPlan().toString()

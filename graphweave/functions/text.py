@@ -16,6 +16,8 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Characters Python's str.strip()/str.split() treat as white space.  The same
 # class is valid in Java regex and in RE2 (used by the SQL oracle).
 WS = r"[\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WS_CHARS = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                             0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 # ---------------------------------------------------------------------------
 
 
@@ -25,7 +27,7 @@ def col_(c) -> Column:
 
 def strip(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing white space of any kind."""
-    return F.regexp_replace(col_(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def ws_split(c) -> Column:
@@ -39,7 +41,7 @@ def normalize_text(c, collapse: bool = False) -> Column:
     Runs of white space are *not* collapsed (the original's docstring says
     they are, its code does not); ``collapse=True`` collapses them.
     """
-    out = F.regexp_replace(strip(F.translate(F.lower(col_(c)), PUNCTUATION, "")), "\n", " ")
+    out = strip(F.translate(F.lower(col_(c)), "\n" + PUNCTUATION, " "))
     if collapse:
         out = F.regexp_replace(out, f"{WS}+", " ")
     return out

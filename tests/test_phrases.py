@@ -98,6 +98,21 @@ def test_shared_trigrams_is_a_lower_bound():
                 assert shared >= fz.shared_trigrams(len(p), cutoff), (p, w, ratio)
 
 
+@pytest.mark.parametrize("block", [1000, 0])
+def test_first_matches_give_the_least_place(spark, monkeypatch, block):
+    monkeypatch.setattr(phrases, "AUTOMATON_MAX_ROWS", block)
+    rnd = random.Random(6)
+    words = ["solar", "panel", "batter", "cell", "日本", "x", "lar p"]
+    texts = [(i if i else None, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 9)))) for i in range(50)] + [(77, None), (78, "")]
+    names = [(7 * k, s) for k, s in enumerate(rnd.sample([*words, "x x", "solar solar", "solar", "none", "", None], 12))]
+    e, p = spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame(names[::-1], "place long, s string")
+    rows = phrases.first_matches(e, "id", "t", p, "place", "s").collect()
+    got = {i: min(r[1] for r in rows if r[0] == i) for i in {r[0] for r in rows}}
+    want = {i: min(k for k, s in names if s and s in t) for i, t in texts if t and any(s and s in t for _, s in names)}
+    assert got == want and (block == 0 or len(rows) == len(got))
+    assert phrases.first_matches(e, "id", "t", p.limit(0), "place", "s").count() == 0
+
+
 @pytest.mark.parametrize("block", [1000, 0])
 def test_phrases_with_repeats_nulls_and_odd_ids(spark, monkeypatch, block):
     monkeypatch.setattr(phrases, "BLOCK_MAX_ROWS", block)

@@ -1,5 +1,7 @@
 """Golden micro-cases for text and nested functions (FIXTURES g1-g6, g22, g26)."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from graphweave.functions import nested as N
@@ -18,6 +20,20 @@ def test_normalize_text_collapse(spark):
     assert one(spark, T.normalize_text("s", collapse=True), [("a  b\tc",)], "s string") == "a b c"
 
 
+def test_strip_and_normalize_equal_python(spark):
+    rnd = random.Random(3)
+    pool = T.WS_CHARS + T.PUNCTUATION + "aZéß日\u200b\u00ad\n\n"
+    assert sorted(T.WS_CHARS) == [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(400)] + ["", "\n", "a\n", " \n.a\n. \n"]
+    df = spark.createDataFrame([(s,) for s in texts] + [(None,)], "s string").select("s", T.strip("s"), T.normalize_text("s"))
+    for s, stripped, normal in df.collect():
+        if s is None:
+            assert stripped is None and normal is None
+        else:
+            bare = s.lower().translate(str.maketrans("", "", T.PUNCTUATION))
+            assert (stripped, normal) == (s.strip(), bare.strip().replace("\n", " "))
+
+
 def test_flatten_names_g4(spark):
     data = [([("B-b",), ("a",), ("A",), (None,)],)]
     v = one(spark, T.flatten_names("c"), data, "c array<struct<display_name:string>>")

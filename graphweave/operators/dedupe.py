@@ -66,6 +66,14 @@ def _needed(total, t: int, q: int):
     return (2 * q - 1) * low - (q - 1) * (total + 1)
 
 
+def _least_needed(total: Column, t: int, q: int) -> Column:
+    """The least ``_needed`` of all pairs whose summed length is at least ``total``.
+
+    With its length rounded up, ``_needed`` falls by q - 1 where a longer pair needs no longer LCS; without rounding it only rises.
+    """
+    return F.ceil((F.lit((2 * q - 1) * t) * total - F.lit(200 * (q - 1)) * (total + 1)) / F.lit(200.0))
+
+
 def _grams(s: Column, q: int) -> Column:
     """Distinct (gram, occurrence) texts of a string, sorted: a multiset as a set."""
     raw = F.sort_array(F.transform(seq(F.lit(1), F.length(s) - (q - 1)), lambda i: F.substr(s, i, F.lit(q))))
@@ -88,7 +96,7 @@ def _route(base: DataFrame, t: int, q: int, admit) -> DataFrame:
     each = base.select("u", "l", F.size(g).alias("n"), F.explode(g).alias("gram"))
     rare = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     least_partner = F.ceil(F.lit(t) * F.col("l") / F.lit(200.0 - t))
-    prefix = F.col("n") - F.greatest(_needed(F.col("l") + least_partner, t, q), F.lit(1)) + 1
+    prefix = F.col("n") - F.greatest(_least_needed(F.col("l") + least_partner, t, q), F.lit(1)) + 1
     heads = (each.join(rare, "gram").groupBy("u", "l", "n")
              .agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("x"))
              .select("u", "l", F.explode(F.slice(F.col("x"), F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))).alias("h"))

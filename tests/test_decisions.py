@@ -80,6 +80,14 @@ def test_similar_strings_equal_brute_force(spark, t):
     assert got == want
 
 
+def test_similar_strings_of_lengths_that_need_fewer_grams_than_shorter_ones(spark):
+    # the two-grams of the first two meet at the fourth rarest only: 13 letters need four common ones, 14 letters three
+    strs = ["om beta", "ombzeta", "omxbeta", *(f"{g}{i}" for i in "pqrsuvwxyz" for g in ("om", "et", "ta", "eta"))]
+    got = {(r[0], r[1]) for r in dedupe.similar_strings(spark.createDataFrame([(s,) for s in strs], "s string"), "s", 85).collect()}
+    want = {(a, b) for a, b in itertools.combinations(sorted(strs), 2) if 200 * fz.lcs_len(a, b) >= 85 * (len(a) + len(b))}
+    assert ("om beta", "ombzeta") in want and got == want
+
+
 @pytest.mark.parametrize("rows", [0, 1000])
 def test_phrase_and_partial_paths_agree(spark, monkeypatch, rows):
     rnd = random.Random(4)

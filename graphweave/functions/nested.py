@@ -53,7 +53,8 @@ def with_inverted_index(df, tokens: str, out: str):
     """Add ``out``: map<word, array<position>> of a token array, built inside
     the row (native sort of (word, position) pairs, then runs of equal words),
     so no shuffle is needed: the index of a document depends on that
-    document only.  Keys appear in word order."""
+    document only.  Keys appear in word order; a document without tokens has an
+    empty map, null tokens give a null map."""
     p = f"__{out}_"
     d = df.withColumn(p + "s", F.sort_array(F.transform(F.col(tokens), lambda w, i: F.struct(w.alias("w"), i.alias("p")))))
     srt = F.col(p + "s")
@@ -63,11 +64,13 @@ def with_inverted_index(df, tokens: str, out: str):
                       .otherwise(F.element_at(srt, i)["w"] != F.element_at(srt, i - 1)["w"]))
     d = d.withColumn(p + "st", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
     st = F.col(p + "st")
-    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), F.array(n + 1))
+    # as many ends as starts: without tokens there is neither
+    last = F.when(n > 0, F.array(n + 1)).otherwise(F.array().cast("array<int>"))
+    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st) - 1, F.lit(0))), last)
     entries = F.zip_with(st, ends, lambda a, b: F.struct(
         F.element_at(srt, a)["w"].alias("key"),
         F.transform(F.slice(srt, a, b - a), lambda x: x["p"]).alias("value")))
-    return d.withColumn(out, F.map_from_entries(entries)).drop(p + "s", p + "st")
+    return d.withColumn(out, F.when(srt.isNotNull(), F.map_from_entries(entries))).drop(p + "s", p + "st")
 
 
 def slim_authors(c) -> Column:
